@@ -48,6 +48,7 @@ URL_V1 = r"(?U)http\S+"
 URL_V2 = r"(?U)http\S+|www\.\S+"
 MENTION = r"(?U)[@#]\w+"
 NON_LETTER = r"[^a-zA-Z]"
+BLANK = r"(?U)\A\s*\z"
 # ---------------------------------------------------------------------------
 
 
@@ -112,8 +113,8 @@ def letter_text(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """True when the text is empty after trimming; null stays null."""
-    return F.trim(_col(c)) == F.lit("")
+    """True when the text is empty or only (Unicode) whitespace; null stays null."""
+    return _col(c).rlike(BLANK)
 
 
 def text_or_empty(c: Column | str) -> Column:

@@ -24,7 +24,8 @@ CLEANED_V1_SCHEMA = StructType([
 CLEANED_V2_SCHEMA = StructType([StructField("target", IntegerType()), StructField("clean_text", StringType())])
 
 # Quoting that lets quotes, newlines and backslashes survive a write and a read.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 RAW_ENCODING = "ISO-8859-1"
 
 
