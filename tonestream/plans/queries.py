@@ -24,7 +24,7 @@ from tonestream.operators.naive_bayes import fit_naive_bayes_ml, fit_naive_bayes
 from tonestream.operators.scoring import model_input, resolve_text_column, score_table, with_labels
 from tonestream.operators.split import hash_split, stratified_split
 from tonestream.session import shared_path
-from tonestream.sinks.files import write_metrics_json, write_table
+from tonestream.sinks.files import materialize, write_metrics_json, write_table
 from tonestream.sources.labelled import load_labelled
 from tonestream.sources.metrics_json import read_metrics_json
 from tonestream.sources.tables import labelled_texts, read_table, rule_prediction
@@ -40,9 +40,11 @@ P_DIGITS = 6
 
 
 def cleaned_labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled texts cleaned with v2, null and blank texts dropped, hash split flag."""
+    """Labelled texts cleaned with v2, null and blank texts dropped, hash split
+    flag; written once to the shared folder (the cleaned training table), so
+    fitting and scoring read it instead of re-running the cleaning."""
     t = labelled_texts(spark, sf).select("doc_id", "target", clean.clean_v2("text").alias("clean_text"))
-    return hash_split(drop_blank(t.dropna(), "clean_text"), "doc_id", SPLIT_FRAC)
+    return materialize(hash_split(drop_blank(t.dropna(), "clean_text"), "doc_id", SPLIT_FRAC), "cleaned")
 
 
 def nb_holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,7 +63,7 @@ def _rule_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _words_v2(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return docs.select("doc_id", clean.words(clean.letters_only(clean.strip_mentions(
         clean.strip_urls("text", "v2"))), 3).alias("words"))
 
@@ -75,21 +77,21 @@ def q01_binarize_label(spark, sf):
 
 
 def q02_clean_v1(spark, sf):
-    return read_table(spark, sf, "documents").select("doc_id", clean.clean_v1("text").alias("clean_text"))
+    return read_table(spark, sf, "documents", ["doc_id", "text"]).select("doc_id", clean.clean_v1("text").alias("clean_text"))
 
 
 def q03_clean_v2(spark, sf):
-    return read_table(spark, sf, "documents").select("doc_id", clean.clean_v2("text").alias("clean_text"))
+    return read_table(spark, sf, "documents", ["doc_id", "text"]).select("doc_id", clean.clean_v2("text").alias("clean_text"))
 
 
 def q04_strip_urls(spark, sf):
     body = F.concat(F.col("url"), F.lit(" "), F.col("html"))
-    return read_table(spark, sf, "pages").select(
+    return read_table(spark, sf, "pages", ["page_id", "url", "html"]).select(
         "page_id", clean.strip_urls(body, "v1").alias("stripped_v1"), clean.strip_urls(body, "v2").alias("stripped_v2"))
 
 
 def q05_strip_mentions(spark, sf):
-    docs = read_table(spark, sf, "documents")
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return docs.where(F.col("text").rlike(clean.MENTION)).select(
         "doc_id", clean.strip_mentions("text").alias("stripped"))
 
@@ -107,12 +109,12 @@ def q07_clean_row_counts(spark, sf):
 
 
 def q08_topic_filter(spark, sf):
-    docs = read_table(spark, sf, "documents")
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "text"])
     return topic_filter(docs).orderBy("doc_id").limit(1000).select("doc_id", "lang", "text")
 
 
 def q09_snippet(spark, sf):
-    conv = read_table(spark, sf, "conversations")
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     return conv.select("conv_id", "turn", clean.snippet("text", 120).alias("snippet"),
                        clean.snippet("text", 80).alias("snippet80"))
 
@@ -125,7 +127,7 @@ def q10_json_decode(spark, sf):
 
 
 def q11_json_encode(spark, sf):
-    conv = read_table(spark, sf, "conversations")
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     enc = conv.select("conv_id", "turn", "text", messages.encode_message("text").alias("value"))
     out = enc.select("conv_id", "turn", "text", messages.decode_declared("value")["text"].alias("text_out"))
     return out.select("conv_id", "turn", "text_out", F.col("text_out").eqNullSafe(F.col("text")).alias("same"))
@@ -188,7 +190,7 @@ def q20_evaluator_accuracy(spark, sf):
 def q21_token_counts(spark, sf):
     from pyspark.ml.feature import StopWordsRemover, Tokenizer
 
-    docs = read_table(spark, sf, "documents").select(
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"]).select(
         "doc_id", F.coalesce(clean.letter_text("text"), F.lit("")).alias("letters"))
     tok = Tokenizer(inputCol="letters", outputCol="words").transform(docs)
     rem = StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=list(clean.STOP_WORDS)).transform(tok)
@@ -228,7 +230,7 @@ def q25_top_terms(spark, sf):
 def q26_hashed_tfidf(spark, sf):
     from pyspark.ml import Pipeline
 
-    docs = read_table(spark, sf, "documents").select(
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"]).select(
         "doc_id", F.coalesce(clean.clean_v2("text"), F.lit("")).alias("clean_text"))
     model = Pipeline(stages=features.hashed_tfidf_stages("clean_text", 10000)).fit(docs)
     arr = vector_to_array("features")
@@ -273,7 +275,7 @@ def q31_logistic_vocab_scores(spark, sf):
 
 
 def _conversation_messages(spark, sf, value=None) -> tuple[str, str]:
-    conv = read_table(spark, sf, "conversations")
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"])
     path = shared_path(spark, "messages")
     stream.write_message_files(conv, path, key_cols=("conv_id", "turn", "role"), files=8, value=value)
     return path, "conv_id bigint, turn bigint, role string, value binary"

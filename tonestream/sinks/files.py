@@ -21,6 +21,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    folder and read it back: the lineage is cut (a lost executor recomputes
+    nothing upstream) and later jobs read the stored columns instead of
+    re-running the plan."""
+    from tonestream.session import shared_path
+
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_metrics_json(report: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a long report (``class, precision, recall, f1, support``) as one JSON
     object ``{accuracy, classification_report: {0, 1, accuracy, macro avg,

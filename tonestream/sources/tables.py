@@ -13,11 +13,40 @@ TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table; projections and filters applied later reach the scan."""
+# Tables whose rows carry long texts: per-row work on them is CPU-heavy.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    A scan yields one task per file split (per parquet row group). When the
+    input has fewer splits than the cluster has cores - a small table in one
+    file - the rows are dealt round-robin over ``defaultParallelism`` tasks.
+    On a large input the scan is already split finer than that, and nothing
+    is added (no shuffle of the big table). Only the plan is inspected here; no
+    job runs.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """One parquet table; projections and filters applied later reach the scan.
+
+    Text tables are read with only the requested ``columns`` (so the pruning
+    happens before the spread) and spread over the cores when under-split.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    if name in TEXT_TABLES:
+        df = spread(df)
+    return df
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +59,7 @@ def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     AQE turns it into a broadcast join at run time when ``labels`` is measured
     small.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
     labs = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labs, "doc_id").select(
         "doc_id", "text", "lang", "source", "n_chars",
