@@ -45,10 +45,21 @@ def with_bigrams(words: Column) -> Column:
     return F.concat(words, bigrams)
 
 
+def explode_terms(df: DataFrame, cols: list, terms: Column) -> DataFrame:
+    """One row per array element, as ``term``, next to ``cols``.
+
+    ``explode_outer`` plus a null filter rather than ``explode``: for a plain
+    explode Catalyst infers a ``size(array) > 0`` filter and pushes a copy of
+    the whole array expression (here: the regex cleaning) down to the scan, so
+    it would run twice, the first time before any repartition.
+    """
+    return df.select(*cols, F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
+
+
 def doc_terms(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
     """``(id, term, tf)``: one row per distinct term of each document."""
     return (
-        df.select(F.col(id_col), F.explode(terms).alias("term"))
+        explode_terms(df, [F.col(id_col)], terms)
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

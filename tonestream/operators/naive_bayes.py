@@ -25,6 +25,7 @@ from pyspark.ml.feature import CountVectorizer, SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonestream.operators.features import explode_terms
 from tonestream.operators.joins import DEFAULT_BROADCAST_ROWS, sized_join
 from tonestream.session import shared_path
 
@@ -52,7 +53,7 @@ class NaiveBayesTable:
         ``id_cols`` must identify a row of ``df``.
         """
         w = F.col(words) if isinstance(words, str) else words
-        tokens = df.select(*id_cols, F.explode(w).alias("term"))
+        tokens = explode_terms(df, list(id_cols), w)
         hits = sized_join(tokens, self.terms, "term", max_rows=max_broadcast_rows, known_rows=self.vocab_size)
         sums = hits.groupBy(*id_cols).agg(F.sum("ll_0").alias("_s0"), F.sum("ll_1").alias("_s1"))
         raw_0 = F.lit(self.prior_0) + F.coalesce(F.col("_s0"), F.lit(0.0))
@@ -76,7 +77,7 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
     w = F.col(words) if isinstance(words, str) else words
     y = F.col(label).cast("int")
     counts = (
-        train.select(y.alias("_y"), F.explode(w).alias("term"))
+        explode_terms(train, [y.alias("_y")], w)
         .groupBy("term")
         .agg(F.count_if(F.col("_y") == 0).alias("c_0"), F.count_if(F.col("_y") == 1).alias("c_1"))
     )

@@ -205,7 +205,9 @@ def q22_term_doc_frequency(spark, sf):
 def q23_tfidf_spark_weight(spark, sf):
     w = _words_v2(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
-    out = features.tfidf_spark(features.doc_terms(w, "doc_id", F.col("words")), "doc_id", n_docs)
+    # The term table feeds both the IDF aggregation and the weight join: write it once.
+    terms = materialize(features.doc_terms(w, "doc_id", F.col("words")), "doc-terms")
+    out = features.tfidf_spark(terms, "doc_id", n_docs)
     return out.select("doc_id", "term", "tf", "df", _round("idf"), _round("w"))
 
 
@@ -217,6 +219,7 @@ def _ngram_terms(spark, sf):
 def q24_tfidf_sklearn_weight(spark, sf):
     w, terms = _ngram_terms(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
+    terms = materialize(terms, "ngram-terms")
     vocab = features.top_terms(features.term_stats(terms), 20000, 2)
     out = features.tfidf_sklearn(terms, "doc_id", vocab, n_docs)
     return out.select("doc_id", "term", "tf", _round("w"))
