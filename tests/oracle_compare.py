@@ -26,13 +26,17 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (0, "")
-        return (1, round(v, 9))
+        return (1, v if STRICT else round(v, 9))
     if isinstance(v, bool):
         return (1, int(v))
     if isinstance(v, (int,)):
@@ -52,12 +56,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t_spark = time.time() - t0
     if sql is None:
         return "ROWS", len(s_rows), t_spark, ""
-    rel = con.execute(sql)
-    d_cols_raw = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    d_cols_raw = list(rel.columns)
     d_rows = [dict(zip(d_cols_raw, r)) for r in rel.fetchall()]
     d_cols = sorted(d_cols_raw)
     if s_cols != d_cols:
         return "COLS", len(s_rows), t_spark, f"spark={s_cols} duck={d_cols}"
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(d_cols_raw, rel.types)} if hasattr(rel, "types") else {}
+    bad_types = {c: (s_types[c], d_types[c]) for c in d_types if s_types.get(c) != d_types[c]}
+    if bad_types:
+        return "TYPE", len(s_rows), t_spark, str(bad_types)
     if len(s_rows) != len(d_rows):
         return "COUNT", len(s_rows), t_spark, f"spark={len(s_rows)} duck={len(d_rows)}"
     a, b = rows_of(s_rows, s_cols), rows_of(d_rows, d_cols)

@@ -127,3 +127,37 @@ def test_bigrams(spark):
 def test_letter_text(spark):
     df = spark.createDataFrame([("  Hi,  there\tYou 2 ",)], "t string")
     assert df.select(clean.letter_text("t")).first()[0] == "hi there you"
+
+
+def test_table_checks(spark):
+    from tonestream.operators.filters import require_not_empty
+    from tonestream.operators.scoring import require_columns
+
+    df = spark.createDataFrame([(1, "a")], "target int, text string")
+    require_columns(df, ["target", "text"])
+    with pytest.raises(ValueError):
+        require_columns(df, ["clean_text"])
+    assert require_not_empty(df) is df
+    with pytest.raises(ValueError):
+        require_not_empty(df.limit(0))
+
+
+def test_kafka_source_options_and_missing_connector(spark):
+    from tonestream.streaming.scoring import kafka_options, kafka_stream
+
+    opts = kafka_options("broker:9092", "tweets", "latest", max_offsets_per_trigger=1000)
+    assert opts["subscribe"] == "tweets" and opts["startingOffsets"] == "latest"
+    assert opts["maxOffsetsPerTrigger"] == "1000"
+    with pytest.raises(RuntimeError):
+        kafka_stream(spark, bootstrap="broker:9092", topic="tweets")
+
+
+def test_read_cleaned_declared_schema(spark):
+    from tonestream.sources.labelled import read_cleaned
+
+    df = spark.createDataFrame([(1, "good day")], "target int, clean_text string")
+    path = shared_path(spark, "cleaned-test")
+    write_table(df, path, "csv", header=True)
+    back = read_cleaned(spark, path, fmt="csv")
+    assert back.schema.simpleString() == "struct<target:int,clean_text:string>"
+    assert [tuple(r) for r in back.collect()] == [(1, "good day")]

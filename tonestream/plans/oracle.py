@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from tonestream.functions.clean import STOP_WORDS
 from tonestream.operators.filters import TOPIC_KEYWORDS
+from tonestream.plans.queries import DATA_KEYWORDS
 
 STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 WS = r"\t-\r\x{85}\p{Z}"
 WORD = r"\p{L}\p{Nl}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}"
-KEYWORDS = "|".join(k.lower() for k in TOPIC_KEYWORDS)
 BODY = "(url || ' ' || html)"
 
 
@@ -63,6 +63,13 @@ def unit(key: str) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296::DOUBLE"
 
 
+def topic_sql(keywords) -> str:
+    alts = "|".join(k.lower() for k in keywords)
+    return ("SELECT doc_id, lang, text FROM documents WHERE lang = 'en' AND "
+            f"regexp_matches(text, '(?i)(^|[^{WORD}])({alts})([^{WORD}]|$)') AND "
+            "NOT regexp_matches(text, '^RT @') ORDER BY doc_id LIMIT 1000")
+
+
 def snippet(x: str, n: int) -> str:
     return f"replace(substring({x}, 1, {n}), chr(10), ' ')"
 
@@ -120,7 +127,6 @@ mdl AS (SELECT term, ln(c0 + 1::DOUBLE) - ln(t0 + v * 1::DOUBLE) AS ll0,
 
 def nb_scores(rows_cte: str, id_cols: str) -> str:
     """CTEs ``sc`` and ``res`` scoring ``rows_cte`` (id columns + ``words``)."""
-    ids = ", ".join(f"r.{c}" for c in id_cols.split(", "))
     return f""",
 sc AS (SELECT {id_cols}, sum(ll0) AS s0, sum(ll1) AS s1
        FROM (SELECT {id_cols}, unnest(words) AS term FROM {rows_cte}) JOIN mdl USING (term) GROUP BY {id_cols}),
@@ -182,9 +188,8 @@ SQL: dict[str, str] = {
     "q07_clean_row_counts": f"WITH {TWEETS}, t AS (SELECT target, {clean_v2('text')} AS clean_text FROM tweets) "
                             "SELECT count(*) AS rows_before, count(*) FILTER (WHERE target IS NOT NULL AND clean_text "
                             f"IS NOT NULL AND NOT {blank('clean_text')}) AS rows_after FROM t",
-    "q08_topic_filter": "SELECT doc_id, lang, text FROM documents WHERE lang = 'en' AND "
-                        f"regexp_matches(text, '(?i)(^|[^{WORD}])({KEYWORDS})([^{WORD}]|$)') AND "
-                        "NOT regexp_matches(text, '^RT @') ORDER BY doc_id LIMIT 1000",
+    "q08_topic_filter": topic_sql(TOPIC_KEYWORDS),
+    "q40_topic_filter_keywords": topic_sql(DATA_KEYWORDS),
     "q09_snippet": f"SELECT conv_id, turn, {snippet('text', 120)} AS snippet, {snippet('text', 80)} AS snippet80 "
                    "FROM conversations",
     "q10_json_decode": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "

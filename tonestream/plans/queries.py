@@ -113,6 +113,15 @@ def q08_topic_filter(spark, sf):
     return topic_filter(docs).orderBy("doc_id").limit(1000).select("doc_id", "lang", "text")
 
 
+# Keywords that occur in the test prose, so the filter keeps rows there.
+DATA_KEYWORDS = ("from", "he")
+
+
+def q40_topic_filter_keywords(spark, sf):
+    docs = read_table(spark, sf, "documents", ["doc_id", "lang", "text"])
+    return topic_filter(docs, DATA_KEYWORDS).orderBy("doc_id").limit(1000).select("doc_id", "lang", "text")
+
+
 def q09_snippet(spark, sf):
     conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     return conv.select("conv_id", "turn", clean.snippet("text", 120).alias("snippet"),
@@ -429,5 +438,6 @@ QUERIES: dict[str, Query] = {
     "q37_label_index": q37_label_index,
     "q38_stream_logistic_scores": q38_stream_logistic_scores,
     "q39_naive_bayes_ml": q39_naive_bayes_ml,
+    "q40_topic_filter_keywords": q40_topic_filter_keywords,
     "flagship_distribution": flagship_distribution,
 }
