@@ -24,7 +24,7 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.functions.clean import STOP_WORDS
@@ -95,9 +95,10 @@ def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Colum
     """
     v = F.broadcast(spark_idf(vocab, n_docs).select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")))
     raw = terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw"))
-    # One document's terms form one window group (bounded by the text length).
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
-    return raw.select(id_col, "term", "tf", (F.col("raw") / norm).alias("w"))
+    # Per-document norms by a partial aggregation and a join (not a window), so
+    # even a key holding many rows is split by AQE's skew join, not one task.
+    norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
+    return raw.join(norms, id_col).select(id_col, "term", "tf", (F.col("raw") / F.col("_norm")).alias("w"))
 
 
 # --- Spark ML stages ---------------------------------------------------------

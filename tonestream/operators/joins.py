@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest side (rows) that is broadcast on the strength of an explicit count.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -38,6 +38,10 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     of that one bucket (about ``n / 2**bucket_bits``) are ranked to find the
     exact cut. The two per-class results are a few rows and are broadcast; the
     final flag is a map-only pass.
+
+    ``key`` must identify a row (as the row index does for a shuffled split);
+    rows sharing a key are indistinguishable to the ordering. For keys that
+    repeat, use ``hash_split``, which keeps all rows of a key on one side.
     """
     hexdigits = (bucket_bits + 3) // 4
     d = df.withColumn("_m", key_md5(key)).withColumn(
