@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.operators.features import fit_sklearn_tfidf, hashed_tfidf_stages
+from tonestream.operators.partitioning import fit_partitions
 
 
 def _prepared(df: DataFrame, input_col: str, label: str) -> DataFrame:
@@ -31,7 +32,9 @@ def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "cl
     ``label_indexer``: index the label with StringIndexer (value order, so
     index 0 is label 0) and train on the index.
     """
-    data = _prepared(df, input_col, label).persist()
+    prepared = _prepared(df, input_col, label)
+    n = prepared.count()
+    data = fit_partitions(prepared, n).persist()
     try:
         label_col = label
         pre = []
@@ -42,7 +45,6 @@ def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "cl
             lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter or 50)
             return Pipeline(stages=[*pre, *hashed_tfidf_stages(input_col, num_features), lr]).fit(data)
         if features == "vocab":
-            n = data.count()
             feats = fit_sklearn_tfidf(data, input_col, vocab_size, min_df)
             lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter or 200,
                                     regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonestream.functions.labels import RAW_POSITIVE
+from tonestream.operators.partitioning import spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -17,22 +18,6 @@ TABLES = (
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work at least one task per core.
-
-    A scan yields one task per file split (per parquet row group). When the
-    input has fewer splits than the cluster has cores - a small table in one
-    file - the rows are dealt round-robin over ``defaultParallelism`` tasks.
-    On a large input the scan is already split finer than that, and nothing
-    is added (no shuffle of the big table). Only the plan is inspected here; no
-    job runs.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """One parquet table; projections and filters applied later reach the scan.
 
