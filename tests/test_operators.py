@@ -161,3 +161,38 @@ def test_read_cleaned_declared_schema(spark):
     back = read_cleaned(spark, path, fmt="csv")
     assert back.schema.simpleString() == "struct<target:int,clean_text:string>"
     assert [tuple(r) for r in back.collect()] == [(1, "good day")]
+
+
+def test_spread_and_fit_partitions(spark):
+    from tonestream.operators.partitioning import fit_partitions, spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(64)
+    assert spread(many).rdd.getNumPartitions() == 64  # already split finer: unchanged
+    assert fit_partitions(many, 100).rdd.getNumPartitions() == 1
+    assert fit_partitions(many, 10_000_000).rdd.getNumPartitions() == 64
+    assert sorted(r.id for r in spread(one).collect()) == list(range(100))
+
+
+def test_kafka_sink_frame_and_display(spark):
+    from tonestream.sinks.files import display_frame, kafka_sink_frame
+
+    df = spark.createDataFrame([("hi \"you\"",)], "text string")
+    assert [r.value for r in kafka_sink_frame(df).collect()] == ['{"text":"hi \\"you\\""}']
+    scored = spark.createDataFrame([("good day", 1, 0.25, 0.75)], "clean_text string, pred int, p_neg double, p_pos double")
+    assert display_frame(scored).first().display_line == "good day -> Positive (conf: 0.25/0.75)"
+
+
+def test_label_indexer_keeps_label_meaning(spark):
+    from tonestream.operators.logistic import train_logistic
+
+    data = cleaned_labelled(spark, SF01)
+    model = train_logistic(data.where("is_train"), features="hashed", label_indexer=True, max_iter=10)
+    idx = model.stages[0]
+    assert idx.labels == ["0.0", "1.0"]  # value order: index 0 is label 0
+    out = score_table(data.where(~F.col("is_train")), model)
+    assert out.where("prediction NOT IN (0.0, 1.0)").count() == 0
+    # rows without any label column still score (the indexer stage is skipped)
+    unlabelled = data.where(~F.col("is_train")).select("doc_id", "clean_text")
+    assert score_table(unlabelled, model).count() == unlabelled.count()

@@ -62,3 +62,14 @@ def test_foreach_batch_is_idempotent_per_batch(spark):
     q = stream.start_foreach_batch(live, lambda b: b.select("conv_id", "turn", F.length("text").alias("n")), out, ckpt)
     stream.run_until_done(q)
     assert spark.read.parquet(out).count() == conv.count()
+
+
+def test_console_sink_runs(spark):
+    conv, src = _messages(spark)
+    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=6))
+    q = stream.start_console(live.select("conv_id", "turn"), processing_time="100 milliseconds")
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress is not None and q.exception() is None
+    finally:
+        q.stop()
