@@ -53,7 +53,7 @@ def test_labels(spark):
     df = spark.createDataFrame([(0,), (4,), (1,), (None,)], "x int")
     rows = df.select(labels.binarize_label("x").alias("b"), labels.label_name("x").alias("n"),
                      labels.label_name_strict("x").alias("s")).collect()
-    assert [r.b for r in rows] == [0, 1, 0, 0]
+    assert [r.b for r in rows] == [0, 1, 0, None]
     assert [r.n for r in rows] == ["Negative", "Negative", "Positive", "Negative"]
     assert [r.s for r in rows] == ["Negative", None, "Positive", None]
     line = spark.range(1).select(labels.display_line(F.lit("great\nday"), F.lit(1.0), F.lit(0.123),

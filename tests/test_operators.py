@@ -196,3 +196,19 @@ def test_label_indexer_keeps_label_meaning(spark):
     # rows without any label column still score (the indexer stage is skipped)
     unlabelled = data.where(~F.col("is_train")).select("doc_id", "clean_text")
     assert score_table(unlabelled, model).count() == unlabelled.count()
+
+
+def test_clean_table_and_evaluate(spark):
+    from tonestream.operators.preprocess import clean_table, evaluate
+
+    raw = spark.createDataFrame([(4, "Loving #spark today http://x.y"), (0, "12345 !!!"), (0, None), (None, "ok fine")],
+                                "target int, text string")
+    v2 = clean_table(raw, "v2", binarize=True).collect()
+    assert [tuple(r) for r in v2] == [(1, "loving today")]
+    v1 = clean_table(raw, "v1").orderBy("text").collect()
+    assert len(v1) == 4 and {r.clean_text for r in v1} >= {"", "loving spark today"}
+    scored = spark.createDataFrame([(0, 0.0), (1, 1.0), (1, 0.0)], "target int, prediction double")
+    ev = evaluate(scored)
+    assert ev["accuracy"].first().accuracy == 2 / 3
+    assert {r["class"] for r in ev["report"].collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert ev["confusion"].count() == 2

@@ -18,8 +18,10 @@ def _col(c: Column | str) -> Column:
 
 
 def binarize_label(c: Column | str) -> Column:
-    """``1`` if the raw label is 4, else ``0`` (untrusted text labels via try_cast)."""
-    return F.when(_col(c).try_cast("int") == RAW_POSITIVE, F.lit(1)).otherwise(F.lit(0))
+    """``1`` if the raw label is 4, ``0`` for any other number; a null or
+    non-numeric label (read through ``try_cast``) stays null, so training drops it."""
+    v = _col(c).try_cast("int")
+    return F.when(v == RAW_POSITIVE, F.lit(1)).when(v.isNotNull(), F.lit(0))
 
 
 def prediction_int(c: Column | str) -> Column:

@@ -98,7 +98,7 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
     return NaiveBayesTable(terms, math.log(n0 + a) - denom, math.log(n1 + a) - denom, v, path)
 
 
-def naive_bayes_pipeline(input_col: str = "clean_text", label: str = "target", smoothing: float = 1.0,
+def naive_bayes_estimator(input_col: str = "clean_text", label: str = "target", smoothing: float = 1.0,
                          vocab_size: int = 1 << 18) -> Pipeline:
     """Spark ML form: words -> CountVectorizer -> NaiveBayes (multinomial)."""
     return Pipeline(stages=[
@@ -113,4 +113,4 @@ def naive_bayes_pipeline(input_col: str = "clean_text", label: str = "target", s
 def fit_naive_bayes_ml(train: DataFrame, input_col: str = "clean_text", label: str = "target",
                        smoothing: float = 1.0) -> PipelineModel:
     data = train.withColumn(label, F.col(label).cast("double"))
-    return naive_bayes_pipeline(input_col, label, smoothing).fit(data)
+    return naive_bayes_estimator(input_col, label, smoothing).fit(data)

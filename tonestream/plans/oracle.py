@@ -175,7 +175,8 @@ SELECT sentiment, n, CAST((2000 * n + total) // (2 * total) AS DOUBLE) / 10 AS p
 
 SQL: dict[str, str] = {
     "q01_binarize_label": f"WITH {TWEETS} SELECT doc_id, raw_label, "
-                          "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 ELSE 0 END AS target, text FROM tweets",
+                          "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 "
+                          "WHEN TRY_CAST(raw_label AS INTEGER) IS NOT NULL THEN 0 END AS target, text FROM tweets",
     "q02_clean_v1": f"SELECT doc_id, {clean_v1('text')} AS clean_text FROM documents",
     "q03_clean_v2": f"SELECT doc_id, {clean_v2('text')} AS clean_text FROM documents",
     "q04_strip_urls": f"SELECT page_id, {urls_v1(BODY)} AS stripped_v1, {urls_v2(BODY)} AS stripped_v2 FROM pages",
