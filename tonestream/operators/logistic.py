@@ -19,6 +19,16 @@ def _prepared(df: DataFrame, input_col: str, label: str) -> DataFrame:
     )
 
 
+def _fit_lr(featurized: DataFrame, lr: LogisticRegression, n: int):
+    """Fit LR on featurized rows cached once (computed at full parallelism) and
+    read by every optimizer step through ``fit_partitions``."""
+    cached = featurized.persist()
+    try:
+        return lr.fit(fit_partitions(cached, n))
+    finally:
+        cached.unpersist()
+
+
 def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "clean_text", label: str = "target",
                    num_features: int = 10000, max_iter: int | None = None, vocab_size: int = 20000,
                    min_df: int = 2, label_indexer: bool = False) -> PipelineModel:
@@ -31,26 +41,29 @@ def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "cl
     standardization, ``max_iter`` default 200.
     ``label_indexer``: index the label with StringIndexer (value order, so
     index 0 is label 0) and train on the index.
+
+    Feature stages are fitted on the input as partitioned; only the featurized
+    rows that the optimizer reads once per step are cached and sized by row count.
     """
-    prepared = _prepared(df, input_col, label)
-    n = prepared.count()
-    data = fit_partitions(prepared, n).persist()
+    data = _prepared(df, input_col, label).persist()
     try:
+        n = data.count()
         label_col = label
         pre = []
         if label_indexer:
             pre = [StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")]
             label_col = "label_idx"
         if features == "hashed":
+            feats = Pipeline(stages=[*pre, *hashed_tfidf_stages(input_col, num_features)]).fit(data)
             lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter or 50)
-            return Pipeline(stages=[*pre, *hashed_tfidf_stages(input_col, num_features), lr]).fit(data)
-        if features == "vocab":
-            feats = fit_sklearn_tfidf(data, input_col, vocab_size, min_df)
+        elif features == "vocab":
+            stages = [*([Pipeline(stages=pre).fit(data)] if pre else []), fit_sklearn_tfidf(data, input_col, vocab_size, min_df)]
+            feats = PipelineModel(stages=stages)
             lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter or 200,
                                     regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
-            stages = [*([Pipeline(stages=pre).fit(data)] if pre else []), feats]
-            featurized = PipelineModel(stages=stages).transform(data)
-            return PipelineModel(stages=[*stages, lr.fit(featurized)])
-        raise ValueError(f"unknown features {features!r}")
+        else:
+            raise ValueError(f"unknown features {features!r}")
+        model = _fit_lr(feats.transform(data), lr, n)
+        return PipelineModel(stages=[*feats.stages, model])
     finally:
         data.unpersist()
