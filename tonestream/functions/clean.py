@@ -43,6 +43,30 @@ STOP_WORDS: tuple[str, ...] = (
     "what's", "when's", "where's", "who's", "why's", "would",
 )
 
+# NLTK's English stop-word list (the "stopwords" corpus, 179 words), in its
+# own order: the list the reference's cleaning removes.
+NLTK_STOP_WORDS: tuple[str, ...] = (
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're",
+    "you've", "you'll", "you'd", "your", "yours", "yourself", "yourselves", "he",
+    "him", "his", "himself", "she", "she's", "her", "hers", "herself", "it", "it's",
+    "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "that'll", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do",
+    "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because",
+    "as", "until", "while", "of", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below",
+    "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
+    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
+    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t",
+    "can", "will", "just", "don", "don't", "should", "should've", "now", "d", "ll",
+    "m", "o", "re", "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't",
+    "didn", "didn't", "doesn", "doesn't", "hadn", "hadn't", "hasn", "hasn't",
+    "haven", "haven't", "isn", "isn't", "ma", "mightn", "mightn't", "mustn",
+    "mustn't", "needn", "needn't", "shan", "shan't", "shouldn", "shouldn't", "wasn",
+    "wasn't", "weren", "weren't", "won", "won't", "wouldn", "wouldn't",
+)
+
 # Cleaning patterns (fixed values).
 URL_V1 = r"(?U)http\S+"
 URL_V2 = r"(?U)http\S+|www\.\S+"
@@ -52,6 +76,14 @@ BLANK = r"(?U)\A\s*\z"
 # ---------------------------------------------------------------------------
 
 
+STOP_WORD_LISTS = {"spark": STOP_WORDS, "nltk": NLTK_STOP_WORDS}
+
+
+def stop_word_list(name: str) -> tuple[str, ...]:
+    """A named stop-word list: ``spark`` (default) or ``nltk``."""
+    return STOP_WORD_LISTS[name]
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -8,11 +8,15 @@ RE2 shorthands are ASCII-only.
 
 from __future__ import annotations
 
-from tonestream.functions.clean import STOP_WORDS
+from tonestream.functions.clean import NLTK_STOP_WORDS, STOP_WORDS
 from tonestream.operators.filters import TOPIC_KEYWORDS
 from tonestream.plans.queries import DATA_KEYWORDS
 
-STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+def sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+STOP_SQL = sql_list(STOP_WORDS)
 WS = r"\t-\r\x{85}\p{Z}"
 WORD = r"\p{L}\p{Nl}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}"
 BODY = "(url || ' ' || html)"
@@ -34,8 +38,8 @@ def letters(x: str) -> str:
     return f"lower(regexp_replace({x}, '[^a-zA-Z]', ' ', 'g'))"
 
 
-def words(x: str, min_len: int, stops: bool = True) -> str:
-    cond = f"length(w) >= {min_len}" + (f" AND w NOT IN ({STOP_SQL})" if stops else "")
+def words(x: str, min_len: int, stops: bool = True, stop_sql: str = STOP_SQL) -> str:
+    cond = f"length(w) >= {min_len}" + (f" AND w NOT IN ({stop_sql})" if stops else "")
     return f"list_filter(string_split_regex({x}, ' +'), lambda w: {cond})"
 
 
@@ -47,8 +51,8 @@ def clean_v1(x: str) -> str:
     return f"array_to_string({words(letters(urls_v1(x)), 1)}, ' ')"
 
 
-def clean_v2(x: str) -> str:
-    return f"array_to_string({words_v2(x)}, ' ')"
+def clean_v2(x: str, stop_sql: str = STOP_SQL) -> str:
+    return f"array_to_string({words(letters(mentions(urls_v2(x))), 3, True, stop_sql)}, ' ')"
 
 
 def letter_text(x: str) -> str:
@@ -191,6 +195,8 @@ SQL: dict[str, str] = {
                             f"IS NOT NULL AND NOT {blank('clean_text')}) AS rows_after FROM t",
     "q08_topic_filter": topic_sql(TOPIC_KEYWORDS),
     "q40_topic_filter_keywords": topic_sql(DATA_KEYWORDS),
+    "q41_clean_v2_nltk_stop_words": f"SELECT doc_id, {clean_v2('text', sql_list(NLTK_STOP_WORDS))} AS clean_text "
+                                    "FROM documents",
     "q09_snippet": f"SELECT conv_id, turn, {snippet('text', 120)} AS snippet, {snippet('text', 80)} AS snippet80 "
                    "FROM conversations",
     "q10_json_decode": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "

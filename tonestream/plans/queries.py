@@ -84,6 +84,11 @@ def q03_clean_v2(spark, sf):
     return read_table(spark, sf, "documents", ["doc_id", "text"]).select("doc_id", clean.clean_v2("text").alias("clean_text"))
 
 
+def q41_clean_v2_nltk_stop_words(spark, sf):
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", clean.clean_v2("text", clean.NLTK_STOP_WORDS).alias("clean_text"))
+
+
 def q04_strip_urls(spark, sf):
     body = F.concat(F.col("url"), F.lit(" "), F.col("html"))
     return read_table(spark, sf, "pages", ["page_id", "url", "html"]).select(
@@ -439,5 +444,6 @@ QUERIES: dict[str, Query] = {
     "q38_stream_logistic_scores": q38_stream_logistic_scores,
     "q39_naive_bayes_ml": q39_naive_bayes_ml,
     "q40_topic_filter_keywords": q40_topic_filter_keywords,
+    "q41_clean_v2_nltk_stop_words": q41_clean_v2_nltk_stop_words,
     "flagship_distribution": flagship_distribution,
 }
