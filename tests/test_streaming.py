@@ -73,3 +73,21 @@ def test_console_sink_runs(spark):
         assert q.lastProgress is not None and q.exception() is None
     finally:
         q.stop()
+
+
+def test_paced_replay_batches_of_n_rows(spark):
+    conv = spark.range(40).select(F.col("id").alias("conv_id"), F.lit(0).cast("bigint").alias("turn"),
+                                  F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    src = shared_path(spark, "paced")
+    stream.write_message_files(conv, src, key_cols=("conv_id", "turn"), files=2, rows_per_file=5)
+    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=1))
+    out, ckpt = shared_path(spark, "paced-out"), shared_path(spark, "paced-ckpt")
+    q = stream.start_to_files(live.select("conv_id", "turn", "text"), out, ckpt, available_now=False,
+                              processing_time="50 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes and max(sizes) <= 5
+    assert spark.read.parquet(out).count() == conv.count()

@@ -22,17 +22,25 @@ from tonestream.operators.scoring import model_input, with_labels
 
 
 def write_message_files(df: DataFrame, path: str, text_col: str = "text", key_cols: tuple[str, ...] = (),
-                        files: int = 8, value: Column | None = None) -> str:
+                        files: int | None = 8, value: Column | None = None, rows_per_file: int | None = None) -> str:
     """Write ``(key..., value binary)`` message files that a file stream can replay.
 
-    ``value`` defaults to ``{"text": ...}`` JSON; several files let
-    ``maxFilesPerTrigger`` cut the replay into micro-batches.
+    ``value`` defaults to ``{"text": ...}`` JSON. Several files let
+    ``maxFilesPerTrigger`` cut the replay into micro-batches; ``rows_per_file``
+    caps every file (``maxRecordsPerFile``), so one file per trigger replays at
+    most that many rows per batch (the reference's "N texts every T seconds").
+    ``files=None`` keeps the input's partitioning.
     """
     from tonestream.functions.messages import encode_message
 
     v = value if value is not None else encode_message(text_col)
-    (df.select(*key_cols, v.cast("binary").alias("value"))
-       .repartition(files).write.mode("errorifexists").parquet(path))
+    out = df.select(*key_cols, v.cast("binary").alias("value"))
+    if files:
+        out = out.repartition(files)
+    w = out.write.mode("errorifexists")
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    w.parquet(path)
     return path
 
 
