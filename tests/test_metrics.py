@@ -1,7 +1,6 @@
 """Golden arithmetic: the published report must follow from its confusion matrix."""
 
 import json
-import os
 
 import pytest
 

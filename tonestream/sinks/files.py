@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tonestream.functions.messages import encode_message
 from tonestream.sources.labelled import CSV_OPTIONS
@@ -61,4 +60,4 @@ def display_frame(df: DataFrame, text_col: str = "clean_text") -> DataFrame:
     return df.select(line.alias("display_line"))
 
 
-__all__ = ["write_table", "write_metrics_json", "publish_kafka", "kafka_sink_frame", "display_frame", "F"]
+__all__ = ["write_table", "materialize", "write_metrics_json", "publish_kafka", "kafka_sink_frame", "display_frame"]
