@@ -64,3 +64,15 @@ def test_stratified_split_never_sorts_a_whole_class(spark):
     assert p.count("row_number()") == 1
     window_input = p.split("row_number()")[1]
     assert "BroadcastHashJoin [_b" in window_input.split("Window [sum")[0]
+
+
+def test_blank_filter_does_not_repeat_the_cleaning(spark):
+    # a filter on a computed column would be pushed through its projection and
+    # re-evaluate the cleaning per predicate; with_clean_text keeps one copy
+    for name in ("q06_drop_blank_and_null", "q07_clean_row_counts", "q03_clean_v2"):
+        assert plan(Q[name](spark, SF01)).count("(?U)http") == 1, name
+    from tonestream.functions import clean
+    from tonestream.operators.preprocess import clean_table
+
+    raw = spark.createDataFrame([(4, "Good day"), (0, "!!!")], "target int, text string")
+    assert plan(clean_table(raw, "v2", binarize=True)).count("(?U)http") == 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tonestream.functions.clean import STOP_WORDS, clean_v1, clean_v2
 from tonestream.functions.labels import binarize_label
 from tonestream.operators import metrics
-from tonestream.operators.filters import drop_blank
+from tonestream.operators.filters import with_clean_text
 
 
 def clean_table(df: DataFrame, version: str = "v2", text_col: str = "text", label_col: str = "target",
@@ -28,8 +28,8 @@ def clean_table(df: DataFrame, version: str = "v2", text_col: str = "text", labe
         return df.select(target.alias("target"), F.col(text_col).alias("text"),
                          F.coalesce(clean_v1(text_col, stop_words), F.lit("")).alias("clean_text"))
     if version == "v2":
-        out = df.select(target.alias("target"), clean_v2(text_col, stop_words).alias("clean_text"))
-        return drop_blank(out.dropna(), "clean_text")
+        out = df.select(target.alias("target"), F.col(text_col).alias("_text")).dropna(subset=["target"])
+        return with_clean_text(out, clean_v2("_text", stop_words)).select("target", "clean_text")
     raise ValueError(f"unknown cleaning version {version!r}")
 
 

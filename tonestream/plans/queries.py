@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tonestream.functions import clean, labels, messages
 from tonestream.operators import features, metrics
-from tonestream.operators.filters import drop_blank, topic_filter
+from tonestream.operators.filters import drop_blank, topic_filter, with_clean_text
 from tonestream.operators.logistic import train_logistic
 from tonestream.operators.naive_bayes import fit_naive_bayes_ml, fit_naive_bayes_table
 from tonestream.operators.scoring import model_input, resolve_text_column, score_table, with_labels
@@ -43,8 +43,9 @@ def cleaned_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled texts cleaned with v2, null and blank texts dropped, hash split
     flag; written once to the shared folder (the cleaned training table), so
     fitting and scoring read it instead of re-running the cleaning."""
-    t = labelled_texts(spark, sf).select("doc_id", "target", clean.clean_v2("text").alias("clean_text"))
-    return materialize(hash_split(drop_blank(t.dropna(), "clean_text"), "doc_id", SPLIT_FRAC), "cleaned")
+    t = labelled_texts(spark, sf).select("doc_id", "target", "text").dropna(subset=["doc_id", "target"])
+    t = with_clean_text(t, clean.clean_v2("text")).drop("text")
+    return materialize(hash_split(t, "doc_id", SPLIT_FRAC), "cleaned")
 
 
 def nb_holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,9 +103,9 @@ def q05_strip_mentions(spark, sf):
 
 
 def q06_drop_blank_and_null(spark, sf):
-    t = labelled_texts(spark, sf)
-    t = drop_blank(t, "text").select("doc_id", "target", clean.clean_v2("text").alias("clean_text"))
-    return drop_blank(t.dropna(), "clean_text")
+    t = drop_blank(labelled_texts(spark, sf), "text").select("doc_id", "target", "text")
+    t = t.dropna(subset=["doc_id", "target"])
+    return with_clean_text(t, clean.clean_v2("text")).select("doc_id", "target", "clean_text")
 
 
 def q07_clean_row_counts(spark, sf):
