@@ -76,3 +76,13 @@ def test_blank_filter_does_not_repeat_the_cleaning(spark):
 
     raw = spark.createDataFrame([(4, "Good day"), (0, "!!!")], "target int, text string")
     assert plan(clean_table(raw, "v2", binarize=True)).count("(?U)http") == 1
+
+
+def test_message_parsed_once_when_filtered(spark):
+    from tonestream.streaming import scoring as stream
+
+    df = spark.range(10).select(F.to_json(F.struct(F.col("id").cast("string").alias("text"))).cast("binary")
+                                .alias("value"))
+    d = stream.decoded_stream(df, clean_first=True)
+    for part in (d.where("is_valid"), d.where(~F.col("is_valid"))):
+        assert plan(part).count("parseJson") == 1

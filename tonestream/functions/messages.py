@@ -48,9 +48,14 @@ def message_text(parsed: Column) -> Column:
 
 
 def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``is_valid`` and ``text`` to a frame with a message column."""
-    parsed = parsed_message(value_col)
-    return df.withColumn("_msg", parsed).withColumns(
+    """Adds ``is_valid`` and ``text`` to a frame with a message column.
+
+    The message is parsed once per row, also when the caller then filters on
+    ``is_valid`` (see ``operators.evaluation``).
+    """
+    from tonestream.operators.evaluation import with_column_once
+
+    return with_column_once(df, "_msg", parsed_message(value_col)).withColumns(
         {"is_valid": F.col("_msg").isNotNull(), "text": message_text(F.col("_msg"))}
     ).drop("_msg")
 

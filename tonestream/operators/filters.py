@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.functions.clean import is_blank
+from tonestream.operators.evaluation import with_kept_column
 
 # The ingest query's topic keywords, its language and the retweet prefix.
 TOPIC_KEYWORDS = ("technology", "AI", "sports")
@@ -20,21 +21,6 @@ def drop_blank(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull() & ~is_blank(col))
 
 
-def with_kept_column(df: DataFrame, name: str, expr: Column, keep: Callable[[Column], Column]) -> DataFrame:
-    """Add ``name = expr`` and keep the rows where ``keep(value)`` holds,
-    evaluating ``expr`` once per row.
-
-    ``df.withColumn(name, expr).where(keep(col(name)))`` lets Catalyst push the
-    filter through the projection by substituting ``expr`` into it, so an
-    expensive expression (the regex cleaning) runs once per predicate and once
-    more for the output. Here the value travels in a one-element array that is
-    filtered and unpacked by ``explode_outer``; a predicate on a generator's
-    output stays above the generator.
-    """
-    kept = F.filter(F.array(expr), lambda v: F.coalesce(keep(v), F.lit(False)))
-    return df.select("*", F.explode_outer(kept).alias(name)).where(F.col(name).isNotNull())
-
-
 def with_clean_text(df: DataFrame, expr: Column, name: str = "clean_text") -> DataFrame:
     """Add a cleaned-text column, dropping rows where it is null or blank."""
     return with_kept_column(df, name, expr, lambda v: ~is_blank(v))
