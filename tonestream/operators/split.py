@@ -36,8 +36,9 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     (class, hash bucket) - at most ``classes * 2**bucket_bits`` rows - a running
     sum over those counts finds each class's boundary bucket, and only the rows
     of that one bucket (about ``n / 2**bucket_bits``) are ranked to find the
-    exact cut. The two per-class results are a few rows and are broadcast; the
-    final flag is a map-only pass.
+    exact cut. The two per-class results are a few rows; they are checkpointed
+    and broadcast, so the input is read three times in all, and the final flag is
+    a map-only pass.
 
     ``key`` must identify a row (as the row index does for a shuffled split);
     rows sharing a key are indistinguishable to the ordering. For keys that
@@ -47,6 +48,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     d = df.withColumn("_m", key_md5(key)).withColumn(
         "_b", F.shiftright(F.conv(F.substring("_m", 1, hexdigits), 16, 10).cast("bigint"), hexdigits * 4 - bucket_bits)
     )
+    # Pass 1: counts per (class, bucket); running sums find the boundary bucket.
     counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
     by_class = Window.partitionBy(label)
     running = by_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -55,22 +57,27 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
         F.sum("_c").over(running).alias("_cum"),
         F.floor(F.lit(frac) * F.sum("_c").over(by_class)).cast("bigint").alias("_k"),
     )
-    # Boundary bucket per class: the first bucket whose running count reaches k.
+    # One row per class, checkpointed (reliable, shared folder) so the passes
+    # below do not recompute the counting pass.
     bounds = (
         stats.where(F.col("_cum") >= F.col("_k"))
         .groupBy(label)
         .agg(F.min_by(F.struct("_b", (F.col("_k") - (F.col("_cum") - F.col("_c"))).alias("_need")), "_b").alias("s"))
         .select(label, F.col("s._b").alias("_bstar"), F.col("s._need").alias("_need"))
+        .checkpoint()
     )
-    bounded = d.join(F.broadcast(bounds), label, "left")
+    # Pass 2: rank only the rows of each class's boundary bucket.
     edge = (
-        bounded.where(F.col("_b") == F.col("_bstar"))
+        d.join(F.broadcast(bounds.withColumnRenamed(label, "_lab")),
+               (F.col(label) == F.col("_lab")) & (F.col("_b") == F.col("_bstar")))
         .select(label, "_m", F.col(key).alias("_key"), "_need")
         .withColumn("_rn", F.row_number().over(Window.partitionBy(label).orderBy("_m", "_key")))
         .where(F.col("_rn") == F.col("_need"))
         .select(label, F.col("_m").alias("_mstar"), F.col("_key").alias("_kstar"))
     )
-    flagged = bounded.join(F.broadcast(edge), label, "left")
+    cut = bounds.join(edge, label, "left").checkpoint()
+    # Pass 3: map-only flag against the per-class cut.
+    flagged = d.join(F.broadcast(cut), label, "left")
     m, k = F.col("_m"), F.col(key)
     at_or_below_cut = (m < F.col("_mstar")) | ((m == F.col("_mstar")) & (k <= F.col("_kstar")))
     is_train = (F.col("_b") < F.col("_bstar")) | ((F.col("_b") == F.col("_bstar")) & F.coalesce(at_or_below_cut, F.lit(False)))
