@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tonestream.session import ensure_checkpoint_dir
+
 TWO_POW_32 = 4294967296.0
 
 
@@ -44,6 +46,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     rows sharing a key are indistinguishable to the ordering. For keys that
     repeat, use ``hash_split``, which keeps all rows of a key on one side.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     hexdigits = (bucket_bits + 3) // 4
     d = df.withColumn("_m", key_md5(key)).withColumn(
         "_b", F.shiftright(F.conv(F.substring("_m", 1, hexdigits), 16, 10).cast("bigint"), hexdigits * 4 - bucket_bits)
