@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.functions.clean import STOP_WORDS
+from tonestream.session import ensure_checkpoint_dir
 
 
 def split_words(c: Column | str) -> Column:
@@ -91,9 +92,13 @@ def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Colum
     """``(id, term, tf, w)``: ``tf * (ln((1 + n) / (1 + df)) + 1)`` over the
     vocabulary, then L2-normalised per document.
 
-    The vocabulary is bounded by its own top-k cut, so it is broadcast.
+    The vocabulary is bounded by its own top-k cut, so it is broadcast. It is a
+    fitted artifact (terms and IDF) used by both the weights and the norms, so it
+    is checkpointed once rather than re-aggregated for each.
     """
-    v = F.broadcast(spark_idf(vocab, n_docs).select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")))
+    ensure_checkpoint_dir(terms.sparkSession)
+    fitted = spark_idf(vocab, n_docs).select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")).checkpoint()
+    v = F.broadcast(fitted)
     raw = terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw"))
     # Per-document norms by a partial aggregation and a join (not a window), so
     # even a key holding many rows is split by AQE's skew join, not one task.
