@@ -71,6 +71,31 @@ def term_stats(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
+def term_stats_of(df: DataFrame, terms: Column) -> DataFrame:
+    """``(term, df, cf)`` straight from each row's term array, with one shuffle.
+
+    Each document's terms are sorted once; inside the array, an element is the
+    first of its run when it differs from its predecessor, which marks exactly
+    one occurrence per (document, term). Exploding ``(term, first)`` and
+    aggregating by term (partial on the map side) gives ``df`` as the count of
+    first occurrences and ``cf`` as the count of all, without the intermediate
+    (document, term) aggregation and its shuffle.
+    """
+    from tonestream.operators.evaluation import with_column_once
+
+    d = with_column_once(df.select(terms.alias("_t")), "_s", F.sort_array(F.col("_t")))
+    marked = F.transform(
+        F.col("_s"),
+        lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(F.col("_s"), i - 1))).alias("first")),
+    )
+    return (
+        explode_terms(d, [], marked)
+        .select(F.col("term.term").alias("term"), F.col("term.first").alias("first"))
+        .groupBy("term")
+        .agg(F.count_if("first").alias("df"), F.count(F.lit(1)).alias("cf"))
+    )
+
+
 def top_terms(stats: DataFrame, k: int = 20000, min_df: int = 2) -> DataFrame:
     """Vocabulary cut: ``df >= min_df``, then the ``k`` most frequent terms,
     ties broken by term. Planned as a bounded top-k (each task keeps k rows)."""

@@ -218,7 +218,7 @@ def q21_token_counts(spark, sf):
 
 
 def q22_term_doc_frequency(spark, sf):
-    return features.term_stats(features.doc_terms(_words_v2(spark, sf), "doc_id", F.col("words")))
+    return features.term_stats_of(_words_v2(spark, sf), F.col("words"))
 
 
 def q23_tfidf_spark_weight(spark, sf):
@@ -245,8 +245,8 @@ def q24_tfidf_sklearn_weight(spark, sf):
 
 
 def q25_top_terms(spark, sf):
-    _, terms = _ngram_terms(spark, sf)
-    return features.top_terms(features.term_stats(terms), 20000, 2)
+    w = _words_v2(spark, sf)
+    return features.top_terms(features.term_stats_of(w, features.with_bigrams(F.col("words"))), 20000, 2)
 
 
 def q26_hashed_tfidf(spark, sf):
