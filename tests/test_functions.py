@@ -16,6 +16,7 @@ V2_ROWS = [
     ("I don't like it!!!", "like"),
     ("12345 !!!", ""),
     ("Line one\nline two", "line one line two"),
+    ("\u212aelvin scale", "elvin scale"),  # Kelvin sign: not an ASCII letter, removed before lower-casing
     (None, None),
 ]
 

@@ -71,7 +71,7 @@ NLTK_STOP_WORDS: tuple[str, ...] = (
 URL_V1 = r"(?U)http\S+"
 URL_V2 = r"(?U)http\S+|www\.\S+"
 MENTION = r"(?U)[@#]\w+"
-NON_LETTER = r"[^a-zA-Z]"
+NON_LETTER = r"[^a-zA-Z]+"
 BLANK = r"(?U)\A\s*\z"
 # ---------------------------------------------------------------------------
 
@@ -101,14 +101,17 @@ def strip_mentions(c: Column | str) -> Column:
 
 
 def letters_only(c: Column | str) -> Column:
-    """Every character that is not an ASCII letter becomes a space, then lower case."""
+    """Every run of characters that are not ASCII letters becomes one space, then
+    lower case (after the replacement, so no non-ASCII letter can lower-case
+    into an ASCII one)."""
     return F.lower(F.regexp_replace(_col(c), NON_LETTER, " "))
 
 
 def words(c: Column | str, min_len: int = 1, stop_words: Iterable[str] | None = STOP_WORDS) -> Column:
-    """Split letters-only text on space runs, keep words longer than ``min_len - 1``
-    characters that are not stop words. Returns ``array<string>``."""
-    parts = F.split(_col(c), " +")
+    """Split letters-only text on single spaces (a literal split, no regex),
+    keep words of at least ``min_len`` characters that are not stop words; the
+    empty strings at either end never pass. Returns ``array<string>``."""
+    parts = F.split(_col(c), " ")
     stops = list(stop_words or ())
 
     def keep(w: Column) -> Column:
@@ -141,7 +144,7 @@ def clean_text(c: Column | str, version: str = "v2", stop_words: Iterable[str] |
 
 def letter_text(c: Column | str) -> Column:
     """v2 cleaning without word filters: single-spaced lower-case letter words."""
-    return F.trim(F.regexp_replace(letters_only(strip_mentions(strip_urls(c, "v2"))), " +", " "))
+    return F.trim(letters_only(strip_mentions(strip_urls(c, "v2"))))
 
 
 def is_blank(c: Column | str) -> Column:
