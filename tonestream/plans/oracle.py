@@ -177,6 +177,13 @@ td AS (SELECT sentiment, n, sum(n) OVER () AS total FROM gd)
 SELECT sentiment, n, CAST((2000 * n + total) // (2 * total) AS DOUBLE) / 10 AS pct FROM td"""
 
 
+STREAM_NB = ("WITH " + NB_MODEL + f""",
+msg AS (SELECT conv_id, turn, coalesce({clean_v2("coalesce(text, '')")}, '') AS clean_text FROM conversations),
+mw AS (SELECT conv_id, turn, clean_text, list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
+       FROM msg)""" + nb_scores("mw", "conv_id, turn")
+    + " SELECT conv_id, turn, clean_text, prediction, round(p_pos, 6) AS p_pos FROM out")
+
+
 SQL: dict[str, str] = {
     "q01_binarize_label": f"WITH {TWEETS} SELECT doc_id, raw_label, "
                           "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 "
@@ -253,12 +260,9 @@ SELECT round(acc, 10) AS accuracy,
                             "md5(CAST(doc_id AS VARCHAR)), doc_id) <= floor(0.8::DOUBLE * count(*) OVER "
                             "(PARTITION BY target)) AS is_train FROM tweets",
     "q29_naive_bayes_scores": NB_HOLDOUT + " SELECT doc_id, target, prediction, round(p_pos, 6) AS p_pos FROM out",
-    "q32_stream_clean_score": "WITH " + NB_MODEL + f""",
-msg AS (SELECT conv_id, turn, coalesce({clean_v2("coalesce(text, '')")}, '') AS clean_text FROM conversations),
-mw AS (SELECT conv_id, turn, clean_text, list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
-       FROM msg)""" + nb_scores("mw", "conv_id, turn")
-    + " SELECT conv_id, turn, clean_text, prediction, round(p_pos, 6) AS p_pos FROM out",
+    "q32_stream_clean_score": STREAM_NB,
     "q33_stream_quarantine": MESSAGES_SQL,
+    "q42_stream_naive_bayes_ml": STREAM_NB,
     "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, text FROM tweets "
                           "UNION ALL SELECT 'generic' AS layout, target, text FROM tweets",
     "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, TRUE AS same FROM lab WHERE NOT is_train",

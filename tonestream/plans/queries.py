@@ -354,6 +354,18 @@ def q38_stream_logistic_scores(spark, sf):
     return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
 
 
+def q42_stream_naive_bayes_ml(spark, sf):
+    data = cleaned_labelled(spark, sf)
+    model = fit_naive_bayes_ml(data.where("is_train"))
+    src, schema = _conversation_messages(spark, sf)
+    live = stream.decoded_stream(stream.message_stream(spark, src, schema, max_files_per_trigger=2))
+    scored = stream.score_stream(live.where("is_valid").select("conv_id", "turn", "text"), model, clean_first=True)
+    out = shared_path(spark, "stream-nb")
+    stream.run_until_done(stream.start_to_files(
+        scored.select("conv_id", "turn", "clean_text", "prediction", "p_pos"), out, shared_path(spark, "ckpt-nb")))
+    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
+
+
 # --- sinks, save / load, report files ------------------------------------------------------
 
 
@@ -454,5 +466,6 @@ QUERIES: dict[str, Query] = {
     "q39_naive_bayes_ml": q39_naive_bayes_ml,
     "q40_topic_filter_keywords": q40_topic_filter_keywords,
     "q41_clean_v2_nltk_stop_words": q41_clean_v2_nltk_stop_words,
+    "q42_stream_naive_bayes_ml": q42_stream_naive_bayes_ml,
     "flagship_distribution": flagship_distribution,
 }
