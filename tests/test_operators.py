@@ -212,3 +212,30 @@ def test_clean_table_and_evaluate(spark):
     assert ev["accuracy"].first().accuracy == 2 / 3
     assert {r["class"] for r in ev["report"].collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     assert ev["confusion"].count() == 2
+
+
+def test_nb_scoring_under_a_hot_term(spark):
+    # one term holds a third of all tokens; the shuffle path with AQE skew-join
+    # splitting must give the broadcast path's scores
+    rows = [(i, i % 2, " ".join(["hot"] * 4 + [f"w{i % 50}", f"v{i % 7}", f"u{i}", f"x{i % 3}", f"y{i % 11}",
+                                               f"z{i % 13}", f"k{i % 17}", f"m{i % 19}"]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, target int, clean_text string").withColumn(
+        "words", features.split_words("clean_text"))
+    model = fit_naive_bayes_table(df.where("doc_id % 5 != 0"), "words")
+    test = df.where("doc_id % 5 = 0")
+    want = {r.doc_id: r.raw_1 for r in model.transform(test, "words", ["doc_id"]).collect()}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.doc_id: r.raw_1 for r in model.transform(test, "words", ["doc_id"], max_broadcast_rows=0).collect()}
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert got.keys() == want.keys() and len(got) == 600
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)

@@ -1,5 +1,6 @@
 """Streams: batch = stream, quarantine, restart from the checkpoint."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tonestream.functions import messages
@@ -91,3 +92,27 @@ def test_paced_replay_batches_of_n_rows(spark):
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert sizes and max(sizes) <= 5
     assert spark.read.parquet(out).count() == conv.count()
+
+
+def test_failed_batch_is_replayed_exactly_once(spark):
+    import os
+
+    conv, src = _messages(spark)
+    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=2))
+    out, ckpt = shared_path(spark, "fail-out"), shared_path(spark, "fail-ckpt")
+    marker = shared_path(spark, "fail-marker")
+
+    def flaky(b):
+        # the first attempt dies once batch 1 has written part of its output
+        if not os.path.exists(marker) and b.count() and os.path.exists(f"{out}/batch_id=0"):
+            os.makedirs(marker)
+            b.limit(1).select("conv_id", "turn").write.mode("overwrite").parquet(f"{out}/batch_id=1")
+            raise RuntimeError("executor lost")
+        return b.select("conv_id", "turn")
+
+    q = stream.start_foreach_batch(live, flaky, out, ckpt)
+    with pytest.raises(Exception, match="executor lost"):
+        q.awaitTermination(300)
+    stream.run_until_done(stream.start_foreach_batch(live, flaky, out, ckpt))
+    got = spark.read.parquet(out).select("conv_id", "turn")
+    assert got.count() == conv.count() == got.distinct().count()
