@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tonestream.operators.joins import sized_join
 from tonestream.session import ensure_checkpoint_dir
 
 TWO_POW_32 = 4294967296.0
@@ -38,9 +39,9 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     (class, hash bucket) - at most ``classes * 2**bucket_bits`` rows - a running
     sum over those counts finds each class's boundary bucket, and only the rows
     of that one bucket (about ``n / 2**bucket_bits``) are ranked to find the
-    exact cut. The two per-class results are a few rows; they are checkpointed
-    and broadcast, so the input is read three times in all, and the final flag is
-    a map-only pass.
+    exact cut. The two per-class results have one row per class; they are
+    checkpointed and broadcast behind the row bound of ``sized_join``, so the
+    input is read three times in all, and the final flag is a map-only pass.
 
     ``key`` must identify a row (as the row index does for a shuffled split);
     rows sharing a key are indistinguishable to the ordering. For keys that
@@ -69,10 +70,11 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
         .select(label, F.col("s._b").alias("_bstar"), F.col("s._need").alias("_need"))
         .checkpoint()
     )
+    n_classes = bounds.count()  # reads the checkpoint: one row per class
     # Pass 2: rank only the rows of each class's boundary bucket.
     edge = (
-        d.join(F.broadcast(bounds.withColumnRenamed(label, "_lab")),
-               (F.col(label) == F.col("_lab")) & (F.col("_b") == F.col("_bstar")))
+        sized_join(d, bounds.withColumnRenamed(label, "_lab"),
+                   (F.col(label) == F.col("_lab")) & (F.col("_b") == F.col("_bstar")), known_rows=n_classes)
         .select(label, "_m", F.col(key).alias("_key"), "_need")
         .withColumn("_rn", F.row_number().over(Window.partitionBy(label).orderBy("_m", "_key")))
         .where(F.col("_rn") == F.col("_need"))
@@ -80,7 +82,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     )
     cut = bounds.join(edge, label, "left").checkpoint()
     # Pass 3: map-only flag against the per-class cut.
-    flagged = d.join(F.broadcast(cut), label, "left")
+    flagged = sized_join(d, cut, label, "left", known_rows=n_classes)
     m, k = F.col("_m"), F.col(key)
     at_or_below_cut = (m < F.col("_mstar")) | ((m == F.col("_mstar")) & (k <= F.col("_kstar")))
     is_train = (F.col("_b") < F.col("_bstar")) | ((F.col("_b") == F.col("_bstar")) & F.coalesce(at_or_below_cut, F.lit(False)))
