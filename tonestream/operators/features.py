@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.functions.clean import STOP_WORDS
+from tonestream.operators.evaluation import with_column_once
 from tonestream.session import ensure_checkpoint_dir
 
 
@@ -57,13 +58,33 @@ def explode_terms(df: DataFrame, cols: list, terms: Column) -> DataFrame:
     return df.select(*cols, F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
 
 
+def with_term_counts(df: DataFrame, terms: Column, out: str = "term_counts") -> DataFrame:
+    """Add ``out``: the distinct terms of each row with their counts,
+    ``array<struct<term string, tf bigint>>`` in term order, computed inside the
+    row (no shuffle).
+
+    The row's terms are sorted once; a run of equal terms starts where an
+    element differs from its predecessor, and a term's count is the distance to
+    the next run start. The sorted array and the run starts are each evaluated
+    once (``with_column_once``); the counting is O(n) array work per row.
+    """
+    d = with_column_once(df, "_s", F.sort_array(terms))
+    s, n = F.col("_s"), F.size(F.col("_s"))
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
+                                    lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+    d = with_column_once(d, "_st", F.coalesce(starts, F.array().cast("array<int>")))
+    st = F.col("_st")
+    counts = F.transform(st, lambda p, k: F.struct(F.get(s, p).alias("term"),
+                                                  (F.coalesce(F.get(st, k + 1), n) - p).cast("bigint").alias("tf")))
+    return d.withColumn(out, counts).drop("_s", "_st")
+
+
 def doc_terms(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
-    """``(id, term, tf)``: one row per distinct term of each document."""
-    return (
-        explode_terms(df, [F.col(id_col)], terms)
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """``(id, term, tf)``: one row per distinct term of each row (document),
+    counted inside the row, so building it needs no shuffle."""
+    d = with_term_counts(df.select(F.col(id_col), terms.alias("_terms")), F.col("_terms"))
+    return explode_terms(d, [F.col(id_col)], F.col("term_counts")).select(
+        id_col, F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
@@ -72,27 +93,14 @@ def term_stats(terms: DataFrame) -> DataFrame:
 
 
 def term_stats_of(df: DataFrame, terms: Column) -> DataFrame:
-    """``(term, df, cf)`` straight from each row's term array, with one shuffle.
-
-    Each document's terms are sorted once; inside the array, an element is the
-    first of its run when it differs from its predecessor, which marks exactly
-    one occurrence per (document, term). Exploding ``(term, first)`` and
-    aggregating by term (partial on the map side) gives ``df`` as the count of
-    first occurrences and ``cf`` as the count of all, without the intermediate
-    (document, term) aggregation and its shuffle.
-    """
-    from tonestream.operators.evaluation import with_column_once
-
-    d = with_column_once(df.select(terms.alias("_t")), "_s", F.sort_array(F.col("_t")))
-    marked = F.transform(
-        F.col("_s"),
-        lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(F.col("_s"), i - 1))).alias("first")),
-    )
+    """``(term, df, cf)`` straight from each row's term array: per-row counts
+    (no shuffle), then one aggregation by term, partial on the map side."""
+    d = with_term_counts(df.select(terms.alias("_terms")), F.col("_terms"))
     return (
-        explode_terms(d, [], marked)
-        .select(F.col("term.term").alias("term"), F.col("term.first").alias("first"))
+        explode_terms(d, [], F.col("term_counts"))
+        .select(F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
         .groupBy("term")
-        .agg(F.count_if("first").alias("df"), F.count(F.lit(1)).alias("cf"))
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     )
 
 

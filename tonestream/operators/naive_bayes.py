@@ -25,7 +25,7 @@ from pyspark.ml.feature import CountVectorizer, SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonestream.operators.features import explode_terms
+from tonestream.operators.features import explode_terms, with_term_counts
 from tonestream.operators.joins import DEFAULT_BROADCAST_ROWS, sized_join
 from tonestream.session import shared_path
 
@@ -53,9 +53,12 @@ class NaiveBayesTable:
         ``id_cols`` must identify a row of ``df``.
         """
         w = F.col(words) if isinstance(words, str) else words
-        tokens = explode_terms(df, list(id_cols), w)
-        hits = sized_join(tokens, self.terms, "term", max_rows=max_broadcast_rows, known_rows=self.vocab_size)
-        sums = hits.groupBy(*id_cols).agg(F.sum("ll_0").alias("_s0"), F.sum("ll_1").alias("_s1"))
+        counted = with_term_counts(df.select(*id_cols, w.alias("_w")), F.col("_w"))
+        terms = explode_terms(counted, list(id_cols), F.col("term_counts")).select(
+            *id_cols, F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
+        hits = sized_join(terms, self.terms, "term", max_rows=max_broadcast_rows, known_rows=self.vocab_size)
+        sums = hits.groupBy(*id_cols).agg(F.sum(F.col("tf") * F.col("ll_0")).alias("_s0"),
+                                          F.sum(F.col("tf") * F.col("ll_1")).alias("_s1"))
         raw_0 = F.lit(self.prior_0) + F.coalesce(F.col("_s0"), F.lit(0.0))
         raw_1 = F.lit(self.prior_1) + F.coalesce(F.col("_s1"), F.lit(0.0))
         return (
@@ -76,10 +79,13 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
     spark = train.sparkSession
     w = F.col(words) if isinstance(words, str) else words
     y = F.col(label).cast("int")
+    counted = with_term_counts(train.select(y.alias("_y"), w.alias("_w")), F.col("_w"))
     counts = (
-        explode_terms(train, [y.alias("_y")], w)
+        explode_terms(counted, [F.col("_y")], F.col("term_counts"))
+        .select("_y", F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
         .groupBy("term")
-        .agg(F.count_if(F.col("_y") == 0).alias("c_0"), F.count_if(F.col("_y") == 1).alias("c_1"))
+        .agg(F.sum(F.when(F.col("_y") == 0, F.col("tf")).otherwise(F.lit(0))).alias("c_0"),
+             F.sum(F.when(F.col("_y") == 1, F.col("tf")).otherwise(F.lit(0))).alias("c_1"))
     )
     path = path or shared_path(spark, "nb-model")
     counts.write.mode("overwrite").parquet(f"{path}/counts")
