@@ -240,3 +240,21 @@ def test_nb_scoring_under_a_hot_term(spark):
             spark.conf.set(k, v)
     assert got.keys() == want.keys() and len(got) == test.count() > 0
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
+
+
+def test_vocab_tfidf_vectors_equal_long_form(spark):
+    # the ML featurizer (T6/T7) and the SQL-checked long form give the same weights
+    data = cleaned_labelled(spark, SF01).where("is_train")
+    model = features.fit_sklearn_tfidf(data)
+    vocab = model.stages[2].vocabulary
+    ml = {}
+    for r in model.transform(data).select("doc_id", "features").collect():
+        v = r.features
+        for i, x in zip(v.indices, v.values):
+            ml[(r.doc_id, vocab[i])] = x
+    terms = features.doc_terms(data, "doc_id", features.with_bigrams(features.split_words("clean_text")))
+    top = features.top_terms(features.term_stats(terms), 20000, 2)
+    n = F.lit(data.count())
+    long = {(r.doc_id, r.term): r.w for r in features.tfidf_sklearn(terms, "doc_id", top, n).collect()}
+    assert ml.keys() == long.keys() and len(ml) > 1000
+    assert all(abs(ml[k] - long[k]) < 1e-12 for k in ml)

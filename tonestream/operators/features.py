@@ -16,7 +16,6 @@ from pyspark.ml.feature import (
     CountVectorizer,
     ElementwiseProduct,
     HashingTF,
-    IDFModel,
     Normalizer,
     RegexTokenizer,
     SQLTransformer,
@@ -172,15 +171,26 @@ def fit_sklearn_tfidf(train: DataFrame, input_col: str = "clean_text", vocab_siz
                       min_df: int = 2) -> PipelineModel:
     """Vocabulary TF-IDF with the ``+1`` IDF and L2 norm (``features``).
 
-    The IDF is fitted once on the counted training vectors; its weights plus one
-    become a fixed ``ElementwiseProduct`` (a vector of at most ``vocab_size``
-    entries), followed by ``Normalizer(p=2)``.
+    One aggregation fits everything: the 1-2-gram statistics of the training
+    texts (in-row counts, one shuffle by term) give the vocabulary - the
+    ``vocab_size`` most frequent terms with ``df >= min_df``, ties broken by
+    term - and each term's document frequency. At most ``vocab_size`` rows
+    reach the driver, to build a ``CountVectorizerModel`` and the fixed
+    ``ElementwiseProduct`` of IDF weights plus one; ``Normalizer(p=2)`` follows.
     """
-    counts = Pipeline(stages=ngram_count_stages(input_col, vocab_size, min_df)).fit(train)
-    idf_model: IDFModel = IDF(inputCol="tf", outputCol="_idf").fit(counts.transform(train))
-    weights = DenseVector(idf_model.idf.toArray() + 1.0)
+    import math
+
+    from pyspark.ml.feature import CountVectorizerModel
+
+    count_stages = ngram_count_stages(input_col, vocab_size, min_df)[:2]  # tokenizer, n-grams
+    grams = PipelineModel(stages=count_stages).transform(train)
+    n_docs = train.count()
+    vocab = top_terms(term_stats_of(grams, F.col("grams")), vocab_size, min_df).collect()
+    terms = [r.term for r in vocab]
+    weights = DenseVector([math.log((n_docs + 1.0) / (r.df + 1.0)) + 1.0 for r in vocab])
     return PipelineModel(stages=[
-        *counts.stages,
+        *count_stages,
+        CountVectorizerModel.from_vocabulary(terms, inputCol="grams", outputCol="tf"),
         ElementwiseProduct(inputCol="tf", outputCol="tfidf", scalingVec=weights),
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
     ])
