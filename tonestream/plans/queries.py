@@ -224,8 +224,9 @@ def q22_term_doc_frequency(spark, sf):
 def q23_tfidf_spark_weight(spark, sf):
     w = _words_v2(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
-    # The term table feeds both the IDF aggregation and the weight join: write it once.
-    terms = materialize(features.doc_terms(w, "doc_id", F.col("words")), "doc-terms")
+    # The term table is map-only (in-row counts): the IDF aggregation and the
+    # weight join each read it from the scan, which costs less than writing it.
+    terms = features.doc_terms(w, "doc_id", F.col("words"))
     out = features.tfidf_spark(terms, "doc_id", n_docs)
     return out.select("doc_id", "term", "tf", "df", _round("idf"), _round("w"))
 
@@ -238,7 +239,7 @@ def _ngram_terms(spark, sf):
 def q24_tfidf_sklearn_weight(spark, sf):
     w, terms = _ngram_terms(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
-    terms = materialize(terms, "ngram-terms")
+    terms = materialize(terms, "ngram-terms")  # three readers: vocabulary, weights, norms
     vocab = features.top_terms(features.term_stats(terms), 20000, 2)
     out = features.tfidf_sklearn(terms, "doc_id", vocab, n_docs)
     return out.select("doc_id", "term", "tf", _round("w"))
