@@ -61,7 +61,8 @@ def score_table(df: DataFrame, model: PipelineModel, clean_first: bool = False,
 
 
 def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str], clean_first: bool = False) -> DataFrame:
-    """Score a short list of texts (interactive use): ``clean_text, prediction, sentiment``."""
+    """Score a short list of texts (interactive use):
+    ``clean_text, prediction, sentiment, p_neg, p_pos``."""
     return score_table(texts_frame(spark, texts), model, clean_first).select(
         "clean_text", "prediction", "sentiment", "p_neg", "p_pos"
     )

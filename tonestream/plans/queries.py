@@ -312,15 +312,9 @@ def q32_stream_clean_score(spark, sf):
     src, schema = _conversation_messages(spark, sf)
     live = stream.decoded_stream(stream.message_stream(spark, src, schema, max_files_per_trigger=2),
                                  clean_first=True)
-
-    def score(batch: DataFrame) -> DataFrame:
-        b = batch.where("is_valid").withColumn("words", features.split_words("clean_text"))
-        return model.transform(b, "words", ["conv_id", "turn"]).select(
-            "conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
-
     out, ckpt = shared_path(spark, "stream-out"), shared_path(spark, "stream-ckpt")
-    stream.run_until_done(stream.start_foreach_batch(live, score, out, ckpt))
-    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", "p_pos")
+    stream.run_until_done(stream.start_table_model_scoring(live, model, ["conv_id", "turn"], out, ckpt))
+    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
 
 
 def q33_stream_quarantine(spark, sf):

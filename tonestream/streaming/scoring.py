@@ -112,6 +112,28 @@ def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], pat
     return w.start()
 
 
+def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: str, checkpoint: str,
+                              text_col: str = "clean_text", keep: tuple[str, ...] = (),
+                              available_now: bool = True) -> StreamingQuery:
+    """Score a stream with a relational model (``NaiveBayesTable``).
+
+    The model is a table, so scoring is a join plus a per-message sum. Every
+    message's words arrive in the same micro-batch, so the sum is complete
+    within the batch: each batch is scored as a static frame and written to
+    ``path/batch_id=N`` (idempotent on replay). Malformed messages are skipped
+    here; route them with ``split_quarantine``.
+    """
+    from tonestream.operators.features import split_words
+
+    def score(batch: DataFrame) -> DataFrame:
+        b = batch.where("is_valid") if "is_valid" in batch.columns else batch
+        b = b.withColumn("_words", split_words(text_col))
+        out = model.transform(b, "_words", id_cols)
+        return out.select(*id_cols, *keep, text_col, "prediction", "p_neg", "p_pos")
+
+    return start_foreach_batch(df, score, path, checkpoint, available_now=available_now)
+
+
 def run_until_done(query: StreamingQuery, timeout_s: int = 600) -> None:
     """Wait for an available-now query; raise its error if it failed."""
     finished = query.awaitTermination(timeout_s)
