@@ -184,6 +184,12 @@ mw AS (SELECT conv_id, turn, clean_text, list_filter(string_split(clean_text, '
     + " SELECT conv_id, turn, clean_text, prediction, round(p_pos, 6) AS p_pos FROM out")
 
 
+UPLOAD_NB = ("WITH " + NB_MODEL + f""",
+dc AS (SELECT doc_id, coalesce({clean_v2("coalesce(text, '')")}, '') AS clean_text FROM documents),
+dw AS (SELECT doc_id, clean_text, list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
+       FROM dc)""" + nb_scores("dw", "doc_id") + distribution("out"))
+
+
 SQL: dict[str, str] = {
     "q01_binarize_label": f"WITH {TWEETS} SELECT doc_id, raw_label, "
                           "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 "
@@ -263,6 +269,7 @@ SELECT round(acc, 10) AS accuracy,
     "q32_stream_clean_score": STREAM_NB,
     "q33_stream_quarantine": MESSAGES_SQL,
     "q42_stream_naive_bayes_ml": STREAM_NB,
+    "q43_score_uploaded_csv": UPLOAD_NB,
     "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, text FROM tweets "
                           "UNION ALL SELECT 'generic' AS layout, target, text FROM tweets",
     "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, TRUE AS same FROM lab WHERE NOT is_train",

@@ -25,7 +25,7 @@ from tonestream.operators.scoring import model_input, resolve_text_column, score
 from tonestream.operators.split import hash_split, stratified_split
 from tonestream.session import shared_path
 from tonestream.sinks.files import materialize, write_metrics_json, write_table
-from tonestream.sources.labelled import load_labelled
+from tonestream.sources.labelled import load_labelled, read_to_score
 from tonestream.sources.metrics_json import read_metrics_json
 from tonestream.sources.tables import labelled_texts, read_table, rule_prediction
 from tonestream.streaming import scoring as stream
@@ -392,6 +392,19 @@ def q35_model_save_load(spark, sf):
     return a.join(b, "doc_id", "full").select("doc_id", F.coalesce(same, F.lit(False)).alias("same"))
 
 
+def q43_score_uploaded_csv(spark, sf):
+    """The batch-scoring flow: a CSV of texts to score is read (all columns kept),
+    scored with a fitted model after cleaning, exported as CSV, and summarized."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    upload = shared_path(spark, "upload-csv")
+    write_table(docs, upload, "csv", header=True)
+    model = fit_naive_bayes_ml(cleaned_labelled(spark, sf).where("is_train"))
+    scored = score_table(read_to_score(spark, upload), model, clean_first=True)
+    export = shared_path(spark, "scored-csv")
+    write_table(scored.select("doc_id", "text", "pred", "sentiment"), export, "csv", header=True)
+    return metrics.sentiment_distribution(read_to_score(spark, export))
+
+
 def q36_metrics_json(spark, sf):
     path = shared_path(spark, "metrics-json")
     write_metrics_json(metrics.class_report(_rule_scored(spark, sf)), path)
@@ -462,5 +475,6 @@ QUERIES: dict[str, Query] = {
     "q40_topic_filter_keywords": q40_topic_filter_keywords,
     "q41_clean_v2_nltk_stop_words": q41_clean_v2_nltk_stop_words,
     "q42_stream_naive_bayes_ml": q42_stream_naive_bayes_ml,
+    "q43_score_uploaded_csv": q43_score_uploaded_csv,
     "flagship_distribution": flagship_distribution,
 }
