@@ -258,3 +258,18 @@ def test_vocab_tfidf_vectors_equal_long_form(spark):
     long = {(r.doc_id, r.term): r.w for r in features.tfidf_sklearn(terms, "doc_id", top, n).collect()}
     assert ml.keys() == long.keys() and len(ml) > 1000
     assert all(abs(ml[k] - long[k]) < 1e-12 for k in ml)
+
+
+def test_stored_vectors_equal_dense_statistics(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    schema = StructType([StructField("id", IntegerType()), StructField("v", VectorUDT())])
+    df = spark.createDataFrame([(1, Vectors.sparse(6, [1, 4], [2.0, 0.0])), (2, Vectors.dense([1.0, 0.0, 3.0]))],
+                               schema)
+    dense = df.select("id", F.size(F.filter(vector_to_array("v"), lambda x: x != 0)).alias("n"),
+                      F.aggregate(vector_to_array("v"), F.lit(0.0), lambda a, x: a + x).alias("s"))
+    stored = features.stored_vectors(df, ["v"], "vec-test")
+    sparse = stored.select("id", features.vector_nnz(F.col("v")).alias("n"), features.vector_sum(F.col("v")).alias("s"))
+    assert sorted(map(tuple, dense.collect())) == sorted(map(tuple, sparse.collect())) == [(1, 1, 2.0), (2, 2, 4.0)]

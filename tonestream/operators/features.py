@@ -138,6 +138,38 @@ def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Colum
     return raw.join(norms, id_col).select(id_col, "term", "tf", (F.col("raw") / F.col("_norm")).alias("w"))
 
 
+def stored_vectors(df: DataFrame, vector_cols: list[str], name: str = "vectors") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back with each ML vector
+    column as its storage struct ``(type, size, indices, values)``
+    (``VectorUDT().sqlType()``).
+
+    Per-row statistics then run on the stored (sparse) arrays instead of a
+    dense ``vector_to_array`` copy of every dimension, which for hashed features
+    is ``numFeatures`` doubles per row.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    from tonestream.sinks.files import materialize
+
+    stored = materialize(df, name)
+    schema = StructType([
+        StructField(f.name, VectorUDT().sqlType(), f.nullable) if f.name in vector_cols else f
+        for f in stored.schema.fields
+    ])
+    return df.sparkSession.read.schema(schema).parquet(*stored.inputFiles())
+
+
+def vector_nnz(v: Column) -> Column:
+    """Non-zero entries of a stored vector struct (dense or sparse)."""
+    return F.size(F.filter(v["values"], lambda x: x != 0))
+
+
+def vector_sum(v: Column) -> Column:
+    """Sum of the entries of a stored vector struct."""
+    return F.aggregate(v["values"], F.lit(0.0), lambda acc, x: acc + x)
+
+
 # --- Spark ML stages ---------------------------------------------------------
 
 

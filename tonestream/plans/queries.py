@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -258,10 +257,10 @@ def q26_hashed_tfidf(spark, sf):
     # the IDF fit and the transform both read the cleaned texts: clean once
     docs = materialize(docs, "cleaned-docs")
     model = Pipeline(stages=features.hashed_tfidf_stages("clean_text", 10000)).fit(docs)
-    arr = vector_to_array("features")
-    return model.transform(docs).select(
-        "doc_id", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
-        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), P_DIGITS).alias("l1"))
+    # statistics on the stored sparse arrays, not a dense copy of 10,000 dimensions per row
+    vecs = features.stored_vectors(model.transform(docs).select("doc_id", "features"), ["features"], "hashed-tfidf")
+    return vecs.select("doc_id", features.vector_nnz(F.col("features")).alias("nnz"),
+                       F.round(features.vector_sum(F.col("features")), P_DIGITS).alias("l1"))
 
 
 # --- splits and models ----------------------------------------------------------------
