@@ -72,7 +72,6 @@ def test_blank_filter_does_not_repeat_the_cleaning(spark):
     # re-evaluate the cleaning per predicate; with_clean_text keeps one copy
     for name in ("q06_drop_blank_and_null", "q07_clean_row_counts", "q03_clean_v2"):
         assert plan(Q[name](spark, SF01)).count("(?U)http") == 1, name
-    from tonestream.functions import clean
     from tonestream.operators.preprocess import clean_table
 
     raw = spark.createDataFrame([(4, "Good day"), (0, "!!!")], "target int, text string")
