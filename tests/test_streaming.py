@@ -116,3 +116,16 @@ def test_failed_batch_is_replayed_exactly_once(spark):
     stream.run_until_done(stream.start_foreach_batch(live, flaky, out, ckpt))
     got = spark.read.parquet(out).select("conv_id", "turn")
     assert got.count() == conv.count() == got.distinct().count()
+
+
+def test_run_until_stopped_stops_and_resumes(spark):
+    conv, src = _messages(spark)
+    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=1))
+    out, ckpt = shared_path(spark, "serve-out"), shared_path(spark, "serve-ckpt")
+    sel = live.select("conv_id", "turn")
+    q = stream.start_to_files(sel, out, ckpt, available_now=False, processing_time="100 milliseconds")
+    stream.run_until_stopped(q, timeout_s=2)
+    assert not q.isActive
+    stream.run_until_done(stream.start_to_files(sel, out, ckpt))  # resume: the rest, nothing twice
+    got = spark.read.parquet(out)
+    assert got.count() == got.distinct().count() == conv.count()

@@ -142,3 +142,19 @@ def run_until_done(query: StreamingQuery, timeout_s: int = 600) -> None:
         raise TimeoutError(f"stream {query.id} did not finish within {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Serve a continuous query until it stops, the timeout passes or the
+    process is interrupted; then stop it cleanly (its checkpoint keeps the
+    position, so the next start resumes there)."""
+    try:
+        if timeout_s is None:
+            query.awaitTermination()
+        else:
+            query.awaitTermination(timeout_s)
+    except KeyboardInterrupt:
+        pass
+    finally:
+        if query.isActive:
+            query.stop()
