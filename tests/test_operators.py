@@ -273,3 +273,9 @@ def test_stored_vectors_equal_dense_statistics(spark):
     stored = features.stored_vectors(df, ["v"], "vec-test")
     sparse = stored.select("id", features.vector_nnz(F.col("v")).alias("n"), features.vector_sum(F.col("v")).alias("s"))
     assert sorted(map(tuple, dense.collect())) == sorted(map(tuple, sparse.collect())) == [(1, 1, 2.0), (2, 2, 4.0)]
+
+
+def test_hash_split_null_key_goes_to_test(spark):
+    df = spark.createDataFrame([(None,), (1,)], "k bigint")
+    rows = {r.k: r.is_train for r in hash_split(df, "k").collect()}
+    assert rows[None] is False and rows[1] in (True, False)

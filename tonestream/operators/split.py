@@ -26,8 +26,9 @@ def key_unit(key: Column | str) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, frac: float = 0.8, out: str = "is_train") -> DataFrame:
-    """Adds ``is_train``: the row goes to training when its key's unit hash < ``frac``."""
-    return df.withColumn(out, key_unit(key) < F.lit(frac))
+    """Adds ``is_train``: the row goes to training when its key's unit hash < ``frac``.
+    A null key goes to the test side, so no row falls out of both."""
+    return df.withColumn(out, F.coalesce(key_unit(key) < F.lit(frac), F.lit(False)))
 
 
 def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float = 0.8,

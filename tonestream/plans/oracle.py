@@ -112,7 +112,7 @@ UNION ALL SELECT 'weighted avg',
 
 LABELLED = TWEETS + f""",
 cl AS (SELECT doc_id, target, {clean_v2('text')} AS clean_text FROM tweets),
-lab AS (SELECT doc_id, target, clean_text, {unit('doc_id')} < 0.8::DOUBLE AS is_train,
+lab AS (SELECT doc_id, target, clean_text, coalesce({unit('doc_id')} < 0.8::DOUBLE, false) AS is_train,
                list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
         FROM cl WHERE doc_id IS NOT NULL AND target IS NOT NULL AND clean_text IS NOT NULL
           AND NOT {blank('clean_text')})"""
@@ -261,7 +261,8 @@ SELECT round(acc, 10) AS accuracy,
                                 "SELECT doc_id, term, tf, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) "
                                 "AS w FROM r",
     "q25_top_terms": f"WITH {NGRAM_TERMS} SELECT term, df, cf FROM v",
-    "q27_hash_split": f"WITH {TWEETS} SELECT doc_id, target, {unit('doc_id')} < 0.8::DOUBLE AS is_train FROM tweets",
+    "q27_hash_split": f"WITH {TWEETS} SELECT doc_id, target, coalesce({unit('doc_id')} < 0.8::DOUBLE, false) "
+                      "AS is_train FROM tweets",
     "q28_stratified_split": f"WITH {TWEETS} SELECT doc_id, target, row_number() OVER (PARTITION BY target ORDER BY "
                             "md5(CAST(doc_id AS VARCHAR)), doc_id) <= floor(0.8::DOUBLE * count(*) OVER "
                             "(PARTITION BY target)) AS is_train FROM tweets",
