@@ -279,3 +279,13 @@ def test_hash_split_null_key_goes_to_test(spark):
     df = spark.createDataFrame([(None,), (1,)], "k bigint")
     rows = {r.k: r.is_train for r in hash_split(df, "k").collect()}
     assert rows[None] is False and rows[1] in (True, False)
+
+
+def test_recommended_conf_scales_with_input():
+    from tonestream.session import recommended_conf
+
+    small = recommended_conf(25 << 20, 8)
+    big = recommended_conf(100 << 40, 8000)  # 100 TB on 1,000 executors x 8 cores
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 262144
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

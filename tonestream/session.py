@@ -35,6 +35,42 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+MB = 1 << 20
+
+
+def recommended_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.5,
+                     target_partition_bytes: int = 200 * MB) -> dict[str, str]:
+    """Session settings sized for a cluster run over ``input_bytes`` of text.
+
+    * Scans split at 128 MB: cleaning is CPU-bound, so splits stay small enough
+      that every core has work and a task's rows fit comfortably in memory.
+    * Initial shuffle partitions sized so each holds about
+      ``target_partition_bytes`` of the largest shuffle (term statistics and
+      model counts after map-side partial aggregation, estimated as
+      ``shuffle_fraction`` of the input), at least two per core; AQE then
+      coalesces small ones towards the 128 MB advisory size.
+    * Skew join on, with a partition counted as skewed above 256 MB and five
+      times the median, so one hot term or key is split across tasks.
+    * Runtime broadcast only for join sides measured below 64 MB.
+    """
+    import math
+
+    shuffle_bytes = max(1, int(input_bytes * shuffle_fraction))
+    partitions = max(2 * total_cores, math.ceil(shuffle_bytes / target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 * MB),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
