@@ -289,3 +289,11 @@ def test_recommended_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == 262144
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_kafka_sink_needs_the_connector(spark):
+    from tonestream.sinks.files import publish_kafka
+
+    df = spark.createDataFrame([("hi",)], "text string")
+    with pytest.raises(RuntimeError, match="Kafka sink unavailable"):
+        publish_kafka(df, "tweets", "localhost:9092")

@@ -42,8 +42,13 @@ def write_metrics_json(report: DataFrame, path: str, mode: str = "overwrite") ->
 
 def publish_kafka(df: DataFrame, topic: str, bootstrap: str = "localhost:9092", text_col: str = "text") -> None:
     """Publish ``{"text": ...}`` messages to a topic (needs the Kafka connector)."""
-    (df.select(encode_message(text_col).alias("value"))
-       .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+    try:
+        (kafka_sink_frame(df, text_col)
+           .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+    except Exception as e:
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("Kafka sink unavailable: add the spark-sql-kafka connector to the session") from e
+        raise
 
 
 def kafka_sink_frame(df: DataFrame, text_col: str = "text") -> DataFrame:
