@@ -297,3 +297,12 @@ def test_kafka_sink_needs_the_connector(spark):
     df = spark.createDataFrame([("hi",)], "text string")
     with pytest.raises(RuntimeError, match="Kafka sink unavailable"):
         publish_kafka(df, "tweets", "localhost:9092")
+
+
+def test_random_split_keeps_every_row_once(spark):
+    from tonestream.operators.split import random_split
+
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    out = random_split(df, 0.8, 42)
+    assert out.count() == 2000 == out.select("k").distinct().count()
+    assert 1500 < out.where("is_train").count() < 1700

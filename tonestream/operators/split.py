@@ -31,6 +31,18 @@ def hash_split(df: DataFrame, key: str, frac: float = 0.8, out: str = "is_train"
     return df.withColumn(out, F.coalesce(key_unit(key) < F.lit(frac), F.lit(False)))
 
 
+def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42, out: str = "is_train") -> DataFrame:
+    """Spark's own ``randomSplit([frac, 1 - frac], seed)``, as a flag column.
+
+    Kept for parity with a ``randomSplit`` workflow. Its assignment depends on
+    how the input is partitioned and ordered, and the two halves are two seeded
+    samples that each read the input, so ``hash_split`` (one map-only pass, the
+    same split on any partitioning) is the default here.
+    """
+    train, test = df.randomSplit([frac, 1.0 - frac], seed)
+    return train.withColumn(out, F.lit(True)).unionByName(test.withColumn(out, F.lit(False)))
+
+
 def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float = 0.8,
                      bucket_bits: int = 20, out: str = "is_train") -> DataFrame:
     """Exact stratified split: per class, the ``floor(frac * n_class)`` rows with
