@@ -131,7 +131,13 @@ def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Colum
     ensure_checkpoint_dir(terms.sparkSession)
     fitted = spark_idf(vocab, n_docs).select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")).checkpoint()
     v = F.broadcast(fitted)
-    raw = terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw"))
+    # Only vocabulary terms survive the join; those rows feed both the norms and
+    # the output, so they are written once (far fewer than all n-grams).
+    from tonestream.sinks.files import materialize
+
+    raw = materialize(
+        terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw")),
+        "vocab-weights")
     # Per-document norms by a partial aggregation and a join (not a window), so
     # even a key holding many rows is split by AQE's skew join, not one task.
     norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))

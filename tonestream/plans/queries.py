@@ -238,8 +238,9 @@ def _ngram_terms(spark, sf):
 def q24_tfidf_sklearn_weight(spark, sf):
     w, terms = _ngram_terms(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
-    terms = materialize(terms, "ngram-terms")  # three readers: vocabulary, weights, norms
-    vocab = features.top_terms(features.term_stats(terms), 20000, 2)
+    # vocabulary from the one-shuffle term statistics; the full n-gram table is
+    # never written, only the vocabulary-filtered weights (inside tfidf_sklearn)
+    vocab = features.top_terms(features.term_stats_of(w, features.with_bigrams(F.col("words"))), 20000, 2)
     out = features.tfidf_sklearn(terms, "doc_id", vocab, n_docs)
     return out.select("doc_id", "term", "tf", _round("w"))
 
