@@ -24,6 +24,7 @@ def _fit_lr(featurized: DataFrame, lr: LogisticRegression, n: int):
     read by every optimizer step through ``fit_partitions``."""
     cached = featurized.persist()
     try:
+        cached.count()  # fill the cache at the input's parallelism, before coalescing
         return lr.fit(fit_partitions(cached, n))
     finally:
         cached.unpersist()
