@@ -134,7 +134,7 @@ def q09_snippet(spark, sf):
 
 
 def q10_json_decode(spark, sf):
-    ev = read_table(spark, sf, "events")
+    ev = read_table(spark, sf, "events", ["event_id", "props"])
     parsed = messages.decode_declared("props", "k bigint")
     return ev.select("event_id", parsed["k"].alias("k"),
                      F.try_variant_get(messages.parsed_message("props"), "$.k", "string").alias("k_text"))

@@ -14,8 +14,8 @@ TABLES = (
 )
 
 
-# Tables whose rows carry long texts: per-row work on them is CPU-heavy.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+# Tables whose rows carry long texts or JSON: per-row work on them is CPU-heavy.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark", "events")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
