@@ -1,11 +1,11 @@
 """Text features: long-form term tables (SQL-checkable) and Spark ML stages.
 
-Long form: ``(doc_id, term, tf)`` rows built with ``explode`` and one
-aggregation; document frequency and IDF are one more aggregation keyed by
-term, partial on the map side, so a very common term costs one row per task
-before the shuffle. Terms are joined back to documents with a plain equi-join
-that AQE turns into a broadcast when the measured term table is small and
-splits when one term is hot.
+Long form: ``(doc_id, term, tf)`` rows counted inside each document row (no
+shuffle); document frequency and IDF are one aggregation keyed by term, partial
+on the map side, so a very common term costs one row per task before the
+shuffle. Terms are joined back to documents with a plain equi-join that AQE
+turns into a broadcast when the measured term table is small and splits when
+one term is hot; the top-k vocabulary, bounded by k, is broadcast explicitly.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tonestream.functions.clean import STOP_WORDS
 from tonestream.operators.evaluation import with_column_once
 from tonestream.session import ensure_checkpoint_dir
+from tonestream.sinks.files import materialize
 
 
 def split_words(c: Column | str) -> Column:
@@ -133,8 +134,6 @@ def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Colum
     v = F.broadcast(fitted)
     # Only vocabulary terms survive the join; those rows feed both the norms and
     # the output, so they are written once (far fewer than all n-grams).
-    from tonestream.sinks.files import materialize
-
     raw = materialize(
         terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw")),
         "vocab-weights")
@@ -156,8 +155,6 @@ def stored_vectors(df: DataFrame, vector_cols: list[str], name: str = "vectors")
     from pyspark.ml.linalg import VectorUDT
     from pyspark.sql.types import StructField, StructType
 
-    from tonestream.sinks.files import materialize
-
     stored = materialize(df, name)
     schema = StructType([
         StructField(f.name, VectorUDT().sqlType(), f.nullable) if f.name in vector_cols else f
@@ -190,9 +187,9 @@ def hashed_tfidf_stages(input_col: str = "clean_text", num_features: int = 10000
     ]
 
 
-def ngram_count_stages(input_col: str = "clean_text", vocab_size: int = 20000, min_df: int = 2) -> list:
-    """Tokens of two or more word characters, plus bigrams, counted over a
-    vocabulary of the ``vocab_size`` most frequent terms with ``min_df``."""
+def ngram_stages(input_col: str = "clean_text") -> list:
+    """Tokens of two or more word characters (lower-cased), then the tokens
+    followed by their space-joined bigrams as ``grams``."""
     return [
         RegexTokenizer(inputCol=input_col, outputCol="tokens", pattern=r"(?U)\b\w\w+\b", gaps=False,
                        toLowercase=True),
@@ -201,10 +198,16 @@ def ngram_count_stages(input_col: str = "clean_text", vocab_size: int = 20000, m
             "slice(tokens, 2, greatest(size(tokens) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS grams "
             "FROM __THIS__"
         )),
-        CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=vocab_size, minDF=float(min_df)),
     ]
 
 
+def ngram_count_stages(input_col: str = "clean_text", vocab_size: int = 20000, min_df: int = 2) -> list:
+    """``ngram_stages`` plus Spark's own ``CountVectorizer`` estimator (its ties
+    at the vocabulary cut are left open; ``fit_sklearn_tfidf`` breaks them by term)."""
+    return [*ngram_stages(input_col),
+            CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=vocab_size, minDF=float(min_df))]
+
+
 def fit_sklearn_tfidf(train: DataFrame, input_col: str = "clean_text", vocab_size: int = 20000,
                       min_df: int = 2) -> PipelineModel:
     """Vocabulary TF-IDF with the ``+1`` IDF and L2 norm (``features``).
@@ -220,7 +223,7 @@ def fit_sklearn_tfidf(train: DataFrame, input_col: str = "clean_text", vocab_siz
 
     from pyspark.ml.feature import CountVectorizerModel
 
-    count_stages = ngram_count_stages(input_col, vocab_size, min_df)[:2]  # tokenizer, n-grams
+    count_stages = ngram_stages(input_col)
     grams = PipelineModel(stages=count_stages).transform(train)
     n_docs = train.count()
     vocab = top_terms(term_stats_of(grams, F.col("grams")), vocab_size, min_df).collect()
