@@ -306,3 +306,13 @@ def test_random_split_keeps_every_row_once(spark):
     out = random_split(df, 0.8, 42)
     assert out.count() == 2000 == out.select("k").distinct().count()
     assert 1500 < out.where("is_train").count() < 1700
+
+
+def test_evaluation_helpers_keep_rows_and_semantics(spark):
+    from tonestream.operators.evaluation import with_column_once, with_kept_column
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "id int, t string")
+    once = with_column_once(df, "u", F.upper("t"))
+    assert sorted((r.id, r.u) for r in once.collect()) == [(1, "A"), (2, None), (3, "")]  # nulls kept, rows kept
+    kept = with_kept_column(df, "u", F.upper("t"), lambda v: F.length(v) > 0)
+    assert sorted((r.id, r.u) for r in kept.collect()) == [(1, "A")]  # null and failing rows dropped
