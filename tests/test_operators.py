@@ -316,3 +316,35 @@ def test_evaluation_helpers_keep_rows_and_semantics(spark):
     assert sorted((r.id, r.u) for r in once.collect()) == [(1, "A"), (2, None), (3, "")]  # nulls kept, rows kept
     kept = with_kept_column(df, "u", F.upper("t"), lambda v: F.length(v) > 0)
     assert sorted((r.id, r.u) for r in kept.collect()) == [(1, "A")]  # null and failing rows dropped
+
+
+@pytest.mark.parametrize("feats", ["hashed", "vocab"])
+def test_logistic_scores_equal_brute_force(spark, feats):
+    # q30 / q31 have no SQL oracle: on a small fixture, recompute every score
+    # from the fitted coefficients, and (hashed) every IDF weight from counts
+    import math
+
+    from tonestream.operators.logistic import train_logistic
+    from tests.conftest import SF001
+
+    data = cleaned_labelled(spark, SF001)
+    model = train_logistic(data.where("is_train"), features=feats, max_iter=15)
+    lr = model.stages[-1]
+    w, b = lr.coefficients, lr.intercept
+    rows = score_table(data.where(~F.col("is_train")), model, keep_model_columns=True) \
+        .select("features", "p_pos", "prediction").collect()
+    assert rows
+    for r in rows:
+        p = 1.0 / (1.0 + math.exp(-(r.features.dot(w) + b)))
+        assert r.p_pos == pytest.approx(p, abs=1e-9)
+        assert r.prediction == (1.0 if p > 0.5 else 0.0)
+    if feats == "hashed":
+        idf = model.stages[3].idf.toArray()
+        train = model.transform(data.where("is_train")).select("rawFeatures").collect()
+        m = len(train)
+        df_count = {}
+        for r in train:
+            for j in r.rawFeatures.indices:
+                df_count[int(j)] = df_count.get(int(j), 0) + 1
+        for j, c in df_count.items():
+            assert idf[j] == pytest.approx(math.log((m + 1.0) / (c + 1.0)), abs=1e-12)
