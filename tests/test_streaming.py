@@ -22,8 +22,12 @@ def _messages(spark, value=None):
     return conv, path
 
 
-def test_stream_equals_batch(spark):
-    model = fit_naive_bayes_ml(cleaned_labelled(spark, SF01).where("is_train"))
+@pytest.mark.parametrize("kind", ["naive_bayes", "logistic"])
+def test_stream_equals_batch(spark, kind):
+    from tonestream.operators.logistic import train_logistic
+
+    train = cleaned_labelled(spark, SF01).where("is_train")
+    model = fit_naive_bayes_ml(train) if kind == "naive_bayes" else train_logistic(train, "hashed", max_iter=10)
     conv, src = _messages(spark)
     live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=2))
     scored = stream.score_stream(live.select("conv_id", "turn", "text"), model, clean_first=True)
