@@ -348,3 +348,15 @@ def test_logistic_scores_equal_brute_force(spark, feats):
                 df_count[int(j)] = df_count.get(int(j), 0) + 1
         for j, c in df_count.items():
             assert idf[j] == pytest.approx(math.log((m + 1.0) / (c + 1.0)), abs=1e-12)
+
+
+@pytest.mark.parametrize("k", [1, 5, 37, 1000])
+def test_top_terms_threshold_equals_brute_force(spark, k):
+    import random
+
+    rnd = random.Random(k)
+    rows = [(f"t{i:03d}", rnd.randint(1, 4), rnd.choice([1, 2, 2, 3, 5, 5, 5, 8])) for i in range(300)]
+    stats = spark.createDataFrame(rows, "term string, df bigint, cf bigint").repartition(7)
+    got = [tuple(r) for r in features.top_terms(stats, k, 2).collect()]
+    want = sorted((r for r in rows if r[1] >= 2), key=lambda r: (-r[2], r[0]))[:k]
+    assert got == want

@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonestream.functions.clean import STOP_WORDS
@@ -106,8 +106,21 @@ def term_stats_of(df: DataFrame, terms: Column) -> DataFrame:
 
 def top_terms(stats: DataFrame, k: int = 20000, min_df: int = 2) -> DataFrame:
     """Vocabulary cut: ``df >= min_df``, then the ``k`` most frequent terms,
-    ties broken by term. Planned as a bounded top-k (each task keeps k rows)."""
-    return stats.where(F.col("df") >= min_df).orderBy(F.desc("cf"), F.asc("term")).limit(k)
+    ties broken by term.
+
+    A plain ordered limit keeps k rows per partition and merges all of them in
+    one task (k x partitions rows). Here the ``cf`` of the k-th term is found
+    first, on the histogram of ``cf`` values: its top ``k`` values (at most k
+    rows) and a running count over them give the threshold as a scalar subquery.
+    Only terms at or above it - k plus the ties at the threshold - reach the
+    final ordered limit.
+    """
+    eligible = stats.where(F.col("df") >= min_df)
+    hist = eligible.groupBy("cf").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("cf")).limit(k)
+    running = F.sum("_n").over(Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, 0))
+    threshold = hist.select("cf", running.alias("_cum")).where(F.col("_cum") >= k).agg(F.max("cf")).scalar()
+    candidates = eligible.where(F.col("cf") >= F.coalesce(threshold, F.lit(0)))
+    return candidates.orderBy(F.desc("cf"), F.asc("term")).limit(k)
 
 
 def spark_idf(stats: DataFrame, n_docs: Column) -> DataFrame:
