@@ -184,6 +184,10 @@ def q18_scored_preview(spark, sf):
 
 
 def q19_display_line(spark, sf):
+    # Every row is kept. The class probabilities are derived from the data as
+    # two-decimal values (0.00 .. 1.00), so Java's and C's "%.2f" print them
+    # the same way; real model probabilities go through the same function in
+    # the stream display (sinks.files.display_frame).
     s = _rule_scored(spark, sf).withColumn("p_pos", (F.col("n_chars") % 101) / F.lit(100.0))
     s = s.withColumn("p_neg", F.lit(1.0) - F.col("p_pos"))
     return s.select("doc_id", labels.display_line("text", "prediction", "p_neg", "p_pos").alias("display_line"))
