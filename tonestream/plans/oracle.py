@@ -190,6 +190,16 @@ dw AS (SELECT doc_id, clean_text, list_filter(string_split(clean_text, ' '), lam
        FROM dc)""" + nb_scores("dw", "doc_id") + distribution("out"))
 
 
+REPLAY_LINES = ("WITH " + NB_MODEL + f""",
+msg AS (SELECT conv_id, turn, text, coalesce({clean_v2("coalesce(text, '')")}, '') AS clean_text FROM conversations),
+mw AS (SELECT conv_id, turn, text, clean_text, list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
+       FROM msg)""" + nb_scores("mw", "conv_id, turn") + f"""
+SELECT conv_id, turn, {snippet("coalesce(text, '')", 120)} || ' -> ' ||
+  CASE WHEN prediction = 1 THEN 'Positive' ELSE 'Negative' END ||
+  ' (conf: ' || printf('%.2f/%.2f', 1 - p_pos, p_pos) || ')' AS display_line
+FROM out""")
+
+
 SQL: dict[str, str] = {
     "q01_binarize_label": f"WITH {TWEETS} SELECT doc_id, raw_label, "
                           "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 "
@@ -271,6 +281,7 @@ SELECT round(acc, 10) AS accuracy,
     "q33_stream_quarantine": MESSAGES_SQL,
     "q42_stream_naive_bayes_ml": STREAM_NB,
     "q43_score_uploaded_csv": UPLOAD_NB,
+    "q44_replay_display_lines": REPLAY_LINES,
     "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, text FROM tweets "
                           "UNION ALL SELECT 'generic' AS layout, target, text FROM tweets",
     "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, TRUE AS same FROM lab WHERE NOT is_train",

@@ -365,6 +365,24 @@ def q42_stream_naive_bayes_ml(spark, sf):
     return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
 
 
+def q44_replay_display_lines(spark, sf):
+    """Paced replay (files of at most 500 messages, one file per trigger) scored
+    by a fitted model, one display line per message from its probabilities."""
+    data = cleaned_labelled(spark, sf)
+    model = fit_naive_bayes_ml(data.where("is_train"))
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    src = shared_path(spark, "replay")
+    stream.write_message_files(conv, src, key_cols=("conv_id", "turn"), files=None, rows_per_file=500)
+    live = stream.decoded_stream(stream.message_stream(spark, src, "conv_id bigint, turn bigint, value binary",
+                                                       max_files_per_trigger=1))
+    scored = stream.score_stream(live.where("is_valid").select("conv_id", "turn", "text"), model, clean_first=True)
+    lines = scored.select("conv_id", "turn",
+                          labels.display_line("text", "prediction", "p_neg", "p_pos").alias("display_line"))
+    out = shared_path(spark, "replay-out")
+    stream.run_until_done(stream.start_to_files(lines, out, shared_path(spark, "ckpt-replay")))
+    return spark.read.parquet(out)
+
+
 # --- sinks, save / load, report files ------------------------------------------------------
 
 
@@ -480,5 +498,6 @@ QUERIES: dict[str, Query] = {
     "q41_clean_v2_nltk_stop_words": q41_clean_v2_nltk_stop_words,
     "q42_stream_naive_bayes_ml": q42_stream_naive_bayes_ml,
     "q43_score_uploaded_csv": q43_score_uploaded_csv,
+    "q44_replay_display_lines": q44_replay_display_lines,
     "flagship_distribution": flagship_distribution,
 }
