@@ -1,9 +1,12 @@
 """Structured Streaming: message sources, decoding with quarantine, scoring.
 
-Stateless end to end: parse, clean and score are per-row projections, so each
-micro-batch is a map-only job. Progress lives in the checkpoint folder (the
-source offsets and the sink's commit log), which is what replaces consumer
-auto-commit; a restarted query resumes from its last committed batch.
+Stateless end to end: parse, clean and score with a fitted pipeline are
+per-row projections, so such a micro-batch is a map-only job; scoring with a
+relational model (a table) is a join and a per-message sum inside each batch
+(``foreachBatch``), with no state kept between batches. Progress lives in the
+checkpoint folder (the source offsets and the sink's commit log), which is what
+replaces consumer auto-commit; a restarted query resumes from its last
+committed batch.
 """
 
 from __future__ import annotations
