@@ -1,11 +1,12 @@
 """Multinomial Naive Bayes, as a relational model and as a Spark ML pipeline.
 
 Relational form: the model is a table ``(term, ll_0, ll_1)`` of smoothed log
-likelihoods plus two log priors. Fitting is one aggregation keyed by term
-(partial on the map side); the table is written to the shared folder, which
-cuts the lineage and keeps the model through executor loss. Scoring explodes
-words, joins the model (broadcast only when its measured size allows), and sums
-per document. The vocabulary is a distributed table, so it may grow with the
+likelihoods plus two log priors. Fitting counts each document's words inside
+its row, then aggregates the per-class counts by term (partial on the map
+side); the table is written to the shared folder, which cuts the lineage and
+keeps the model through executor loss. Scoring counts words inside each row,
+joins the distinct terms to the model (broadcast only when its measured size
+allows), and sums ``tf * log-likelihood`` per document. The vocabulary is a distributed table, so it may grow with the
 data; nothing of it passes through the driver.
 
 Formulas (same as ``pyspark.ml.classification.NaiveBayes``, multinomial):
