@@ -360,3 +360,21 @@ def test_top_terms_threshold_equals_brute_force(spark, k):
     got = [tuple(r) for r in features.top_terms(stats, k, 2).collect()]
     want = sorted((r for r in rows if r[1] >= 2), key=lambda r: (-r[2], r[0]))[:k]
     assert got == want
+
+
+def test_build_session_applies_recommended_conf(spark):
+    from tonestream.session import build_session, recommended_conf
+
+    keys = list(recommended_conf(1, 1))
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        s = build_session(input_bytes=100 << 30)  # the running session, resized for 100 GB
+        cores = s.sparkContext.defaultParallelism
+        assert int(s.conf.get("spark.sql.shuffle.partitions")) == max(2 * cores, 256)
+        assert s.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -10,11 +10,14 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tonestream") -> SparkSession:
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tonestream",
+                  input_bytes: int | None = None) -> SparkSession:
     """A session tuned for this library: AQE on, UI off, UTC, Arrow transfer.
 
     On a cluster the caller's own session is used as is; this helper is for
-    local runs, tests and the bench.
+    local runs, tests and the bench. With ``input_bytes`` the scan, shuffle,
+    skew and broadcast settings of ``recommended_conf`` are applied for the
+    session's cores (all are runtime SQL settings).
     """
     spark = (
         SparkSession.builder.master(master)
@@ -32,6 +35,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    if input_bytes is not None:
+        for key, value in recommended_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
     return spark
 
 
