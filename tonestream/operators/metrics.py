@@ -35,6 +35,11 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
 
 
+def _ratio_d(num: Column, den: Column) -> Column:
+    """num (already double) / den, 0.0 on a zero denominator."""
+    return F.when(den == 0, F.lit(0.0)).otherwise(num / den.cast("double"))
+
+
 def _f1(p: Column, r: Column) -> Column:
     return F.when((p + r) == 0, F.lit(0.0)).otherwise(F.lit(2.0) * p * r / (p + r))
 
@@ -83,10 +88,6 @@ def report_from_counts(counts: DataFrame) -> DataFrame:
     return base.select(F.inline(rows))
 
 
-def _ratio_d(num: Column, den: Column) -> Column:
-    return F.when(den == 0, F.lit(0.0)).otherwise(num / den.cast("double"))
-
-
 def class_report(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
     return report_from_counts(confusion_counts(df, label, prediction))
 
