@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 REPORT_CLASSES = ("0", "1", "accuracy", "macro avg", "weighted avg")
 
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def confusion_counts(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
     """One row ``tn, fp, fn, tp`` (bigint) for binary labels; other values ignored."""
     y = F.col(label).cast("int")
