@@ -5,6 +5,6 @@ TF-IDF / Naive Bayes forms are built-in Column expressions and aggregations; the
 model stages are Spark ML; streams are Structured Streaming.
 """
 
-from tonestream.session import build_session, shared_path
+from tonestream.session import build_session, recommended_conf, shared_path
 
-__all__ = ["build_session", "shared_path"]
+__all__ = ["build_session", "recommended_conf", "shared_path"]
