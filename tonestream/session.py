@@ -78,18 +78,24 @@ def recommended_conf(input_bytes: int, total_cores: int, shuffle_fraction: float
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared folder for checkpoints and written intermediate tables.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) is a fresh scratch folder chosen and recorded.
+    Order: the folder already set on the context (``setCheckpointDir``), then
+    ``spark.checkpoint.dir``. Only where both are unset and the session runs in
+    one local process is a fresh scratch folder made; on a cluster that would be
+    a different disk on every executor, so it is an error there.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if current.isDefined():
+        # the context appends a folder of its own below a configured path
+        return path if path and path.split(":", 1)[-1].strip("/") in current.get() else current.get()
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tonestream-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
