@@ -56,4 +56,14 @@ def literal_table(spark: SparkSession, rows: str, schema: str) -> DataFrame:
     return spark.range(1).select(F.explode(parsed).alias("r")).select("r.*")
 
 
-__all__ = ["WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte of UTF-8, read off the library."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    level, letters = ByteLevel(add_prefix_space=False, use_regex=False), {}
+    for c in (*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x110000, 0x40)):
+        letters.update(zip(chr(c).encode(), level.pre_tokenize_str(chr(c))[0][0], strict=True))
+    return letters
+
+
+__all__ = ["byte_letters", "WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonestream.llm import chat, exact_dedup, mixing
+from tonestream.llm import chat, exact_dedup, mixing, packing, token_count, url_filter
 from tonestream.llm.common import table
 
 
@@ -16,10 +16,25 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(docs, keep="max")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
+
+
 #: A conversation whose texts hold the template's own control strings.
 TRICKY = r"\### Assistant: </turn> ok"
 
@@ -38,8 +53,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+#: (rule, verdict); a rule is a host and the beginning of a path.
+URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
+             ("net/fr/", "block"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_mix_sources, op5_chat_format)
+    f.__name__: f for f in (
+        op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format, op9_url_filter)
 }
 
 SQL: dict[str, str] = {
@@ -61,4 +86,17 @@ SQL: dict[str, str] = {
                    FROM e GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(shown) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
                sha256(learned) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM s""",
+    "op9_url_filter": r"""
+        WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+             p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+             r AS (SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                                         ('net', '/es/', 'block'), ('net', '/fr/', 'block')) t(rule_host, rule_path, verdict)),
+             f AS (SELECT page_id, rule_host || rule_path AS rule, verdict,
+                          row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS nth
+                   FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+        SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM p LEFT JOIN f ON f.page_id = p.page_id AND nth = 1""",
 }
