@@ -89,7 +89,7 @@ def _paths(nodes: DataFrame, branches: int) -> DataFrame:
         up = jump.where("to is not null").select(F.col("conv").alias("c"), F.col("node").alias("n"), "to")
         above = path.join(up, same & (F.col("node") == F.col("n"))).select(
             "conv", "leaf", "rank", (F.col("up") + 2**k).alias("up"), F.col("to").alias("node"))
-        path = path.unionAll(above)
+        path = materialize(path.unionAll(above), "paths")  # else every round would double the plan
     return path
 
 

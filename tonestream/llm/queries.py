@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonestream.llm import chat, exact_dedup, mixing, packing, token_count, url_filter
+from tonestream.llm import ann, chat, exact_dedup, mixing, packing, token_count, url_filter
 from tonestream.llm.common import table
 
 
@@ -62,9 +62,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.search(vectors, F.col("id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format, op9_url_filter)
+        op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format, op9_url_filter, op10_nearest)
 }
 
 SQL: dict[str, str] = {

@@ -76,8 +76,8 @@ def _places(h1: np.ndarray, h2: np.ndarray, level: int, bits: int, hashes: int)
 class Cascade:
     """The levels: (bits, hashes, bitmap)."""
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[int, int, np.ndarray]] = []
+    def __init__(self, levels: list[tuple[int, int, np.ndarray]] | None = None) -> None:
+        self.levels = levels or []
 
     def rejected_at(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """The first level that rejects a key; the number of levels where none does."""
@@ -156,7 +156,7 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_i
     universe = materialize(keys.join(given, F.col("key") == F.col("rule"), "left").select(h1.alias("h1"), h2.alias("h2"), "verdict"), "universe")
     cascades = [build_cascade(universe.select("h1", "h2", F.coalesce(F.col("verdict") == v, F.lit(False)).alias("listed")))
                 for v in ("block", "allow")]
-    sent = spark.sparkContext.broadcast(cascades)
+    sent = spark.sparkContext.broadcast([c.levels for c in cascades])
 
     @F.pandas_udf("array<int>")
     def verdicts(*hashes: pd.Series) -> pd.Series:
@@ -164,8 +164,8 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_i
         out = np.zeros((len(hashes[0]), len(hashes) // 2), np.int32)
         for k in range(0, len(hashes), 2):
             h1, h2 = hashes[k].to_numpy(), hashes[k + 1].to_numpy()
-            for code, cascade in enumerate(sent.value, 1):
-                out[cascade.listed(h1, h2), k // 2] = code
+            for code, levels in enumerate(sent.value, 1):
+                out[Cascade(levels).listed(h1, h2), k // 2] = code
         return pd.Series(list(out))
 
     keyed = pages.select("*", F.array(*[_key(*s) for s in shapes]).alias("keys"))
