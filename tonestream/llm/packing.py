@@ -185,7 +185,7 @@ class Plan:
         sizes = [s for s in sizes if others[s]]
         cut = bisect.bisect_right(sizes, room)
         if not cut:
-            return [w], 1 if sizes and sizes[-1] == w else self.left[w]
+            return [w], self.left[w]
         fit = sizes[:cut]
         k = fit[-1]
         smallest = [s for s in fit[:3] for _ in range(min(3, others[s]))][:3]
@@ -203,7 +203,9 @@ class Plan:
         larger = [s for s in fit if s > b for _ in range(min(2, others[s]))][:2]
         if len(larger) == 2 and sum(larger) <= room:
             return None
-        return [w, k, b], 1
+        # taking such sets out only takes alternatives away, so all of them are fixed at once
+        sets = [w, k, b]
+        return sets, min(self.left[x] // sets.count(x) for x in sets)
 
     @staticmethod
     def _best_pair(fit: list[int], others: dict[int, int], room: int) -> int:
