@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonestream.llm import ann, chat, exact_dedup, mixing, packing, token_count, url_filter
+from tonestream.llm import ann, chat, exact_dedup, mixing, packing, quality, token_count, url_filter
 from tonestream.llm.common import table
 
 
@@ -53,6 +53,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality.score(docs, quality.learn(docs, labels))
+
+
 #: (rule, verdict); a rule is a host and the beginning of a path.
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
              ("net/fr/", "block"))
@@ -69,7 +75,8 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format, op9_url_filter, op10_nearest)
+        op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format,
+        op6_quality, op9_url_filter, op10_nearest)
 }
 
 SQL: dict[str, str] = {
