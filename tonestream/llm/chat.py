@@ -76,9 +76,11 @@ def _paths(nodes: DataFrame, branches: int) -> DataFrame:
             raise ValueError("the reply links hold a cycle")
         far = last.select(F.col("conv").alias("c"), F.col("node").alias("n"), F.col("to").alias("further"),
                           F.col("score").alias("more"), F.col("steps").alias("on"))
-        jumps.append(materialize(last.join(far, same & (F.col("to") == F.col("n")), "left").select(
+        # branches that have reached their root take no further part
+        further = last.where("to is not null").join(far, same & (F.col("to") == F.col("n")), "left").select(
             "conv", "node", F.col("further").alias("to"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("on", F.lit(0))).alias("steps")), "jump"))
+            (F.col("steps") + F.coalesce("on", F.lit(0))).alias("steps"))
+        jumps.append(materialize(last.where("to is null").unionAll(further), "jump"))
     # total: every node's whole branch; leaves are nodes without a reply
     replied = jumps[0].where("to is not null").select(F.col("conv").alias("c"), F.col("to").alias("n")).distinct()
     leaves = total.join(replied, same & (F.col("node") == F.col("n")), "left_anti")
