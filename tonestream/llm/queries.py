@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonestream.llm import ann, chat, exact_dedup, mixing, packing, quality, suffix_dedup, token_count, url_filter
+from tonestream.llm import ann, chat, exact_dedup, mixing, ngram_join, packing, quality, suffix_dedup, token_count, url_filter
 from tonestream.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.annotate(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 #: (rule, verdict); a rule is a host and the beginning of a path.
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
              ("net/fr/", "block"))
@@ -80,7 +84,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_best_fit_packing, op3_mix_sources, op4_token_count, op5_chat_format,
-        op6_quality, op7_suffix_dedup, op9_url_filter, op10_nearest)
+        op6_quality, op7_suffix_dedup, op8_ngram_join, op9_url_filter, op10_nearest)
 }
 
 SQL: dict[str, str] = {
