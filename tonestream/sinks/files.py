@@ -29,7 +29,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     path = shared_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to infer it
 
 
 def write_metrics_json(report: DataFrame, path: str, mode: str = "overwrite") -> str:
