@@ -6,8 +6,8 @@ Method:
    id and text. A source's blocks in hash order are its permutation.
 2. Sources get targets (weighted shares of all words, stopped at ``max_repeat``
    times their size, the excess reshared). A source's target is met by whole
-   passes over its blocks plus a part pass: permuted blocks up to the remainder,
-   then ``fill`` single blocks that bring the words nearest to it. This gives the
+   passes over its blocks plus a part pass: permuted blocks up to the remainder; ``fill``
+   times over, blocks that still fit, and one more where that is nearer. This gives the
    source's exact quota of block draws.
 3. The quotas of all sources are split among ``2**levels`` output shards by a tree:
    each node's draws are an urn of which the left child receives exactly half
@@ -41,7 +41,7 @@ WEIGHTS = (5, 2, 1)
 BLOCKS = 4096
 MAX_REPEAT = 3
 LEVELS = 4
-FILL = 3
+FILL = 4
 SEED = 20240229
 
 
@@ -76,26 +76,31 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return s.withColumn("target", target).select("source", "source_size", "weight", "target")
 
 
-def _quotas(words: DataFrame, targets: DataFrame, fill: int, seed: int) -> DataFrame:
+def _quotas(words: DataFrame, targets: DataFrame, max_repeat: int, fill: int, seed: int) -> DataFrame:
     """``source, block, words, perm, copies``: how often each block is drawn."""
     same = F.col("source").eqNullSafe(F.col("s"))
     b = words.join(targets.select(F.col("source").alias("s"), "source_size", "target"), same).drop("s")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     b = b.withColumn("passes", passes.cast("long"))
-    b = b.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
     b = b.withColumn("perm", F.row_number().over(
         Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "block"), "block")).cast("long"))
-    so_far = Window.partitionBy("source").orderBy("perm").rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("part", F.sum("words").over(so_far) <= F.col("rest"))
     mine = Window.partitionBy("source")
-    for _ in range(fill):
-        short = F.col("rest") - F.coalesce(F.sum(F.when(F.col("part"), F.col("words"))).over(mine), F.lit(0))
+    so_far = mine.orderBy("copies", "perm").rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("copies", F.col("passes"))
+    short = F.col("target") - F.sum(F.col("copies") * F.col("words")).over(mine)
+    for _ in range(fill):  # permuted blocks that still fit, those drawn least first
         b = b.withColumn("short", short)
-        nearer = ~F.col("part") & (F.abs(F.col("short") - F.col("words")) < F.abs(F.col("short")))
-        b = b.withColumn("off", F.when(nearer, F.abs(F.col("short") - F.col("words"))))
-        first = Window.partitionBy("source").orderBy(F.col("off").asc_nulls_last(), "perm")
-        b = b.withColumn("part", F.col("part") | (F.col("off").isNotNull() & (F.row_number().over(first) == 1)))
-    return b.select("source", "block", "words", "perm", (F.col("passes") + F.col("part").cast("long")).alias("copies"))
+        fits = (F.col("copies") < max_repeat) & (F.col("words") > 0) & (F.col("words") <= F.col("short"))
+        upto = F.sum(F.when(fits, F.col("words"))).over(so_far)
+        b = b.withColumn("more", (fits & (upto <= F.col("short"))).cast("long"))
+        b = b.withColumn("copies", F.col("copies") + F.col("more"))
+    # and one block more where that ends nearer to the target
+    b = b.withColumn("short", short)
+    over = F.col("words") - F.col("short")
+    b = b.withColumn("over", F.when((F.col("copies") < max_repeat) & (over > 0) & (over < F.col("short")), over))
+    last = F.row_number().over(mine.orderBy(F.col("over").asc_nulls_last(), "perm")) == 1
+    copies = F.col("copies") + (F.col("over").isNotNull() & last).cast("long")
+    return b.select("source", "block", "words", "perm", copies.alias("copies"))
 
 
 def _tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
@@ -126,7 +131,7 @@ def draws(df: DataFrame, weights=WEIGHTS, id_col: str = "doc_id", text_col: str
     words = materialize(docs.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix_blocks")
     targets = materialize(source_targets(
         words.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_repeat), "mix_targets")
-    quotas = materialize(_quotas(words, targets, fill, seed), "mix_quotas")
+    quotas = materialize(_quotas(words, targets, max_repeat, fill, seed), "mix_quotas")
     tree = _tree(quotas, levels, seed)
     # a shard's run of the source's draws in permuted order: pass by pass, block by block
     upto = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)

@@ -14,10 +14,9 @@ Method:
    what is left of both sets behind the shared position can still reach the similarity.
 3. Candidates are verified by vertical partitioning: sets are cut into ``FRAGMENTS`` fragments of the order by hash, the
    overlap of a pair is counted in each fragment by itself, and the counts are summed per pair.
-4. No bucket expands into all its pairs. First each bucket's sets meet only its first one; then, where
-   several groups are left in a bucket, only the sets outside its largest group meet one of that group; last,
-   only sets of different groups meet each other. After the last step each pair that could link is linked, or was
-   compared, or is in one group already, so the groups are exact.
+4. No bucket expands into all its pairs. First each bucket's sets meet only two of it; then, where
+   several groups are left in a bucket, the sets outside its largest group meet those of other groups. After that
+   each pair that could link was compared or is in one group already, so the groups are exact.
 
 Shingles and sets are told apart by 64-bit hashes (sets also by size).
 
@@ -45,6 +44,10 @@ WORDS, PERCENT, HOT, FRAGMENTS = 5, 80, 32, 8
 HOT_LIMIT = 1 << 20
 #: Shingles that a task counts together.
 COUNTED = 1 << 21
+#: Bytes of text that are hashed together.
+STRETCH = 1 << 20
+#: Buckets up to this size are searched for sets that can't link with any other in it.
+SEARCHED = 4096
 #: Most class ids whose texts are looked up by a broadcast; beyond it by a shuffle.
 BROADCAST_IDS = 1 << 18
 SPACE = np.zeros(256, bool)
@@ -53,28 +56,67 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def shingles(text: np.ndarray, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text's bytes."""
-    text = LOWER[text]
-    edges = np.flatnonzero(np.diff(np.r_[False, ~SPACE[text], False].astype(np.int8)))
-    start, stop = edges[::2], edges[1::2]
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    hashed = Ranges(text, FIRST).hash(start, stop)
-    take = min(words, len(hashed))
-    first = np.arange(len(hashed) - take + 1)
-    return np.unique(Ranges(hashed, SECOND).hash(first, first + take) ^ np.uint64(take))
-
-
-def set_hash(tokens: np.ndarray) -> int:
-    """A hash of a sorted set, as a signed 64-bit number."""
-    whole = Ranges(tokens, SECOND).hash(np.zeros(1, np.int64), np.array([len(tokens)]))
-    return int(mix(whole ^ np.uint64(len(tokens))).view(np.int64)[0])
-
-
-def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
-    for t in column.to_pylist():
-        yield shingles(np.frombuffer(t.encode() if t else b"", np.uint8), words)
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of the bytes begins, and its hash with A-Z lower-cased."""
+    begins, hashed, a = [], [], 0
+    while a < len(data):
+        b = a + STRETCH
+        while b < len(data) and not SPACE[data[b]]:  # cut at white space only
+            ahead = np.flatnonzero(SPACE[data[b:b + STRETCH]])
+            b = b + int(ahead[0]) if len(ahead) else b + STRETCH
+        part = LOWER[data[a:b]]
+        edges = np.flatnonzero(np.diff(np.r_[False, ~SPACE[part], False].astype(np.int8)))
+        begins.append(edges[::2] + a)
+        hashed.append(Ranges(part, FIRST).hash(edges[::2], edges[1::2]))
+        a = b
+    return (np.concatenate(begins), np.concatenate(hashed)) if begins else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted hashes of its distinct shingles."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    begins, hashed = word_hashes(np.frombuffer(b" ".join(texts), np.uint8))
+    upto = np.searchsorted(begins, ends)
+    since = np.r_[0, upto[:-1]]
+    many = np.maximum(upto - since, 0)
+    line = Ranges(hashed, SECOND)
+    first = np.arange(max(0, len(hashed) - words + 1))
+    full = line.hash(first, first + words)
+    short = np.flatnonzero((many > 0) & (many < words))
+    alone = dict(zip(short.tolist(), line.hash(since[short], upto[short]) ^ many[short].astype(np.uint64), strict=True))
+    out = []
+    for i, (a, b) in enumerate(zip(since.tolist(), upto.tolist(), strict=True)):
+        if b - a >= words:
+            own = np.sort(full[a:b - words + 1])
+            out.append(own[np.r_[True, own[1:] != own[:-1]]])
+        else:
+            out.append(np.array([alone[i]] if i in alone else [], np.uint64))
+    return out
+
+
+def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
+    """A hash of each set, as signed 64-bit numbers; 0 for empty ones."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    out = np.zeros(len(sets), np.uint64)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        with np.errstate(over="ignore"):
+            sums = np.add.reduceat(mix(np.concatenate(sets) ^ np.uint64(SECOND)), (np.cumsum(sizes) - sizes)[filled])
+            out[filled] = mix(sums + sizes[filled].astype(np.uint64) * np.uint64(FIRST))
+    return out.view(np.int64)
+
+
+def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sets of a column of texts, in groups of bounded size, with the row of the group's first."""
+    texts = [t.encode() if t else b"" for t in column.to_pylist()]
+    a = 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size + len(texts[b]) <= STRETCH):
+            size += len(texts[b])
+            b += 1
+        yield a, shingle_sets(texts[a:b], words)
+        a = b
 
 
 def _survey(rows: DataFrame, words: int) -> DataFrame:
@@ -95,10 +137,12 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
 
         for batch in batches:
             s, n = [], []
-            for tokens in _sets(batch.column(2), words):
-                s.append(set_hash(tokens)), n.append(len(tokens))
-                waiting.append(tokens)
-                size += len(tokens)
+            for _, sets in _sets(batch.column(2), words):
+                s.append(set_hashes(sets))
+                n += map(len, sets)
+                waiting += sets
+                size += sum(map(len, sets))
+            s = np.concatenate(s) if s else np.zeros(0, np.int64)
             none = [pa.nulls(len(s), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int64()), *none], names=names)
             if size > COUNTED:
@@ -120,41 +164,82 @@ def _prefixes(rows: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, p
         met: set[int] = set()
         for batch in batches:
             cols = [], [], [], []
-            for own in _sets(batch.column(2), words):
-                n = len(own)
-                if not n or (s := set_hash(own)) in met:
+            for _, sets in _sets(batch.column(2), words):
+                named = zip(set_hashes(sets).tolist(), sets, strict=True)
+                new = [(s, own) for s, own in named if len(own) and s not in met and not met.add(s)]
+                if not new:
                     continue
-                met.add(s)
-                at = np.minimum(np.searchsorted(tokens, own), max(0, len(tokens) - 1))
-                seen = np.where(tokens[at] == own, often[at], 0) if len(tokens) else np.zeros(n, np.int64)
-                first = own[np.lexsort((own, seen))[:n - -(-percent * n // 100) + 1]]
-                for col, value in zip(cols, (first.view(np.int64), np.full(len(first), s), np.full(len(first), n), np.arange(len(first))), strict=True):
-                    col.append(value)
+                every = np.concatenate([own for _, own in new])
+                at = np.minimum(np.searchsorted(tokens, every), max(0, len(tokens) - 1))
+                common = np.where(tokens[at] == every, often[at], 0) if len(tokens) else np.zeros(len(every), np.int64)
+                a = 0
+                for s, own in new:
+                    n = len(own)
+                    wanted, seen = n - -(-percent * n // 100) + 1, common[a:a + n]
+                    a += n
+                    first = own[seen == 0][:wanted]  # by hash already; the frequent ones follow by their number
+                    if len(first) < wanted:
+                        late = np.flatnonzero(seen)
+                        first = np.r_[first, own[late[np.lexsort((own[late], seen[late]))[:wanted - len(first)]]]]
+                    for col, value in zip(cols, (first.view(np.int64), np.full(wanted, s), np.full(wanted, n), np.arange(wanted)), strict=True):
+                        col.append(value)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["t", "s", "n", "i"])
 
     return rows.mapInArrow(run, "t long, s long, n long, i long")
 
 
-def _shared(prefixes: DataFrame) -> DataFrame:
-    """The rows of buckets with more than one set, each set once."""
+def _partners(rows: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows (t, s, n, i), whole buckets in order, can link with another of their bucket."""
+    start = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]]) if len(rows) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[start, len(rows)])
+    left, n = (rows[:, 2] - rows[:, 3]) * (100 + percent), rows[:, 2] * percent
+    keep = np.zeros(len(rows), bool)
+    for m in np.unique(sizes[sizes > 1]).tolist():
+        at = start[sizes == m]
+        together = max(1, (1 << 20) // (m * m))
+        for k in range(0, len(at), together):
+            own = at[k:k + together, None] + np.arange(m)
+            for block in range(0, m, 256):  # a part of a large bucket's rows against all of them
+                some = own[:, block:block + 256]
+                fits = np.minimum(left[some][:, :, None], left[own][:, None]) >= n[some][:, :, None] + n[own][:, None]
+                fits &= some[:, :, None] != own[:, None]
+                keep[some] = fits.any(axis=2)
+    return keep
+
+
+def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
+    """The rows of buckets with more than one set, each set once, without those that can't link in it.
+
+    Buckets of more than ``SEARCHED`` sets pass whole, as they come.
+    """
+    names = ["t", "s", "n", "i"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, was = None, False  # the last row, and whether the row before shares its bucket
+        held, large = np.zeros((0, 4), np.int64), False  # the last bucket so far, or its last row if it is large
         for batch in batches:
-            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            if held is not None:
-                rows = np.concatenate([held, rows])
-            new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]
-            rows = rows[new]
-            same = rows[1:, 0] == rows[:-1, 0]
-            keep = np.r_[was, same] | np.r_[same, False]
-            held, was = rows[-1:], bool(same[-1]) if len(same) else was
-            out = rows[:-1][keep[:-1]]
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
+            rows = rows[np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]]
+            cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+            whole, held = rows[:cut], rows[cut:]
+            out = []
+            if large:  # its first row has been passed on already
+                end = int(np.searchsorted(rows[:, 0], rows[0, 0], side="right"))
+                out.append(rows[1:end])
+                if end == len(rows):
+                    whole, held = rows[:0], rows[-1:]
+                else:
+                    whole, large = rows[end:cut], False
+            out.append(whole[_partners(whole, percent)])
+            if not large and len(held) > SEARCHED:
+                out.append(held)
+                held, large = held[-1:], True
+            out = np.concatenate(out)
             if len(out):
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, j]) for j in range(4)], names=["t", "s", "n", "i"])
-        if held is not None and was:
-            yield pa.RecordBatch.from_arrays([pa.array(held[:, j]) for j in range(4)], names=["t", "s", "n", "i"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, j]) for j in range(4)], names=names)
+        if not large and len(held):
+            out = held[_partners(held, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, j]) for j in range(4)], names=names)
 
     return prefixes.repartition("t").sortWithinPartitions("t", "s").mapInArrow(run, "t long, s long, n long, i long")
 
@@ -187,12 +272,12 @@ def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s, part, out = [], [], []
-            for own in _sets(batch.column(0), words):
-                cut = np.searchsorted(own, (np.arange(1, FRAGMENTS) * (2**64 // FRAGMENTS)).astype(np.uint64))
-                whole = set_hash(own)
-                for f, tokens in enumerate(np.split(own, cut)):
-                    if len(tokens):
-                        s.append(whole), part.append(f), out.append(tokens.view(np.int64))
+            for _, sets in _sets(batch.column(0), words):
+                for whole, own in zip(set_hashes(sets).tolist(), sets, strict=True):
+                    cut = np.searchsorted(own, (np.arange(1, FRAGMENTS) * (2**64 // FRAGMENTS)).astype(np.uint64))
+                    for f, tokens in enumerate(np.split(own, cut)):
+                        if len(tokens):
+                            s.append(whole), part.append(f), out.append(tokens.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(part, pa.int32()), pa.array(out, pa.list_(pa.int64()))],
                                              names=["s", "part", "tokens"])
 
@@ -207,10 +292,10 @@ def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, p
 def _grouped(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """The rows of buckets that hold several groups, with their group ``g``."""
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    with_group = buckets.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
-        "t", "s", "n", "i", F.coalesce("root", "s").alias("g"))
+    with_group = materialize(buckets.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
+        "t", "s", "n", "i", F.coalesce("root", "s").alias("g")), "named")
     mixed = with_group.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("t")
-    return materialize(with_group.join(mixed, "t"), "grouped")
+    return with_group.join(mixed, "t")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
@@ -227,17 +312,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         F.col("seen") > max(hot, total // HOT_LIMIT)).toPandas()  # at most HOT_LIMIT rows
     tokens = frequent["t"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    buckets = materialize(_shared(_prefixes(rows, (tokens[order], frequent["seen"].to_numpy(np.int64)[order]), words, percent)), "buckets")
+    order = (tokens[order], frequent["seen"].to_numpy(np.int64)[order])
+    buckets = materialize(_shared(_prefixes(rows, order, words, percent), percent), "buckets")
     classes = materialize(docs.where("n > 0").groupBy("s").agg(F.first("id").alias("id"), F.first("k").alias("k")), "classes")
-    # every set with the first of its bucket
-    first = buckets.groupBy("t").agg(F.min_by("n", "s").alias("n"), F.min_by("i", "s").alias("i"), F.min("s").alias("s"))
-    links = _verify(_candidates(buckets, first, percent, False), rows, classes, words, percent)
-    # sets outside a bucket's largest group with one inside it
-    left = _grouped(buckets, links)
-    sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"), *[F.min_by(c, "s").alias(c) for c in ("n", "i")], F.min("s").alias("s"))
-    lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g", "s", "n", "i")).alias("m")).select("t", "m.s", "m.n", "m.i", "m.g")
-    links = materialize(links.unionAll(_verify(_candidates(left, lead, percent, True), rows, classes, words, percent)), "links")
-    # whatever is still in different groups
+    # every set with two of its bucket: the one with the fewest rare shingles, nearest to what all share, and any one
+    ends = [buckets.groupBy("t").agg(F.min(F.struct(*key)).alias("m")).select("t", "m.s", "m.n", "m.i") for key in (("i", "s", "n"), ("s", "n", "i"))]
+    links = _verify(_candidates(buckets, ends[0].unionAll(ends[1]), percent, False), rows, classes, words, percent)
+    # where several groups are left in a bucket, the sets outside its largest with all of other groups
     left = _grouped(buckets, links)
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))

@@ -47,18 +47,21 @@ END_ID = 0
 TABLE_LIMIT = 1_000_000
 #: White space on which libraries disagree, or that normalisers treat in ways of their own.
 ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-#: Letters without context in normal forms or lower case (all below the first combining mark, no dotted I),
-#: and marks that follow a word and make one run with each other.
-PLAIN, MARKS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+"), "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The pieces that the splitter makes of lower-case Latin-1 text (its letters, numbers and white space), and that lower case.
+LATIN = re.compile(b"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:[stmd]|re|ve|ll)"
+                   b"|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+")
+LOWER = bytes(c + 32 if 65 <= c <= 90 or 0xC0 <= c <= 0xDE and c != 0xD7 else c for c in range(256))
+#: Characters of a text that are split together, cut at a space.
+STRETCH = 1 << 20
 #: Words longer than this aren't kept in the table.
 LONG_WORD = 48
 
 
 class WordIds:
-    """Ids of texts for tokenizers that drop white space: words are encoded once each.
+    """Ids of texts for the tokenizer that lower-cases and drops white space: pieces are encoded once each.
 
-    Such a tokenizer treats each run between white space by itself, so a text's ids are
-    those of its words in order. Texts with unusual white space are encoded whole.
+    Latin-1 text is split as the tokenizer splits it. Other text is cut at white space, as each run in between is
+    treated by itself; texts with unusual white space or special strings are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -66,6 +69,7 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters, self.runs = byte_letters(), {}
         a, b = (self._whole(x) for x in ("to be  or\nnot", "not\t to"))
         if a + b != b"".join(map(self._whole, "to be or not not to".split())):
@@ -76,30 +80,43 @@ class WordIds:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _run(self, run: str) -> bytes:
-        """Ids of a run of lower-case letters, or of marks, straight from the merges."""
+    def _run(self, run: bytes) -> bytes:
+        """Ids of a piece, given in lower-case Latin-1, straight from the merges."""
         if run not in self.runs:
-            made = self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(self.letters))
+            made = self.tokenizer.model.tokenize(run.decode("latin-1").encode().decode("latin-1").translate(self.letters))
             self.runs[run] = struct.pack(f"<{len(made)}I", *(t.id for t in made))
         return self.runs[run]
 
-    def _word(self, word: str) -> bytes:
-        letters = word.rstrip(MARKS)
-        if PLAIN.fullmatch(letters):
-            return self._run(letters.lower()) + (self._run(word[len(letters):]) if len(letters) < len(word) else b"")
-        return self._whole(word)
+    def _latin(self, raw: bytes) -> bytes:
+        found, runs, a = [], self.runs, 0
+        while a < len(raw):
+            b = raw.find(b" ", a + STRETCH)
+            pieces = LATIN.findall(raw, a, len(raw) if b < 0 else b)
+            ids = list(map(runs.get, pieces))
+            if None in ids:
+                if len(runs) > TABLE_LIMIT:
+                    runs.clear()
+                ids = list(map(self._run, pieces))
+            found.append(b"".join(ids))
+            a = len(raw) if b < 0 else b
+        return b"".join(found)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
+        if any(special in text for special in self.specials):
+            return self._whole(text)
+        try:
+            return self._latin(text.encode("latin-1").translate(LOWER))
+        except UnicodeEncodeError:  # other letters
+            pass
         if ODD.search(text):
             return self._whole(text)
         words = text.split()
         found = list(map(self.table.get, words))
         if None in found:
-            for kept in (self.table, self.runs):
-                if len(kept) > TABLE_LIMIT:
-                    kept.clear()
-            more = {w: self._word(w) for w in dict.fromkeys(words) if w not in self.table}
+            if len(self.table) > TABLE_LIMIT:
+                self.table.clear()
+            more = {w: self._whole(w) for w in dict.fromkeys(words) if w not in self.table}
             self.table.update((w, i) for w, i in more.items() if len(w) <= LONG_WORD)
             found = [more[w] if a is None else a for w, a in zip(words, found, strict=True)]
         return b"".join(found)
