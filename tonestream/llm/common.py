@@ -32,6 +32,11 @@ def text_or_empty(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def key_of(c: Column) -> Column:
+    """An id as a string that is never null and differs for different ids, for equi-joins whose partitioning a window shares."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of texts small unless the session asks for smaller ones."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -66,4 +71,4 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-__all__ = ["byte_letters", "WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]
+__all__ = ["byte_letters", "key_of", "WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]

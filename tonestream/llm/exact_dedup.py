@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonestream.llm.common import ascii_lower, fresh, text_or_empty
+from tonestream.llm.common import ascii_lower, fresh, key_of, text_or_empty
 
 KEEP = {"min": F.min, "max": F.max}
 
@@ -56,11 +56,12 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
           normalise=ascii_lower) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
-    row, n, h, s, k = fresh(df, "row", "norm", "hash", "sha", "keep")
-    groups = _groups(_keyed(df, id_col, text_col, normalise), keep).select(
-        F.col("hash").alias(h), F.col("sha").alias(s), F.col("keep_id").alias(k))
-    rows = df.select(F.struct("*").alias(row), F.col(id_col).alias("id"), normalise(text_or_empty(text_col)).alias(n))
-    rows = rows.select(row, "id", F.unhex(F.md5(n)).alias(h), F.unhex(F.sha2(n, 256)).alias(s))
-    stay = rows.join(groups, [h, s]).where(F.col("id").eqNullSafe(F.col(k)))
-    once = Window.partitionBy(h, s).orderBy("id")
-    return stay.withColumn("nth", F.row_number().over(once)).where("nth = 1").select(f"{row}.*")
+    (row,) = fresh(df, "row")
+    groups = _groups(_keyed(df, id_col, text_col, normalise), keep).select("hash", "sha", key_of(F.col("keep_id")).alias("key"))
+    norm = normalise(text_or_empty(text_col))
+    rows = df.select(F.struct("*").alias(row), key_of(F.col(id_col)).alias("key"), norm.alias("norm")).select(
+        row, "key", F.unhex(F.md5("norm")).alias("hash"), F.unhex(F.sha2("norm", 256)).alias("sha"))
+    # the row that stays is found by its id too, so that a large group's rows are spread
+    once = Window.partitionBy("hash", "sha", "key").orderBy("key")
+    stay = rows.join(groups, ["hash", "sha", "key"]).withColumn("nth", F.row_number().over(once))
+    return stay.where("nth = 1").select(f"{row}.*")

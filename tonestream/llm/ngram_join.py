@@ -12,7 +12,8 @@ Method:
 2. The first fragment of a set in that order is its prefix: linked sets share a shingle in both
    prefixes. Prefix shingles meet in a bucket each, with their position; a pair is a candidate only where
    what is left of both sets behind the shared position can still reach the similarity.
-3. Candidates are verified by vertical partitioning: sets are cut into ``FRAGMENTS`` fragments of the order by hash, the
+3. Candidates are verified by vertical partitioning, twice: each set's numbers of shingles in ``BINS`` narrow fragments
+   bound a pair's overlap and leave out most pairs; for the others sets are cut into ``FRAGMENTS`` fragments, the
    overlap of a pair is counted in each fragment by itself, and the counts are summed per pair.
 4. No bucket expands into all its pairs. First each bucket's sets meet only two of it; then, where
    several groups are left in a bucket, the sets outside its largest group meet those of other groups. After that
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonestream.llm.byte_hash import FIRST, SECOND, Ranges, mix
-from tonestream.llm.common import fresh, materialize, small_batches, text_or_empty
+from tonestream.llm.common import fresh, key_of, materialize, small_batches, text_or_empty
 from tonestream.llm.components import components
 
 WORDS, PERCENT, HOT, FRAGMENTS = 5, 80, 32, 8
@@ -44,6 +45,8 @@ WORDS, PERCENT, HOT, FRAGMENTS = 5, 80, 32, 8
 HOT_LIMIT = 1 << 20
 #: Shingles that a task counts together.
 COUNTED = 1 << 21
+#: Bins of a set's sketch, and the most that a bin can say.
+BINS, FULL = 256, 32767
 #: Bytes of text that are hashed together.
 STRETCH = 1 << 20
 #: Buckets up to this size are searched for sets that can't link with any other in it.
@@ -106,6 +109,15 @@ def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketches(sets: list[np.ndarray]) -> pa.Array:
+    """For each set how many of its shingles fall into each bin of the hash order."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    counts = np.bincount(row * BINS + (every >> np.uint64(56)).astype(np.int64), minlength=len(sets) * BINS)
+    offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BINS)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.minimum(counts, FULL).astype(np.int16)))
+
+
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The sets of a column of texts, in groups of bounded size, with the row of the group's first."""
     texts = [t.encode() if t else b"" for t in column.to_pylist()]
@@ -120,7 +132,7 @@ def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]
 
 
 def _survey(rows: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: ``id, k, s, n`` of each document, and ``t, seen`` of shingles met again in a task."""
+    """Rows of two kinds: ``id, k, s, n, sketch`` of each document, and ``t, seen`` of shingles met again in a task."""
 
     def count(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         t, seen = np.unique(np.concatenate(found), return_counts=True)
@@ -128,23 +140,25 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
-        names = ["id", "k", "s", "n", "t", "seen"]
+        names = ["id", "k", "s", "n", "sketch", "t", "seen"]
 
         def counted(kind: pa.DataType) -> pa.RecordBatch:
             t, seen = count(waiting)
-            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64())]
+            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()))]
             return pa.RecordBatch.from_arrays([*none, pa.array(t), pa.array(seen)], names=names)
 
         for batch in batches:
-            s, n = [], []
+            s, n, bins = [], [], []
             for _, sets in _sets(batch.column(2), words):
                 s.append(set_hashes(sets))
+                bins.append(sketches(sets))
                 n += map(len, sets)
                 waiting += sets
                 size += sum(map(len, sets))
             s = np.concatenate(s) if s else np.zeros(0, np.int64)
             none = [pa.nulls(len(s), pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int64()), *none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int64()),
+                                                   pa.concat_arrays(bins) if bins else pa.array([], pa.list_(pa.int16())), *none], names=names)
             if size > COUNTED:
                 yield counted(batch.column(0).type)
                 waiting, size = [], 0
@@ -152,7 +166,7 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
             yield counted(batch.column(0).type)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, t long, seen long")
+    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, sketch array<short>, t long, seen long")
 
 
 def _prefixes(rows: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
@@ -260,9 +274,19 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int, grouped: bool)
         F.col("p.s").alias("x"), F.col("p.n").alias("nx"), F.col("q.s").alias("y"), F.col("q.n").alias("ny")).distinct()
 
 
-def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def _reachable(pairs: DataFrame, survey: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow the similarity: an overlap is at most the sum over bins of the smaller count."""
+    used = pairs.select(F.col("x").alias("u")).unionAll(pairs.select("y")).distinct()
+    known = materialize(survey.join(used, F.col("s") == F.col("u"), "left_semi").select("s", "sketch").dropDuplicates(["s"]), "sketches")
+    both = pairs.join(known.alias("a"), F.expr("x = a.s")).join(known.alias("b"), F.expr("y = b.s"))
+    least = F.zip_with("a.sketch", "b.sketch", lambda a, b: F.when((a == FULL) & (b == FULL), F.lit(1 << 40)).otherwise(F.least(a, b).cast("long")))
+    most = F.aggregate(least, F.lit(0).cast("long"), lambda total, m: total + m)
+    return both.where(most * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))).select("x", "nx", "y", "ny")
+
+
+def _verify(pairs: DataFrame, rows: DataFrame, survey: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``x, y`` that link, by overlaps counted per fragment and summed."""
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(_reachable(materialize(pairs, "pairs"), survey, percent), "pairs")
     used = pairs.select(F.col("x").alias("s")).unionAll(pairs.select(F.col("y").alias("s"))).distinct()
     wanted = materialize(used.join(classes, "s").select(F.col("id").alias("i"), F.col("k").alias("j")), "wanted")
     if wanted.count() <= BROADCAST_IDS:
@@ -282,9 +306,11 @@ def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, p
                                              names=["s", "part", "tokens"])
 
     parts = materialize(texts.mapInArrow(run, "s long, part int, tokens array<long>").dropDuplicates(["s", "part"]), "fragments")
-    a = parts.select(F.col("s").alias("x"), "part", F.col("tokens").alias("a"))
-    b = parts.select(F.col("s").alias("y"), "part", F.col("tokens").alias("b"))
-    met = pairs.join(a, "x").join(b, ["y", "part"]).select("x", "y", "nx", "ny", F.size(F.array_intersect("a", "b")).alias("o"))
+    # both joins use the same key, so the fragments are dealt out once
+    each = pairs.withColumn("f", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)])))
+    met = each.join(parts.alias("b"), F.expr("y = b.s and f = b.part")).select("x", "y", "nx", "ny", "f", F.col("b.tokens").alias("theirs"))
+    met = met.join(parts.alias("a"), F.expr("x = a.s and f = a.part")).select(
+        "x", "y", "nx", "ny", F.size(F.array_intersect("a.tokens", "theirs")).alias("o"))
     summed = met.groupBy("x", "y", "nx", "ny").agg(F.sum("o").alias("o"))
     return materialize(summed.where(F.col("o") * 100 >= percent * (F.col("nx") + F.col("ny") - F.col("o"))).select("x", "y"), "links")
 
@@ -307,6 +333,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
     survey = materialize(_survey(rows, words), "survey")
     docs = survey.where("n is not null").select("id", "k", "s", "n")
+    sets = survey.where("n > 0").select("s", "sketch")
     total = docs.agg(F.sum("n")).first()[0] or 0
     frequent = survey.where("seen is not null").groupBy("t").agg(F.sum("seen").alias("seen")).where(
         F.col("seen") > max(hot, total // HOT_LIMIT)).toPandas()  # at most HOT_LIMIT rows
@@ -317,13 +344,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     classes = materialize(docs.where("n > 0").groupBy("s").agg(F.first("id").alias("id"), F.first("k").alias("k")), "classes")
     # every set with two of its bucket: the one with the fewest rare shingles, nearest to what all share, and any one
     ends = [buckets.groupBy("t").agg(F.min(F.struct(*key)).alias("m")).select("t", "m.s", "m.n", "m.i") for key in (("i", "s", "n"), ("s", "n", "i"))]
-    links = _verify(_candidates(buckets, ends[0].unionAll(ends[1]), percent, False), rows, classes, words, percent)
+    links = _verify(_candidates(buckets, ends[0].unionAll(ends[1]), percent, False), rows, sets, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
     left = _grouped(buckets, links)
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
     outside = left.join(lead, "t").where("g <> main").select("t", "s", "n", "i", "g")
-    links = links.unionAll(_verify(_candidates(outside, left, percent, True), rows, classes, words, percent))
+    links = links.unionAll(_verify(_candidates(outside, left, percent, True), rows, sets, classes, words, percent))
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     member = docs.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
         "id", "k", "n", F.when(F.col("n") > 0, F.coalesce("root", "s")).alias("g"))
@@ -341,11 +368,9 @@ def keep(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **option
     """One row of each group, that with the smallest id, with all its columns; rows without words all stay."""
     found = groups(df, id_col=id_col, text_col=text_col, **options)
     named = found.where(F.col("g").isNotNull() & F.col("id").eqNullSafe(F.col("first"))).groupBy("g").agg(
-        F.first("id").alias("i"), F.min("k").alias("j")).select("i", "j", F.lit(True).alias("words"))
-    bare = found.where("g is null").select(F.col("id").alias("i"), F.col("k").alias("j"), F.lit(False).alias("words")).distinct()
+        F.first("id").alias("id"), F.min("k").alias("k")).select(key_of(F.col("id")).alias("key"), "k", F.lit(True).alias("words"))
+    bare = found.where("g is null").select(key_of(F.col("id")).alias("key"), "k", F.lit(False).alias("words")).distinct()
     (row,) = fresh(df, "row")
-    stay = named.unionAll(bare)
-    rows = df.select(F.struct("*").alias(row), F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("k"))
-    both = rows.join(stay, F.col("id").eqNullSafe(F.col("i")) & (F.col("k") == F.col("j")))
-    once = Window.partitionBy("id", "k").orderBy("words")
-    return both.withColumn("nth", F.row_number().over(once)).where("nth = 1 or not words").select(f"{row}.*")
+    rows = df.select(F.struct("*").alias(row), key_of(F.col(id_col)).alias("key"), F.xxhash64(text_or_empty(text_col)).alias("k"))
+    once = Window.partitionBy("key", "k").orderBy("words")
+    return rows.join(named.unionAll(bare), ["key", "k"]).withColumn("nth", F.row_number().over(once)).where("nth = 1 or not words").select(f"{row}.*")
