@@ -61,6 +61,20 @@ def literal_table(spark: SparkSession, rows: str, schema: str) -> DataFrame:
     return spark.range(1).select(F.explode(parsed).alias("r")).select("r.*")
 
 
+def once_a_worker(name: str, make):
+    """What ``make`` returns, made once in each Python worker and kept for its later tasks.
+
+    Only for tables that speed work up and whose content changes no result.
+    """
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("tonestream_worker_tables", types.ModuleType("tonestream_worker_tables")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that byte-level tokenizers write for each byte of UTF-8, read off the library."""
     from tokenizers.pre_tokenizers import ByteLevel
@@ -71,4 +85,4 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-__all__ = ["byte_letters", "key_of", "WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]
+__all__ = ["once_a_worker", "byte_letters", "key_of", "WORD", "table", "ascii_lower", "text_or_empty", "small_batches", "fresh", "literal_table", "materialize"]

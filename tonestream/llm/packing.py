@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonestream.llm.common import byte_letters, materialize, small_batches
+from tonestream.llm.common import byte_letters, materialize, once_a_worker, small_batches
 
 CAPACITY = 2048
 END_ID = 0
@@ -131,7 +131,7 @@ def pieces(df: DataFrame, path: str, id_col: str, text_col: str, capacity: int,
     end = struct.pack("<I", END_ID)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task, seen = WordIds(path), TaskContext.get().partitionId(), defaultdict(int)
+        words, task, seen = once_a_worker(f"words {path}", lambda: WordIds(path)), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             row, piece, start, length, crc, nth, raw = [], [], [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonestream.llm.common import byte_letters, small_batches
+from tonestream.llm.common import byte_letters, once_a_worker, small_batches
 
 #: Most pre-tokens whose counts a worker keeps; beyond it the table starts anew.
 TABLE_LIMIT = 1_000_000
@@ -222,7 +222,7 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     kinds = spark.sparkContext.broadcast(char_classes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path, kinds.value)
+        counter = once_a_worker(f"counter {path}", lambda: Counter(path, kinds.value))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counter.counts(texts), pa.int64()), batch.column(2)],
