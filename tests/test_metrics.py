@@ -22,11 +22,11 @@ GOLDEN_ACCURACY = 0.7834351022565332
 
 
 def _counts(spark, tn, fp, fn, tp):
-    return spark.createDataFrame([(tn, fp, fn, tp)], "tn bigint, fp bigint, fn bigint, tp bigint")
+    return spark.createDataFrame([(0.0, 0.0, tn), (0.0, 1.0, fp), (1.0, 0.0, fn), (1.0, 1.0, tp)], "label double, prediction double, n bigint")
 
 
 def test_golden_report(spark):
-    rows = {r["class"]: r for r in metrics.report_from_counts(_counts(spark, *GOLDEN_COUNTS)).collect()}
+    rows = {r["class"]: r for r in metrics.report_from_cells(_counts(spark, *GOLDEN_COUNTS)).collect()}
     for k, (p, r, f, s) in GOLDEN.items():
         assert rows[k].precision == pytest.approx(p, abs=1e-12)
         assert rows[k].recall == pytest.approx(r, abs=1e-12)
@@ -37,7 +37,7 @@ def test_golden_report(spark):
 
 
 def test_zero_division_is_zero(spark):
-    rows = {r["class"]: r for r in metrics.report_from_counts(_counts(spark, 0, 0, 0, 5)).collect()}
+    rows = {r["class"]: r for r in metrics.report_from_cells(_counts(spark, 0, 0, 0, 5)).collect()}
     assert rows["0"].precision == 0.0 and rows["0"].recall == 0.0 and rows["0"].f1 == 0.0
     assert rows["1"].f1 == 1.0
 
@@ -58,6 +58,23 @@ def test_accuracy_and_matrix(spark):
     assert m1 == {0: (0, 0), 1: (1, 0)}
 
 
+def test_more_than_two_classes(spark):
+    df = _pairs(spark, [(0, 0.0), (4, 4.0), (4, 2.0), (2, 2.0), (1, 4.0), (None, 1.0), (1, None)])
+    rows = {r["class"]: (r.precision, r.recall, r.f1, r.support) for r in metrics.class_report(df).collect()}
+    assert rows["0"] == (1.0, 1.0, 1.0, 1) and rows["1"] == (0.0, 0.0, 0.0, 1)
+    assert rows["2"] == (0.5, 1.0, pytest.approx(2 / 3), 1) and rows["4"] == (0.5, 0.5, 0.5, 2)
+    assert rows["accuracy"][2:] == (0.6, 5) and rows["macro avg"][0] == 0.5 and rows["weighted avg"][1] == pytest.approx(0.6)
+    m = {r.target: (r.pred_0, r.pred_1, r.pred_2, r.pred_4) for r in metrics.confusion_matrix(df).collect()}
+    assert m == {0: (1, 0, 0, 0), 1: (0, 0, 0, 1), 2: (0, 0, 1, 0), 4: (0, 0, 1, 1)}
+    with pytest.raises(ValueError):
+        metrics.confusion_matrix(df, labels=[0, 1])
+
+
+def test_report_of_nothing(spark):
+    rows = {r["class"]: (r.f1, r.support) for r in metrics.class_report(_pairs(spark, [(None, 1.0)])).collect()}
+    assert rows == {"accuracy": (0.0, 0), "macro avg": (0.0, 0), "weighted avg": (0.0, 0)}
+
+
 def test_distribution(spark):
     df = spark.createDataFrame([("Positive",)] * 2 + [("Negative",)] + [(None,)], "sentiment string")
     got = [tuple(r) for r in metrics.sentiment_distribution(df).collect()]
@@ -65,7 +82,7 @@ def test_distribution(spark):
 
 
 def test_metrics_json_round_trip(spark, tmp_path):
-    report = metrics.report_from_counts(_counts(spark, *GOLDEN_COUNTS))
+    report = metrics.report_from_cells(_counts(spark, *GOLDEN_COUNTS))
     path = shared_path(spark, "metrics")
     write_metrics_json(report, path)
     back = {r["class"]: r for r in read_metrics_json(spark, path).collect()}

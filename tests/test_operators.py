@@ -67,7 +67,7 @@ def test_nb_sized_join_shuffle_path_equals_broadcast(spark):
     table = fit_naive_bayes_table(data.where("is_train"), "words")
     test = data.where(~F.col("is_train"))
     a = {r.doc_id: r.raw_1 for r in table.transform(test, "words", ["doc_id"]).collect()}
-    b = {r.doc_id: r.raw_1 for r in table.transform(test, "words", ["doc_id"], max_broadcast_rows=0).collect()}
+    b = {r.doc_id: r.raw_1 for r in table.transform(test, "words", ["doc_id"], max_broadcast_bytes=0).collect()}
     assert a.keys() == b.keys()
     assert all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)
 
@@ -171,7 +171,7 @@ def test_spread_and_fit_partitions(spark):
     many = spark.range(100).repartition(64)
     assert spread(many).rdd.getNumPartitions() == 64  # already split finer: unchanged
     assert fit_partitions(many, 100).rdd.getNumPartitions() == 1
-    assert fit_partitions(many, 10_000_000).rdd.getNumPartitions() == 64
+    assert fit_partitions(many, 1 << 30).rdd.getNumPartitions() == 64
     assert sorted(r.id for r in spread(one).collect()) == list(range(100))
 
 
@@ -234,7 +234,7 @@ def test_nb_scoring_under_a_hot_term(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        got = {r.doc_id: r.raw_1 for r in model.transform(test, "words", ["doc_id"], max_broadcast_rows=0).collect()}
+        got = {r.doc_id: r.raw_1 for r in model.transform(test, "words", ["doc_id"], max_broadcast_bytes=0).collect()}
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)

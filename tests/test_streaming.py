@@ -18,7 +18,7 @@ SCHEMA = "conv_id bigint, turn bigint, value binary"
 def _messages(spark, value=None):
     conv = read_table(spark, SF01, "conversations", ["conv_id", "turn", "text"])
     path = shared_path(spark, "msgs")
-    stream.write_message_files(conv, path, key_cols=("conv_id", "turn"), files=6, value=value)
+    stream.write_message_files(conv.repartition(6), path, key_cols=("conv_id", "turn"), value=value)
     return conv, path
 
 
@@ -80,22 +80,22 @@ def test_console_sink_runs(spark):
         q.stop()
 
 
-def test_paced_replay_batches_of_n_rows(spark):
-    conv = spark.range(40).select(F.col("id").alias("conv_id"), F.lit(0).cast("bigint").alias("turn"),
-                                  F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
-    src = shared_path(spark, "paced")
-    stream.write_message_files(conv, src, key_cols=("conv_id", "turn"), files=2, rows_per_file=5)
-    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=1))
-    out, ckpt = shared_path(spark, "paced-out"), shared_path(spark, "paced-ckpt")
-    q = stream.start_to_files(live.select("conv_id", "turn", "text"), out, ckpt, available_now=False,
-                              processing_time="50 milliseconds")
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
-    assert sizes and max(sizes) <= 5
-    assert spark.read.parquet(out).count() == conv.count()
+def test_quarantine_from_one_pass(spark):
+    value = F.when(F.col("turn") % 3 == 0, F.lit("not json")).otherwise(messages.encode_message("text"))
+    conv, src = _messages(spark, value)
+    live = stream.decoded_stream(stream.message_stream(spark, src, SCHEMA, max_files_per_trigger=2))
+    good, bad = shared_path(spark, "good"), shared_path(spark, "bad")
+    stream.run_until_done(stream.start_with_quarantine(live, lambda b: b.select("conv_id", "turn", "text"), good, bad, shared_path(spark, "q-ckpt")))
+    kept = spark.read.parquet(good).select("conv_id", "turn", "text")
+    assert kept.exceptAll(conv.where("turn % 3 <> 0").select("conv_id", "turn", "text")).isEmpty()
+    assert kept.count() + spark.read.parquet(bad).count() == conv.count()
+
+
+def test_a_table_is_a_stream(spark):
+    live = stream.decoded_stream(stream.table_stream(spark, f"{SF01}/conversations.parquet"))
+    out = shared_path(spark, "table-out")
+    stream.run_until_done(stream.start_to_files(live.select("conv_id", "turn", "text"), out, shared_path(spark, "table-ckpt")))
+    assert spark.read.parquet(out).count() == spark.read.parquet(f"{SF01}/conversations.parquet").count()
 
 
 def test_failed_batch_is_replayed_exactly_once(spark):

@@ -5,8 +5,10 @@ collapses into one projection inside whole-stage codegen. Null in gives null
 out; callers decide whether null becomes ``''`` (scoring) or is dropped
 (training).
 
-Regex dialect: Java's ``\\S`` / ``\\w`` are ASCII unless ``(?U)`` is given, and
-Python's (which defined the cleaning) are Unicode-aware, hence ``(?U)``.
+Regex dialect: the cleaning was defined with Python's ``\\S`` and ``\\w``. Java's
+classes of that name are ASCII, and with ``(?U)`` still not Python's (marks count
+as word characters, other numbers and the separators U+001C to U+001F don't), so
+Python's are spelled out here.
 """
 
 from __future__ import annotations
@@ -68,11 +70,13 @@ NLTK_STOP_WORDS: tuple[str, ...] = (
 )
 
 # Cleaning patterns (fixed values).
-URL_V1 = r"(?U)http\S+"
-URL_V2 = r"(?U)http\S+|www\.\S+"
-MENTION = r"(?U)[@#]\w+"
+SPACE_CLASS = r"\t-\r\x1c-\x1f\x85\p{Z}"
+WORD_CLASS = r"\p{L}\p{N}_"
+URL_V1 = rf"http[^{SPACE_CLASS}]+"
+URL_V2 = rf"http[^{SPACE_CLASS}]+|www\.[^{SPACE_CLASS}]+"
+MENTION = rf"[@#][{WORD_CLASS}]+"
 NON_LETTER = r"[^a-zA-Z]+"
-BLANK = r"(?U)\A\s*\z"
+BLANK = rf"\A[{SPACE_CLASS}]*\z"
 # ---------------------------------------------------------------------------
 
 
@@ -80,7 +84,7 @@ STOP_WORD_LISTS = {"spark": STOP_WORDS, "nltk": NLTK_STOP_WORDS}
 
 
 def stop_word_list(name: str) -> tuple[str, ...]:
-    """A named stop-word list: ``spark`` (default) or ``nltk``."""
+    """A named stop-word list: ``nltk`` (the cleaning's) or ``spark`` (``StopWordsRemover``'s)."""
     return STOP_WORD_LISTS[name]
 
 
@@ -107,7 +111,7 @@ def letters_only(c: Column | str) -> Column:
     return F.lower(F.regexp_replace(_col(c), NON_LETTER, " "))
 
 
-def words(c: Column | str, min_len: int = 1, stop_words: Iterable[str] | None = STOP_WORDS) -> Column:
+def words(c: Column | str, min_len: int = 1, stop_words: Iterable[str] | None = NLTK_STOP_WORDS) -> Column:
     """Split letters-only text on single spaces (a literal split, no regex),
     keep words of at least ``min_len`` characters that are not stop words; the
     empty strings at either end never pass. Returns ``array<string>``."""
@@ -123,18 +127,18 @@ def words(c: Column | str, min_len: int = 1, stop_words: Iterable[str] | None =
     return F.filter(parts, keep)
 
 
-def clean_v1(c: Column | str, stop_words: Iterable[str] | None = STOP_WORDS) -> Column:
+def clean_v1(c: Column | str, stop_words: Iterable[str] | None = NLTK_STOP_WORDS) -> Column:
     """Older cleaning: URLs removed, non-letters to space, lower, stop words out."""
     return F.array_join(words(letters_only(strip_urls(c, "v1")), 1, stop_words), " ")
 
 
-def clean_v2(c: Column | str, stop_words: Iterable[str] | None = STOP_WORDS) -> Column:
+def clean_v2(c: Column | str, stop_words: Iterable[str] | None = NLTK_STOP_WORDS) -> Column:
     """Canonical cleaning: URLs and mentions to space, non-letters to space, lower,
     stop words out, words of three letters or more."""
     return F.array_join(words(letters_only(strip_mentions(strip_urls(c, "v2"))), 3, stop_words), " ")
 
 
-def clean_text(c: Column | str, version: str = "v2", stop_words: Iterable[str] | None = STOP_WORDS) -> Column:
+def clean_text(c: Column | str, version: str = "v2", stop_words: Iterable[str] | None = NLTK_STOP_WORDS) -> Column:
     if version == "v1":
         return clean_v1(c, stop_words)
     if version == "v2":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,9 +42,34 @@ def label_name_strict(c: Column | str) -> Column:
     return F.when(_col(c) == 0, F.lit(NEGATIVE)).when(_col(c) == 1, F.lit(POSITIVE))
 
 
+def _first_above(cents: int) -> float:
+    """The smallest double that ``%.2f`` prints as ``cents + 1`` hundredths: halves go to
+    the even hundredth, judged on the double's exact binary value."""
+    half = Fraction(2 * cents + 1, 200)
+    near = float(half)
+    if Fraction(near) > half or (Fraction(near) == half and cents % 2):
+        return near
+    return math.nextafter(near, math.inf)
+
+
+def two_decimals(p: Column | str) -> Column:
+    """A probability as C and Python print it with ``%.2f``.
+
+    Java rounds the shortest decimal text half up instead (0.125 -> 0.13,
+    0.285 -> 0.29 where C has 0.12 and 0.28), so the hundredths come from exact
+    thresholds. Values outside 0 to 1 are left to ``format_string``.
+    """
+    c = _col(p)
+    floor = F.floor(c * 100).cast("int")
+    steps = F.array(*[F.lit(_first_above(k)) for k in range(100)], F.lit(math.inf))
+    cents = floor + (c >= F.get(steps, floor)).cast("int")
+    return F.when(c.between(0.0, 1.0), F.format_string("%d.%02d", F.floor(cents / 100).cast("int"), cents % 100)).otherwise(
+        F.format_string("%.2f", c))
+
+
 def confidence_text(p_neg: Column | str, p_pos: Column | str) -> Column:
     """``n.nn/p.pp`` from the two class probabilities."""
-    return F.format_string("%.2f/%.2f", _col(p_neg), _col(p_pos))
+    return F.concat(two_decimals(p_neg), F.lit("/"), two_decimals(p_pos))
 
 
 def display_line(text: Column | str, pred: Column | str, p_neg: Column | str | None = None,

@@ -129,8 +129,12 @@ def spark_idf(stats: DataFrame, n_docs: Column) -> DataFrame:
 
 
 def tfidf_spark(terms: DataFrame, id_col: str, n_docs: Column) -> DataFrame:
-    """``(id, term, tf, idf, w = tf * idf)`` with Spark's IDF."""
-    idf = spark_idf(term_stats(terms), n_docs).select("term", "df", "idf")
+    """``(id, term, tf, idf, w = tf * idf)`` with Spark's IDF.
+
+    The term statistics are written before the join: a join straight on top of an
+    aggregation by the same key has no exchange on that side, and AQE then can't split the rows of a hot term.
+    """
+    idf = materialize(spark_idf(term_stats(terms), n_docs).select("term", "df", "idf"), "idf")
     return terms.join(idf, "term").select(id_col, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonestream.functions.clean import is_blank
+from tonestream.functions.clean import WORD_CLASS, is_blank
 from tonestream.operators.evaluation import with_kept_column
 
 # The ingest query's topic keywords, its language and the retweet prefix.
@@ -27,9 +27,11 @@ def with_clean_text(df: DataFrame, expr: Column, name: str = "clean_text") -> Da
 
 
 def keyword_pattern(keywords: Iterable[str]) -> str:
-    """Case-insensitive whole-word match of any keyword (Unicode word characters)."""
-    alts = "|".join(k.lower() for k in keywords)
-    return rf"(?iU)(^|\W)({alts})(\W|$)"
+    """Case-insensitive whole-word match of any keyword, taken literally (Python's word characters)."""
+    quoted = [r"\Q" + k.lower().replace(r"\E", r"\E\\E\Q") + r"\E" for k in keywords]
+    if not all(keywords) or not quoted:
+        raise ValueError("a topic filter needs at least one keyword, and none may be empty")
+    return rf"(?iu)(^|[^{WORD_CLASS}])({'|'.join(quoted)})([^{WORD_CLASS}]|$)"
 
 
 def topic_filter(df: DataFrame, keywords: Iterable[str] = TOPIC_KEYWORDS, lang: str | None = TOPIC_LANG,
@@ -37,7 +39,7 @@ def topic_filter(df: DataFrame, keywords: Iterable[str] = TOPIC_KEYWORDS, lang:
     """Rows that mention a keyword, in ``lang``, and are not retweets; every
     condition applies to every keyword. The language test reaches the scan as a
     pushed filter."""
-    cond = F.col(text_col).rlike(keyword_pattern(keywords))
+    cond = F.col(text_col).rlike(keyword_pattern(list(keywords)))
     if exclude_retweets:
         cond = cond & ~F.col(text_col).rlike(RETWEET_PATTERN)
     if lang is not None:

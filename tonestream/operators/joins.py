@@ -1,23 +1,20 @@
-"""Join helper: broadcast a side only behind a measured size bound."""
+"""Join helper: broadcast a side only behind a measured size in bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) that is broadcast on the strength of an explicit count.
-DEFAULT_BROADCAST_ROWS = 500_000
+#: Largest side that is broadcast on the strength of a measured size.
+BROADCAST_BYTES = 32 << 20
 
 
-def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Join ``big`` to ``small``, broadcasting ``small`` only when its row count
-    is at most ``max_rows``.
+def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner", known_bytes: int | None = None,
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join ``big`` to ``small``, broadcasting ``small`` only when ``known_bytes``, as
+    the caller measured it, is at most ``max_bytes``.
 
-    ``small`` should be a materialized table (a written model or a cut
-    lineage), so the count reads metadata or one small scan. Beyond the bound the
-    join is a shuffle join, where AQE still splits skewed keys.
+    Beyond the bound, or with no measure, Spark chooses from its own statistics, and in a
+    shuffle join AQE splits skewed keys.
     """
-    n = known_rows if known_rows is not None else small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    return big.join(F.broadcast(small) if known_bytes is not None and known_bytes <= max_bytes else small, on, how)

@@ -19,13 +19,15 @@ def _prepared(df: DataFrame, input_col: str, label: str) -> DataFrame:
     )
 
 
-def _fit_lr(featurized: DataFrame, lr: LogisticRegression, n: int):
+def _fit_lr(featurized: DataFrame, lr: LogisticRegression, text_col: str):
     """Fit LR on featurized rows cached once (computed at full parallelism) and
-    read by every optimizer step through ``fit_partitions``."""
+    read by every optimizer step through ``fit_partitions``. Gradients are summed over a tree that
+    gets deeper with their width, so no task merges many wide ones."""
     cached = featurized.persist()
     try:
-        cached.count()  # fill the cache at the input's parallelism, before coalescing
-        return lr.fit(fit_partitions(cached, n))
+        # fills the cache at the input's parallelism; about 12 bytes for each word of the text
+        n_bytes = cached.agg(F.sum(F.octet_length(text_col)).alias("b")).first()["b"] or 0
+        return lr.setAggregationDepth(3).fit(fit_partitions(cached, 2 * n_bytes))
     finally:
         cached.unpersist()
 
@@ -44,7 +46,7 @@ def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "cl
     index 0 is label 0) and train on the index.
 
     Feature stages are fitted on the input as partitioned; only the featurized
-    rows that the optimizer reads once per step are cached and sized by row count.
+    rows that the optimizer reads once per step are cached and sized by their bytes.
     """
     data = _prepared(df, input_col, label).persist()
     try:
@@ -64,7 +66,7 @@ def train_logistic(df: DataFrame, features: str = "hashed", input_col: str = "cl
                                     regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
         else:
             raise ValueError(f"unknown features {features!r}")
-        model = _fit_lr(feats.transform(data), lr, n)
+        model = _fit_lr(feats.transform(data), lr, input_col)
         return PipelineModel(stages=[*feats.stages, model])
     finally:
         data.unpersist()

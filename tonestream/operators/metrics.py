@@ -1,9 +1,8 @@
 """Classification metrics and summaries as single aggregations.
 
-Everything is computed from one pass that counts the four cells of the 2x2
-confusion matrix (partial aggregation per task, one tiny final merge); the
-report rows are then derived from that one row with ``inline`` - no collect,
-no second scan.
+Everything derives from one pass that counts the (label, prediction) pairs -
+partial aggregation per task, then a handful of rows - for whatever classes the
+data holds; the report rows come from those counts, with no collect and no second scan.
 """
 
 from __future__ import annotations
@@ -14,16 +13,10 @@ from pyspark.sql import functions as F
 REPORT_CLASSES = ("0", "1", "accuracy", "macro avg", "weighted avg")
 
 
-def confusion_counts(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
-    """One row ``tn, fp, fn, tp`` (bigint) for binary labels; other values ignored."""
-    y = F.col(label).cast("int")
-    p = F.col(prediction).cast("int")
-    return df.agg(
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-    )
+def confusion_cells(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
+    """``label, prediction, n`` (doubles and a bigint) of every pair that occurs; rows without a label or a prediction don't count."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    return df.select(y.alias("label"), p.alias("prediction")).dropna().groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -49,63 +42,70 @@ def accuracy(df: DataFrame, label: str = "target", prediction: str = "prediction
     )
 
 
-def report_from_counts(counts: DataFrame) -> DataFrame:
-    """Long report ``class, precision, recall, f1, support`` from a counts row.
-
-    Rows: ``0``, ``1``, ``accuracy`` (f1 column holds the accuracy, support the
-    total, as in the text form of the report), ``macro avg``, ``weighted avg``.
-    """
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    s0, s1 = tn + fp, fn + tp
-    p0, r0 = _ratio(tn, tn + fn), _ratio(tn, s0)
-    p1, r1 = _ratio(tp, tp + fp), _ratio(tp, s1)
-    base = counts.select(
-        p0.alias("p0"), r0.alias("r0"), p1.alias("p1"), r1.alias("r1"),
-        s0.alias("s0"), s1.alias("s1"), (s0 + s1).alias("n"), (tn + tp).alias("ok"),
-    ).select("*", _f1(F.col("p0"), F.col("r0")).alias("f0"), _f1(F.col("p1"), F.col("r1")).alias("f1"))
-    p0, r0, f0, p1, r1, f1, s0, s1, n = (F.col(c) for c in ("p0", "r0", "f0", "p1", "r1", "f1", "s0", "s1", "n"))
-
-    def row(name: str, p: Column, r: Column, f: Column, s: Column) -> Column:
-        return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
-                        r.cast("double").alias("recall"), f.cast("double").alias("f1"),
-                        s.cast("bigint").alias("support"))
-
-    def weighted(a: Column, b: Column) -> Column:
-        return _ratio_d(a * s0 + b * s1, n)
-
-    acc = _ratio(F.col("ok"), n)
-    rows = F.array(
-        row("0", p0, r0, f0, s0),
-        row("1", p1, r1, f1, s1),
-        row("accuracy", F.lit(None), F.lit(None), acc, n),
-        row("macro avg", (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, n),
-        row("weighted avg", weighted(p0, p1), weighted(r0, r1), weighted(f0, f1), n),
-    )
-    return base.select(F.inline(rows))
+def _class_name(c: Column) -> Column:
+    return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
 def class_report(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
-    return report_from_counts(confusion_counts(df, label, prediction))
+    """The report of ``report_from_cells`` on the pairs of ``df``."""
+    return report_from_cells(confusion_cells(df, label, prediction))
 
 
-def confusion_matrix(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
-    """2x2 matrix over fixed labels [0, 1]: rows = truth, ``pred_0``/``pred_1`` counts.
+def report_from_cells(cells: DataFrame) -> DataFrame:
+    """Long report ``class, precision, recall, f1, support``.
 
-    The pivot over fixed values compiles to conditional counts (no extra job to
-    find the values); the two-row label frame keeps a class that is absent from
-    the truth as a row of zeros.
+    A row for each class that occurs as label or prediction, in order, then
+    ``accuracy`` (f1 column holds the accuracy, support the total, as in the text
+    form of the report), ``macro avg`` and ``weighted avg``. An undefined ratio is 0.
     """
-    spark = df.sparkSession
-    grid = (
-        df.select(F.col(label).cast("int").alias("target"), F.col(prediction).cast("int").alias("_p"))
-        .groupBy("target").pivot("_p", [0, 1]).agg(F.count(F.lit(1)))
-    )
-    classes = spark.range(2).select(F.col("id").cast("int").alias("target"))
-    return (
-        classes.join(grid, "target", "left")
-        .select("target", F.coalesce(F.col("0"), F.lit(0)).alias("pred_0"),
-                F.coalesce(F.col("1"), F.lit(0)).alias("pred_1"))
-    )
+    zero = F.lit(0).cast("bigint")
+    n, hit = F.col("n"), F.col("label") == F.col("prediction")
+    sides = cells.select(F.inline(F.array(
+        F.struct(F.col("label").alias("c"), n.alias("s"), zero.alias("m"), zero.alias("t")),
+        F.struct(F.col("prediction").alias("c"), zero.alias("s"), n.alias("m"), F.when(hit, n).otherwise(zero).alias("t")))))
+    per = sides.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("s", "m", "t")])
+    per = per.select("c", "s", "t", _ratio(F.col("t"), F.col("m")).alias("p"), _ratio(F.col("t"), F.col("s")).alias("r"))
+    per = per.withColumn("f", _f1(F.col("p"), F.col("r")))
+    # one row per class: the averages add up in class order, so reruns agree to the last bit
+    whole = per.agg(F.sort_array(F.collect_list(F.struct("c", "p", "r", "f", "s", "t"))).alias("k"))
+    total = lambda of: F.aggregate("k", F.lit(0).cast("bigint"), lambda a, x: a + x[of])
+    whole = whole.select("k", total("s").alias("n"), total("t").alias("ok"), F.size("k").alias("classes"))
+
+    def row(name: Column, p: Column, r: Column, f: Column, s: Column) -> Column:
+        return F.struct(name.alias("class"), p.cast("double").alias("precision"), r.cast("double").alias("recall"),
+                        f.cast("double").alias("f1"), s.cast("bigint").alias("support"))
+
+    def average(of: str, weighted: bool) -> Column:
+        summed = F.aggregate("k", F.lit(0.0), lambda a, x: a + (x[of] * x["s"] if weighted else x[of]))
+        return _ratio_d(summed, F.col("n") if weighted else F.col("classes"))
+
+    classes = F.transform("k", lambda x: row(_class_name(x["c"]), x["p"], x["r"], x["f"], x["s"]))
+    rows = F.concat(classes, F.array(
+        row(F.lit("accuracy"), F.lit(None), F.lit(None), _ratio(F.col("ok"), F.col("n")), F.col("n")),
+        *[row(F.lit(name), *[average(of, weighted) for of in "prf"], F.col("n"))
+          for name, weighted in (("macro avg", False), ("weighted avg", True))]))
+    return whole.select(F.inline(rows))
+
+
+def confusion_matrix(df: DataFrame, label: str = "target", prediction: str = "prediction",
+                     labels: list[int] | None = None) -> DataFrame:
+    """Matrix of truth by prediction: ``target`` and a count column ``pred_X`` for each class.
+
+    ``labels`` are the classes (whole numbers), by default all that occur. With ``labels`` given,
+    pairs of other classes are an error, not left out.
+    """
+    cells = confusion_cells(df, label, prediction)
+    found = sorted({v for r in cells.select("label", "prediction").collect() for v in r})  # a few pairs
+    names = found if labels is None else [float(x) for x in labels]
+    if set(found) - set(names):
+        raise ValueError(f"classes outside of the given ones: {sorted(set(found) - set(names))}")
+    title = [str(int(c)) if c == int(c) else str(c) for c in names]
+    counts = [F.sum(F.when(F.col("prediction") == c, F.col("n"))).alias(f"pred_{t}") for c, t in zip(names, title, strict=True)]
+    kind = "int" if all(c == int(c) for c in names) else "double"
+    classes = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in names] or [F.lit(None).cast("double")])).alias("label"))
+    grid = cells.groupBy("label").agg(*counts) if counts else cells.groupBy("label").agg(F.sum("n").alias("none"))
+    return classes.where("label is not null").join(grid, "label", "left").select(
+        F.col("label").cast(kind).alias("target"), *[F.coalesce(f"pred_{t}", F.lit(0).cast("bigint")).alias(f"pred_{t}") for t in title])
 
 
 def sentiment_distribution(df: DataFrame, col: str = "sentiment") -> DataFrame:

@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonestream.operators.features import explode_terms, with_term_counts
-from tonestream.operators.joins import DEFAULT_BROADCAST_ROWS, sized_join
+from tonestream.operators.joins import BROADCAST_BYTES, sized_join
 from tonestream.session import shared_path
+from tonestream.sinks.files import materialize
 
 NUM_CLASSES = 2
 
@@ -46,24 +47,28 @@ class NaiveBayesTable:
     prior_1: float
     vocab_size: int
     path: str
+    model_bytes: int
 
-    def transform(self, df: DataFrame, words: Column | str, id_cols: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    def transform(self, df: DataFrame, words: Column | str, id_cols: list[str] | None = None,
+                  max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Adds ``raw_0, raw_1, prediction (double), p_neg, p_pos`` to ``df``.
 
-        ``id_cols`` must identify a row of ``df``.
+        Rows are told apart by a number of their own, so ids that repeat or are null
+        score right; ``df`` is written once with it, and the words are counted and the
+        sums joined back from there. ``id_cols`` only say which columns callers read.
         """
+        df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "nb-input")
         w = F.col(words) if isinstance(words, str) else words
-        counted = with_term_counts(df.select(*id_cols, w.alias("_w")), F.col("_w"))
-        terms = explode_terms(counted, list(id_cols), F.col("term_counts")).select(
-            *id_cols, F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
-        hits = sized_join(terms, self.terms, "term", max_rows=max_broadcast_rows, known_rows=self.vocab_size)
-        sums = hits.groupBy(*id_cols).agg(F.sum(F.col("tf") * F.col("ll_0")).alias("_s0"),
-                                          F.sum(F.col("tf") * F.col("ll_1")).alias("_s1"))
+        counted = with_term_counts(df.select("_rid", w.alias("_w")), F.col("_w"))
+        terms = explode_terms(counted, ["_rid"], F.col("term_counts")).select(
+            "_rid", F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
+        hits = sized_join(terms, self.terms, "term", known_bytes=self.model_bytes, max_bytes=max_broadcast_bytes)
+        sums = hits.groupBy("_rid").agg(F.sum(F.col("tf") * F.col("ll_0")).alias("_s0"),
+                                        F.sum(F.col("tf") * F.col("ll_1")).alias("_s1"))
         raw_0 = F.lit(self.prior_0) + F.coalesce(F.col("_s0"), F.lit(0.0))
         raw_1 = F.lit(self.prior_1) + F.coalesce(F.col("_s1"), F.lit(0.0))
         return (
-            df.join(sums, id_cols, "left")
+            df.join(sums, "_rid", "left").drop("_rid")
             .withColumns({"raw_0": raw_0, "raw_1": raw_1})
             .drop("_s0", "_s1")
             .withColumns({
@@ -91,7 +96,8 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
     path = path or shared_path(spark, "nb-model")
     counts.write.mode("overwrite").parquet(f"{path}/counts")
     counts = spark.read.parquet(f"{path}/counts")
-    stats = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c_0").alias("t0"), F.sum("c_1").alias("t1")).first()
+    stats = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c_0").alias("t0"), F.sum("c_1").alias("t1"),
+                       F.sum(F.octet_length("term")).alias("bytes")).first()
     docs = train.agg(F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")).first()
     v, t0, t1 = int(stats.v), int(stats.t0 or 0), int(stats.t1 or 0)
     n0, n1 = int(docs.n0), int(docs.n1)
@@ -102,12 +108,17 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
         (F.log(F.col("c_0") + F.lit(a)) - F.lit(math.log(t0 + v * a))).alias("ll_0"),
         (F.log(F.col("c_1") + F.lit(a)) - F.lit(math.log(t1 + v * a))).alias("ll_1"),
     )
-    return NaiveBayesTable(terms, math.log(n0 + a) - denom, math.log(n1 + a) - denom, v, path)
+    return NaiveBayesTable(terms, math.log(n0 + a) - denom, math.log(n1 + a) - denom, v, path,
+                           int(stats.bytes or 0) + 64 * v)
 
 
 def naive_bayes_estimator(input_col: str = "clean_text", label: str = "target", smoothing: float = 1.0,
-                         vocab_size: int = 1 << 18) -> Pipeline:
-    """Spark ML form: words -> CountVectorizer -> NaiveBayes (multinomial)."""
+                         vocab_size: int = (1 << 31) - 1) -> Pipeline:
+    """Spark ML form: words -> CountVectorizer -> NaiveBayes (multinomial).
+
+    The whole vocabulary is kept, and Spark ML holds it on the driver; where it doesn't fit
+    there, use the relational form.
+    """
     return Pipeline(stages=[
         SQLTransformer(statement=(
             f"SELECT *, filter(split(coalesce({input_col}, ''), ' '), w -> w != '') AS nb_words FROM __THIS__"

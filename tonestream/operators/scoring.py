@@ -12,6 +12,7 @@ from tonestream.functions.labels import label_name, label_name_strict, predictio
 from tonestream.sources.labelled import texts_frame
 
 TEXT_COLUMNS = ("clean_text", "text")
+SCORE_COLUMNS = ("prediction", "pred", "sentiment", "p_neg", "p_pos")
 
 
 def resolve_text_column(df: DataFrame, candidates: tuple[str, ...] = TEXT_COLUMNS) -> str:
@@ -51,13 +52,15 @@ def with_labels(scored: DataFrame, strict: bool = True) -> DataFrame:
 def score_table(df: DataFrame, model: PipelineModel, clean_first: bool = False,
                 text_col: str | None = None, keep_model_columns: bool = False) -> DataFrame:
     """Score every row; input columns kept, plus ``prediction, pred, sentiment,
-    p_neg, p_pos``. Model stages run as JVM expressions in the same stage."""
-    before = set(df.columns) | {"clean_text"}
-    scored = with_labels(model.transform(model_input(df, clean_first, text_col)))
-    if keep_model_columns:
-        return scored
-    extra = [c for c in scored.columns if c not in before and c not in ("prediction", "pred", "sentiment", "p_neg", "p_pos")]
-    return scored.drop(*extra)
+    p_neg, p_pos`` (input columns of these names are replaced). Model stages run as
+    JVM expressions in the same stage; they see only ``clean_text`` and the input row as one
+    struct, so no input column can clash with a stage's own columns."""
+    given = model_input(df, clean_first, text_col)
+    scored = with_labels(model.transform(given.select("clean_text", F.struct("*").alias("_row"))))
+    kept = [F.col("_row").getField(c).alias(c) for c in given.columns if c not in SCORE_COLUMNS]
+    results = [c for c in SCORE_COLUMNS if c in scored.columns]
+    stages = [c for c in scored.columns if c not in (*given.columns, *results, "_row")] if keep_model_columns else []
+    return scored.select(*kept, *results, *stages)
 
 
 def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str], clean_first: bool = False) -> DataFrame:

@@ -58,13 +58,14 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
 
     ``key`` must identify a row (as the row index does for a shuffled split);
     rows sharing a key are indistinguishable to the ordering. For keys that
-    repeat, use ``hash_split``, which keeps all rows of a key on one side.
+    repeat, use ``hash_split``, which keeps all rows of a key on one side. Rows
+    with a null key rank last and, being indistinguishable, stay on the test side.
     """
     ensure_checkpoint_dir(df.sparkSession)
     hexdigits = (bucket_bits + 3) // 4
-    d = df.withColumn("_m", key_md5(key)).withColumn(
-        "_b", F.shiftright(F.conv(F.substring("_m", 1, hexdigits), 16, 10).cast("bigint"), hexdigits * 4 - bucket_bits)
-    )
+    bucket = F.shiftright(F.conv(F.substring("_m", 1, hexdigits), 16, 10).cast("bigint"), hexdigits * 4 - bucket_bits)
+    # null keys come last: a bucket of their own behind all others
+    d = df.withColumn("_m", key_md5(key)).withColumn("_b", F.coalesce(bucket, F.lit(1 << bucket_bits).cast("bigint")))
     # Pass 1: counts per (class, bucket); running sums find the boundary bucket.
     counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
     by_class = Window.partitionBy(label)
@@ -87,7 +88,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     # Pass 2: rank only the rows of each class's boundary bucket.
     edge = (
         sized_join(d, bounds.withColumnRenamed(label, "_lab"),
-                   (F.col(label) == F.col("_lab")) & (F.col("_b") == F.col("_bstar")), known_rows=n_classes)
+                   (F.col(label) == F.col("_lab")) & (F.col("_b") == F.col("_bstar")), known_bytes=256 * n_classes)
         .select(label, "_m", F.col(key).alias("_key"), "_need")
         .withColumn("_rn", F.row_number().over(Window.partitionBy(label).orderBy("_m", "_key")))
         .where(F.col("_rn") == F.col("_need"))
@@ -95,7 +96,7 @@ def stratified_split(df: DataFrame, key: str, label: str = "target", frac: float
     )
     cut = bounds.join(edge, label, "left").checkpoint()
     # Pass 3: map-only flag against the per-class cut.
-    flagged = sized_join(d, cut, label, "left", known_rows=n_classes)
+    flagged = sized_join(d, cut, label, "left", known_bytes=256 * n_classes)
     m, k = F.col("_m"), F.col(key)
     at_or_below_cut = (m < F.col("_mstar")) | ((m == F.col("_mstar")) & (k <= F.col("_kstar")))
     is_train = (F.col("_b") < F.col("_bstar")) | ((F.col("_b") == F.col("_bstar")) & F.coalesce(at_or_below_cut, F.lit(False)))

@@ -2,7 +2,7 @@
 
 Each string runs on DuckDB with the parquet tables registered as views and
 returns the same columns as the Spark query of the same name. The regex
-classes spell out what Java's ``(?U)\\s`` and ``(?U)\\w`` match, since DuckDB's
+classes spell out what Python's ``\\s`` and ``\\w`` match, since DuckDB's
 RE2 shorthands are ASCII-only.
 """
 
@@ -16,9 +16,10 @@ def sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-STOP_SQL = sql_list(STOP_WORDS)
-WS = r"\t-\r\x{85}\p{Z}"
-WORD = r"\p{L}\p{Nl}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}"
+STOP_SQL = sql_list(NLTK_STOP_WORDS)
+SPARK_STOP_SQL = sql_list(STOP_WORDS)
+WS = r"\t-\r\x{1C}-\x{1F}\x{85}\p{Z}"
+WORD = r"\p{L}\p{N}_"
 BODY = "(url || ' ' || html)"
 
 
@@ -71,7 +72,7 @@ def topic_sql(keywords) -> str:
     alts = "|".join(k.lower() for k in keywords)
     return ("SELECT doc_id, lang, text FROM documents WHERE lang = 'en' AND "
             f"regexp_matches(text, '(?i)(^|[^{WORD}])({alts})([^{WORD}]|$)') AND "
-            "NOT regexp_matches(text, '^RT @') ORDER BY doc_id LIMIT 1000")
+            "NOT regexp_matches(text, '^RT @')")
 
 
 def snippet(x: str, n: int) -> str:
@@ -110,6 +111,11 @@ UNION ALL SELECT 'weighted avg',
   CASE WHEN n = 0 THEN 0::DOUBLE ELSE (r0 * s0 + r1 * s1) / CAST(n AS DOUBLE) END,
   CASE WHEN n = 0 THEN 0::DOUBLE ELSE (f0 * s0 + f1 * s1) / CAST(n AS DOUBLE) END, n FROM f"""
 
+THREE_CLASSES = "WITH " + TWEETS + """,
+t AS (SELECT CASE WHEN toxic = 1 THEN 2::DOUBLE ELSE raw_label::DOUBLE END AS target,
+             CASE WHEN n_chars % 5 = 0 THEN 2::DOUBLE WHEN n_chars % 5 = 1 THEN 0::DOUBLE ELSE raw_label::DOUBLE END AS prediction
+      FROM tweets)"""
+
 LABELLED = TWEETS + f""",
 cl AS (SELECT doc_id, target, {clean_v2('text')} AS clean_text FROM tweets),
 lab AS (SELECT doc_id, target, clean_text, coalesce({unit('doc_id')} < 0.8::DOUBLE, false) AS is_train,
@@ -207,8 +213,7 @@ SQL: dict[str, str] = {
     "q02_clean_v1": f"SELECT doc_id, {clean_v1('text')} AS clean_text FROM documents",
     "q03_clean_v2": f"SELECT doc_id, {clean_v2('text')} AS clean_text FROM documents",
     "q04_strip_urls": f"SELECT page_id, {urls_v1(BODY)} AS stripped_v1, {urls_v2(BODY)} AS stripped_v2 FROM pages",
-    "q05_strip_mentions": f"SELECT doc_id, {mentions('text')} AS stripped FROM documents "
-                          f"WHERE regexp_matches(text, '[@#][{WORD}]+')",
+    "q05_strip_mentions": f"SELECT doc_id, {mentions('text')} AS stripped FROM documents",
     "q06_drop_blank_and_null": f"WITH {TWEETS}, t AS (SELECT doc_id, target, {clean_v2('text')} AS clean_text "
                                f"FROM tweets WHERE text IS NOT NULL AND NOT {blank('text')}) "
                                "SELECT doc_id, target, clean_text FROM t WHERE doc_id IS NOT NULL AND target IS NOT NULL "
@@ -224,7 +229,7 @@ SQL: dict[str, str] = {
                    "FROM conversations",
     "q10_json_decode": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "
                        "json_extract_string(props, '$.k') AS k_text FROM events",
-    "q11_json_encode": "SELECT conv_id, turn, text AS text_out, TRUE AS same FROM conversations",
+    "q11_json_encode": "SELECT conv_id, turn, text AS text_out FROM conversations",
     "q12_resolve_text_column": f"WITH {TWEETS} SELECT doc_id, target, coalesce(text, '') AS clean_text FROM tweets",
     "q13_label_names": f"WITH {SCORED} SELECT doc_id, CAST(prediction AS INTEGER) AS pred, "
                        "CASE WHEN CAST(prediction AS INTEGER) = 1 THEN 'Positive' ELSE 'Negative' END AS sentiment, "
@@ -244,7 +249,7 @@ SQL: dict[str, str] = {
     "q18_scored_preview": f"WITH {SCORED} SELECT doc_id, text, lang, source, n_chars, target, raw_label, toxic, "
                           f"prediction, CAST(prediction AS INTEGER) AS pred, {SENTIMENT} AS sentiment "
                           "FROM scored ORDER BY doc_id LIMIT 30",
-    "q19_display_line": f"WITH {SCORED}, sp AS (SELECT *, CAST(n_chars % 101 AS DOUBLE) / 100 AS p_pos FROM scored) "
+    "q19_display_line": f"WITH {SCORED}, sp AS (SELECT *, CAST(n_chars % 1001 AS DOUBLE) / 1000 AS p_pos FROM scored) "
                         f"SELECT doc_id, {snippet('text', 120)} || ' -> ' || CASE WHEN prediction = 1 THEN 'Positive' "
                         "ELSE 'Negative' END || ' (conf: ' || printf('%.2f/%.2f', 1 - p_pos, p_pos) || ')' "
                         "AS display_line FROM sp",
@@ -255,7 +260,7 @@ SELECT round(acc, 10) AS accuracy,
   round(CASE WHEN n = 0 THEN 0::DOUBLE ELSE f0 * s0 / n + f1 * s1 / n END, 10) AS weighted_f1 FROM f""",
     "q21_token_counts": f"WITH d AS (SELECT doc_id, coalesce({letter_text('text')}, '') AS letters FROM documents), "
                         "tw AS (SELECT doc_id, string_split(letters, ' ') AS words FROM d), "
-                        f"tf AS (SELECT doc_id, words, list_filter(words, lambda w: w NOT IN ({STOP_SQL})) AS fl FROM tw) "
+                        f"tf AS (SELECT doc_id, words, list_filter(words, lambda w: w NOT IN ({SPARK_STOP_SQL})) AS fl FROM tw) "
                         "SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words, CAST(len(fl) AS INTEGER) AS n_filtered, "
                         "array_to_string(fl, ' ') AS filtered_text FROM tf",
     "q22_term_doc_frequency": f"WITH {DOC_TERMS} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf "
@@ -282,10 +287,28 @@ SELECT round(acc, 10) AS accuracy,
     "q42_stream_naive_bayes_ml": STREAM_NB,
     "q43_score_uploaded_csv": UPLOAD_NB,
     "q44_replay_display_lines": REPLAY_LINES,
-    "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, text FROM tweets "
+    "q34_csv_round_trip": f"WITH {TWEETS} SELECT 'sentiment140' AS layout, target, replace(replace(text, chr(13), ' '), chr(10), ' ') AS text FROM tweets "
                           "UNION ALL SELECT 'generic' AS layout, target, text FROM tweets",
-    "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, TRUE AS same FROM lab WHERE NOT is_train",
+    "q35_model_save_load": "WITH " + LABELLED + " SELECT doc_id, 0::DOUBLE AS differs, 0::DOUBLE AS label_differs, "
+                           "TRUE AS label_follows_p FROM lab WHERE NOT is_train",
     "q36_metrics_json": REPORT,
+    "q45_report_of_three_classes": THREE_CLASSES + """,
+k AS (SELECT target AS c FROM t UNION SELECT prediction FROM t),
+a AS (SELECT c, (SELECT count(*) FROM t WHERE target = c) AS s, (SELECT count(*) FROM t WHERE prediction = c) AS m,
+             (SELECT count(*) FROM t WHERE target = c AND prediction = c) AS h FROM k),
+r AS (SELECT c, s, h, CASE WHEN m = 0 THEN 0::DOUBLE ELSE h / m::DOUBLE END AS p,
+             CASE WHEN s = 0 THEN 0::DOUBLE ELSE h / s::DOUBLE END AS r FROM a),
+f AS (SELECT *, CASE WHEN p + r = 0 THEN 0::DOUBLE ELSE 2::DOUBLE * p * r / (p + r) END AS f FROM r)
+SELECT CAST(CAST(c AS BIGINT) AS VARCHAR) AS class, round(p, 10) AS precision, round(r, 10) AS recall, round(f, 10) AS f1, s AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(h) / sum(s)::DOUBLE, 10), CAST(sum(s) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(p), 10), round(avg(r), 10), round(avg(f), 10), CAST(sum(s) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s)::DOUBLE, 10), round(sum(r * s) / sum(s)::DOUBLE, 10),
+  round(sum(f * s) / sum(s)::DOUBLE, 10), CAST(sum(s) AS BIGINT) FROM f""",
+    "q46_confusion_cells": THREE_CLASSES + " SELECT target AS label, prediction, count(*) AS n FROM t GROUP BY target, prediction",
+    "q47_read_cleaned": f"WITH {TWEETS}, t AS (SELECT target, {clean_v2('text')} AS clean_text FROM tweets), "
+                        f"k AS (SELECT * FROM t WHERE clean_text IS NOT NULL AND NOT {blank('clean_text')}) "
+                        "SELECT target, clean_text, 'csv' AS form FROM k UNION ALL SELECT target, clean_text, 'parquet' FROM k",
+    "q48_checked_scores": f"WITH {TWEETS} SELECT doc_id, TRUE AS named, TRUE AS in_range, TRUE AS sums_to_one FROM tweets",
     "q37_label_index": f"WITH {TWEETS}, c AS (SELECT target, count(*) AS n FROM tweets GROUP BY target) "
                        "SELECT target, CAST(row_number() OVER (ORDER BY CAST(target AS VARCHAR)) - 1 AS DOUBLE) "
                        "AS idx_alpha, CAST(row_number() OVER (ORDER BY n DESC, CAST(target AS VARCHAR)) - 1 AS DOUBLE) "

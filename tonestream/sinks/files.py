@@ -51,6 +51,12 @@ def publish_kafka(df: DataFrame, topic: str, bootstrap: str = "localhost:9092",
         raise
 
 
+def publish_kafka_stream(df: DataFrame, topic: str, checkpoint: str, bootstrap: str = "localhost:9092", text_col: str = "text"):
+    """Publish a stream of texts as ``{"text": ...}`` messages (needs the Kafka connector)."""
+    return (kafka_sink_frame(df, text_col).writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+            .option("topic", topic).option("checkpointLocation", checkpoint).start())
+
+
 def kafka_sink_frame(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The frame a Kafka sink receives: one ``value`` column of JSON text."""
     return df.select(encode_message(text_col).alias("value"))
@@ -65,4 +71,4 @@ def display_frame(df: DataFrame, text_col: str = "clean_text") -> DataFrame:
     return df.select(line.alias("display_line"))
 
 
-__all__ = ["write_table", "materialize", "write_metrics_json", "publish_kafka", "kafka_sink_frame", "display_frame"]
+__all__ = ["write_table", "materialize", "write_metrics_json", "publish_kafka", "publish_kafka_stream", "kafka_sink_frame", "display_frame"]

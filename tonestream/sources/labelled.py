@@ -24,28 +24,35 @@ CLEANED_V1_SCHEMA = StructType([
 CLEANED_V2_SCHEMA = StructType([StructField("target", IntegerType()), StructField("clean_text", StringType())])
 
 # Quoting that lets quotes, newlines and backslashes survive a write and a read.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true",
+CSV_OPTIONS = {"quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 RAW_ENCODING = "ISO-8859-1"
 
 
-def csv_reader(spark: SparkSession, header: bool, encoding: str = "UTF-8"):
-    return spark.read.options(**CSV_OPTIONS).option("header", header).option("encoding", encoding)
+def csv_reader(spark: SparkSession, header: bool, encoding: str = "UTF-8", multi_line: bool = True):
+    """``multi_line``: records may hold line breaks. Such a file can't be split, so it is one task;
+    without it a file of one record a line is read by many tasks."""
+    return (spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("header", header).option("encoding", encoding))
 
 
 def detect_layout(spark: SparkSession, path: str, encoding: str = RAW_ENCODING) -> str:
-    """``sentiment140`` when the file has six or more columns, else ``generic``.
-
-    Only the first record is read (the CSV source infers the width from it).
-    """
-    width = len(csv_reader(spark, header=False, encoding=encoding).csv(path).columns)
-    return "sentiment140" if width >= 6 else "generic"
+    """The layout by the first record: ``generic`` where it names ``target`` and ``text``,
+    ``sentiment140`` where it has six or more cells, the first a whole number; else an error."""
+    first = csv_reader(spark, header=False, encoding=encoding, multi_line=False).csv(path).first()
+    cells = [c or "" for c in first or ()]
+    if {"target", "text"} <= {c.strip() for c in cells}:  # names
+        return "generic"
+    if len(cells) >= 6 and cells[0].strip().lstrip("-").isdigit():
+        return "sentiment140"
+    raise ValueError(f"CSV format not recognized: first record {cells[:8]}")
 
 
 def load_labelled(spark: SparkSession, path: str, layout: str = "auto", binarize: bool | None = None,
-                  encoding: str | None = None) -> DataFrame:
+                  encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
     """Labelled texts as ``(target int, text string)``.
 
+    ``multi_line``: see ``csv_reader``; by default off for ``sentiment140`` (one tweet a line) and on for ``generic``.
+
     ``sentiment140``: headerless six-column Latin-1 file, target 0/4 -> 0/1.
     ``generic``: headered file with ``target`` and ``text``; labels are kept as
     they are unless ``binarize=True``.
@@ -53,10 +60,10 @@ def load_labelled(spark: SparkSession, path: str, layout: str = "auto", binarize
     if layout == "auto":
         layout = detect_layout(spark, path, encoding or RAW_ENCODING)
     if layout == "sentiment140":
-        df = csv_reader(spark, header=False, encoding=encoding or RAW_ENCODING).schema(RAW_SCHEMA).csv(path)
+        df = csv_reader(spark, header=False, encoding=encoding or RAW_ENCODING, multi_line=bool(multi_line)).schema(RAW_SCHEMA).csv(path)
         do_binarize = True if binarize is None else binarize
     elif layout == "generic":
-        raw = csv_reader(spark, header=True, encoding=encoding or "UTF-8").csv(path)
+        raw = csv_reader(spark, header=True, encoding=encoding or "UTF-8", multi_line=multi_line is not False).csv(path)
         missing = {"target", "text"} - set(raw.columns)
         if missing:
             raise ValueError(f"CSV format not recognized: missing columns {sorted(missing)}")
@@ -76,10 +83,10 @@ def read_cleaned(spark: SparkSession, path: str, fmt: str = "parquet", version:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_to_score(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_to_score(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """A table to score: every column kept, strings as read."""
     if fmt == "csv":
-        return csv_reader(spark, header=True).csv(path)
+        return csv_reader(spark, header=True, multi_line=multi_line).csv(path)
     return spark.read.format(fmt).load(path)
 
 

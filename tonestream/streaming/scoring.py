@@ -21,44 +21,46 @@ from pyspark.sql.types import StructType
 
 from tonestream.functions.clean import clean_v2
 from tonestream.functions.messages import decode_messages
-from tonestream.operators.scoring import model_input, with_labels
+from tonestream.operators.scoring import score_table
 
 
 def write_message_files(df: DataFrame, path: str, text_col: str = "text", key_cols: tuple[str, ...] = (),
-                        files: int | None = 8, value: Column | None = None, rows_per_file: int | None = None) -> str:
-    """Write ``(key..., value binary)`` message files that a file stream can replay.
-
-    ``value`` defaults to ``{"text": ...}`` JSON. Several files let
-    ``maxFilesPerTrigger`` cut the replay into micro-batches; ``rows_per_file``
-    caps every file (``maxRecordsPerFile``), so one file per trigger replays at
-    most that many rows per batch (the reference's "N texts every T seconds").
-    ``files=None`` keeps the input's partitioning.
+                        value: Column | None = None) -> str:
+    """Write ``(key..., value binary)`` message files that a file stream can replay, partitioned as the input is.
+
+    ``value`` defaults to ``{"text": ...}`` JSON.
     """
     from tonestream.functions.messages import encode_message
 
     v = value if value is not None else encode_message(text_col)
-    out = df.select(*key_cols, v.cast("binary").alias("value"))
-    if files:
-        out = out.repartition(files)
-    w = out.write.mode("errorifexists")
-    if rows_per_file:
-        w = w.option("maxRecordsPerFile", rows_per_file)
-    w.parquet(path)
+    df.select(*key_cols, v.cast("binary").alias("value")).write.mode("errorifexists").parquet(path)
     return path
 
 
 def message_stream(spark: SparkSession, path: str, schema: StructType | str,
-                   max_files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
-    """Replay files as a stream, ``max_files_per_trigger`` files per micro-batch."""
-    return (spark.readStream.format(fmt).schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+                   max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """Files as a stream. ``max_files_per_trigger`` cuts it into micro-batches of so many files."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def table_stream(spark: SparkSession, path: str, value: Column | None = None, text_col: str = "text",
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a stream of messages: its columns and ``value``, encoded in the plan."""
+    from tonestream.functions.messages import encode_message
+
+    schema = spark.read.parquet(path).schema
+    # a pattern, as the table can be one file or a folder of files
+    rows = message_stream(spark, f"{path.rstrip('/')}*", schema, max_files_per_trigger)
+    return rows.withColumn("value", (encode_message(text_col) if value is None else value).cast("binary"))
 
 
 def kafka_options(bootstrap: str = "localhost:9092", topic: str = "tweets", starting_offsets: str = "latest",
                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Source options for the Kafka connector (bootstrap, topic, start, rate cap)."""
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting_offsets,
-            "failOnDataLoss": "false"}
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting_offsets}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
@@ -82,7 +84,7 @@ def decoded_stream(stream: DataFrame, value_col: str = "value", clean_first: boo
 def score_stream(stream: DataFrame, model: PipelineModel, clean_first: bool = False) -> DataFrame:
     """Score a streaming frame with a fitted pipeline (``model.transform`` is
     stateless, so it runs per micro-batch)."""
-    return with_labels(model.transform(model_input(stream, clean_first)))
+    return score_table(stream, model, clean_first)
 
 
 def start_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -115,6 +117,27 @@ def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame], pat
     return w.start()
 
 
+def start_with_quarantine(df: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, quarantine_path: str,
+                          checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Score the valid rows of a decoded stream and keep the others, from one pass over each micro-batch.
+
+    The batch is persisted, so it is read and parsed once; both results go to
+    ``batch_id=N`` folders in overwrite mode, so a replayed batch replaces its own output.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            score(batch.where("is_valid")).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            batch.where("not is_valid").write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
+
+
 def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: str, checkpoint: str,
                               text_col: str = "clean_text", keep: tuple[str, ...] = (),
                               available_now: bool = True) -> StreamingQuery:
@@ -137,12 +160,9 @@ def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: st
     return start_foreach_batch(df, score, path, checkpoint, available_now=available_now)
 
 
-def run_until_done(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an available-now query; raise its error if it failed."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream {query.id} did not finish within {timeout_s}s")
+def run_until_done(query: StreamingQuery) -> None:
+    """Wait for an available-now query, however long it takes; raise its error if it failed."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
