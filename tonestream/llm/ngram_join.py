@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonestream.llm.byte_hash import FIRST, SECOND, Ranges, mix
@@ -258,15 +258,16 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.repartition("t").sortWithinPartitions("t", "s").mapInArrow(run, "t long, s long, n long, i long")
 
 
-def _candidates(left: DataFrame, right: DataFrame, percent: int, grouped: bool) -> DataFrame:
-    """Distinct pairs ``x, y`` (x smaller) of a bucket that can still be similar enough, in different groups."""
-    b = right.select(F.col("t").alias("u"), F.col("s").alias("s2"), F.col("n").alias("n2"), F.col("i").alias("i2"),
-                     *([F.col("g").alias("g2")] if grouped else []))
-    left_over = F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))
-    meet = (F.col("t") == F.col("u")) & (F.col("s") != F.col("s2")) & (
-        left_over * (100 + percent) >= percent * (F.col("n") + F.col("n2")))
+def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``x, y`` (x smaller) of a bucket that can still be similar enough; where the
+    rows have groups and sketches, only of different groups, and only those whose sketches allow it."""
+    grouped = "g" in right.columns
+    b = right.select(*[F.col(c).alias(c + "2") for c in right.columns])
+    enough = percent * (F.col("n") + F.col("n2"))
+    meet = (F.col("t") == F.col("t2")) & (F.col("s") != F.col("s2")) & (
+        F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) * (100 + percent) >= enough)
     if grouped:
-        meet = meet & (F.col("g") != F.col("g2"))
+        meet = meet & (F.col("g") != F.col("g2")) & (_most("sketch", "sketch2") * (100 + percent) >= enough)
     pairs = left.join(b, meet)
     x = F.struct("s", "n")
     y = F.struct(F.col("s2").alias("s"), F.col("n2").alias("n"))
@@ -274,19 +275,30 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int, grouped: bool)
         F.col("p.s").alias("x"), F.col("p.n").alias("nx"), F.col("q.s").alias("y"), F.col("q.n").alias("ny")).distinct()
 
 
-def _reachable(pairs: DataFrame, survey: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sketches allow the similarity: an overlap is at most the sum over bins of the smaller count."""
-    used = pairs.select(F.col("x").alias("u")).unionAll(pairs.select("y")).distinct()
-    known = materialize(survey.join(used, F.col("s") == F.col("u"), "left_semi").select("s", "sketch").dropDuplicates(["s"]), "sketches")
+def _most(a: str, b: str) -> Column:
+    """The largest overlap that two sketches allow: the sum over bins of the smaller count."""
+    least = F.zip_with(a, b, lambda p, q: F.when((p == FULL) & (q == FULL), F.lit(1 << 40)).otherwise(F.least(p, q).cast("long")))
+    return F.aggregate(least, F.lit(0).cast("long"), lambda total, m: total + m)
+
+
+def _sketches(of: DataFrame, sets: DataFrame) -> DataFrame:
+    """``s, sketch`` of the sets ``s`` in ``of``."""
+    used = materialize(of.select("s").distinct(), "used")
+    few = used.count() <= BROADCAST_IDS
+    return materialize(sets.join(F.broadcast(used) if few else used, "s", "left_semi").dropDuplicates(["s"]), "sketches")
+
+
+def _reachable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow the similarity."""
+    known = _sketches(pairs.select(F.col("x").alias("s")).unionAll(pairs.select("y")), sets)
     both = pairs.join(known.alias("a"), F.expr("x = a.s")).join(known.alias("b"), F.expr("y = b.s"))
-    least = F.zip_with("a.sketch", "b.sketch", lambda a, b: F.when((a == FULL) & (b == FULL), F.lit(1 << 40)).otherwise(F.least(a, b).cast("long")))
-    most = F.aggregate(least, F.lit(0).cast("long"), lambda total, m: total + m)
-    return both.where(most * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))).select("x", "nx", "y", "ny")
+    fits = _most("a.sketch", "b.sketch") * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))
+    return both.where(fits).select("x", "nx", "y", "ny")
 
 
-def _verify(pairs: DataFrame, rows: DataFrame, survey: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``x, y`` that link, by overlaps counted per fragment and summed."""
-    pairs = materialize(_reachable(materialize(pairs, "pairs"), survey, percent), "pairs")
+    pairs = materialize(pairs, "pairs")
     used = pairs.select(F.col("x").alias("s")).unionAll(pairs.select(F.col("y").alias("s"))).distinct()
     wanted = materialize(used.join(classes, "s").select(F.col("id").alias("i"), F.col("k").alias("j")), "wanted")
     if wanted.count() <= BROADCAST_IDS:
@@ -344,13 +356,15 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     classes = materialize(docs.where("n > 0").groupBy("s").agg(F.first("id").alias("id"), F.first("k").alias("k")), "classes")
     # every set with two of its bucket: the one with the fewest rare shingles, nearest to what all share, and any one
     ends = [buckets.groupBy("t").agg(F.min(F.struct(*key)).alias("m")).select("t", "m.s", "m.n", "m.i") for key in (("i", "s", "n"), ("s", "n", "i"))]
-    links = _verify(_candidates(buckets, ends[0].unionAll(ends[1]), percent, False), rows, sets, classes, words, percent)
+    pairs = materialize(_candidates(buckets, ends[0].unionAll(ends[1]), percent), "pairs")
+    links = _verify(_reachable(pairs, sets, percent), rows, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
-    left = _grouped(buckets, links)
+    left = materialize(_grouped(buckets, links), "grouped")
+    left = left.join(_sketches(left, sets), "s")
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
-    outside = left.join(lead, "t").where("g <> main").select("t", "s", "n", "i", "g")
-    links = links.unionAll(_verify(_candidates(outside, left, percent, True), rows, sets, classes, words, percent))
+    outside = left.join(lead, "t").where("g <> main").drop("main")
+    links = links.unionAll(_verify(_candidates(outside, left, percent), rows, classes, words, percent))
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     member = docs.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
         "id", "k", "n", F.when(F.col("n") > 0, F.coalesce("root", "s")).alias("g"))
