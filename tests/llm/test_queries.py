@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_exact_dedup import lower
+from tests.llm.helpers import CLASHING, clashing, lower, messy_docs
 from tests.llm.test_ngram_join import plain
 from tests.oracle_compare import compare, duck
 from tonestream.llm.queries import QUERIES, SQL
@@ -48,3 +48,19 @@ def test_stages(spark, tmp_path):
     pieces = results["pack"].collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in after}
     assert sum(r.piece == 0 for r in pieces) == len(after)
+
+
+@pytest.mark.parametrize("rows", [clashing(messy_docs(n=60)), []], ids=["messy", "empty"])
+def test_stages_on_unusual_rows(spark, tmp_path, rows):
+    docs = given = spark.createDataFrame(rows, CLASHING)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != "pack":
+            assert out.schema == docs.schema or out.dtypes == given.dtypes
+        out.write.parquet(f"{tmp_path}/{name}")
+        if name == "quality":  # the sample's texts are rejected or not; the later stages see all of them
+            assert spark.read.schema(out.schema).parquet(f"{tmp_path}/{name}").count() <= len(rows)
+            continue
+        docs = spark.read.schema(out.schema).parquet(f"{tmp_path}/{name}")
+    texts = {r[1] for r in rows}
+    assert docs.count() >= (1 if rows else 0) and (bool(texts) == bool(docs.count()))

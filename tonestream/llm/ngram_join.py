@@ -12,9 +12,9 @@ Method:
 2. The first fragment of a set in that order is its prefix: linked sets share a shingle in both
    prefixes. Prefix shingles meet in a bucket each, with their position; a pair is a candidate only where
    what is left of both sets behind the shared position can still reach the similarity.
-3. Candidates are verified by vertical partitioning, twice: each set's numbers of shingles in ``BINS`` narrow fragments
-   bound a pair's overlap and leave out most pairs; for the others sets are cut into ``FRAGMENTS`` fragments, the
-   overlap of a pair is counted in each fragment by itself, and the counts are summed per pair.
+3. Candidates are verified by vertical partitioning, twice: which of many narrow fragments a set falls into is a
+   bitmap, and the fragments that only one of a pair falls into bound its overlap and leave out most pairs; for the others
+   sets are cut into ``FRAGMENTS`` fragments, the overlap is counted in each by itself, and the counts are summed per pair.
 4. No bucket expands into all its pairs. First each bucket's sets meet only two of it; then, where
    several groups are left in a bucket, the sets outside its largest group meet those of other groups. After that
    each pair that could link was compared or is in one group already, so the groups are exact.
@@ -45,8 +45,8 @@ WORDS, PERCENT, HOT, FRAGMENTS = 5, 80, 32, 8
 HOT_LIMIT = 1 << 20
 #: Shingles that a task counts together.
 COUNTED = 1 << 21
-#: Bins of a set's sketch, and the most that a bin can say.
-BINS, FULL = 256, 32767
+#: Most 64-bit words of a set's sketch.
+FINEST = 1 << 14
 #: Bytes of text that are hashed together.
 STRETCH = 1 << 20
 #: Buckets up to this size are searched for sets that can't link with any other in it.
@@ -109,13 +109,16 @@ def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketches(sets: list[np.ndarray]) -> pa.Array:
-    """For each set how many of its shingles fall into each bin of the hash order."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    counts = np.bincount(row * BINS + (every >> np.uint64(56)).astype(np.int64), minlength=len(sets) * BINS)
-    offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BINS)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.minimum(counts, FULL).astype(np.int16)))
+def sketches(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set a bitmap of the fragments of the hash order that it falls into, eight or more fragments a
+    shingle up to ``FINEST`` words of 64, as signed 64-bit numbers."""
+    out = []
+    for own in sets:
+        words = min(FINEST, 1 << max(2, (len(own) // 8).bit_length()))
+        bits = np.zeros(64 * words, np.uint8)
+        bits[(own & np.uint64(64 * words - 1)).astype(np.int64)] = 1
+        out.append(np.packbits(bits, bitorder="little").view(np.int64))
+    return out
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -144,21 +147,21 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
 
         def counted(kind: pa.DataType) -> pa.RecordBatch:
             t, seen = count(waiting)
-            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int16()))]
+            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays([*none, pa.array(t), pa.array(seen)], names=names)
 
         for batch in batches:
             s, n, bins = [], [], []
             for _, sets in _sets(batch.column(2), words):
                 s.append(set_hashes(sets))
-                bins.append(sketches(sets))
+                bins += sketches(sets)
                 n += map(len, sets)
                 waiting += sets
                 size += sum(map(len, sets))
             s = np.concatenate(s) if s else np.zeros(0, np.int64)
             none = [pa.nulls(len(s), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int64()),
-                                                   pa.concat_arrays(bins) if bins else pa.array([], pa.list_(pa.int16())), *none], names=names)
+                                                   pa.array(bins, pa.list_(pa.int64())), *none], names=names)
             if size > COUNTED:
                 yield counted(batch.column(0).type)
                 waiting, size = [], 0
@@ -166,7 +169,7 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
             yield counted(batch.column(0).type)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, sketch array<short>, t long, seen long")
+    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, sketch array<long>, t long, seen long")
 
 
 def _prefixes(rows: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
@@ -267,7 +270,7 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     meet = (F.col("t") == F.col("t2")) & (F.col("s") != F.col("s2")) & (
         F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) * (100 + percent) >= enough)
     if grouped:
-        meet = meet & (F.col("g") != F.col("g2")) & (_most("sketch", "sketch2") * (100 + percent) >= enough)
+        meet = meet & (F.col("g") != F.col("g2")) & ((F.col("n") - _missing("sketch", "sketch2")) * (100 + percent) >= enough)
     pairs = left.join(b, meet)
     x = F.struct("s", "n")
     y = F.struct(F.col("s2").alias("s"), F.col("n2").alias("n"))
@@ -275,10 +278,18 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
         F.col("p.s").alias("x"), F.col("p.n").alias("nx"), F.col("q.s").alias("y"), F.col("q.n").alias("ny")).distinct()
 
 
-def _most(a: str, b: str) -> Column:
-    """The largest overlap that two sketches allow: the sum over bins of the smaller count."""
-    least = F.zip_with(a, b, lambda p, q: F.when((p == FULL) & (q == FULL), F.lit(1 << 40)).otherwise(F.least(p, q).cast("long")))
-    return F.aggregate(least, F.lit(0).cast("long"), lambda total, m: total + m)
+def _missing(a: str, b: str) -> Column:
+    """At least how many shingles of the set of sketch ``a`` the set of sketch ``b`` doesn't have: fragments that only
+    ``a`` falls into. A finer sketch is folded to the coarser one's fragments."""
+    least = F.least(F.size(a), F.size(b))
+
+    def folded(c: str) -> Column:
+        halves = lambda x: F.zip_with(F.slice(x, F.lit(1), least), F.slice(x, least + 1, least), lambda p, q: p.bitwiseOR(q))
+        # sizes of sets that can link differ by less than twice, so one fold is enough; else there is no bound
+        return F.when(F.size(c) == least, F.col(c)).when(F.size(c) == 2 * least, halves(F.col(c)))
+
+    alone = F.zip_with(folded(a), folded(b), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+    return F.coalesce(F.aggregate(alone, F.lit(0), lambda total, m: total + m), F.lit(0))
 
 
 def _sketches(of: DataFrame, sets: DataFrame) -> DataFrame:
@@ -292,7 +303,7 @@ def _reachable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches allow the similarity."""
     known = _sketches(pairs.select(F.col("x").alias("s")).unionAll(pairs.select("y")), sets)
     both = pairs.join(known.alias("a"), F.expr("x = a.s")).join(known.alias("b"), F.expr("y = b.s"))
-    fits = _most("a.sketch", "b.sketch") * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))
+    fits = (F.col("nx") - _missing("a.sketch", "b.sketch")) * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))
     return both.where(fits).select("x", "nx", "y", "ny")
 
 
