@@ -3,9 +3,9 @@
 Long form: ``(doc_id, term, tf)`` rows counted inside each document row (no
 shuffle); document frequency and IDF are one aggregation keyed by term, partial
 on the map side, so a very common term costs one row per task before the
-shuffle. Terms are joined back to documents with a plain equi-join that AQE
-turns into a broadcast when the measured term table is small and splits when
-one term is hot; the top-k vocabulary, bounded by k, is broadcast explicitly.
+shuffle. The term statistics are written and then joined back to documents with a
+plain equi-join, which AQE turns into a broadcast when the table is measured small and
+splits when one term is hot; the top-k vocabulary, bounded by k, is broadcast explicitly.
 """
 
 from __future__ import annotations

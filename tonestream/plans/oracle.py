@@ -308,6 +308,10 @@ UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s)::DOUBLE, 10), round(s
     "q47_read_cleaned": f"WITH {TWEETS}, t AS (SELECT target, {clean_v2('text')} AS clean_text FROM tweets), "
                         f"k AS (SELECT * FROM t WHERE clean_text IS NOT NULL AND NOT {blank('clean_text')}) "
                         "SELECT target, clean_text, 'csv' AS form FROM k UNION ALL SELECT target, clean_text, 'parquet' FROM k",
+    "q49_hashed_term_counts": f"WITH c AS (SELECT doc_id, coalesce({clean_v2('text')}, '') AS t FROM documents) SELECT doc_id, "
+                              f"len(list_filter(string_split(t, ' '), lambda w: w NOT IN ({SPARK_STOP_SQL}))) AS n_words FROM c",
+    "q50_logistic_checked": "WITH " + LABELLED + " SELECT f AS features, doc_id, TRUE AS in_range, TRUE AS label_follows_p, "
+                            "TRUE AS sums_to_one FROM lab, (SELECT unnest(['hashed', 'vocab']) AS f) WHERE NOT is_train",
     "q48_checked_scores": f"WITH {TWEETS} SELECT doc_id, TRUE AS named, TRUE AS in_range, TRUE AS sums_to_one FROM tweets",
     "q37_label_index": f"WITH {TWEETS}, c AS (SELECT target, count(*) AS n FROM tweets GROUP BY target) "
                        "SELECT target, CAST(row_number() OVER (ORDER BY CAST(target AS VARCHAR)) - 1 AS DOUBLE) "

@@ -457,6 +457,32 @@ def q48_checked_scores(spark, sf):
                     (F.abs(F.col("p_pos") + F.col("p_neg") - 1) < 1e-9).alias("sums_to_one"))
 
 
+def q49_hashed_term_counts(spark, sf):
+    """What a document's hashed term vector sums to: its number of words, whichever of them share a bucket."""
+    from pyspark.ml import Pipeline
+
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"]).select(
+        "doc_id", F.coalesce(clean.clean_v2("text"), F.lit("")).alias("clean_text"))
+    stages = features.hashed_tfidf_stages("clean_text", 10000)[:-1]
+    vecs = Pipeline(stages=stages).fit(docs).transform(docs).select("doc_id", "rawFeatures")
+    vecs = features.stored_vectors(vecs, ["rawFeatures"], "hashed-tf")
+    return vecs.select("doc_id", features.vector_sum(F.col("rawFeatures")).cast("bigint").alias("n_words"))
+
+
+def q50_logistic_checked(spark, sf):
+    """Both logistic models over the holdout: the row set, and what must hold of every row."""
+    data = cleaned_labelled(spark, sf)
+    train, test = data.where("is_train"), data.where(~F.col("is_train"))
+    out = None
+    for feats in ("hashed", "vocab"):
+        s = score_table(test, train_logistic(train, features=feats))
+        rows = s.select(F.lit(feats).alias("features"), "doc_id", F.col("p_pos").between(0, 1).alias("in_range"),
+                        ((F.col("prediction") == 1) == (F.col("p_pos") > 0.5)).alias("label_follows_p"),
+                        (F.abs(F.col("p_pos") + F.col("p_neg") - 1) < 1e-9).alias("sums_to_one"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q39_naive_bayes_ml(spark, sf):
     data = cleaned_labelled(spark, sf)
     model = fit_naive_bayes_ml(data.where("is_train"))
@@ -519,5 +545,7 @@ QUERIES: dict[str, Query] = {
     "q46_confusion_cells": q46_confusion_cells,
     "q47_read_cleaned": q47_read_cleaned,
     "q48_checked_scores": q48_checked_scores,
+    "q49_hashed_term_counts": q49_hashed_term_counts,
+    "q50_logistic_checked": q50_logistic_checked,
     "flagship_distribution": flagship_distribution,
 }
