@@ -45,8 +45,8 @@ WORDS, PERCENT, HOT, FRAGMENTS = 5, 80, 32, 8
 HOT_LIMIT = 1 << 20
 #: Shingles that a task counts together.
 COUNTED = 1 << 21
-#: Most 64-bit words of a set's sketch.
-FINEST = 1 << 14
+#: Most 64-bit words of a set's sketch, and of the coarse one folded from it.
+FINEST, COARSE = 1 << 14, 16
 #: Bytes of text that are hashed together.
 STRETCH = 1 << 20
 #: Buckets up to this size are searched for sets that can't link with any other in it.
@@ -110,17 +110,22 @@ def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """For each set a bitmap of the fragments of the hash order that it falls into, eight or more fragments a
+    """For each set a bitmap of the fragments of the hash order that it falls into, four or more fragments a
     shingle up to ``FINEST`` words of 64, as signed 64-bit numbers."""
     out = []
     for own in sets:
-        words = min(FINEST, 1 << max(2, (len(own) // 8).bit_length()))
+        words = min(FINEST, 1 << max(2, (len(own) // 16).bit_length()))
         bits = np.zeros(64 * words, np.uint8)
         bits[(own & np.uint64(64 * words - 1)).astype(np.int64)] = 1
         out.append(np.packbits(bits, bitorder="little").view(np.int64))
     return out
 
 
+def coarse(sketch: np.ndarray) -> np.ndarray:
+    """A sketch folded to ``COARSE`` words."""
+    return np.bitwise_or.reduce(sketch.reshape(-1, COARSE), axis=0) if len(sketch) > COARSE else sketch
+
+
 def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The sets of a column of texts, in groups of bounded size, with the row of the group's first."""
     texts = [t.encode() if t else b"" for t in column.to_pylist()]
@@ -135,7 +140,7 @@ def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]
 
 
 def _survey(rows: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: ``id, k, s, n, sketch`` of each document, and ``t, seen`` of shingles met again in a task."""
+    """Rows of two kinds: ``id, k, s, n, sketch, coarse`` of each document, and ``t, seen`` of shingles met again in a task."""
 
     def count(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         t, seen = np.unique(np.concatenate(found), return_counts=True)
@@ -143,11 +148,11 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
-        names = ["id", "k", "s", "n", "sketch", "t", "seen"]
+        names = ["id", "k", "s", "n", "sketch", "coarse", "t", "seen"]
 
         def counted(kind: pa.DataType) -> pa.RecordBatch:
             t, seen = count(waiting)
-            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            none = [pa.nulls(len(t), x) for x in (kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays([*none, pa.array(t), pa.array(seen)], names=names)
 
         for batch in batches:
@@ -161,7 +166,7 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
             s = np.concatenate(s) if s else np.zeros(0, np.int64)
             none = [pa.nulls(len(s), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.int64()), pa.array(n, pa.int64()),
-                                                   pa.array(bins, pa.list_(pa.int64())), *none], names=names)
+                                                   *[pa.array(x, pa.list_(pa.int64())) for x in (bins, [coarse(b) for b in bins])], *none], names=names)
             if size > COUNTED:
                 yield counted(batch.column(0).type)
                 waiting, size = [], 0
@@ -169,7 +174,7 @@ def _survey(rows: DataFrame, words: int) -> DataFrame:
             yield counted(batch.column(0).type)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, sketch array<long>, t long, seen long")
+    return rows.mapInArrow(run, f"id {kind}, k long, s long, n long, sketch array<long>, coarse array<long>, t long, seen long")
 
 
 def _prefixes(rows: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
@@ -263,14 +268,14 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
 
 def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs ``x, y`` (x smaller) of a bucket that can still be similar enough; where the
-    rows have groups and sketches, only of different groups, and only those whose sketches allow it."""
+    rows have groups and coarse sketches, only of different groups, and only those whose sketches allow it."""
     grouped = "g" in right.columns
     b = right.select(*[F.col(c).alias(c + "2") for c in right.columns])
     enough = percent * (F.col("n") + F.col("n2"))
     meet = (F.col("t") == F.col("t2")) & (F.col("s") != F.col("s2")) & (
         F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) * (100 + percent) >= enough)
     if grouped:
-        meet = meet & (F.col("g") != F.col("g2")) & ((F.col("n") - _missing("sketch", "sketch2")) * (100 + percent) >= enough)
+        meet = meet & (F.col("g") != F.col("g2")) & ((F.col("n") - _missing("coarse", "coarse2")) * (100 + percent) >= enough)
     pairs = left.join(b, meet)
     x = F.struct("s", "n")
     y = F.struct(F.col("s2").alias("s"), F.col("n2").alias("n"))
@@ -292,24 +297,25 @@ def _missing(a: str, b: str) -> Column:
     return F.coalesce(F.aggregate(alone, F.lit(0), lambda total, m: total + m), F.lit(0))
 
 
-def _sketches(of: DataFrame, sets: DataFrame) -> DataFrame:
-    """``s, sketch`` of the sets ``s`` in ``of``."""
+def _sketches(of: DataFrame, sets: DataFrame, kind: str = "sketch") -> DataFrame:
+    """``s`` and the sketch of the sets ``s`` in ``of``."""
     used = materialize(of.select("s").distinct(), "used")
     few = used.count() <= BROADCAST_IDS
-    return materialize(sets.join(F.broadcast(used) if few else used, "s", "left_semi").dropDuplicates(["s"]), "sketches")
+    return materialize(sets.select("s", kind).join(F.broadcast(used) if few else used, "s", "left_semi").dropDuplicates(["s"]), "sketches")
 
 
 def _reachable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sketches allow the similarity."""
-    known = _sketches(pairs.select(F.col("x").alias("s")).unionAll(pairs.select("y")), sets)
-    both = pairs.join(known.alias("a"), F.expr("x = a.s")).join(known.alias("b"), F.expr("y = b.s"))
-    fits = (F.col("nx") - _missing("a.sketch", "b.sketch")) * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))
-    return both.where(fits).select("x", "nx", "y", "ny")
+    """The pairs whose sketches allow the similarity, by the coarse ones and then the others."""
+    for kind in ("coarse", "sketch"):
+        known = _sketches(pairs.select(F.col("x").alias("s")).unionAll(pairs.select("y")), sets, kind)
+        both = pairs.join(known.alias("a"), F.expr("x = a.s")).join(known.alias("b"), F.expr("y = b.s"))
+        fits = (F.col("nx") - _missing(f"a.{kind}", f"b.{kind}")) * (100 + percent) >= percent * (F.col("nx") + F.col("ny"))
+        pairs = materialize(both.where(fits).select("x", "nx", "y", "ny"), "pairs")
+    return pairs
 
 
 def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``x, y`` that link, by overlaps counted per fragment and summed."""
-    pairs = materialize(pairs, "pairs")
     used = pairs.select(F.col("x").alias("s")).unionAll(pairs.select(F.col("y").alias("s"))).distinct()
     wanted = materialize(used.join(classes, "s").select(F.col("id").alias("i"), F.col("k").alias("j")), "wanted")
     if wanted.count() <= BROADCAST_IDS:
@@ -338,13 +344,17 @@ def _verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, words: int, p
     return materialize(summed.where(F.col("o") * 100 >= percent * (F.col("nx") + F.col("ny") - F.col("o"))).select("x", "y"), "links")
 
 
-def _grouped(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of buckets that hold several groups, with their group ``g``."""
+def _undecided(buckets: DataFrame, ends: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of buckets, with their group ``g``, that may hold pairs neither compared nor grouped yet.
+
+    A bucket's two ``ends`` were compared with all of it, so they are left out, and then buckets of one group.
+    """
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    with_group = materialize(buckets.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
-        "t", "s", "n", "i", F.coalesce("root", "s").alias("g")), "named")
-    mixed = with_group.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("t")
-    return with_group.join(mixed, "t")
+    rest = buckets.join(ends.select("t", "s"), ["t", "s"], "left_anti")
+    rest = materialize(rest.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
+        "t", "s", "n", "i", F.coalesce("root", "s").alias("g")), "rest")
+    mixed = rest.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("t")
+    return materialize(rest.join(mixed, "t"), "undecided")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
@@ -356,7 +366,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
     survey = materialize(_survey(rows, words), "survey")
     docs = survey.where("n is not null").select("id", "k", "s", "n")
-    sets = survey.where("n > 0").select("s", "sketch")
+    sets = survey.where("n > 0").select("s", "sketch", "coarse")
     total = docs.agg(F.sum("n")).first()[0] or 0
     frequent = survey.where("seen is not null").groupBy("t").agg(F.sum("seen").alias("seen")).where(
         F.col("seen") > max(hot, total // HOT_LIMIT)).toPandas()  # at most HOT_LIMIT rows
@@ -367,15 +377,17 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     classes = materialize(docs.where("n > 0").groupBy("s").agg(F.first("id").alias("id"), F.first("k").alias("k")), "classes")
     # every set with two of its bucket: the one with the fewest rare shingles, nearest to what all share, and any one
     ends = [buckets.groupBy("t").agg(F.min(F.struct(*key)).alias("m")).select("t", "m.s", "m.n", "m.i") for key in (("i", "s", "n"), ("s", "n", "i"))]
-    pairs = materialize(_candidates(buckets, ends[0].unionAll(ends[1]), percent), "pairs")
+    ends = materialize(ends[0].unionAll(ends[1]).distinct(), "ends")
+    pairs = materialize(_candidates(buckets, ends, percent), "pairs")
     links = _verify(_reachable(pairs, sets, percent), rows, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
-    left = materialize(_grouped(buckets, links), "grouped")
-    left = left.join(_sketches(left, sets), "s")
+    left = _undecided(buckets, ends, links)
+    left = left.join(_sketches(left, sets, "coarse"), "s")
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
     outside = left.join(lead, "t").where("g <> main").drop("main")
-    links = links.unionAll(_verify(_candidates(outside, left, percent), rows, classes, words, percent))
+    pairs = materialize(_candidates(outside, left, percent), "pairs")
+    links = links.unionAll(_verify(_reachable(pairs, sets, percent), rows, classes, words, percent))
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     member = docs.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
         "id", "k", "n", F.when(F.col("n") > 0, F.coalesce("root", "s")).alias("g"))
