@@ -382,7 +382,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     links = _verify(_reachable(pairs, sets, percent), rows, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
     left = _undecided(buckets, ends, links)
-    left = left.join(_sketches(left, sets, "coarse"), "s")
+    left = materialize(left.join(_sketches(left, sets, "coarse"), "s"), "undecided")
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
     outside = left.join(lead, "t").where("g <> main").drop("main")
