@@ -268,14 +268,15 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
 
 def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs ``x, y`` (x smaller) of a bucket that can still be similar enough; where the
-    rows have groups and coarse sketches, only of different groups, and only those whose sketches allow it."""
+    rows have groups, only of different groups, only where the buckets before differ, and only those whose coarse
+    sketches allow it."""
     grouped = "g" in right.columns
     b = right.select(*[F.col(c).alias(c + "2") for c in right.columns])
     enough = percent * (F.col("n") + F.col("n2"))
     meet = (F.col("t") == F.col("t2")) & (F.col("s") != F.col("s2")) & (
         F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) * (100 + percent) >= enough)
     if grouped:
-        meet = meet & (F.col("g") != F.col("g2")) & ((F.col("n") - _missing("coarse", "coarse2")) * (100 + percent) >= enough)
+        meet = meet & (F.col("g") != F.col("g2")) & F.coalesce(F.col("before") != F.col("before2"), F.lit(True)) & ((F.col("n") - _missing("coarse", "coarse2")) * (100 + percent) >= enough)
     pairs = left.join(b, meet)
     x = F.struct("s", "n")
     y = F.struct(F.col("s2").alias("s"), F.col("n2").alias("n"))
@@ -382,7 +383,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     links = _verify(_reachable(pairs, sets, percent), rows, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
     left = _undecided(buckets, ends, links)
-    left = materialize(left.join(_sketches(left, sets, "coarse"), "s"), "undecided")
+    # a pair whose sets both come from one earlier bucket meets there, not again here
+    before = F.lag("t").over(Window.partitionBy("s").orderBy("i"))
+    left = materialize(left.join(_sketches(left, sets, "coarse"), "s").withColumn("before", before), "undecided")
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
     outside = left.join(lead, "t").where("g <> main").drop("main")
