@@ -54,6 +54,27 @@ def test_recall_on_unstructured_vectors(spark):
     assert found / (20 * len(got)) >= 0.9
 
 
+@pytest.mark.parametrize("every", [60, 1])
+def test_recall_with_a_few_very_long_rows(spark, every):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(6000, 32))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    x[[17, 18, 19]] *= [[1e4], [1e4], [30]]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "", "", "") for i, v in enumerate(x)], VECTORS)
+    got = read(ann.search(df, F.col("id") % every == 0, k=20))
+    asked = range(0, 6000, 60)
+    found = 0
+    for q in asked:
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        want = np.argsort(-s)[:20].tolist()
+        ids = [i for i, _ in got[q]]
+        assert all(i in ids for i in {17, 18, 19} & set(want))
+        found += len(set(ids) & set(want))
+    assert len(got) == len(range(0, 6000, every)) and found / (20 * len(asked)) >= 0.9
+
+
 def test_hilbert_curve_visits_neighbours():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     order = np.argsort(ann.hilbert_index(cells, 3))
