@@ -46,6 +46,22 @@ def test_headered_wide_files_are_read_by_name(spark, tmp_path):
         load_labelled(spark, str(tmp_path / "odd.csv"))
 
 
+@pytest.mark.parametrize("cut", ['"4","1","d","q","u","nice\nday"', '"4","1","d","q","u","say ""hi\n"', '"4","1","d","q","u","a\n0,2,d,q,u,b"',
+                                 '"4","1","d","q","u","x,""\n""y"'])
+def test_records_cut_by_line_breaks_are_errors(spark, tmp_path, cut):
+    whole = '"0","2","d","q","u","x ""y"", z"\n0,3,d,q,u,5" screen\n"0","4","d","q","u",""\n"4","5","d","q","u","ends,"\n'
+    path = str(tmp_path / "raw.csv")
+    (tmp_path / "raw.csv").write_text(whole)
+    rows = load_labelled(spark, path)
+    assert sorted((r.target, r.text or "") for r in rows.collect()) == [(0, ""), (0, '5" screen'), (0, 'x "y", z'), (1, "ends,")]
+    assert rows.count() == 4
+    (tmp_path / "raw.csv").write_text(whole + cut + "\n")
+    for read in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("target").collect()):
+        with pytest.raises(Exception, match="multi_line=True"):
+            read(load_labelled(spark, path))
+    assert load_labelled(spark, path, multi_line=True).where(F.contains("text", F.lit("\n"))).count() == 1
+
+
 def test_input_columns_named_like_model_stages(spark):
     rows = [("good day", 1, "w", 1.0), ("bad day", 0, "w", 2.0)] * 3
     df = spark.createDataFrame(rows, "text string, target int, nb_words string, probability double").withColumn("words", F.lit("mine"))

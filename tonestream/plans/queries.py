@@ -383,11 +383,13 @@ def q34_csv_round_trip(spark, sf):
     t = labelled_texts(spark, sf)
     raw = t.select(F.col("raw_label").alias("target"), F.col("doc_id").alias("id"), F.lit("").alias("date"),
                    F.lit("NO_QUERY").alias("flag"), F.col("source").alias("user"),
-                   F.translate("text", "\r\n", "  ").alias("text"))  # one tweet a line
+                   "text")
     p_raw, p_gen = shared_path(spark, "csv-raw"), shared_path(spark, "csv-generic")
     write_table(raw, p_raw, "csv", header=False, encoding="ISO-8859-1")
     write_table(t.select("target", "text"), p_gen, "csv", header=True)
-    a = load_labelled(spark, p_raw, "auto").select(F.lit("sentiment140").alias("layout"), "target", "text")
+    # the texts come back whole, line breaks too; only the answer shows these as spaces
+    a = load_labelled(spark, p_raw, "auto", multi_line=True).select(
+        F.lit("sentiment140").alias("layout"), "target", F.translate("text", "\r\n", "  ").alias("text"))
     b = load_labelled(spark, p_gen, "auto").select(F.lit("generic").alias("layout"), "target", "text")
     return a.unionByName(b)
 

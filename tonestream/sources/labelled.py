@@ -47,11 +47,29 @@ def detect_layout(spark: SparkSession, path: str, encoding: str = RAW_ENCODING)
     raise ValueError(f"CSV format not recognized: first record {cells[:8]}")
 
 
+def _whole_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """``RAW_SCHEMA`` records of one line each; a record that isn't whole in its line is an error.
+
+    Spark keeps the line of records whose number of cells isn't the schema's, so the schema has a cell too many.
+    """
+    schema = StructType([*RAW_SCHEMA.fields, StructField("_more", StringType()), StructField("_line", StringType())])
+    reader = csv_reader(spark, header=False, encoding=encoding, multi_line=False).option("columnNameOfCorruptRecord", "_line")
+    times = lambda c: F.length("_line") - F.length(F.replace("_line", F.lit(c), F.lit("")))
+    # the last quote opens a cell that no quote closes
+    open_ = (times('"') % 2 == 1) & F.replace("_line", F.lit('""'), F.lit("")).rlike('(^|,)"[^"]*$')
+    cut = F.coalesce(open_ | (F.col("text").isNull() & (times(",") < len(RAW_SCHEMA) - 1)), F.lit(False))
+    # a filter of all cells: a column would be pruned where nothing reads it, and pruned cells aren't counted
+    error = F.raise_error(F.concat(F.lit("a record isn't whole in its line; read texts with line breaks with multi_line=True: "),
+                                   F.substring(F.concat_ws(" ", "_line", *[f.name for f in schema[:-1]]), 1, 80)))
+    return reader.schema(schema).csv(path).where(F.when(cut, error.cast("boolean")).otherwise(F.lit(True))).drop("_more", "_line")
+
+
 def load_labelled(spark: SparkSession, path: str, layout: str = "auto", binarize: bool | None = None,
                   encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
     """Labelled texts as ``(target int, text string)``.
 
     ``multi_line``: see ``csv_reader``; by default off for ``sentiment140`` (one tweet a line) and on for ``generic``.
+    Where it is off for ``sentiment140``, a record that a line break cuts is an error.
 
     ``sentiment140``: headerless six-column Latin-1 file, target 0/4 -> 0/1.
     ``generic``: headered file with ``target`` and ``text``; labels are kept as
@@ -60,7 +78,10 @@ def load_labelled(spark: SparkSession, path: str, layout: str = "auto", binarize
     if layout == "auto":
         layout = detect_layout(spark, path, encoding or RAW_ENCODING)
     if layout == "sentiment140":
-        df = csv_reader(spark, header=False, encoding=encoding or RAW_ENCODING, multi_line=bool(multi_line)).schema(RAW_SCHEMA).csv(path)
+        if multi_line:
+            df = csv_reader(spark, header=False, encoding=encoding or RAW_ENCODING).schema(RAW_SCHEMA).csv(path)
+        else:
+            df = _whole_lines(spark, path, encoding or RAW_ENCODING)
         do_binarize = True if binarize is None else binarize
     elif layout == "generic":
         raw = csv_reader(spark, header=True, encoding=encoding or "UTF-8", multi_line=multi_line is not False).csv(path)
