@@ -133,3 +133,25 @@ def test_run_until_stopped_stops_and_resumes(spark):
     stream.run_until_done(stream.start_to_files(sel, out, ckpt))  # resume: the rest, nothing twice
     got = spark.read.parquet(out)
     assert got.count() == got.distinct().count() == conv.count()
+
+
+@pytest.mark.parametrize("name", ["q32_stream_clean_score", "q42_stream_naive_bayes_ml", "q44_replay_display_lines"])
+def test_broken_messages_come_back_from_the_queries(spark, name):
+    from tonestream.plans.queries import QUERIES
+
+    enc = messages.encode_message("text")
+    got = QUERIES[name](spark, SF01, F.when(F.col("turn") % 2 == 0, F.substring(enc, 1, 10)).otherwise(enc))
+    conv = read_table(spark, SF01, "conversations", ["conv_id", "turn"])
+    assert got.count() == conv.count()
+    assert got.where(F.col(got.columns[-1]).isNull()).select("conv_id", "turn").exceptAll(conv.where("turn % 2 = 0")).isEmpty()
+    assert got.where(F.col(got.columns[-1]).isNull()).count() == conv.where("turn % 2 = 0").count()
+
+
+def test_logistic_scores_return_broken_messages(spark):
+    from tonestream.plans.queries import q38_stream_logistic_scores
+
+    got = q38_stream_logistic_scores(spark, SF01)
+    conv = read_table(spark, SF01, "conversations", ["conv_id", "turn"])
+    assert got.select("conv_id", "turn").exceptAll(conv).isEmpty() and got.count() == conv.count()
+    cut = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) == 0
+    assert got.where(cut != F.col("prediction").isNull()).isEmpty() and 0 < got.where(cut).count() < conv.count()

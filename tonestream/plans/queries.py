@@ -317,13 +317,27 @@ def _conversation_stream(spark, sf, value=None, clean_first=False):
     return stream.decoded_stream(live.select("conv_id", "turn", "role", "value"), clean_first=clean_first)
 
 
-def q32_stream_clean_score(spark, sf):
+def _with_quarantined(spark, scored, bad_out, columns):
+    """Scored messages and, with nulls for all but their ids, the quarantined ones."""
+    types = dict(scored.dtypes)
+    bad = spark.read.parquet(bad_out).select("conv_id", "turn", *[F.lit(None).cast(types[c]).alias(c) for c in columns])
+    return scored.select("conv_id", "turn", *columns).unionByName(bad)
+
+
+def _table_model_stream(spark, sf, value, keep=()):
+    """All messages scored by the relational Naive Bayes model: the scored ones and where the others are."""
     data = cleaned_labelled(spark, sf).withColumn("words", features.split_words("clean_text"))
     model = fit_naive_bayes_table(data.where("is_train"), "words")
-    live = _conversation_stream(spark, sf, clean_first=True)
-    out, ckpt = shared_path(spark, "stream-out"), shared_path(spark, "stream-ckpt")
-    stream.run_until_done(stream.start_table_model_scoring(live, model, ["conv_id", "turn"], out, ckpt))
-    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
+    live = _conversation_stream(spark, sf, value, clean_first=True)
+    out, bad_out, ckpt = shared_path(spark, "stream-out"), shared_path(spark, "stream-bad"), shared_path(spark, "stream-ckpt")
+    stream.run_until_done(stream.start_table_model_scoring(live, model, ["conv_id", "turn"], out, ckpt, keep=keep, quarantine_path=bad_out))
+    return spark.read.parquet(out), bad_out
+
+
+def q32_stream_clean_score(spark, sf, value=None):
+    scored, bad_out = _table_model_stream(spark, sf, value)
+    scored = scored.withColumn("p_pos", _round("p_pos"))
+    return _with_quarantined(spark, scored, bad_out, ["clean_text", "prediction", "p_pos"])
 
 
 def q33_stream_quarantine(spark, sf):
@@ -342,38 +356,33 @@ def q33_stream_quarantine(spark, sf):
 
 
 def q38_stream_logistic_scores(spark, sf):
+    """One message of ten is cut short; such messages come back without a score."""
     data = cleaned_labelled(spark, sf)
     model = train_logistic(data.where("is_train"), features="hashed")
-    live = _conversation_stream(spark, sf)
-    scored = stream.score_stream(live.where("is_valid").select("conv_id", "turn", "text"), model, clean_first=True)
-    out = shared_path(spark, "stream-lr")
-    stream.run_until_done(stream.start_to_files(
-        scored.select("conv_id", "turn", "clean_text", "prediction", "p_pos"), out, shared_path(spark, "ckpt-lr")))
-    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
+    enc = messages.encode_message("text")
+    value = F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) == 0, F.substring(enc, 1, 10)).otherwise(enc)
+    live = _conversation_stream(spark, sf, value)
+    out, bad_out = shared_path(spark, "stream-lr"), shared_path(spark, "stream-lr-bad")
 
+    def score(good):
+        scored = stream.score_stream(good.select("conv_id", "turn", "text"), model, clean_first=True)
+        return scored.select("conv_id", "turn", "clean_text", "prediction", "p_pos")
+
+    stream.run_until_done(stream.start_with_quarantine(live, score, out, bad_out, shared_path(spark, "ckpt-lr")))
+    scored = spark.read.parquet(out).withColumn("p_pos", _round("p_pos"))
+    return _with_quarantined(spark, scored, bad_out, ["clean_text", "prediction", "p_pos"])
 
-def q42_stream_naive_bayes_ml(spark, sf):
-    data = cleaned_labelled(spark, sf)
-    model = fit_naive_bayes_ml(data.where("is_train"))
-    live = _conversation_stream(spark, sf)
-    scored = stream.score_stream(live.where("is_valid").select("conv_id", "turn", "text"), model, clean_first=True)
-    out = shared_path(spark, "stream-nb")
-    stream.run_until_done(stream.start_to_files(
-        scored.select("conv_id", "turn", "clean_text", "prediction", "p_pos"), out, shared_path(spark, "ckpt-nb")))
-    return spark.read.parquet(out).select("conv_id", "turn", "clean_text", "prediction", _round("p_pos"))
 
+def q42_stream_naive_bayes_ml(spark, sf, value=None):
+    """Spark ML's Naive Bayes scores (equal to its pipeline's, see q39) from the relational model, which needs no driver memory."""
+    return q32_stream_clean_score(spark, sf, value)
 
-def q44_replay_display_lines(spark, sf):
+
+def q44_replay_display_lines(spark, sf, value=None):
     """Messages scored by a fitted model, one display line per message from its probabilities."""
-    data = cleaned_labelled(spark, sf)
-    model = fit_naive_bayes_ml(data.where("is_train"))
-    live = _conversation_stream(spark, sf)
-    scored = stream.score_stream(live.where("is_valid").select("conv_id", "turn", "text"), model, clean_first=True)
-    lines = scored.select("conv_id", "turn",
-                          labels.display_line("text", "prediction", "p_neg", "p_pos").alias("display_line"))
-    out = shared_path(spark, "replay-out")
-    stream.run_until_done(stream.start_to_files(lines, out, shared_path(spark, "ckpt-replay")))
-    return spark.read.parquet(out)
+    scored, bad_out = _table_model_stream(spark, sf, value, keep=("text",))
+    scored = scored.withColumn("display_line", labels.display_line("text", "prediction", "p_neg", "p_pos"))
+    return _with_quarantined(spark, scored, bad_out, ["display_line"])
 
 
 # --- sinks, save / load, report files ------------------------------------------------------

@@ -140,24 +140,25 @@ def start_with_quarantine(df: DataFrame, score: Callable[[DataFrame], DataFrame]
 
 def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: str, checkpoint: str,
                               text_col: str = "clean_text", keep: tuple[str, ...] = (),
-                              available_now: bool = True) -> StreamingQuery:
+                              available_now: bool = True, quarantine_path: str | None = None) -> StreamingQuery:
     """Score a stream with a relational model (``NaiveBayesTable``).
 
     The model is a table, so scoring is a join plus a per-message sum. Every
     message's words arrive in the same micro-batch, so the sum is complete
     within the batch: each batch is scored as a static frame and written to
-    ``path/batch_id=N`` (idempotent on replay). Malformed messages are skipped
-    here; route them with ``split_quarantine``.
+    ``path/batch_id=N`` (idempotent on replay). Malformed messages of a decoded
+    stream go to ``quarantine_path``, by default ``path`` with ``-quarantine``.
     """
     from tonestream.operators.features import split_words
 
     def score(batch: DataFrame) -> DataFrame:
-        b = batch.where("is_valid") if "is_valid" in batch.columns else batch
-        b = b.withColumn("_words", split_words(text_col))
-        out = model.transform(b, "_words", id_cols)
+        b = batch.select(*dict.fromkeys((*id_cols, *keep, text_col)))
+        out = model.transform(b, split_words(text_col), id_cols)
         return out.select(*id_cols, *keep, text_col, "prediction", "p_neg", "p_pos")
 
-    return start_foreach_batch(df, score, path, checkpoint, available_now=available_now)
+    if "is_valid" not in df.columns:
+        return start_foreach_batch(df, score, path, checkpoint, available_now=available_now)
+    return start_with_quarantine(df, score, path, quarantine_path or f"{path.rstrip('/')}-quarantine", checkpoint, available_now)
 
 
 def run_until_done(query: StreamingQuery) -> None:
