@@ -1,4 +1,4 @@
-"""Exact token counts by a compiled finite-state transducer.
+"""Exact token counts: a compiled finite-state transducer splits, the library counts pre-tokens.
 
 Method: the splitter of a byte-level BPE tokenizer is compiled into a deterministic
 transducer over character classes whose transitions emit "a pre-token begins here"
@@ -6,9 +6,9 @@ transducer over character classes whose transitions emit "a pre-token begins her
 chunks of equal length, and all chunks are stepped at once from *every* start state;
 a chunk thus becomes a map start state -> (end state, what it emits). The maps compose by a
 parallel prefix scan, which gives each chunk its true start state, so a very long
-text needs no serial pass. The second transducer maps a pre-token to the number of
-tokens it emits; its transitions are compiled from the tokenizer's merges when a
-pre-token is first met and kept in a bounded table.
+text needs no serial pass. Only the splitter is compiled: the number of tokens of a
+pre-token comes from the library's own BPE when the pre-token is first met, and is kept in a
+bounded table. The merges aren't compiled and no transition carries a token count.
 
 The character classes are read off the tokenizer's own splitter, once per code
 point, so they agree with the library's Unicode tables. Where a tokenizer isn't of
@@ -158,7 +158,7 @@ class Counter:
         self.table: dict[str, int] = {}
 
     def _emitted(self, words: list[str]) -> list[int]:
-        """Tokens of each pre-token; new ones are compiled from the merges."""
+        """Tokens of each pre-token; new ones are counted by the library."""
         found = list(map(self.table.get, words))
         if None in found:
             if len(self.table) > TABLE_LIMIT:
