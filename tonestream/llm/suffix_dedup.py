@@ -1,22 +1,23 @@
-"""Removal of long byte strings that occur more than once, by bucket-pointer refinement.
+"""Removal of long byte strings that occur more than once, by hashes of windows in buckets.
 
 Every byte that lies in a string of ``WINDOW`` bytes which also starts anywhere else is
 removed. A window is a window start; the work is to tell which window starts share their bytes.
 
-Method (after bucket-pointer refinement of suffix arrays, made sparse and distributed):
+Method (in place of bucket-pointer refinement of suffix arrays, which sorts buckets by the bucket identifiers of later
+offsets in rounds: here hashes of content tell window starts apart directly, as all windows have one length):
 
 1. Initial buckets are q-grams. Of the q-grams inside a window, the one with the smallest hash is its
    anchor (the leftmost among equals), so equal windows have equal anchors at equal offsets. An
    anchor stands for the run of window starts that choose it; about one byte in a
    hundred is an anchor. Windows can only be equal within a bucket, and a bucket with one
    occurrence is done.
-2. A bucket is refined by the identifiers of what stands before and behind the anchor, as far as its
+2. A bucket is split once by a hash of what stands before and behind the anchor, as far as its
    windows reach. Occurrences that agree in all of it are one class: of two or more, every window
    repeats. Copies of documents and the inside of long passages end here, as counts.
 3. What is left, one representative of each class of a bucket with several, is refined on: the bytes around the
-   anchor are fetched, and each bucket's windows are sorted by their identifiers; equal neighbours repeat. A
+   anchor are fetched, and each bucket's windows are sorted by hashes of their bytes; equal neighbours repeat. A
    task takes many small buckets at once. Buckets of more than ``BUCKET`` windows
-   are refined by a shuffle on the window identifiers instead, with counts combined on the map side.
+   are settled by a shuffle on these hashes instead, with counts combined on the map side.
 4. The classes' repeated window starts go back to the documents over narrow keys.
 
 Buckets and classes are told apart by two independent 64-bit hashes. Nothing grows with the
