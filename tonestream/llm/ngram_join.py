@@ -1,8 +1,9 @@
-"""N-gram Jaccard join with vertical partitioning, and the groups that its links make.
+"""The groups that an n-gram Jaccard join makes, with vertical partitioning.
 
 A document is the set of its distinct ``n``-word shingles; two documents link when their
-Jaccard similarity is at least ``percent`` hundredths. All links between different sets count, none is
-sampled; equal sets are one class, whose copies are never expanded into pairs.
+Jaccard similarity is at least ``percent`` hundredths. The groups that all links make are exact, none is
+sampled; but not all links are found: sets that are in one group already aren't compared again, so there are no pairs and no
+numbers of links in the output. Equal sets are one class, whose copies are never expanded into pairs.
 
 Method:
 
