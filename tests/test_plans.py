@@ -86,3 +86,14 @@ def test_message_parsed_once_when_filtered(spark):
     d = stream.decoded_stream(df, clean_first=True)
     for part in (d.where("is_valid"), d.where(~F.col("is_valid"))):
         assert plan(part).count("parseJson") == 1
+
+
+def test_only_one_query_holds_a_vocabulary_on_the_driver(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizer
+
+    def refuse(self, dataset):
+        raise AssertionError("the vocabulary would go to the driver")
+
+    monkeypatch.setattr(CountVectorizer, "_fit", refuse)
+    for name in ("q42_stream_naive_bayes_ml", "q43_score_uploaded_csv", "q44_replay_display_lines", "q48_checked_scores"):
+        assert Q[name](spark, SF01).count() > 0
