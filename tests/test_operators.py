@@ -252,10 +252,9 @@ def test_vocab_tfidf_vectors_equal_long_form(spark):
         v = r.features
         for i, x in zip(v.indices, v.values):
             ml[(r.doc_id, vocab[i])] = x
-    terms = features.doc_terms(data, "doc_id", features.with_bigrams(features.split_words("clean_text")))
-    top = features.top_terms(features.term_stats(terms), 20000, 2)
-    n = F.lit(data.count())
-    long = {(r.doc_id, r.term): r.w for r in features.tfidf_sklearn(terms, "doc_id", top, n).collect()}
+    grams = features.with_bigrams(features.split_words("clean_text"))
+    packed = features.fit_vocabulary(features.term_stats_of(data, grams), data.count(), 20000, 2)
+    long = {(r.doc_id, r.term): r.w for r in features.tfidf_sklearn(data, "doc_id", grams, packed).collect()}
     assert ml.keys() == long.keys() and len(ml) > 1000
     assert all(abs(ml[k] - long[k]) < 1e-12 for k in ml)
 

@@ -155,3 +155,27 @@ def test_logistic_scores_return_broken_messages(spark):
     assert got.select("conv_id", "turn").exceptAll(conv).isEmpty() and got.count() == conv.count()
     cut = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) == 0
     assert got.where(cut != F.col("prediction").isNull()).isEmpty() and 0 < got.where(cut).count() < conv.count()
+
+
+def test_scoring_many_batches_writes_only_the_result(spark):
+    import glob
+
+    from tonestream.operators.naive_bayes import fit_naive_bayes_table
+
+    train = spark.createDataFrame([(["good"], 1), (["bad"], 0), (["good"], 1)], "words array<string>, target int")
+    model = fit_naive_bayes_table(train, "words")
+    texts = spark.range(0, 50, 1, 50).select("id", F.when(F.col("id") % 3 == 0, "very good").otherwise("bad").alias("text"))
+    value = F.when(F.col("id") % 10 == 7, F.lit("not json")).otherwise(messages.encode_message("text"))
+    src, out, ckpt = shared_path(spark, "many"), shared_path(spark, "many-out"), shared_path(spark, "many-ckpt")
+    stream.write_message_files(texts, src, key_cols=("id",), value=value)
+    live = stream.decoded_stream(stream.message_stream(spark, src, "id bigint, value binary", max_files_per_trigger=1), clean_first=True)
+    scored = stream.score_stream_with_table(live, model, ("id",))
+    shared = src.rsplit("/", 1)[0].replace("file:", "")
+    before = set(glob.glob(f"{shared}/*"))
+    query = stream.start_by_status(scored, out, ckpt)
+    stream.run_until_done(query)
+    assert query.lastProgress["batchId"] == 49
+    after = {p.rsplit("/", 1)[-1] for p in set(glob.glob(f"{shared}/*")) - before}
+    assert after == {p.rsplit("/", 1)[-1] for p in (out, ckpt)}
+    got = {r.id: (r.status, r.prediction) for r in spark.read.parquet(out).collect()}
+    assert got == {i: ("quarantine", None) if i % 10 == 7 else ("scored", float(i % 3 == 0)) for i in range(50)}

@@ -5,7 +5,7 @@ shuffle); document frequency and IDF are one aggregation keyed by term, partial
 on the map side, so a very common term costs one row per task before the
 shuffle. The term statistics are written and then joined back to documents with a
 plain equi-join, which AQE turns into a broadcast when the table is measured small and
-splits when one term is hot; the top-k vocabulary, bounded by k, is broadcast explicitly.
+splits when one term is hot; the top-k vocabulary, bounded by k, is packed and looked up inside the row.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tonestream.functions.clean import STOP_WORDS
 from tonestream.operators.evaluation import with_column_once
-from tonestream.session import ensure_checkpoint_dir
+from tonestream.operators.lookup import Lookup, bound, pack_lookup, with_lookup
+from tonestream.session import shared_path
 from tonestream.sinks.files import materialize
 
 
@@ -138,26 +139,37 @@ def tfidf_spark(terms: DataFrame, id_col: str, n_docs: Column) -> DataFrame:
     return terms.join(idf, "term").select(id_col, "term", "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
-def tfidf_sklearn(terms: DataFrame, id_col: str, vocab: DataFrame, n_docs: Column) -> DataFrame:
-    """``(id, term, tf, w)``: ``tf * (ln((1 + n) / (1 + df)) + 1)`` over the
-    vocabulary, then L2-normalised per document.
+def fit_vocabulary(stats: DataFrame, n_docs: int, k: int = 20000, min_df: int = 2, path: str | None = None) -> Lookup:
+    """The ``k`` most frequent terms with ``idf1 = ln((1 + n) / (1 + df)) + 1``, written packed for look-ups inside the row.
 
-    The vocabulary is bounded by its own top-k cut, so it is broadcast. It is a
-    fitted artifact (terms and IDF) used by both the weights and the norms, so it
-    is checkpointed once rather than re-aggregated for each.
+    The vocabulary is bounded by ``k``, so it may go through the driver.
     """
-    ensure_checkpoint_dir(terms.sparkSession)
-    fitted = spark_idf(vocab, n_docs).select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")).checkpoint()
-    v = F.broadcast(fitted)
-    # Only vocabulary terms survive the join; those rows feed both the norms and
-    # the output, so they are written once (far fewer than all n-grams).
-    raw = materialize(
-        terms.join(v, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf1")).alias("raw")),
-        "vocab-weights")
-    # Per-document norms by a partial aggregation and a join (not a window), so
-    # even a key holding many rows is split by AQE's skew join, not one task.
-    norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
-    return raw.join(norms, id_col).select(id_col, "term", "tf", (F.col("raw") / F.col("_norm")).alias("w"))
+    vocab = spark_idf(top_terms(stats, k, min_df), F.lit(float(n_docs)))
+    vocab = materialize(vocab.select("term", (F.col("idf") + F.lit(1.0)).alias("idf1")), "vocabulary")
+    return pack_lookup(vocab, vocab.count(), path or shared_path(stats.sparkSession, "vocabulary-packed"))
+
+
+def with_tfidf_sklearn(df: DataFrame, terms: Column, vocab: Lookup, out: str = "weights") -> DataFrame:
+    """Add ``out``: ``array<struct<term, tf, w>>`` of a document's vocabulary terms, ``w = tf * idf1`` divided by the
+    L2 norm of all of them. Counted, weighed and normalised inside the row: no shuffle, nothing written."""
+    def weigh(counts: Column, find) -> Column:
+        raw = F.filter(F.transform(counts, lambda c: bound(find(c["term"]), lambda e: F.when(
+            e.isNotNull(), F.struct(c["term"].alias("term"), c["tf"].alias("tf"), (c["tf"] * e["idf1"]).alias("w"))))), lambda r: r.isNotNull())
+
+        def normalised(raw: Column) -> Column:
+            norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, r: s + r["w"] * r["w"]))
+            return bound(norm, lambda n: F.transform(raw, lambda r: F.struct(r["term"].alias("term"), r["tf"].alias("tf"), (r["w"] / n).alias("w"))))
+
+        return bound(raw, normalised)
+
+    counted = with_term_counts(df, terms, "_counts")
+    return with_lookup(counted, vocab, out, F.col("_counts"), weigh).drop("_counts")
+
+
+def tfidf_sklearn(df: DataFrame, id_col: str, terms: Column, vocab: Lookup) -> DataFrame:
+    """``(id, term, tf, w)``: one row for each vocabulary term of each document, see ``with_tfidf_sklearn``."""
+    d = with_tfidf_sklearn(df.select(F.col(id_col), terms.alias("_terms")), F.col("_terms"), vocab)
+    return explode_terms(d, [F.col(id_col)], F.col("weights")).select(id_col, "term.term", "term.tf", "term.w")
 
 
 def stored_vectors(df: DataFrame, vector_cols: list[str], name: str = "vectors") -> DataFrame:

@@ -4,10 +4,13 @@ Relational form: the model is a table ``(term, ll_0, ll_1)`` of smoothed log
 likelihoods plus two log priors. Fitting counts each document's words inside
 its row, then aggregates the per-class counts by term (partial on the map
 side); the table is written to the shared folder, which cuts the lineage and
-keeps the model through executor loss. Scoring counts words inside each row,
-joins the distinct terms to the model (broadcast only when its measured size
-allows), and sums ``tf * log-likelihood`` per document. The vocabulary is a distributed table, so it may grow with the
-data; nothing of it passes through the driver.
+keeps the model through executor loss. The vocabulary is a distributed table, so it may grow with the
+data; nothing of it passes through the driver beyond a measured bound.
+
+Scoring sums the words' log likelihoods. While the model's measured size is below the bound, it is also written as
+a packed row (``operators.lookup``), and a document is scored inside its own row: no text and no word is
+shuffled, nothing is written, and a streaming plan can hold it. Beyond the bound each distinct term
+meets the model in a join, and the sums go back to the documents by a row number.
 
 Formulas (same as ``pyspark.ml.classification.NaiveBayes``, multinomial):
 prior ``ln(n_c + a) - ln(n + K a)``, likelihood
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tonestream.operators.features import explode_terms, with_term_counts
 from tonestream.operators.joins import BROADCAST_BYTES, sized_join
+from tonestream.operators.lookup import ENTRY_BYTES, LOOKUP_BYTES, Lookup, bound, pack_lookup, with_lookup
 from tonestream.session import shared_path
 from tonestream.sinks.files import materialize
 
@@ -49,17 +53,44 @@ class NaiveBayesTable:
     path: str
     model_bytes: int
 
+    lookup: Lookup | None = None
+
     def transform(self, df: DataFrame, words: Column | str, id_cols: list[str] | None = None,
                   max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Adds ``raw_0, raw_1, prediction (double), p_neg, p_pos`` to ``df``.
 
-        Rows are told apart by a number of their own, so ids that repeat or are null
-        score right; ``df`` is written once with it, and the words are counted and the
-        sums joined back from there. ``id_cols`` only say which columns callers read.
+        A document's score needs only its own row, so ids may repeat or be null.
+        ``id_cols`` only say which columns callers read.
         """
-        df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "nb-input")
         w = F.col(words) if isinstance(words, str) else words
-        counted = with_term_counts(df.select("_rid", w.alias("_w")), F.col("_w"))
+        if self.lookup and self.model_bytes <= max_broadcast_bytes:
+            df = self._scored_in_row(df, w)
+        elif df.isStreaming:
+            raise ValueError("the model is too large to score inside a streaming plan; score its micro-batches")
+        else:
+            df = self._scored_by_join(df, w, max_broadcast_bytes)
+        return (
+            df.withColumns({
+                "prediction": F.when(F.col("raw_1") > F.col("raw_0"), F.lit(1.0)).otherwise(F.lit(0.0)),
+                "p_pos": prob_positive(F.col("raw_0"), F.col("raw_1")),
+            })
+            .withColumn("p_neg", F.lit(1.0) - F.col("p_pos"))
+        )
+
+    def _scored_in_row(self, df: DataFrame, words: Column) -> DataFrame:
+        def score(words: Column, find) -> Column:
+            start = F.struct(F.lit(self.prior_0).alias("raw_0"), F.lit(self.prior_1).alias("raw_1"))
+            add = lambda s, e: F.when(e.isNull(), s).otherwise(
+                F.struct((s["raw_0"] + e["ll_0"]).alias("raw_0"), (s["raw_1"] + e["ll_1"]).alias("raw_1")))
+            return F.aggregate(words, start, lambda s, w: bound(find(w), lambda e: add(s, e)))
+
+        words = F.coalesce(words, F.array().cast("array<string>"))
+        df = df.drop("raw_0", "raw_1")
+        return with_lookup(df, self.lookup, "_raw", words, score).select(*df.columns, "_raw.raw_0", "_raw.raw_1")
+
+    def _scored_by_join(self, df: DataFrame, words: Column, max_broadcast_bytes: int) -> DataFrame:
+        df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "nb-input")
+        counted = with_term_counts(df.select("_rid", words.alias("_w")), F.col("_w"))
         terms = explode_terms(counted, ["_rid"], F.col("term_counts")).select(
             "_rid", F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
         hits = sized_join(terms, self.terms, "term", known_bytes=self.model_bytes, max_bytes=max_broadcast_bytes)
@@ -67,16 +98,7 @@ class NaiveBayesTable:
                                         F.sum(F.col("tf") * F.col("ll_1")).alias("_s1"))
         raw_0 = F.lit(self.prior_0) + F.coalesce(F.col("_s0"), F.lit(0.0))
         raw_1 = F.lit(self.prior_1) + F.coalesce(F.col("_s1"), F.lit(0.0))
-        return (
-            df.join(sums, "_rid", "left").drop("_rid")
-            .withColumns({"raw_0": raw_0, "raw_1": raw_1})
-            .drop("_s0", "_s1")
-            .withColumns({
-                "prediction": F.when(F.col("raw_1") > F.col("raw_0"), F.lit(1.0)).otherwise(F.lit(0.0)),
-                "p_pos": prob_positive(F.col("raw_0"), F.col("raw_1")),
-            })
-            .withColumn("p_neg", F.lit(1.0) - F.col("p_pos"))
-        )
+        return df.join(sums, "_rid", "left").drop("_rid").withColumns({"raw_0": raw_0, "raw_1": raw_1}).drop("_s0", "_s1")
 
 
 def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "target",
@@ -108,8 +130,9 @@ def fit_naive_bayes_table(train: DataFrame, words: Column | str, label: str = "t
         (F.log(F.col("c_0") + F.lit(a)) - F.lit(math.log(t0 + v * a))).alias("ll_0"),
         (F.log(F.col("c_1") + F.lit(a)) - F.lit(math.log(t1 + v * a))).alias("ll_1"),
     )
-    return NaiveBayesTable(terms, math.log(n0 + a) - denom, math.log(n1 + a) - denom, v, path,
-                           int(stats.bytes or 0) + 64 * v)
+    size = int(stats.bytes or 0) + ENTRY_BYTES * v
+    lookup = pack_lookup(terms, v, f"{path}/lookup") if size <= LOOKUP_BYTES else None
+    return NaiveBayesTable(terms, math.log(n0 + a) - denom, math.log(n1 + a) - denom, v, path, size, lookup)
 
 
 def naive_bayes_estimator(input_col: str = "clean_text", label: str = "target", smoothing: float = 1.0,

@@ -223,8 +223,7 @@ SQL: dict[str, str] = {
                             f"IS NOT NULL AND NOT {blank('clean_text')}) AS rows_after FROM t",
     "q08_topic_filter": topic_sql(TOPIC_KEYWORDS),
     "q40_topic_filter_keywords": topic_sql(DATA_KEYWORDS),
-    "q41_clean_v2_nltk_stop_words": f"SELECT doc_id, {clean_v2('text', sql_list(NLTK_STOP_WORDS))} AS clean_text "
-                                    "FROM documents",
+    "q41_clean_v2_spark_stop_words": f"SELECT doc_id, {clean_v2('text', SPARK_STOP_SQL)} AS clean_text FROM documents",
     "q09_snippet": f"SELECT conv_id, turn, {snippet('text', 120)} AS snippet, {snippet('text', 80)} AS snippet80 "
                    "FROM conversations",
     "q10_json_decode": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "

@@ -90,9 +90,10 @@ def q03_clean_v2(spark, sf):
     return read_table(spark, sf, "documents", ["doc_id", "text"]).select("doc_id", clean.clean_v2("text").alias("clean_text"))
 
 
-def q41_clean_v2_nltk_stop_words(spark, sf):
+def q41_clean_v2_spark_stop_words(spark, sf):
+    """Cleaning with the stop words of the trainers' ``StopWordsRemover`` instead of NLTK's."""
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
-    return docs.select("doc_id", clean.clean_v2("text", clean.NLTK_STOP_WORDS).alias("clean_text"))
+    return docs.select("doc_id", clean.clean_v2("text", clean.STOP_WORDS).alias("clean_text"))
 
 
 def q04_strip_urls(spark, sf):
@@ -249,19 +250,13 @@ def q23_tfidf_spark_weight(spark, sf):
     return out.select("doc_id", "term", "tf", "df", _round("idf"), _round("w"))
 
 
-def _ngram_terms(spark, sf):
-    w = _words_v2(spark, sf)
-    return w, features.doc_terms(w, "doc_id", features.with_bigrams(F.col("words")))
-
-
 def q24_tfidf_sklearn_weight(spark, sf):
-    w, terms = _ngram_terms(spark, sf)
-    n_docs = w.agg(F.count(F.lit(1))).scalar()
-    # vocabulary from the one-shuffle term statistics; the full n-gram table is
-    # never written, only the vocabulary-filtered weights (inside tfidf_sklearn)
-    vocab = features.top_terms(features.term_stats_of(w, features.with_bigrams(F.col("words"))), 20000, 2)
-    out = features.tfidf_sklearn(terms, "doc_id", vocab, n_docs)
-    return out.select("doc_id", "term", "tf", _round("w"))
+    w = _words_v2(spark, sf)
+    grams = features.with_bigrams(F.col("words"))
+    # fitted from the one-shuffle term statistics; the weights are then found inside each document's row
+    n_docs = read_table(spark, sf, "documents", ["doc_id"]).count()
+    vocab = features.fit_vocabulary(features.term_stats_of(w, grams), n_docs, 20000, 2)
+    return features.tfidf_sklearn(w, "doc_id", grams, vocab).select("doc_id", "term", "tf", _round("w"))
 
 
 def q25_top_terms(spark, sf):
@@ -331,20 +326,25 @@ def _with_quarantined(spark, scored, bad_out, columns):
     return scored.select("conv_id", "turn", *columns).unionByName(bad)
 
 
+def _by_status(spark, scored, columns):
+    """A scored stream run over all its messages: the scored ones and, with nulls for all but their ids, the others."""
+    out = shared_path(spark, "stream-out")
+    stream.run_until_done(stream.start_by_status(scored.select("conv_id", "turn", *columns, "status"), out, shared_path(spark, "stream-ckpt")))
+    done, ok = spark.read.schema(scored.schema).parquet(out), F.col("status") == stream.STATUS[0]
+    return done.select("conv_id", "turn", *[F.when(ok, F.col(c)).alias(c) for c in columns])
+
+
 def _table_model_stream(spark, sf, value, keep=()):
-    """All messages scored by the relational Naive Bayes model: the scored ones and where the others are."""
+    """All messages scored by the relational Naive Bayes model inside the streaming plan."""
     data = cleaned_labelled(spark, sf).withColumn("words", features.split_words("clean_text"))
     model = fit_naive_bayes_table(data.where("is_train"), "words")
     live = _conversation_stream(spark, sf, value, clean_first=True)
-    out, bad_out, ckpt = shared_path(spark, "stream-out"), shared_path(spark, "stream-bad"), shared_path(spark, "stream-ckpt")
-    stream.run_until_done(stream.start_table_model_scoring(live, model, ["conv_id", "turn"], out, ckpt, keep=keep, quarantine_path=bad_out))
-    return spark.read.parquet(out), bad_out
+    return stream.score_stream_with_table(live, model, ("conv_id", "turn", *keep))
 
 
 def q32_stream_clean_score(spark, sf, value=None):
-    scored, bad_out = _table_model_stream(spark, sf, value)
-    scored = scored.withColumn("p_pos", _round("p_pos"))
-    return _with_quarantined(spark, scored, bad_out, ["clean_text", "prediction", "p_pos"])
+    scored = _table_model_stream(spark, sf, value).withColumn("p_pos", _round("p_pos"))
+    return _by_status(spark, scored, ["clean_text", "prediction", "p_pos"])
 
 
 def q33_stream_quarantine(spark, sf):
@@ -381,15 +381,19 @@ def q38_stream_logistic_scores(spark, sf):
 
 
 def q42_stream_naive_bayes_ml(spark, sf, value=None):
-    """Spark ML's Naive Bayes scores (equal to its pipeline's, see q39) from the relational model, which needs no driver memory."""
-    return q32_stream_clean_score(spark, sf, value)
+    """A fitted Spark ML pipeline run on the stream itself (``model.transform`` inside the streaming plan)."""
+    model = fit_naive_bayes_ml(cleaned_labelled(spark, sf).where("is_train"))
+    live = _conversation_stream(spark, sf, value, clean_first=True)
+    scored = stream.score_stream(live.select("conv_id", "turn", "clean_text", "is_valid"), model)
+    scored = stream.by_status(scored.withColumn("p_pos", _round("p_pos")), ["prediction", "p_pos"])
+    return _by_status(spark, scored, ["clean_text", "prediction", "p_pos"])
 
 
 def q44_replay_display_lines(spark, sf, value=None):
     """Messages scored by a fitted model, one display line per message from its probabilities."""
-    scored, bad_out = _table_model_stream(spark, sf, value, keep=("text",))
+    scored = _table_model_stream(spark, sf, value, keep=("text",))
     scored = scored.withColumn("display_line", labels.display_line("text", "prediction", "p_neg", "p_pos"))
-    return _with_quarantined(spark, scored, bad_out, ["display_line"])
+    return _by_status(spark, scored, ["display_line"])
 
 
 # --- sinks, save / load, report files ------------------------------------------------------
@@ -554,7 +558,7 @@ QUERIES: dict[str, Query] = {
     "q38_stream_logistic_scores": q38_stream_logistic_scores,
     "q39_naive_bayes_ml": q39_naive_bayes_ml,
     "q40_topic_filter_keywords": q40_topic_filter_keywords,
-    "q41_clean_v2_nltk_stop_words": q41_clean_v2_nltk_stop_words,
+    "q41_clean_v2_spark_stop_words": q41_clean_v2_spark_stop_words,
     "q42_stream_naive_bayes_ml": q42_stream_naive_bayes_ml,
     "q43_score_uploaded_csv": q43_score_uploaded_csv,
     "q44_replay_display_lines": q44_replay_display_lines,

@@ -32,6 +32,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to infer it
 
 
+def _folder(spark, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove_at_exit(spark, path: str) -> None:
+    """Have a scratch folder removed when the driver's JVM ends, whatever its file system."""
+    files, place = _folder(spark, path)
+    files.deleteOnExit(place)
+
+
 def write_metrics_json(report: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a long report (``class, precision, recall, f1, support``) as one JSON
     object ``{accuracy, classification_report: {0, 1, accuracy, macro avg,

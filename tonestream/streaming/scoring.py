@@ -1,9 +1,9 @@
 """Structured Streaming: message sources, decoding with quarantine, scoring.
 
-Stateless end to end: parse, clean and score with a fitted pipeline are
-per-row projections, so such a micro-batch is a map-only job; scoring with a
-relational model (a table) is a join and a per-message sum inside each batch
-(``foreachBatch``), with no state kept between batches. Progress lives in the
+Stateless end to end: parse, clean and score with a fitted pipeline, or with a
+relational model that fits a packed row, are per-row projections, so such a micro-batch is a map-only job that
+writes its result and nothing else. Only a relational model beyond that bound is joined
+inside each batch (``foreachBatch``). Progress lives in the
 checkpoint folder (the source offsets and the sink's commit log), which is what
 replaces consumer auto-commit; a restarted query resumes from its last
 committed batch.
@@ -161,6 +161,38 @@ def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: st
     return start_with_quarantine(df, score, path, quarantine_path or f"{path.rstrip('/')}-quarantine", checkpoint, available_now)
 
 
+STATUS = ("scored", "quarantine")
+
+
+def score_stream_with_table(stream: DataFrame, model, keep: tuple[str, ...] = (), text_col: str = "clean_text") -> DataFrame:
+    """Score a decoded stream with a relational model inside the streaming plan.
+
+    Every message comes out once: ``keep``, ``text_col``, ``prediction, p_neg, p_pos`` and
+    ``status``, which is ``quarantine`` for malformed messages; those have null scores.
+    """
+    from tonestream.operators.features import split_words
+
+    scored = model.transform(stream.select(*dict.fromkeys((*keep, text_col, "is_valid"))), split_words(text_col))
+    return by_status(scored.select(*keep, text_col, "is_valid", "prediction", "p_neg", "p_pos"), ["prediction", "p_neg", "p_pos"])
+
+
+def by_status(scored: DataFrame, results: list[str]) -> DataFrame:
+    """``is_valid`` turned into ``status``; ``results`` are null where a message is malformed."""
+    valid = F.coalesce(F.col("is_valid"), F.lit(False))
+    return scored.withColumns({c: F.when(valid, F.col(c)) for c in results} | {
+        "status": F.when(valid, STATUS[0]).otherwise(STATUS[1])}).drop("is_valid")
+
+
+def start_by_status(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """One file sink for both results: a folder ``status=...`` each, committed together with the batch (exactly once).
+
+    Nothing is persisted and no other folder is written, however many batches there are.
+    """
+    w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).partitionBy("status")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start(path)
+
+
 def run_until_done(query: StreamingQuery) -> None:
     """Wait for an available-now query, however long it takes; raise its error if it failed."""
     query.awaitTermination()
