@@ -47,8 +47,9 @@ def _class_name(c: Column) -> Column:
 
 
 def class_report(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
-    """The report of ``report_from_cells`` on the pairs of ``df``."""
-    return report_from_cells(confusion_cells(df, label, prediction))
+    """The report of ``report_from_cells`` from one aggregation by class: every row counts once as a label and once as a prediction."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    return _report(df.select(y.alias("label"), p.alias("prediction")).dropna(), F.lit(1).cast("bigint"))
 
 
 def report_from_cells(cells: DataFrame) -> DataFrame:
@@ -58,8 +59,11 @@ def report_from_cells(cells: DataFrame) -> DataFrame:
     ``accuracy`` (f1 column holds the accuracy, support the total, as in the text
     form of the report), ``macro avg`` and ``weighted avg``. An undefined ratio is 0.
     """
-    zero = F.lit(0).cast("bigint")
-    n, hit = F.col("n"), F.col("label") == F.col("prediction")
+    return _report(cells, F.col("n"))
+
+
+def _report(cells: DataFrame, n: Column) -> DataFrame:
+    zero, hit = F.lit(0).cast("bigint"), F.col("label") == F.col("prediction")
     sides = cells.select(F.inline(F.array(
         F.struct(F.col("label").alias("c"), n.alias("s"), zero.alias("m"), zero.alias("t")),
         F.struct(F.col("prediction").alias("c"), zero.alias("s"), n.alias("m"), F.when(hit, n).otherwise(zero).alias("t")))))
@@ -94,18 +98,15 @@ def confusion_matrix(df: DataFrame, label: str = "target", prediction: str = "pr
     ``labels`` are the classes (whole numbers), by default all that occur. With ``labels`` given,
     pairs of other classes are an error, not left out.
     """
-    cells = confusion_cells(df, label, prediction)
-    found = sorted({v for r in cells.select("label", "prediction").collect() for v in r})  # a few pairs
+    cells = {(r["label"], r["prediction"]): r["n"] for r in confusion_cells(df, label, prediction).collect()}  # a few pairs
+    found = sorted({v for pair in cells for v in pair})
     names = found if labels is None else [float(x) for x in labels]
     if set(found) - set(names):
         raise ValueError(f"classes outside of the given ones: {sorted(set(found) - set(names))}")
-    title = [str(int(c)) if c == int(c) else str(c) for c in names]
-    counts = [F.sum(F.when(F.col("prediction") == c, F.col("n"))).alias(f"pred_{t}") for c, t in zip(names, title, strict=True)]
-    kind = "int" if all(c == int(c) for c in names) else "double"
-    classes = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in names] or [F.lit(None).cast("double")])).alias("label"))
-    grid = cells.groupBy("label").agg(*counts) if counts else cells.groupBy("label").agg(F.sum("n").alias("none"))
-    return classes.where("label is not null").join(grid, "label", "left").select(
-        F.col("label").cast(kind).alias("target"), *[F.coalesce(f"pred_{t}", F.lit(0).cast("bigint")).alias(f"pred_{t}") for t in title])
+    whole = all(c == int(c) for c in names)
+    schema = ", ".join(["target " + ("int" if whole else "double"), *[f"`pred_{int(c) if c == int(c) else c}` bigint" for c in names]])
+    rows = [(int(y) if whole else y, *[cells.get((y, p), 0) for p in names]) for y in names]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def sentiment_distribution(df: DataFrame, col: str = "sentiment") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from tonestream.functions.clean import NLTK_STOP_WORDS, STOP_WORDS
 from tonestream.operators.filters import TOPIC_KEYWORDS
-from tonestream.plans.queries import DATA_KEYWORDS
+from tonestream.plans.queries import DATA_KEYWORDS, HASHED_C
 
 def sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
@@ -206,6 +206,94 @@ SELECT conv_id, turn, {snippet("coalesce(text, '')", 120)} || ' -> ' ||
 FROM out""")
 
 
+MASK = "4294967295::UBIGINT"
+
+
+def murmur3(terms_cte: str, out: str, seed: int = 42) -> str:
+    """CTE ``out (term, h)``: the 32-bit murmur3 hash of the ASCII ``term``s of a CTE, a UBIGINT."""
+    byte = lambda p: f"(CASE WHEN {p} <= length(term) THEN ascii(substr(term, ({p})::BIGINT, 1)) ELSE 0 END)::UBIGINT"
+    word = lambda p: f"{byte(f'{p} + 1')} + {byte(f'{p} + 2')} * 256 + {byte(f'{p} + 3')} * 65536 + {byte(f'{p} + 4')} * 16777216"
+    turn = lambda x, r: f"((({x}) << {r}) | (({x}) >> {32 - r})) & {MASK}"
+    mixed = lambda k: f"(({turn(f'(({k}) * 3432918353::UBIGINT) & {MASK}', 15)}) * 461845907::UBIGINT) & {MASK}"
+    return f""",
+mk AS (SELECT term, length(term)::UBIGINT AS n, [{mixed('b')} FOR b IN [{word('i * 4')} FOR i IN range(length(term) // 4)]] AS blocks,
+              {mixed(word('(length(term) // 4) * 4'))} AS rest FROM (SELECT DISTINCT term FROM {terms_cte})),
+m0 AS (SELECT term, xor(xor(list_reduce(list_prepend({seed}::UBIGINT, blocks),
+                lambda h, k: (({turn('xor(h, k)', 13)}) * 5 + 3864292196::UBIGINT) & {MASK}), rest), n) AS h FROM mk),
+m1 AS (SELECT term, (xor(h, h >> 16) * 2246822507::UBIGINT) & {MASK} AS h FROM m0),
+m2 AS (SELECT term, (xor(h, h >> 13) * 3266489909::UBIGINT) & {MASK} AS h FROM m1),
+{out} AS (SELECT term, xor(h, h >> 16) AS h FROM m2)"""
+
+
+#: A hash as Spark's non-negative bucket number of 10,000, by its signed value.
+BUCKET = ("(((CASE WHEN h >= 2147483648 THEN h::BIGINT - 4294967296 ELSE h::BIGINT END) % 10000 + 10000) % 10000)::INTEGER")
+
+
+def hashed_weights(words_cte: str) -> str:
+    """CTEs ``hw (doc_id, bucket, tf)``, ``hi (bucket, idf)`` over the documents of ``words_cte (doc_id, words)``."""
+    return f""",
+ht AS (SELECT doc_id, unnest(words) AS term FROM {words_cte})""" + murmur3("ht", "hh") + f""",
+hw AS (SELECT doc_id, {BUCKET} AS bucket, count(*)::DOUBLE AS tf FROM ht JOIN hh USING (term) GROUP BY ALL)"""
+
+
+#: What the trainers' tokenizer and stop-word remover leave of a cleaned text; an empty text is one empty token.
+HASH_WORDS = (f"c AS (SELECT doc_id, coalesce({clean_v2('text')}, '') AS t FROM documents), "
+              f"hx AS (SELECT doc_id, list_filter(string_split(t, ' '), lambda w: w NOT IN ({SPARK_STOP_SQL})) AS words FROM c)")
+HASHED_DOCS = "WITH " + HASH_WORDS + hashed_weights("hx") + """,
+hi AS (SELECT bucket, ln((n + 1::DOUBLE) / (count(*) + 1::DOUBLE)) AS idf FROM hw, (SELECT count(*) AS n FROM hx) GROUP BY bucket, n)"""
+
+
+def logistic_optimum(rows: str, c: float, curvature: str, steps: int = 600) -> str:
+    """The penalised optimum's probabilities, found in SQL by accelerated gradient steps on the training rows' multipliers.
+
+    ``rows`` is a CTE ``(doc_id, y, is_train, f, x)`` of all entries; ``curvature`` bounds the largest eigenvalue of the Hessian. The
+    weights are ``sum a_i x_i``, so a step needs only the inner products of rows (a constant feature's 1 included). CTE ``po (doc_id, z)``.
+    """
+    return f""",
+ids AS (SELECT DISTINCT doc_id, y, is_train FROM {rows}),
+kp AS (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.x * b.x) AS k FROM {rows} a JOIN {rows} b ON a.f = b.f AND b.is_train GROUP BY ALL),
+kk AS MATERIALIZED (SELECT p.doc_id AS i, q.doc_id AS j, coalesce(k, 0) + 1 AS k
+       FROM ids p JOIN ids q ON q.is_train LEFT JOIN kp ON kp.i = p.doc_id AND kp.j = q.doc_id),
+kt AS MATERIALIZED (SELECT i, j, k FROM kk JOIN ids ON doc_id = i WHERE is_train),
+yt AS MATERIALIZED (SELECT doc_id, y FROM ids WHERE is_train),
+lm AS MATERIALIZED (SELECT {curvature} AS l),
+po_steps AS (
+  SELECT 0 AS t, doc_id, 0::DOUBLE AS a, 0::DOUBLE AS v FROM yt
+  UNION ALL
+  SELECT t + 1, doc_id, n AS a, n + (sqrt(l) - 1) / (sqrt(l) + 1) * (n - a) AS v
+  FROM (SELECT s.t, s.doc_id, s.a, l, s.v - (s.v - {c} * (y - 1 / (1 + exp(-z)))) / l AS n
+        FROM po_steps s JOIN yt USING (doc_id) JOIN (SELECT kt.i, sum(kt.k * o.v) AS z FROM kt JOIN po_steps o ON o.doc_id = kt.j GROUP BY kt.i) m
+          ON m.i = s.doc_id, lm) WHERE t < {steps}),
+po AS (SELECT kk.i AS doc_id, sum(kk.k * s.a) AS z FROM kk JOIN (SELECT * FROM po_steps WHERE t = {steps}) s ON s.doc_id = kk.j GROUP BY kk.i)"""
+
+
+def logistic_holdout(rows: str, c: float, curvature: str) -> str:
+    return logistic_optimum(rows, c, curvature) + f"""
+SELECT ids.doc_id, lab.target, (z > 0)::DOUBLE AS prediction, round(1 / (1 + exp(-z)), 6) AS p_pos
+FROM ids JOIN po USING (doc_id) JOIN lab USING (doc_id) WHERE NOT ids.is_train"""
+
+
+#: 1-2-gram TF-IDF rows of the labelled texts over the vocabulary of the training side, and each text without a term.
+VOCAB_ROWS = LABELLED + """,
+lg AS (SELECT doc_id, CAST(target AS INTEGER) AS y, is_train, list_concat(words, list_transform(range(1, len(words)),
+              lambda i: words[i] || ' ' || words[i + 1])) AS grams FROM lab),
+lt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(grams) AS term FROM lg) GROUP BY ALL),
+ls AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM lt JOIN lg USING (doc_id) WHERE is_train GROUP BY term),
+lv AS (SELECT term, df FROM ls WHERE df >= 2 ORDER BY cf DESC, term LIMIT 20000),
+lr AS (SELECT doc_id, term, tf * (ln((n + 1::DOUBLE) / (df + 1::DOUBLE)) + 1) AS raw
+       FROM lt JOIN lv USING (term), (SELECT count(*) AS n FROM lg WHERE is_train)),
+le AS MATERIALIZED (SELECT lg.doc_id, y, is_train, term AS f, coalesce(raw / sqrt(sum(raw * raw) OVER (PARTITION BY lg.doc_id)), 0) AS x
+       FROM lg LEFT JOIN lr USING (doc_id))"""
+
+#: Hashed TF-IDF rows of the labelled texts, IDF of the training side.
+HASHED_ROWS = LABELLED + f""",
+hx AS (SELECT doc_id, list_filter(string_split(clean_text, ' '), lambda w: w NOT IN ({SPARK_STOP_SQL})) AS words FROM lab)""" + hashed_weights("hx") + """,
+hi AS (SELECT bucket, ln((n + 1::DOUBLE) / (count(*) + 1::DOUBLE)) AS idf
+       FROM hw JOIN lab USING (doc_id), (SELECT count(*) AS n FROM lab WHERE is_train) WHERE is_train GROUP BY bucket, n),
+he AS MATERIALIZED (SELECT lab.doc_id, CAST(target AS INTEGER) AS y, is_train, bucket AS f, coalesce(tf * coalesce(idf, ln(n + 1::DOUBLE)), 0) AS x
+       FROM lab LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (bucket), (SELECT count(*) AS n FROM lab WHERE is_train))"""
+
+
 SQL: dict[str, str] = {
     "q01_binarize_label": f"WITH {TWEETS} SELECT doc_id, raw_label, "
                           "CASE WHEN TRY_CAST(raw_label AS INTEGER) = 4 THEN 1 "
@@ -309,8 +397,23 @@ UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s)::DOUBLE, 10), round(s
                         "SELECT target, clean_text, 'csv' AS form FROM k UNION ALL SELECT target, clean_text, 'parquet' FROM k",
     "q49_hashed_term_counts": f"WITH c AS (SELECT doc_id, coalesce({clean_v2('text')}, '') AS t FROM documents) SELECT doc_id, "
                               f"len(list_filter(string_split(t, ' '), lambda w: w NOT IN ({SPARK_STOP_SQL}))) AS n_words FROM c",
-    "q50_logistic_checked": "WITH " + LABELLED + " SELECT f AS features, doc_id, TRUE AS in_range, TRUE AS label_follows_p, "
-                            "TRUE AS sums_to_one FROM lab, (SELECT unnest(['hashed', 'vocab']) AS f) WHERE NOT is_train",
+    "q26_hashed_tfidf": HASHED_DOCS + " SELECT hx.doc_id, count(bucket) FILTER (WHERE idf <> 0)::INTEGER AS nnz, "
+                        "round(coalesce(sum(tf * idf), 0), 6) AS l1 FROM hx LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (bucket) GROUP BY hx.doc_id",
+    "q51_hashed_weights": HASHED_DOCS + " SELECT doc_id, bucket, round(tf * idf, 6) AS w FROM hw JOIN hi USING (bucket)",
+    # every row has length 1 and a constant 1, so the Hessian's largest eigenvalue is at most 1 + 2 n / 4
+    "q31_logistic_vocab_scores": "WITH RECURSIVE " + VOCAB_ROWS + logistic_holdout("le", 1, "(SELECT 1 + count(*) / 2 FROM yt)"),
+    "q50_logistic_gradient": "WITH " + VOCAB_ROWS + " SELECT term, TRUE AS stationary FROM lv UNION ALL SELECT NULL, TRUE",
+    "q52_logistic_hashed_penalised": "WITH RECURSIVE " + HASHED_ROWS + logistic_holdout(
+        "he", HASHED_C, f"(SELECT 1 + {HASHED_C} / 4 * max(s) FROM (SELECT sum(abs(k)) AS s FROM kt GROUP BY i))"),
+    "q54_stream_resume": "SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations",
+    "q55_stream_progress": "WITH m AS (" + MESSAGES_SQL + ") SELECT kind, count(*) AS messages FROM "
+                           "(SELECT unnest(['input', 'output', CASE status WHEN 'ok' THEN 'scored' ELSE status END]) AS kind FROM m) GROUP BY kind",
+    "q56_score_texts": ("WITH " + NB_MODEL + f""",
+dc AS (SELECT doc_id, coalesce({clean_v2("coalesce(text, '')")}, '') AS clean_text FROM documents ORDER BY doc_id LIMIT 30),
+dw AS (SELECT doc_id, clean_text, list_filter(string_split(clean_text, ' '), lambda w: w <> '') AS words
+       FROM dc)""" + nb_scores("dw", "doc_id") + f" SELECT clean_text, prediction, {SENTIMENT} AS sentiment, round(p_pos, 6) AS p_pos FROM out"),
+    "q57_csv_one_line_records": f"WITH {TWEETS} SELECT target, replace(replace(text, chr(13), ' '), chr(10), ' ') AS text FROM tweets",
+    "q53_logistic_certificate": "WITH " + LABELLED + " SELECT count(*) AS n_rows, TRUE AS few_passes, TRUE AS at_optimum FROM lab WHERE is_train",
     "q48_checked_scores": f"WITH {TWEETS} SELECT doc_id, TRUE AS named, TRUE AS in_range, TRUE AS sums_to_one FROM tweets",
     "q37_label_index": f"WITH {TWEETS}, c AS (SELECT target, count(*) AS n FROM tweets GROUP BY target) "
                        "SELECT target, CAST(row_number() OVER (ORDER BY CAST(target AS VARCHAR)) - 1 AS DOUBLE) "

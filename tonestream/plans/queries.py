@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from tonestream.functions import clean, labels, messages
 from tonestream.operators import features, metrics
 from tonestream.operators.filters import drop_blank, require_not_empty, topic_filter, with_clean_text
-from tonestream.operators.logistic import train_logistic
+from tonestream.operators.logistic import fit_logistic_table, penalised_gradient, train_logistic, vector_entries
 from tonestream.operators.naive_bayes import fit_naive_bayes_ml, fit_naive_bayes_table
-from tonestream.operators.scoring import model_input, require_columns, resolve_text_column, score_table, with_labels
+from tonestream.operators.scoring import model_input, require_columns, resolve_text_column, score_table, score_texts, with_labels
 from tonestream.operators.split import hash_split, stratified_split
 from tonestream.session import shared_path
 from tonestream.sinks.files import materialize, write_metrics_json, write_table
 from tonestream.sources.labelled import load_labelled, read_cleaned, read_to_score
 from tonestream.sources.metrics_json import read_metrics_json
 from tonestream.sources.tables import labelled_texts, read_table, rule_prediction
+from tonestream.streaming import progress
 from tonestream.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +279,18 @@ def q26_hashed_tfidf(spark, sf):
                        F.round(features.vector_sum(F.col("features")), P_DIGITS).alias("l1"))
 
 
+def q51_hashed_weights(spark, sf):
+    """Each document's buckets with their weights, in the form that Spark ML stores."""
+    from pyspark.ml import Pipeline
+
+    docs = materialize(read_table(spark, sf, "documents", ["doc_id", "text"]).select(
+        "doc_id", F.coalesce(clean.clean_v2("text"), F.lit("")).alias("clean_text")), "cleaned-docs")
+    model = Pipeline(stages=features.hashed_tfidf_stages("clean_text", 10000)).fit(docs)
+    entries = model.transform(docs).select("doc_id", vector_entries("features").alias("e"))
+    return features.explode_terms(entries, ["doc_id"], F.col("e")).select(
+        "doc_id", F.col("term.j").alias("bucket"), F.round("term.x", P_DIGITS).alias("w"))
+
+
 # --- splits and models ----------------------------------------------------------------
 
 
@@ -307,7 +320,37 @@ def q30_logistic_scores(spark, sf):
 
 
 def q31_logistic_vocab_scores(spark, sf):
-    return _lr_holdout(spark, sf, "vocab")
+    """The penalised optimum is unique, so SQL finds the same probabilities by its own iteration."""
+    data = cleaned_labelled(spark, sf)
+    s = score_table(data.where(~F.col("is_train")), fit_logistic_table(data.where("is_train"), "vocab"))
+    return s.select("doc_id", "target", "prediction", _round("p_pos"))
+
+
+#: Weight of the loss against the penalty for raw hashed TF-IDF features, whose squares are large.
+HASHED_C = 0.0001
+
+
+def q52_logistic_hashed_penalised(spark, sf):
+    """Hashed features with a penalty: SQL recomputes the buckets, the IDF and the optimum."""
+    data = cleaned_labelled(spark, sf)
+    s = score_table(data.where(~F.col("is_train")), fit_logistic_table(data.where("is_train"), "hashed", HASHED_C))
+    return s.select("doc_id", "target", "prediction", _round("p_pos"))
+
+
+def q50_logistic_gradient(spark, sf):
+    """The loss gradient at the fitted coefficients, by joins and sums: each term of the vocabulary and the intercept (no term)."""
+    train = cleaned_labelled(spark, sf).where("is_train")
+    model = fit_logistic_table(train, "vocab")
+    names = spark.createDataFrame(list(enumerate(model.features.stages[2].vocabulary)), "feature int, term string")  # bounded by the vocabulary's size
+    g = penalised_gradient(train, model).join(names, "feature", "left")
+    return g.select("term", (F.abs("gradient") < 1e-5).alias("stationary"))
+
+
+def q53_logistic_certificate(spark, sf):
+    """What the fit says of itself: rows, and whether it came within its bound of the optimum in few passes."""
+    train = cleaned_labelled(spark, sf).where("is_train")
+    row = fit_logistic_table(train, "vocab").fit.certificate(spark)
+    return row.select("n_rows", (F.col("passes") <= 25).alias("few_passes"), (F.col("gradient") <= 1e-8 * F.col("gradient_at_zero")).alias("at_optimum"))
 
 
 # --- streams ---------------------------------------------------------------------------
@@ -348,11 +391,7 @@ def q32_stream_clean_score(spark, sf, value=None):
 
 
 def q33_stream_quarantine(spark, sf):
-    enc = messages.encode_message("text")
-    value = (F.when(F.col("role") == "user", enc)
-             .when(F.col("role") == "assistant", F.to_json(F.struct(F.col("text").alias("body"))))
-             .otherwise(F.substring(enc, 1, 10)))
-    live = _conversation_stream(spark, sf, value)
+    live = _conversation_stream(spark, sf, _broken_by_role())
     good_out, bad_out = shared_path(spark, "stream-good"), shared_path(spark, "stream-bad")
     stream.run_until_done(stream.start_with_quarantine(
         live, lambda good: good.select("conv_id", "turn", "text"), good_out, bad_out, shared_path(spark, "ckpt-quarantine")))
@@ -396,6 +435,50 @@ def q44_replay_display_lines(spark, sf, value=None):
     return _by_status(spark, scored, ["display_line"])
 
 
+def _broken_by_role(text="text"):
+    """Messages as q33 breaks them: users' are whole, assistants' have another field, others are cut short."""
+    enc = messages.encode_message(text)
+    return (F.when(F.col("role") == "user", enc).when(F.col("role") == "assistant", F.to_json(F.struct(F.col(text).alias("body"))))
+            .otherwise(F.substring(enc, 1, 10)))
+
+
+def q54_stream_resume(spark, sf):
+    """Two runs over one checkpoint: files arrive between them, and the first run's last commit was lost, so its batch runs again."""
+    conv = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    src, out, ckpt = shared_path(spark, "resume-in"), shared_path(spark, "resume-out"), shared_path(spark, "resume-ckpt")
+    schema = "conv_id bigint, turn bigint, value binary"
+    early = F.coalesce(F.pmod("turn", F.lit(2)) == 0, F.lit(True))
+    for arrived, part in ((early, "1"), (~early, "2")):
+        stream.write_message_files(conv.where(arrived).repartition(4), f"{src}/part={part}", key_cols=("conv_id", "turn"))
+        live = stream.decoded_stream(stream.message_stream(spark, src, schema, max_files_per_trigger=2))
+        stream.run_until_done(stream.start_foreach_batch(live, lambda b: b.select("conv_id", "turn", "text"), out, ckpt))
+        if part == "1":
+            progress.forget_last_commit(spark, ckpt)
+    return spark.read.parquet(out).select("conv_id", "turn", "text")
+
+
+def q55_stream_progress(spark, sf):
+    """A served stream, stopped once it has worked off its messages: what its batches' events counted."""
+    live = _conversation_stream(spark, sf, _broken_by_role())
+    live = progress.observed(stream.by_status(live.select("conv_id", "turn", "text", "is_valid"), []))
+    counts = progress.BatchCounts(shared_path(spark, "served").rsplit("/", 1)[-1])
+    spark.streams.addListener(counts)
+    try:
+        query = stream.start_by_status(live, shared_path(spark, "served-out"), shared_path(spark, "served-ckpt"), False, name=counts.name)
+        progress.stop_drained(query, counts)
+    finally:
+        spark.streams.removeListener(counts)
+    return counts.totals_frame(spark)
+
+
+def q56_score_texts(spark, sf):
+    """A short list of texts scored at once, as the dashboard does: the first 30 documents (a preview's limit)."""
+    model = fit_naive_bayes_ml(cleaned_labelled(spark, sf).where("is_train"))
+    texts = [r.text for r in read_table(spark, sf, "documents", ["doc_id", "text"]).orderBy("doc_id").limit(30).collect()]
+    s = score_texts(spark, model, texts, clean_first=True)
+    return s.select("clean_text", "prediction", "sentiment", _round("p_pos"))
+
+
 # --- sinks, save / load, report files ------------------------------------------------------
 
 
@@ -414,6 +497,16 @@ def q34_csv_round_trip(spark, sf):
     return a.unionByName(b)
 
 
+def q57_csv_one_line_records(spark, sf):
+    """The six-column file as it is read by default: many tasks share a file, a record is a line."""
+    t = labelled_texts(spark, sf)
+    raw = t.select(F.col("raw_label").alias("target"), F.col("doc_id").alias("id"), F.lit("").alias("date"), F.lit("NO_QUERY").alias("flag"),
+                   F.col("source").alias("user"), F.translate("text", "\r\n", "  ").alias("text"))
+    path = shared_path(spark, "csv-lines")
+    write_table(raw, path, "csv", header=False, encoding="ISO-8859-1")
+    return load_labelled(spark, path).select("target", "text")
+
+
 def q35_model_save_load(spark, sf):
     from pyspark.ml import PipelineModel
 
@@ -490,20 +583,6 @@ def q49_hashed_term_counts(spark, sf):
     return vecs.select("doc_id", features.vector_sum(F.col("rawFeatures")).cast("bigint").alias("n_words"))
 
 
-def q50_logistic_checked(spark, sf):
-    """Both logistic models over the holdout: the row set, and what must hold of every row."""
-    data = cleaned_labelled(spark, sf)
-    train, test = data.where("is_train"), data.where(~F.col("is_train"))
-    out = None
-    for feats in ("hashed", "vocab"):
-        s = score_table(test, train_logistic(train, features=feats))
-        rows = s.select(F.lit(feats).alias("features"), "doc_id", F.col("p_pos").between(0, 1).alias("in_range"),
-                        ((F.col("prediction") == 1) == (F.col("p_pos") > 0.5)).alias("label_follows_p"),
-                        (F.abs(F.col("p_pos") + F.col("p_neg") - 1) < 1e-9).alias("sums_to_one"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 def q39_naive_bayes_ml(spark, sf):
     data = cleaned_labelled(spark, sf)
     model = fit_naive_bayes_ml(data.where("is_train"))
@@ -567,6 +646,13 @@ QUERIES: dict[str, Query] = {
     "q47_read_cleaned": q47_read_cleaned,
     "q48_checked_scores": q48_checked_scores,
     "q49_hashed_term_counts": q49_hashed_term_counts,
-    "q50_logistic_checked": q50_logistic_checked,
+    "q50_logistic_gradient": q50_logistic_gradient,
+    "q51_hashed_weights": q51_hashed_weights,
+    "q52_logistic_hashed_penalised": q52_logistic_hashed_penalised,
+    "q53_logistic_certificate": q53_logistic_certificate,
+    "q54_stream_resume": q54_stream_resume,
+    "q55_stream_progress": q55_stream_progress,
+    "q56_score_texts": q56_score_texts,
+    "q57_csv_one_line_records": q57_csv_one_line_records,
     "flagship_distribution": flagship_distribution,
 }

@@ -183,12 +183,13 @@ def by_status(scored: DataFrame, results: list[str]) -> DataFrame:
         "status": F.when(valid, STATUS[0]).otherwise(STATUS[1])}).drop("is_valid")
 
 
-def start_by_status(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_by_status(df: DataFrame, path: str, checkpoint: str, available_now: bool = True, name: str | None = None) -> StreamingQuery:
     """One file sink for both results: a folder ``status=...`` each, committed together with the batch (exactly once).
 
     Nothing is persisted and no other folder is written, however many batches there are.
     """
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).partitionBy("status")
+    w = w.queryName(name) if name else w
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start(path)
 
