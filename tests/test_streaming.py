@@ -157,7 +157,8 @@ def test_logistic_scores_return_broken_messages(spark):
     assert got.where(cut != F.col("prediction").isNull()).isEmpty() and 0 < got.where(cut).count() < conv.count()
 
 
-def test_scoring_many_batches_writes_only_the_result(spark):
+@pytest.mark.parametrize("bound", [1 << 20, 0], ids=["in the plan", "joined"])
+def test_scoring_many_batches_writes_only_the_result(spark, bound):
     import glob
 
     from tonestream.operators.naive_bayes import fit_naive_bayes_table
@@ -169,10 +170,9 @@ def test_scoring_many_batches_writes_only_the_result(spark):
     src, out, ckpt = shared_path(spark, "many"), shared_path(spark, "many-out"), shared_path(spark, "many-ckpt")
     stream.write_message_files(texts, src, key_cols=("id",), value=value)
     live = stream.decoded_stream(stream.message_stream(spark, src, "id bigint, value binary", max_files_per_trigger=1), clean_first=True)
-    scored = stream.score_stream_with_table(live, model, ("id",))
     shared = src.rsplit("/", 1)[0].replace("file:", "")
     before = set(glob.glob(f"{shared}/*"))
-    query = stream.start_by_status(scored, out, ckpt)
+    query = stream.start_table_model_by_status(live, model, out, ckpt, ("id",), max_broadcast_bytes=bound)
     stream.run_until_done(query)
     assert query.lastProgress["batchId"] == 49
     after = {p.rsplit("/", 1)[-1] for p in set(glob.glob(f"{shared}/*")) - before}

@@ -55,20 +55,25 @@ class NaiveBayesTable:
 
     lookup: Lookup | None = None
 
+    def in_row(self, max_broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+        """Whether documents are scored inside their rows, so also inside a streaming plan."""
+        return self.lookup is not None and self.model_bytes <= max_broadcast_bytes
+
     def transform(self, df: DataFrame, words: Column | str, id_cols: list[str] | None = None,
-                  max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                  max_broadcast_bytes: int = BROADCAST_BYTES, scratch: list[str] | None = None) -> DataFrame:
         """Adds ``raw_0, raw_1, prediction (double), p_neg, p_pos`` to ``df``.
 
         A document's score needs only its own row, so ids may repeat or be null.
-        ``id_cols`` only say which columns callers read.
+        ``id_cols`` only say which columns callers read. ``scratch`` is given the folders that the result
+        is read from, for callers that remove them when they are done.
         """
         w = F.col(words) if isinstance(words, str) else words
-        if self.lookup and self.model_bytes <= max_broadcast_bytes:
+        if self.in_row(max_broadcast_bytes):
             df = self._scored_in_row(df, w)
         elif df.isStreaming:
             raise ValueError("the model is too large to score inside a streaming plan; score its micro-batches")
         else:
-            df = self._scored_by_join(df, w, max_broadcast_bytes)
+            df = self._scored_by_join(df, w, max_broadcast_bytes, scratch)
         return (
             df.withColumns({
                 "prediction": F.when(F.col("raw_1") > F.col("raw_0"), F.lit(1.0)).otherwise(F.lit(0.0)),
@@ -88,8 +93,8 @@ class NaiveBayesTable:
         df = df.drop("raw_0", "raw_1")
         return with_lookup(df, self.lookup, "_raw", words, score).select(*df.columns, "_raw.raw_0", "_raw.raw_1")
 
-    def _scored_by_join(self, df: DataFrame, words: Column, max_broadcast_bytes: int) -> DataFrame:
-        df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "nb-input")
+    def _scored_by_join(self, df: DataFrame, words: Column, max_broadcast_bytes: int, scratch: list[str] | None) -> DataFrame:
+        df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "nb-input", scratch)
         counted = with_term_counts(df.select("_rid", words.alias("_w")), F.col("_w"))
         terms = explode_terms(counted, ["_rid"], F.col("term_counts")).select(
             "_rid", F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))

@@ -29,7 +29,7 @@ from tonestream.operators.partitioning import BYTES_PER_PARTITION
 from tonestream.sinks.files import materialize
 
 #: Rows that the driver's preconditioner is made of, at most.
-SAMPLE_ROWS = 4096
+SAMPLE_ROWS = 8192
 #: The fit ends when the gradient's norm is at most this share of that at zero.
 TOLERANCE = 1e-8
 MAX_PASSES = 200
@@ -155,9 +155,11 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
     cores = rows.sparkSession.sparkContext.defaultParallelism
     parts = min(rows.rdd.getNumPartitions(), max(1, 12 * stats["entries"] // BYTES_PER_PARTITION, min(cores, 1 + n // 256)))
     rows = rows.coalesce(parts)
-    # any bounded set of rows will do: it only preconditions
-    few = rows.orderBy(F.xxhash64("y", "j", "x")).limit(sample_rows).toArrow()
-    sample, share = rows_of(few, dim), n / max(1, len(few))
+    # any bounded set of rows will do, it only preconditions: about as many as asked for, by a hash of their places in the written table
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    few = rows.where(dealt <= int(min(1.0, sample_rows / n) * (1 << 30))).limit(2 * sample_rows).toArrow()
+    few = few if len(few) else rows.limit(1).toArrow()
+    sample, share = rows_of(few, dim), n / len(few)
 
     passes, w = 0, np.zeros(size)
 

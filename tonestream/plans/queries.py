@@ -369,25 +369,25 @@ def _with_quarantined(spark, scored, bad_out, columns):
     return scored.select("conv_id", "turn", *columns).unionByName(bad)
 
 
-def _by_status(spark, scored, columns):
-    """A scored stream run over all its messages: the scored ones and, with nulls for all but their ids, the others."""
-    out = shared_path(spark, "stream-out")
-    stream.run_until_done(stream.start_by_status(scored.select("conv_id", "turn", *columns, "status"), out, shared_path(spark, "stream-ckpt")))
-    done, ok = spark.read.schema(scored.schema).parquet(out), F.col("status") == stream.STATUS[0]
+def _scored_by_status(done, columns):
+    """Scored messages and, with nulls for all but their ids, the quarantined ones."""
+    ok = F.col("status") == stream.STATUS[0]
     return done.select("conv_id", "turn", *[F.when(ok, F.col(c)).alias(c) for c in columns])
 
 
 def _table_model_stream(spark, sf, value, keep=()):
-    """All messages scored by the relational Naive Bayes model inside the streaming plan."""
+    """All messages scored by the relational Naive Bayes model."""
     data = cleaned_labelled(spark, sf).withColumn("words", features.split_words("clean_text"))
     model = fit_naive_bayes_table(data.where("is_train"), "words")
     live = _conversation_stream(spark, sf, value, clean_first=True)
-    return stream.score_stream_with_table(live, model, ("conv_id", "turn", *keep))
+    out = shared_path(spark, "stream-out")
+    stream.run_until_done(stream.start_table_model_by_status(live, model, out, shared_path(spark, "stream-ckpt"), ("conv_id", "turn", *keep)))
+    return spark.read.parquet(out)
 
 
 def q32_stream_clean_score(spark, sf, value=None):
     scored = _table_model_stream(spark, sf, value).withColumn("p_pos", _round("p_pos"))
-    return _by_status(spark, scored, ["clean_text", "prediction", "p_pos"])
+    return _scored_by_status(scored, ["clean_text", "prediction", "p_pos"])
 
 
 def q33_stream_quarantine(spark, sf):
@@ -425,14 +425,17 @@ def q42_stream_naive_bayes_ml(spark, sf, value=None):
     live = _conversation_stream(spark, sf, value, clean_first=True)
     scored = stream.score_stream(live.select("conv_id", "turn", "clean_text", "is_valid"), model)
     scored = stream.by_status(scored.withColumn("p_pos", _round("p_pos")), ["prediction", "p_pos"])
-    return _by_status(spark, scored, ["clean_text", "prediction", "p_pos"])
+    out = shared_path(spark, "stream-out")
+    stream.run_until_done(stream.start_by_status(scored.select("conv_id", "turn", "clean_text", "prediction", "p_pos", "status"), out,
+                                                 shared_path(spark, "stream-ckpt")))
+    return _scored_by_status(spark.read.parquet(out), ["clean_text", "prediction", "p_pos"])
 
 
 def q44_replay_display_lines(spark, sf, value=None):
     """Messages scored by a fitted model, one display line per message from its probabilities."""
     scored = _table_model_stream(spark, sf, value, keep=("text",))
     scored = scored.withColumn("display_line", labels.display_line("text", "prediction", "p_neg", "p_pos"))
-    return _by_status(spark, scored, ["display_line"])
+    return _scored_by_status(scored, ["display_line"])
 
 
 def _broken_by_role(text="text"):

@@ -20,14 +20,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
     folder and read it back: the lineage is cut (a lost executor recomputes
     nothing upstream) and later jobs read the stored columns instead of
-    re-running the plan."""
+    re-running the plan. The folder is removed when the session's JVM ends,
+    or earlier by a caller that has it added to ``scratch``."""
     from tonestream.session import shared_path
 
     path = shared_path(df.sparkSession, name)
+    remove_at_exit(df.sparkSession, path)
+    if scratch is not None:
+        scratch.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to infer it
 
@@ -43,6 +47,13 @@ def remove_at_exit(spark, path: str) -> None:
     files.deleteOnExit(place)
 
 
+def remove_folders(spark, paths: list[str]) -> None:
+    """Remove folders that nothing reads any more, and forget them."""
+    while paths:
+        files, place = _folder(spark, paths.pop())
+        files.delete(place, True)
+
+
 def write_metrics_json(report: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a long report (``class, precision, recall, f1, support``) as one JSON
     object ``{accuracy, classification_report: {0, 1, accuracy, macro avg,

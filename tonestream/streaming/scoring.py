@@ -21,7 +21,9 @@ from pyspark.sql.types import StructType
 
 from tonestream.functions.clean import clean_v2
 from tonestream.functions.messages import decode_messages
+from tonestream.operators.joins import BROADCAST_BYTES
 from tonestream.operators.scoring import score_table
+from tonestream.sinks.files import remove_folders
 
 
 def write_message_files(df: DataFrame, path: str, text_col: str = "text", key_cols: tuple[str, ...] = (),
@@ -151,9 +153,12 @@ def start_table_model_scoring(df: DataFrame, model, id_cols: list[str], path: st
     """
     from tonestream.operators.features import split_words
 
+    scratch: list[str] = []  # of a model that is joined; the batch before has been written when a batch is scored
+
     def score(batch: DataFrame) -> DataFrame:
+        remove_folders(batch.sparkSession, scratch)
         b = batch.select(*dict.fromkeys((*id_cols, *keep, text_col)))
-        out = model.transform(b, split_words(text_col), id_cols)
+        out = model.transform(b, split_words(text_col), id_cols, scratch=scratch)
         return out.select(*id_cols, *keep, text_col, "prediction", "p_neg", "p_pos")
 
     if "is_valid" not in df.columns:
@@ -172,8 +177,9 @@ def score_stream_with_table(stream: DataFrame, model, keep: tuple[str, ...] = ()
     """
     from tonestream.operators.features import split_words
 
-    scored = model.transform(stream.select(*dict.fromkeys((*keep, text_col, "is_valid"))), split_words(text_col))
-    return by_status(scored.select(*keep, text_col, "is_valid", "prediction", "p_neg", "p_pos"), ["prediction", "p_neg", "p_pos"])
+    columns = [*dict.fromkeys((*keep, text_col))]
+    scored = model.transform(stream.select(*columns, "is_valid"), split_words(text_col))
+    return by_status(scored.select(*columns, "is_valid", "prediction", "p_neg", "p_pos"), ["prediction", "p_neg", "p_pos"])
 
 
 def by_status(scored: DataFrame, results: list[str]) -> DataFrame:
@@ -183,6 +189,29 @@ def by_status(scored: DataFrame, results: list[str]) -> DataFrame:
         "status": F.when(valid, STATUS[0]).otherwise(STATUS[1])}).drop("is_valid")
 
 
+def start_table_model_by_status(stream: DataFrame, model, path: str, checkpoint: str, keep: tuple[str, ...] = (),
+                                text_col: str = "clean_text", max_broadcast_bytes: int = BROADCAST_BYTES) -> StreamingQuery:
+    """Score a decoded stream with a relational model into folders by ``status``, until its source is worked off.
+
+    A model below the bound is part of the streaming plan. A larger one is joined with each micro-batch; what that
+    writes in between is removed when the batch's result is written, to ``batch_id=N`` in overwrite mode.
+    """
+    from tonestream.operators.features import split_words
+
+    if model.in_row(max_broadcast_bytes):
+        return start_by_status(score_stream_with_table(stream, model, keep, text_col), path, checkpoint)
+    columns = [*dict.fromkeys((*keep, text_col))]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        scratch: list[str] = []
+        scored = model.transform(batch.select(*columns, "is_valid"), split_words(text_col), max_broadcast_bytes=max_broadcast_bytes, scratch=scratch)
+        scored = by_status(scored.select(*columns, "is_valid", "prediction", "p_neg", "p_pos"), ["prediction", "p_neg", "p_pos"])
+        scored.write.mode("overwrite").partitionBy("status").parquet(f"{path}/batch_id={batch_id}")
+        remove_folders(batch.sparkSession, scratch)
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def start_by_status(df: DataFrame, path: str, checkpoint: str, available_now: bool = True, name: str | None = None) -> StreamingQuery:
     """One file sink for both results: a folder ``status=...`` each, committed together with the batch (exactly once).
 
