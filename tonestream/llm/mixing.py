@@ -19,7 +19,7 @@ Method:
 
 Everything is DataFrame functions. Draws number at most ``max_repeat * blocks`` a
 source, whatever the number of documents; a source with a third of all documents
-is spread over its blocks. All randomness hashes ``seed``, so reruns agree.
+is spread over its blocks, and neither all sources nor all draws of a node meet in one task. All randomness hashes ``seed``, so reruns agree.
 
 Defined results:
 
@@ -43,6 +43,8 @@ MAX_REPEAT = 3
 LEVELS = 4
 FILL = 4
 SEED = 20240229
+#: Cells into which the keys of a node's draws are counted: at most 2**16 rows a node, whatever its draws.
+CELL_BITS = 16
 
 
 def word_count(text_col: str) -> Column:
@@ -58,24 +60,39 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
 
     Sharing the excess again until no target is above its stop is the water level
     at which the targets sum to all words: ordered by stop over weight, the stopped
-    sources come first. The windows run over sources, one row each.
+    sources come first. Both orders are cut into ranges, so no task ranks all sources.
     """
-    order = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.array(*[F.lit(int(w)) for w in weights])
-    s = sizes.withColumn("weight", F.get(weight, order % len(weights)).cast("long"))
+    ranked = _running(sizes.withColumn("one", F.lit(1).cast("long")), [F.col("source").asc_nulls_last()], ["one"], "mix_ranks")
+    s = ranked.withColumn("weight", F.get(weight, (F.col("one_before") % len(weights)).cast("int")).cast("long")).select("source", "source_size", "weight")
     s = s.withColumn("stop", F.col("source_size") * max_repeat).withColumn("level", F.col("stop") / F.col("weight"))
-    up = Window.orderBy("level", F.col("source").asc_nulls_last())
-    before, after = up.rowsBetween(Window.unboundedPreceding, -1), up.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    s = s.withColumn("total", F.sum("source_size").over(whole))
-    here = (F.col("total") - F.coalesce(F.sum("stop").over(before), F.lit(0))) / F.sum("weight").over(after)
+    s = _running(s, [F.col("level").asc(), F.col("source").asc_nulls_last()], ["stop", "weight"], "mix_levels")
+    total = s.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weights")).first()
+    here = (F.lit(total["total"]) - F.col("stop_before")) / (F.lit(total["weights"]) - F.col("weight_before"))
     s = s.withColumn("stopped", here > F.col("level"))
-    left = F.col("total") - F.coalesce(F.sum(F.when(F.col("stopped"), F.col("stop"))).over(whole), F.lit(0))
-    share = F.sum(F.when(~F.col("stopped"), F.col("weight"))).over(whole)
-    target = F.when(F.col("stopped"), F.col("stop").cast("double")).otherwise(left * F.col("weight") / share)
+    rest = s.agg(F.sum(F.when(F.col("stopped"), F.col("stop"))).alias("stops"), F.sum(F.when(~F.col("stopped"), F.col("weight"))).alias("share")).first()
+    left = (total["total"] or 0) - (rest["stops"] or 0)
+    target = F.when(F.col("stopped"), F.col("stop").cast("double")).otherwise(F.lit(left) * F.col("weight") / F.lit(rest["share"]))
     return s.withColumn("target", target).select("source", "source_size", "weight", "target")
 
 
+def _running(df: DataFrame, order: list[Column], of: list[str], name: str) -> DataFrame:
+    """``df`` with ``<c>_before``: the sum of ``c`` over all rows that come earlier in the order.
+
+    Rows are dealt out by ranges of the order and summed within their range; only the ranges' totals, one row each,
+    meet in one task.
+    """
+    dealt = df.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    dealt = materialize(dealt, name)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("range").agg(*[F.sum(c).alias(c) for c in of])
+    totals = totals.select(F.col("range").alias("r"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_ranges") for c in of])
+    mine = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = dealt.withColumns({f"{c}_before": F.coalesce(F.sum(c).over(mine), F.lit(0)) for c in of})
+    rows = rows.join(totals, F.col("range") == F.col("r")).withColumns({f"{c}_before": F.col(f"{c}_before") + F.col(f"{c}_ranges") for c in of})
+    return rows.drop("range", "r", *[f"{c}_ranges" for c in of])
+
+
 def _quotas(words: DataFrame, targets: DataFrame, max_repeat: int, fill: int, seed: int) -> DataFrame:
     """``source, block, words, perm, copies``: how often each block is drawn."""
     same = F.col("source").eqNullSafe(F.col("s"))
@@ -107,13 +124,24 @@ def _tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     """``source, shard, quota``: the sources' draws split among the shards."""
     nodes = quotas.groupBy("source").agg(F.sum("copies").alias("quota")).where("quota > 0").withColumn("node", F.lit(0).cast("long"))
     for level in range(levels):
+        nodes = materialize(nodes, "mix_nodes")
         ball = F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota"))).alias("ball")
-        urn = nodes.select("node", "source", ball)
-        drawn = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(seed + level), "source", "ball"), "source", "ball")
-        half = F.count(F.lit(1)).over(Window.partitionBy("node")) / 2
-        urn = urn.withColumn("left", F.row_number().over(drawn) <= F.ceil(half))
-        nodes = urn.groupBy((F.col("node") * 2 + F.when(F.col("left"), 0).otherwise(1)).alias("node"), "source").agg(
-            F.count(F.lit(1)).alias("quota"))
+        urn = nodes.select("node", "source", ball).withColumn("key", F.xxhash64(F.lit(seed + level), "source", "ball"))
+        urn = urn.withColumn("cell", F.shiftright("key", 64 - CELL_BITS))
+        # the left child gets the half with the smallest keys: its border is found on counts of key cells, and only the cell that the
+        # border runs through is ranked
+        cells = urn.groupBy("node", "cell").agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        cells = cells.withColumn("upto", F.sum("n").over(upto)).withColumn("half", F.ceil(F.sum("n").over(Window.partitionBy("node")) / 2))
+        border = materialize(cells.where("upto >= half AND upto - n < half").select(
+            "node", F.col("cell").alias("border"), (F.col("half") - F.col("upto") + F.col("n")).alias("need")), "mix_borders")
+        urn = urn.join(F.broadcast(border), "node")  # a row for each node of the level, 2**levels at most
+        side = F.when(F.col("cell") < F.col("border"), 0).otherwise(1)
+        clear = urn.where("cell <> border").groupBy((F.col("node") * 2 + side).alias("node"), "source").agg(F.count(F.lit(1)).alias("quota"))
+        drawn = Window.partitionBy("node").orderBy("key", "source", "ball")
+        on = urn.where("cell = border").withColumn("side", F.when(F.row_number().over(drawn) <= F.col("need"), 0).otherwise(1))
+        on = on.groupBy((F.col("node") * 2 + F.col("side")).alias("node"), "source").agg(F.count(F.lit(1)).alias("quota"))
+        nodes = clear.unionAll(on).groupBy("node", "source").agg(F.sum("quota").alias("quota"))
     return nodes.select("source", F.col("node").alias("shard"), "quota")
 
 
