@@ -355,7 +355,7 @@ def _undecided(buckets: DataFrame, ends: DataFrame, links: DataFrame) -> DataFra
     rest = buckets.join(ends.select("t", "s"), ["t", "s"], "left_anti")
     rest = materialize(rest.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
         "t", "s", "n", "i", F.coalesce("root", "s").alias("g")), "rest")
-    mixed = rest.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("t")
+    mixed = materialize(rest.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("t"), "mixed")
     return materialize(rest.join(mixed, "t"), "undecided")
 
 
@@ -388,7 +388,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     before = F.lag("t").over(Window.partitionBy("s").orderBy("i"))
     left = materialize(left.join(_sketches(left, sets, "coarse"), "s").withColumn("before", before), "undecided")
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
-    lead = sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main"))
+    lead = materialize(sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main")), "lead")
     outside = left.join(lead, "t").where("g <> main").drop("main")
     pairs = materialize(_candidates(outside, left, percent), "pairs")
     links = links.unionAll(_verify(_reachable(pairs, sets, percent), rows, classes, words, percent))
@@ -396,7 +396,8 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     member = docs.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select(
         "id", "k", "n", F.when(F.col("n") > 0, F.coalesce("root", "s")).alias("g"))
     member = materialize(member, "members")
-    names = member.where("g is not null").groupBy("g").agg(F.min("id").alias("least"))
+    # written, so that the rows of one very large group can be split in the join
+    names = materialize(member.where("g is not null").groupBy("g").agg(F.min("id").alias("least")), "names")
     return member.join(names, "g", "left").select("id", "k", "n", "g", F.when(F.col("g").isNull(), F.col("id")).otherwise(F.col("least")).alias("first"))
 
 
