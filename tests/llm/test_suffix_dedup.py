@@ -34,7 +34,7 @@ def made(letters, seed, n=50):
     return texts + [texts[3], "", texts[5] * 2]
 
 
-@pytest.mark.parametrize("bucket", [4_000_000, 25])  # buckets in tasks, and through a shuffle
+@pytest.mark.parametrize("bucket", [6_000_000, 25])  # buckets in tasks, and through a shuffle
 @pytest.mark.parametrize("letters", ["ab", "abcé "])
 def test_against_all_windows(spark, letters, bucket):
     texts = made(letters, len(letters))
@@ -75,3 +75,25 @@ def test_messy_rows(spark, schema, rows):
 
 def test_empty(spark):
     assert suffix_dedup.removed(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_refinement_against_the_windows_themselves():
+    r = random.Random(4)
+    for window in (1, 3, 8, 9, 20, 37, 64):
+        contexts = [bytes(r.choice(b"ab") for _ in range(window + r.randint(0, 60))) for _ in range(12)]
+        contexts += [contexts[0], b"a" * (window + 50), contexts[1][:window], contexts[2] + contexts[3]]
+        spans = np.array([len(c) - window for c in contexts])
+        seen = Counter(c[i:i + window] for c in contexts for i in range(len(c) - window + 1))
+        want = [seen[c[i:i + window]] > 1 for c in contexts for i in range(len(c) - window + 1)]
+        for gram in (1, 5, 64):
+            assert suffix_dedup.repeated_windows(contexts, spans, window, gram).tolist() == want
+
+
+def test_one_bucket_with_a_third_of_all_rows(spark):
+    r = random.Random(8)
+    shared = "".join(r.choice("abcdefgh") for _ in range(60))
+    texts = ["".join(r.choice("abcdefgh") for _ in range(r.randint(0, 90))) for _ in range(120)]
+    texts += ["".join(r.choice("xyz") for _ in range(r.randint(5, 40))) + shared + "".join(r.choice("xyz") for _ in range(20)) for _ in range(60)]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.removed(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), window=40, gram=8).collect()}
+    assert [got[i] for i in range(len(texts))] == plain([t.encode() for t in texts], 40)

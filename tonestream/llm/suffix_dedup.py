@@ -1,27 +1,29 @@
-"""Removal of long byte strings that occur more than once, by hashes of windows in buckets.
+"""Removal of long byte strings that occur more than once, by bucket-pointer refinement.
 
 Every byte that lies in a string of ``WINDOW`` bytes which also starts anywhere else is
 removed. A window is a window start; the work is to tell which window starts share their bytes.
 
-Method (in place of bucket-pointer refinement of suffix arrays, which sorts buckets by the bucket identifiers of later
-offsets in rounds: here hashes of content tell window starts apart directly, as all windows have one length):
+Method:
 
 1. Initial buckets are q-grams. Of the q-grams inside a window, the one with the smallest hash is its
    anchor (the leftmost among equals), so equal windows have equal anchors at equal offsets. An
    anchor stands for the run of window starts that choose it; about one byte in a
-   hundred is an anchor. Windows can only be equal within a bucket, and a bucket with one
-   occurrence is done.
+   hundred is an anchor, as all suffixes of a corpus can't be shuffled. Windows can only be equal within a bucket, and a
+   bucket with one occurrence is done.
 2. A bucket is split once by a hash of what stands before and behind the anchor, as far as its
    windows reach. Occurrences that agree in all of it are one class: of two or more, every window
    repeats. Copies of documents and the inside of long passages end here, as counts.
-3. What is left, one representative of each class of a bucket with several, is refined on: the bytes around the
-   anchor are fetched, and each bucket's windows are sorted by hashes of their bytes; equal neighbours repeat. A
-   task takes many small buckets at once. Buckets of more than ``BUCKET`` windows
-   are settled by a shuffle on these hashes instead, with counts combined on the map side.
+3. What is left, one representative of each class of a bucket with several, is refined. The bytes around the
+   anchor are fetched; a task takes many small buckets at once. All their positions start in the buckets of their q-grams. A round
+   sorts the positions that undecided windows hold by the pair (bucket here, bucket at the offset of the buckets' length): equal pairs are the
+   new buckets, twice as long, and the next round reuses them at its own, larger offset. A position alone in its bucket decides
+   all windows that hold it. After the last round, whose offset ends the window, the windows left repeat. Buckets of more than ``BUCKET``
+   bytes are settled by a shuffle on hashes of their windows instead, with counts combined on the map side.
 4. The classes' repeated window starts go back to the documents over narrow keys.
 
-Buckets and classes are told apart by two independent 64-bit hashes. Nothing grows with the
-number of occurrences of a string: repeated rows inside a document are collapsed before the shuffle.
+Q-grams and classes are told apart by independent 64-bit hashes. Nothing grows with the
+number of occurrences of a string: repeated rows inside a document are collapsed before the shuffle. What a
+join meets is written first, so that AQE can split the rows of a hot bucket.
 
 Defined results: null text counts as empty; texts shorter than a window lose nothing; rows that repeat id and text are each
 a place where their strings start; empty tables give empty results; other columns aren't read. Matches never cross rows.
@@ -41,8 +43,8 @@ from tonestream.llm.byte_hash import FIRST, SECOND, Ranges, mix
 from tonestream.llm.common import materialize, small_batches, text_or_empty
 
 WINDOW, GRAM = 400, 64
-#: Most windows of a bucket that one task sorts.
-BUCKET = 4_000_000
+#: Most bytes of a bucket that one task sorts, at some 80 bytes of memory each.
+BUCKET = 6_000_000
 #: Window starts of a text, and bytes of contexts, that are looked at together.
 SLICE, STEP = 1 << 18, 1 << 21
 
@@ -130,21 +132,59 @@ def _window_ids(contexts: list[bytes], buckets: np.ndarray, spans: np.ndarray, w
     return np.concatenate(out)
 
 
-def _repeated(ids: np.ndarray) -> np.ndarray:
-    order = np.argsort(ids, kind="stable")
-    same = ids[order][1:] == ids[order][:-1]
-    flags = np.zeros(len(ids), bool)
-    flags[order[1:][same]] = flags[order[:-1][same]] = True
-    return flags
-
-
-def _refine(contexts: DataFrame, window: int) -> DataFrame:
+def _named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key a bucket number, equal for equal keys, and whether it is alone in its bucket."""
+    order = np.argsort(keys)
+    in_order = keys[order]
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = in_order[1:] != in_order[:-1]
+    names, alone = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    names[order], alone[order] = np.cumsum(new[:-1]) - 1, new[:-1] & new[1:]
+    return names, alone
+
+
+def _covered(starts: np.ndarray, reach: int, size: int) -> np.ndarray:
+    """The positions from each start to ``reach`` behind it, in order."""
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + reach + 1, -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+
+def repeated_windows(contexts: list[bytes], spans: np.ndarray, window: int, gram: int = GRAM) -> np.ndarray:
+    """Which windows (``span + 1`` of each context, one after the other) occur again among them."""
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    base, size, many = np.cumsum(sizes) - sizes, int(sizes.sum()), spans + 1
+    starts = np.arange(int(many.sum())) + np.repeat(base - (np.cumsum(many) - many), many)
+    long = min(gram, window)
+    at = _covered(starts, window - long, size)
+    pointer = np.full(size, -1, np.int64)
+    pointer[at], alone = _named(Ranges(np.frombuffer(b"".join(contexts), np.uint8), SECOND).hash(at, at + long))
+    undecided = starts
+    while True:
+        # a window that holds a position alone in its bucket is decided: nothing else has its bytes
+        lone = np.zeros(size + 1, np.int32)
+        lone[at + 1] = alone
+        lone = np.cumsum(lone)
+        undecided = undecided[lone[undecided + window - long + 1] == lone[undecided]]
+        if long == window:
+            break
+        step = min(long, window - long)
+        at = _covered(undecided, window - long - step, size)
+        pointer[at], alone = _named(pointer[at] << 32 | pointer[at + step])
+        long += step
+    flags = np.zeros(size, bool)
+    flags[undecided] = True
+    return flags[starts]
+
+
+def _refine(contexts: DataFrame, window: int, gram: int) -> DataFrame:
     """``h, c, runs`` of the classes whose windows repeat elsewhere in their bucket."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
         h, c, once, span, raw = (list(x) for x in zip(*rows, strict=True))
         spans = np.array(span, np.int64)
-        flags = _repeated(_window_ids(raw, np.array(h, np.int64), spans, window))
+        flags = repeated_windows(raw, spans, window, gram)
         ends = np.cumsum(spans + 1)
         found = [(h[i], c[i], r) for i in range(len(h)) if once[i] and (r := _runs(flags[ends[i] - spans[i] - 1:ends[i]]))]
         cols = [list(x) for x in zip(*found, strict=True)] if found else [[], [], []]
@@ -185,7 +225,7 @@ def _refine_large(contexts: DataFrame, window: int) -> DataFrame:
 
     windows = materialize(contexts.where("large").select("h", "c", "once", "span", "context").mapInArrow(
         run, "h long, c long, once boolean, w long, at int"), "windows")
-    twice = windows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "w")
+    twice = materialize(windows.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "w"), "twice")
     found = windows.where("once").join(twice, ["h", "w"]).groupBy("h", "c").agg(F.sort_array(F.collect_set("at")).alias("at"))
     return found.select("h", "c", F.flatten(F.transform("at", lambda x: F.array(x, x))).alias("runs"))
 
@@ -222,22 +262,23 @@ def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     rows = _rows(df, id_col, text_col)
     found = _anchor_rows(rows, window, gram)
     # 1: buckets with more than one occurrence, and their anchors
-    again = found.groupBy("h").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("h")
+    again = materialize(found.groupBy("h").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("h"), "again")
     live = materialize(found.join(again, "h"), "anchors")
     # 2: classes, and buckets that hold several
     classes = live.groupBy("h", "c").agg(F.sum("n").alias("n"), *[F.first(x).alias(x) for x in ("id", "k", "first", "span")])
     classes = materialize(classes, "classes")
-    open_ = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("span") + 1).alias("windows"),
+    open_ = classes.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("span") + window).alias("bytes"),
                                      F.max((F.col("n") == 1).cast("int")).alias("undecided")).where("m > 1 and undecided = 1")
-    wanted = classes.join(open_.select("h", (F.col("windows") > bucket).alias("large")), "h").withColumn("once", F.col("n") == 1)
+    open_ = materialize(open_, "open")
+    wanted = classes.join(open_.select("h", (F.col("bytes") > bucket).alias("large")), "h").withColumn("once", F.col("n") == 1)
     # 3: their windows
     contexts = _fetch(rows, wanted, window)
     whole = classes.where("n > 1").select("h", "c", F.array(F.lit(0), F.col("span")).alias("runs"))
-    if open_.where(F.col("windows") > bucket).isEmpty():
-        repeats = whole.unionAll(_refine(contexts, window))
+    if open_.where(F.col("bytes") > bucket).isEmpty():
+        repeats = whole.unionAll(_refine(contexts, window, gram))
     else:
         contexts = materialize(contexts, "contexts")
-        repeats = whole.unionAll(_refine(contexts, window)).unionAll(_refine_large(contexts, window))
+        repeats = whole.unionAll(_refine(contexts, window, gram)).unionAll(_refine_large(contexts, window))
     repeats = materialize(repeats, "repeats")
     # 4: back to the documents
     per_text = live.select("id", "k", "h", "c").join(repeats, ["h", "c"]).groupBy(F.col("id").alias("i"), F.col("k").alias("j")).agg(
