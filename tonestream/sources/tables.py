@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonestream.functions.labels import RAW_POSITIVE
+from tonestream.operators.joins import sized_join
 from tonestream.operators.partitioning import spread
 
 TABLES = (
@@ -34,19 +35,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df
 
 
+#: Bytes of a row of labels in a broadcast relation.
+LABEL_BYTES = 40
+
+
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled texts: ``documents`` joined to ``labels`` on ``doc_id``.
 
     ``target`` = quality (0/1), ``raw_label`` = quality * 4 as in the six-column
     layout (0 negative, 4 positive), ``toxic`` kept for the deterministic rule
-    prediction used by the metric queries. Both sides grow with the data, so
-    this is a plain equi-join: Catalyst prunes the scans to the used columns and
-    AQE turns it into a broadcast join at run time when ``labels`` is measured
-    small.
+    prediction used by the metric queries. Catalyst prunes the scans to the used
+    columns. Labels are three numbers a row and texts are long, so the counted labels are broadcast
+    as long as they are below the bound of ``sized_join``, and the texts stay where they are; beyond it
+    this is a plain equi-join, whose skewed keys AQE splits.
     """
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
     labs = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.join(labs, "doc_id").select(
+    return sized_join(docs, labs, "doc_id", known_bytes=LABEL_BYTES * labs.count()).select(
         "doc_id", "text", "lang", "source", "n_chars",
         F.col("quality").alias("target"),
         (F.col("quality") * RAW_POSITIVE).alias("raw_label"),
