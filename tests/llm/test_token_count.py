@@ -25,6 +25,21 @@ def test_counts_equal_the_library_s(library):
     assert counter.counts(texts).tolist() == want
 
 
+def test_classes_are_the_splitter_s(library):
+    kinds, r = token_count.char_classes(PATH), random.Random(6)
+    probes = {"a": (0, 1, 2, 3, 4), "1": (5,), "!": (8, 9)}
+    for point in [*range(0x3000), *(r.randrange(0x3000, 0x110000) for _ in range(20_000))]:
+        if not 0xD800 <= point < 0xE000:
+            stays = [c for c in probes if len(library.pre_tokenizer.pre_tokenize_str(c + chr(point))) == 1]
+            assert [c for c in probes if kinds[point] in probes[c]] == stays, hex(point)
+
+
+def test_the_library_isn_t_called(monkeypatch):
+    counter = token_count.Counter(PATH, token_count.char_classes(PATH))
+    monkeypatch.setattr(tokenizers.Tokenizer, "from_file", None)
+    assert counter.counts(["to be or not", "x" * 50]).tolist()[0] == 4
+
+
 @pytest.mark.parametrize("chunk", [1, 2, 3, 7, 64])
 def test_chunk_maps_compose(chunk):
     import numpy as np

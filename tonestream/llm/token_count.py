@@ -1,4 +1,4 @@
-"""Exact token counts: a compiled finite-state transducer splits, the library counts pre-tokens.
+"""Exact token counts: a splitter and a tokenizer's merges, compiled into finite-state transducers.
 
 Method: the splitter of a byte-level BPE tokenizer is compiled into a deterministic
 transducer over character classes whose transitions emit "a pre-token begins here"
@@ -6,12 +6,13 @@ transducer over character classes whose transitions emit "a pre-token begins her
 chunks of equal length, and all chunks are stepped at once from *every* start state;
 a chunk thus becomes a map start state -> (end state, what it emits). The maps compose by a
 parallel prefix scan, which gives each chunk its true start state, so a very long
-text needs no serial pass. Only the splitter is compiled: the number of tokens of a
-pre-token comes from the library's own BPE when the pre-token is first met, and is kept in a
-bounded table. The merges aren't compiled and no transition carries a token count.
+text needs no serial pass. The merges are compiled into a second transducer over bytes, whose transitions carry
+the change of the number of tokens (``merge_transducer``). It starts anew where a pre-token begins, so the map of a
+pre-token is the same from every state, and composing them is adding their counts. Counts of whole
+pre-tokens are kept in a bounded table. The library's own BPE isn't called.
 
-The character classes are read off the tokenizer's own splitter, once per code
-point, so they agree with the library's Unicode tables. Where a tokenizer isn't of
+The character classes are read off the tokenizer's own splitter, so they agree with the library's Unicode
+tables: blocks of code points that Python takes for one class are confirmed whole, others are halved. Where a tokenizer isn't of
 this kind, ``compile_splitter`` says so instead of counting wrongly.
 
 Counts equal the library's ``encode(text, add_special_tokens=False)``: special
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import functools
 import json
-import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonestream.llm.common import byte_letters, once_a_worker, small_batches
+from tonestream.llm.common import once_a_worker, small_batches
+from tonestream.llm.merge_transducer import MergeTransducer
 
 #: Most pre-tokens whose counts a worker keeps; beyond it the table starts anew.
 TABLE_LIMIT = 1_000_000
@@ -91,14 +93,23 @@ def char_classes(path: str) -> np.ndarray:
     if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
         raise ValueError("added tokens with white space rules aren't compiled")
     splitter = Tokenizer.from_file(path).pre_tokenizer
-    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000], np.int32)
+    probes = {LETTER: "a", NUMBER: "1", OTHER: "!"}
+    guess = {"L": LETTER, "N": NUMBER}
     kind = np.full(0x110000, WHITE, np.uint8)
-    for block in np.array_split(points, 64):
-        for probe, found in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
-            cuts = [at for _, (at, _) in splitter.pre_tokenize_str("".join(f"{probe}{chr(c)}\n" for c in block))]
-            cut = np.zeros(3 * len(block) + 1, bool)
-            cut[cuts] = True
-            kind[block[~cut[1:-1:3]]] = found
+    blocks: dict[int, list[str]] = {c: [] for c in probes}
+    for point in range(0x110000):
+        if not 0xD800 <= point < 0xE000:
+            blocks[guess.get(unicodedata.category(chr(point))[0], OTHER)].append(chr(point))
+    todo = [(found, block[a:a + 4096]) for found, block in blocks.items() for a in range(0, len(block), 4096)]
+    while todo:
+        found, block = todo.pop()
+        likely = [found] if len(block) > 1 else probes
+        # a character of the probe's class stays with it, whatever Python's tables say
+        right = next((c for c in likely if len(splitter.pre_tokenize_str(probes[c] + "".join(block))) == 1), None)
+        if right is not None:
+            kind[[ord(c) for c in block]] = right
+        elif len(block) > 1:
+            todo += [(found, block[:len(block) // 2]), (found, block[len(block) // 2:])]
     for chars, found in (("stmd", L_STMD), ("rv", L_RV), ("e", L_E), ("l", L_L), (" ", SPACE), ("'", QUOTE)):
         kind[[ord(c) for c in chars]] = found
     return kind
@@ -148,25 +159,22 @@ class Counter:
     """Counts the tokens of texts; holds the compiled tables."""
 
     def __init__(self, path: str, kinds: np.ndarray):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kinds, self.letters = kinds, byte_letters()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.kinds, self.merges = kinds, MergeTransducer(spec["model"])
         self.next, self.out = compile_splitter()
         self.table: dict[str, int] = {}
 
     def _emitted(self, words: list[str]) -> list[int]:
-        """Tokens of each pre-token; new ones are counted by the library."""
+        """Tokens of each pre-token; new ones run through the transducer of the merges."""
         found = list(map(self.table.get, words))
         if None in found:
             if len(self.table) > TABLE_LIMIT:
                 self.table.clear()
             new = [w for w in dict.fromkeys(words) if w not in self.table]
-            merge = self.tokenizer.model.tokenize
             for w in new:
-                self.table[w] = len(merge(w.encode().decode("latin-1").translate(self.letters)))
+                self.table[w] = self.merges.tokens(w.encode())
             found = list(map(self.table.__getitem__, words))
         return found
 
