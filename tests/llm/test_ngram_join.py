@@ -117,3 +117,49 @@ def test_components_of_a_long_chain_and_a_star(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], DOCS)
     assert ngram_join.annotate(empty).count() == ngram_join.keep(empty).count() == 0
+
+
+def check_links(spark, rows, schema, **options):
+    pairs, members = ngram_join.links(spark.createDataFrame(rows, schema), **options)
+    sets = [frozenset(shingle_set(r[1])) for r in rows]
+    linked = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    least = {}
+    for r, own in zip(rows, sets, strict=True):
+        if own:
+            known = [x for x in (least.get(own, r[0]), r[0]) if x is not None]
+            least[own] = min(known) if known else None
+    want = []
+    for r, own in zip(rows, sets, strict=True):
+        equal = sum(own == other for other in sets) if own else 0
+        want.append((str(r[0]), len(own), str(least.get(own)), equal, sum(bool(linked(own, other)) for other in sets) - 1 if own else 0))
+    got = members.collect()
+    assert sorted((str(m.doc_id), m.n_shingles, str(m.class_id), m.n_equal, m.n_links) for m in got) == sorted(want)
+    different = list(least)
+    all_links = [tuple(sorted((str(least[a]), str(least[b])))) for k, a in enumerate(different) for b in different[:k] if linked(a, b)]
+    found = pairs.collect()
+    assert sorted(tuple(sorted((str(p.left), str(p.right)))) for p in found) == sorted(all_links)
+    assert len({(p.left_set, p.right_set) for p in found}) == len(found)
+    return found
+
+
+@pytest.mark.parametrize("schema, change", [(DOCS, list), (CLASHING, clashing)])
+def test_links_equal_brute_force(spark, schema, change):
+    check_links(spark, change(messy_docs()), schema, hot=3)
+
+
+def test_links_inside_a_family_of_near_copies(spark):
+    r = random.Random(9)
+    base = [f"w{r.randrange(500)}" for _ in range(120)]
+    rows = []
+    for i in range(70):  # all share most shingles; a third of the rows are copies of one
+        words = list(base)
+        for _ in range(r.choice([0, 1, 2, 3, 4])):
+            words[r.randrange(120)] = f"x{r.randrange(40)}"
+        rows.append((i, " ".join(words), "en", "a", 1))
+    rows += [(100 + i, rows[0][1], "en", "a", 1) for i in range(35)]
+    assert len(check_links(spark, rows, DOCS)) > 100
+
+
+def test_links_of_nothing(spark):
+    pairs, members = ngram_join.links(spark.createDataFrame([], DOCS))
+    assert pairs.count() == 0 and members.count() == 0

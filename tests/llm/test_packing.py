@@ -102,3 +102,19 @@ def test_pack(spark, library, schema, rows):
 
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), PATH).count() == 0
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}]}},
+    {"normalizer": None}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}])
+def test_tokenizers_with_other_rules_are_refused(tmp_path, change):
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec | change))
+    with pytest.raises(ValueError):
+        packing.WordIds(str(other))
+    with pytest.raises(ValueError):
+        packing.WordIds(public.path("byte_bpe_50k.json"))

@@ -73,3 +73,30 @@ def test_without_labels_or_documents(spark):
     some = spark.createDataFrame(corpus(20)[0], DOCS)
     assert {r.score for r in quality.score(some, quality.learn(some, none)).collect()} == {0.5}
     assert quality.learn(some, spark.createDataFrame([(1, 1), (2, 1)], LABELS)).bad == b""
+
+
+def test_scores_recomputed_in_plain_python(spark):
+    import math
+
+    import zstandard
+
+    rows, labels = corpus(300)
+    rows += [(i + 10_000 if i is not None else None, *r) for i, *r in messy_docs()]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = quality.learn(docs, spark.createDataFrame(labels, LABELS))
+    trained = [zstandard.ZstdCompressionDict(raw) for raw in (model.bad, model.good)]
+
+    def size(text, dictionary):
+        whole = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(whole.compress(text[a:a + 256])) for a in range(0, len(text), 256))
+
+    want = []
+    for i, text, *_ in rows:
+        raw = (text or "").encode()
+        bad, good = ((size(raw, d) / len(raw) if raw else 0.0) for d in trained)
+        z = model.weights[0] * (bad - good) + model.weights[1] * good + model.weights[2]
+        want.append((str(i), 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))))
+    got = [(str(g.doc_id), g.score) for g in quality.score(docs, model).collect()]
+    assert len(got) == len(want)
+    for (i, x), (j, y) in zip(sorted(got), sorted(want), strict=True):
+        assert i == j and abs(x - y) < 1e-9

@@ -1,9 +1,9 @@
 """The groups that an n-gram Jaccard join makes, with vertical partitioning.
 
 A document is the set of its distinct ``n``-word shingles; two documents link when their
-Jaccard similarity is at least ``percent`` hundredths. The groups that all links make are exact, none is
-sampled; but not all links are found: sets that are in one group already aren't compared again, so there are no pairs and no
-numbers of links in the output. Equal sets are one class, whose copies are never expanded into pairs.
+Jaccard similarity is at least ``percent`` hundredths. ``annotate`` and ``keep`` give the groups that all links make,
+exactly, without finding all links: sets that are in one group already aren't compared again. ``links`` gives all links between
+different sets, and the number of links of each row. Equal sets are one class, whose copies are never expanded into pairs.
 
 Method:
 
@@ -277,7 +277,8 @@ def _candidates(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     meet = (F.col("t") == F.col("t2")) & (F.col("s") != F.col("s2")) & (
         F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2")) * (100 + percent) >= enough)
     if grouped:
-        meet = meet & (F.col("g") != F.col("g2")) & F.coalesce(F.col("before") != F.col("before2"), F.lit(True)) & ((F.col("n") - _missing("coarse", "coarse2")) * (100 + percent) >= enough)
+        meet = meet & (F.col("g") != F.col("g2")) & F.coalesce(F.col("before") != F.col("before2"), F.lit(True)) & (
+            (F.col("n") - _missing("coarse", "coarse2")) * (100 + percent) >= enough)
     pairs = left.join(b, meet)
     x = F.struct("s", "n")
     y = F.struct(F.col("s2").alias("s"), F.col("n2").alias("n"))
@@ -359,11 +360,9 @@ def _undecided(buckets: DataFrame, ends: DataFrame, links: DataFrame) -> DataFra
     return materialize(rest.join(mixed, "t"), "undecided")
 
 
-def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
-           hot: int = HOT) -> DataFrame:
-    """``id, k, n, g, first``: per row its id, text hash, set size, group (null without words) and the group's smallest id."""
-    spark = df.sparkSession
-    small_batches(spark)
+def _surveyed(df: DataFrame, id_col: str, text_col: str, words: int, percent: int, hot: int) -> tuple[DataFrame, ...]:
+    """The rows (``id, k, text``), documents (``id, k, s, n``), sets with sketches, prefix buckets and a document of each set."""
+    small_batches(df.sparkSession)
     text = text_or_empty(text_col)
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k"), text.alias("text"))
     survey = materialize(_survey(rows, words), "survey")
@@ -377,6 +376,20 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     order = (tokens[order], frequent["seen"].to_numpy(np.int64)[order])
     buckets = materialize(_shared(_prefixes(rows, order, words, percent), percent), "buckets")
     classes = materialize(docs.where("n > 0").groupBy("s").agg(F.first("id").alias("id"), F.first("k").alias("k")), "classes")
+    return rows, docs, sets, buckets, classes
+
+
+def _with_before(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of buckets with their coarse sketch and the bucket before: a pair whose sets both come from one earlier
+    bucket meets there, not again."""
+    before = F.lag("t").over(Window.partitionBy("s").orderBy("i"))
+    return materialize(left.join(_sketches(left, sets, "coarse"), "s").withColumn("before", before), "undecided")
+
+
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+           hot: int = HOT) -> DataFrame:
+    """``id, k, n, g, first``: per row its id, text hash, set size, group (null without words) and the group's smallest id."""
+    rows, docs, sets, buckets, classes = _surveyed(df, id_col, text_col, words, percent, hot)
     # every set with two of its bucket: the one with the fewest rare shingles, nearest to what all share, and any one
     ends = [buckets.groupBy("t").agg(F.min(F.struct(*key)).alias("m")).select("t", "m.s", "m.n", "m.i") for key in (("i", "s", "n"), ("s", "n", "i"))]
     ends = materialize(ends[0].unionAll(ends[1]).distinct(), "ends")
@@ -384,9 +397,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     links = _verify(_reachable(pairs, sets, percent), rows, classes, words, percent)
     # where several groups are left in a bucket, the sets outside its largest with all of other groups
     left = _undecided(buckets, ends, links)
-    # a pair whose sets both come from one earlier bucket meets there, not again here
-    before = F.lag("t").over(Window.partitionBy("s").orderBy("i"))
-    left = materialize(left.join(_sketches(left, sets, "coarse"), "s").withColumn("before", before), "undecided")
+    left = _with_before(left, sets)
     sizes = left.groupBy("t", "g").agg(F.count(F.lit(1)).alias("size"))
     lead = materialize(sizes.groupBy("t").agg(F.max(F.struct("size", "g")).alias("m")).select("t", F.col("m.g").alias("main")), "lead")
     outside = left.join(lead, "t").where("g <> main").drop("main")
@@ -406,6 +417,32 @@ def annotate(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return groups(df, id_col=id_col, **options).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first").alias("component_id"))
 
 
+def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+          hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """The join itself, as two tables: all links between different sets, and which rows have a set.
+
+    The first has ``left, right``, the smallest ids of two linked sets, each pair once (an id that comes with several texts can
+    stand for several sets; ``left_set, right_set`` tell them apart). The second has per row ``id_col, n_shingles, set, class_id, n_equal,
+    n_links``: its set (null without words), the smallest id that has this set, how many rows have it, this one included, and how many other rows
+    it links with, those with an equal set included. Unlike ``annotate`` this compares all pairs of a bucket that position
+    and coarse sketch leave, so it costs more where families of near copies are large, as its output does.
+    """
+    rows, docs, sets, buckets, classes = _surveyed(df, id_col, text_col, words, percent, hot)
+    left = _with_before(buckets.withColumn("g", F.col("s")), sets)
+    found = _verify(_reachable(materialize(_candidates(left, left, percent), "pairs"), sets, percent), rows, classes, words, percent)
+    equal = materialize(docs.where("n > 0").groupBy("s").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_equal")), "equal")
+    both = found.unionAll(found.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    reached = both.join(equal.select(F.col("s").alias("y"), "n_equal"), "y").groupBy("x").agg(F.sum("n_equal").alias("others"))
+    known = materialize(equal.join(reached.withColumnRenamed("x", "s"), "s", "left"), "linked")
+    members = docs.withColumn("s", F.when(F.col("n") > 0, F.col("s"))).join(known, "s", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("s").alias("set"), "class_id", F.coalesce("n_equal", F.lit(0)).alias("n_equal"),
+        F.coalesce(F.col("n_equal") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links"))
+    a, b = (equal.select(F.col("s").alias(c), F.col("class_id").alias(f"id_{c}")) for c in ("x", "y"))
+    first, second = F.struct(F.col("id_x").alias("id"), F.col("x").alias("s")), F.struct(F.col("id_y").alias("id"), F.col("y").alias("s"))
+    pairs = found.join(a, "x").join(b, "y").select(F.least(first, second).alias("p"), F.greatest(first, second).alias("q"))
+    return pairs.select(F.col("p.id").alias("left"), F.col("q.id").alias("right"), F.col("p.s").alias("left_set"), F.col("q.s").alias("right_set")), members
+
+
 def keep(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each group, that with the smallest id, with all its columns; rows without words all stay."""
     found = groups(df, id_col=id_col, text_col=text_col, **options)

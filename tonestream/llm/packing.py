@@ -18,6 +18,9 @@ rank a to b go to sequences from s on, t in each, from offset o". Its size depen
 the capacity alone. Documents get their rank among equal lengths from counts by task
 and length (narrow rows, no text), and look their place up in the plan.
 
+Accepted tokenizers are byte-level BPE files with the normaliser and splitter named below (``NORMALIZERS``, ``SPLITTERS``);
+others are an error.
+
 Defined results: null text counts as empty and is one end token; only documents longer
 than the capacity are cut, into whole capacities, the last piece may be shorter; rows that
 repeat are packed each; an empty table gives an empty result; other columns aren't read.
@@ -26,6 +29,7 @@ repeat are packed each; an empty table gives an empty result; other columns aren
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import struct
@@ -51,6 +55,9 @@ ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 LATIN = re.compile(b"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:[stmd]|re|ve|ll)"
                    b"|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 or 0xC0 <= c <= 0xDE and c != 0xD7 else c for c in range(256))
+#: The normaliser and splitter that these rules, and cutting at white space, are for; fixed values.
+NORMALIZERS = [("NFC", None), ("Replace", {"Regex": r"\s+"}), ("Lowercase", None)]
+SPLITTERS = [("Split", {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}), ("ByteLevel", None)]
 #: Characters of a text that are split together, cut at a space.
 STRETCH = 1 << 20
 #: Words longer than this aren't kept in the table.
@@ -71,9 +78,11 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters, self.runs = byte_letters(), {}
-        a, b = (self._whole(x) for x in ("to be  or\nnot", "not\t to"))
-        if a + b != b"".join(map(self._whole, "to be or not not to".split())):
-            raise ValueError("this tokenizer keeps white space; encode its texts whole")
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [(spec[part] or {}).get(name) or [] for part, name in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if [[(x["type"], x.get("pattern")) for x in part] for part in steps] != [NORMALIZERS, SPLITTERS] or spec["post_processor"]:
+            raise ValueError("ids are put together from words only for the normaliser and splitter whose rules LATIN and LOWER are")
         self.table: dict[str, bytes] = {}  # words
 
     def _whole(self, text: str) -> bytes:
