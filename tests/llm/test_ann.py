@@ -75,6 +75,23 @@ def test_recall_with_a_few_very_long_rows(spark, every):
     assert len(got) == len(range(0, 6000, every)) and found / (20 * len(asked)) >= 0.9
 
 
+def test_clustered_vectors_cost_less_than_exhaustive_search(spark):
+    r, n, reach = np.random.default_rng(4), 16_000, 0.02
+    middles = r.normal(size=(80, 32))
+    x = (middles[r.integers(0, 80, n)] + 0.15 * r.normal(size=(n, 32))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "", "", "") for i, v in enumerate(x)], VECTORS)
+    got = read(ann.search(df, F.col("id") % 200 == 0, k=20, reach=reach))
+    found = 0
+    for q in range(0, n, 200):
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        found += len({i for i, _ in got[q]} & set(np.argsort(-s)[:20].tolist()))
+    assert found / (20 * len(got)) >= 0.9
+    # a curve's window is at most five blocks of half the reach, so this bounds a query's products
+    most = ann.CURVES * 2.5 * max(int(reach * n), ann.LEAST_ROWS)
+    assert len(got) == n // 200 and most < 0.7 * n
+
+
 def test_hilbert_curve_visits_neighbours():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     order = np.argsort(ann.hilbert_index(cells, 3))

@@ -118,3 +118,15 @@ def test_tokenizers_with_other_rules_are_refused(tmp_path, change):
         packing.WordIds(str(other))
     with pytest.raises(ValueError):
         packing.WordIds(public.path("byte_bpe_50k.json"))
+
+
+def test_one_text_of_many_megabytes(spark, library):
+    r = random.Random(9)
+    words = [f"{a}{b}" for a in ("ther", "on", "ING", "est", "é") for b in ("a", "en", "or", " ", ", ")]
+    text = " ".join(r.choice(words) for _ in range(1_500_000))
+    assert len(text.encode()) > 5_000_000
+    got = packing.pack(spark.createDataFrame([(1, text, "en", "a", 1), (2, "short", "en", "a", 1)], DOCS), PATH).where("doc_id = 1").collect()
+    ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+    got = sorted(got, key=lambda g: g.piece)
+    assert [g.start for g in got] == list(range(0, len(ids), packing.CAPACITY)) and sum(g.length for g in got) == len(ids)
+    assert all(g.ids_crc32 == zlib.crc32(pack32(ids[g.start:g.start + g.length])) for g in got)

@@ -100,3 +100,13 @@ def test_scores_recomputed_in_plain_python(spark):
     assert len(got) == len(want)
     for (i, x), (j, y) in zip(sorted(got), sorted(want), strict=True):
         assert i == j and abs(x - y) < 1e-9
+
+
+def test_one_text_of_many_megabytes(spark):
+    rows, labels = corpus(200)
+    model = quality.learn(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS))
+    r = random.Random(8)
+    good, bad = (" ".join(prose(r, kind) for _ in range(25_000)) for kind in (True, False))
+    assert min(len(good), len(bad)) > 5_000_000
+    got = quality.score(spark.createDataFrame([(1, good, "en", "a", 1), (2, bad, "en", "a", 1)], DOCS), model).collect()
+    assert {g.doc_id: g.predicted for g in got} == {1: 1, 2: 0}

@@ -69,3 +69,12 @@ def test_other_tokenizers_are_refused():
 
 def test_empty(spark):
     assert token_count.count_tokens(spark.createDataFrame([], DOCS), PATH).count() == 0
+
+
+def test_one_text_of_many_megabytes(spark, library):
+    r = random.Random(9)
+    words = [f"{a}{b}" for a in ("ther", "on", "ING", "est", "é", "日") for b in ("a", "en", "'ll", " ", ", ", "12")]
+    text = " ".join(r.choice(words) for _ in range(1_200_000))
+    (got,) = token_count.count_tokens(spark.createDataFrame([(1, text, "en", "a", 1)], DOCS), PATH).collect()
+    assert got.n_bytes == len(text.encode()) > 5_000_000
+    assert got.n_tokens == len(library.encode(text, add_special_tokens=False).ids) and got.over_limit
