@@ -140,3 +140,18 @@ def test_a_lost_commit_is_run_again_once(spark):
     assert seen == [*first, first[-1]]
     got = spark.read.parquet(out).select("conv_id", "turn")
     assert got.count() == got.distinct().count() == conv.count()
+
+
+def test_newton_on_few_rows_that_are_far_longer(spark):
+    r, rows = np.random.default_rng(5), []
+    for k in range(1200):  # one row in twenty is up to a hundred times as long, and labels say nothing
+        j = np.sort(r.choice(600, 60, replace=False))
+        x = r.exponential(1.0, 60) * (100 * r.random() if k % 20 == 0 else 1)
+        rows.append((float(r.integers(2)), j.tolist(), x.tolist()))
+    fit = fit_newton(spark.createDataFrame(rows, ROWS).coalesce(2), 600, 0.01, sample_rows=200, max_passes=60)
+    x, y = np.zeros((len(rows), 601)), np.array([row[0] for row in rows])
+    x[:, -1] = 1
+    for i, (_, j, v) in enumerate(rows):
+        x[i, j] = v
+    gradient = lambda w: w + 0.01 * x.T @ (0.5 * (1 + np.tanh(x @ w / 2)) - y)
+    assert np.linalg.norm(gradient(np.append(fit.weights, fit.intercept))) <= 1e-7 * np.linalg.norm(gradient(np.zeros(601)))

@@ -10,7 +10,10 @@ rows, and hand on one vector each, cut into chunks; a chunk's parts are summed i
 a rerun gives the same bits. The driver holds vectors of the number of features, which the vocabulary's or the hash space's size bounds.
 
 Newton's equations are solved by conjugate gradients, one pass a step. They are preconditioned with the Hessian
-of a bounded sample of rows (``SAMPLE_ROWS``), which the driver solves by itself: it changes how many passes are needed, never the result.
+of a bounded set of rows, which the driver solves by itself: it changes how many passes are needed, never the result.
+The set is a sample (``SAMPLE_ROWS``) where rows are of like length. Where some are far longer than the mean, as with raw
+counts, a sample misses them though they make most of the Hessian; then it is the longest rows (``LONG_ROWS``), and
+all others stand in it by the diagonal of their part.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from tonestream.sinks.files import materialize
 
 #: Rows that the driver's preconditioner is made of, at most.
 SAMPLE_ROWS = 8192
+#: Where a row's squared norm is above ``LONG`` times the mean, the preconditioner takes the longest rows, at most so many rows and entries.
+LONG, LONG_ROWS, LONG_ENTRIES = 16, 1024, 1 << 20
 #: The fit ends when the gradient's norm is at most this share of that at zero.
 TOLERANCE = 1e-8
 MAX_PASSES = 200
@@ -131,6 +136,34 @@ def _conjugate(apply, right: np.ndarray, solve, tolerance: float, most: int) ->
     return x
 
 
+def loss_gradient_and_curve(rows: Rows, w: np.ndarray) -> np.ndarray:
+    """The rows' loss, then its gradient, then its Hessian's diagonal."""
+    p = _sigmoid(rows.times(w))
+    return np.append(loss_and_gradient(rows, w), rows.squares(p * (1 - p)))
+
+
+def _longest(rows: DataFrame, rows_most: int, entries_most: int) -> pa.Table | None:
+    """The longest rows, if any is far longer than the mean; only norms and sizes are sorted."""
+    measured = rows.withColumn("norm", F.aggregate("x", F.lit(1.0), lambda s, v: s + v * v))
+    mean, most = measured.agg(F.avg("norm"), F.max("norm")).first()
+    if most <= LONG * mean:
+        return None
+    top = measured.select("norm", F.size("j").alias("size")).orderBy(F.desc("norm")).limit(rows_most).collect()
+    fit = int(np.searchsorted(np.cumsum([r["size"] for r in top]), entries_most, side="right"))
+    if not fit:
+        return None
+    return measured.where(F.col("norm") >= top[fit - 1]["norm"]).limit(fit).select("y", "j", "x").toArrow()
+
+
+def _long_solver(long: Rows, curve_of_all: np.ndarray, w: np.ndarray, c: float):
+    """Solves with the Hessian of the long rows and the diagonal of the others' (``curve_of_all``: the whole Hessian's diagonal)."""
+    p = _sigmoid(long.times(w))
+    curve = c * p * (1 - p)
+    others = np.maximum(curve_of_all - long.squares(curve), 1.0)
+    apply = lambda v: others * v + long.gathered(curve * long.times(v))
+    return lambda right: _conjugate(apply, right, lambda r: r / curve_of_all, 1e-1, 40)
+
+
 def _sample_solver(sample: Rows, share: float, w: np.ndarray, c: float):
     """Solves with the Hessian of the sample, blown up to all rows."""
     p = _sigmoid(sample.times(w))
@@ -155,31 +188,36 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
     cores = rows.sparkSession.sparkContext.defaultParallelism
     parts = min(rows.rdd.getNumPartitions(), max(1, 12 * stats["entries"] // BYTES_PER_PARTITION, min(cores, 1 + n // 256)))
     rows = rows.coalesce(parts)
+    few = _longest(rows, LONG_ROWS, LONG_ENTRIES)
+    long = None if few is None else rows_of(few, dim)
     # any bounded set of rows will do, it only preconditions: about as many as asked for, by a hash of their places in the written table
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
-    few = rows.where(dealt <= int(min(1.0, sample_rows / n) * (1 << 30))).limit(2 * sample_rows).toArrow()
-    few = few if len(few) else rows.limit(1).toArrow()
-    sample, share = rows_of(few, dim), n / len(few)
+    if long is None:
+        few = rows.where(dealt <= int(min(1.0, sample_rows / n) * (1 << 30))).limit(2 * sample_rows).toArrow()
+        few = few if len(few) else rows.limit(1).toArrow()
+        sample, share = rows_of(few, dim), n / len(few)
 
     passes, w = 0, np.zeros(size)
 
     def at(w):
         nonlocal passes
         passes += 1
-        found = _summed(rows, dim, size + 1, lambda r: loss_and_gradient(r, w))
-        return w @ w / 2 + c * found[0], w + c * found[1:]
+        found = _summed(rows, dim, size + 1, lambda r: loss_and_gradient(r, w)) if long is None else _summed(
+            rows, dim, 2 * size + 1, lambda r: loss_gradient_and_curve(r, w))
+        return w @ w / 2 + c * found[0], w + c * found[1:size + 1], 1 + c * found[size + 1:]
 
     def curved(v):
         nonlocal passes
         passes += 1
         return v + c * _summed(rows, dim, size, lambda r: hessian_times(r, w, v))
 
-    loss, g = at(w)
+    loss, g, curve = at(w)
     zero = norm = float(np.linalg.norm(g))
     while norm > tolerance * zero:
         if passes >= max_passes:
             raise RuntimeError(f"not converged in {passes} passes: the gradient is {norm / zero:.1e} of that at zero")
-        step = _conjugate(curved, -g, _sample_solver(sample, share, w, c), min(0.1, (norm / zero) ** 0.5), 50)
+        solve = _sample_solver(sample, share, w, c) if long is None else _long_solver(long, curve, w, c)
+        step = _conjugate(curved, -g, solve, min(0.1, (norm / zero) ** 0.5), 50)
         t, slope = 1.0, g @ step
         while True:
             near = at(w + t * step)
@@ -187,6 +225,6 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
             if near[0] <= loss + 1e-4 * t * slope + 1e-12 * abs(loss) or np.linalg.norm(near[1]) < 0.5 * norm or t < 1e-6:
                 break
             t /= 2
-        w, (loss, g) = w + t * step, near
+        w, (loss, g, curve) = w + t * step, near
         norm = float(np.linalg.norm(g))
     return Fit(w[:-1], float(w[-1]), n, passes, float(loss), norm, zero)
