@@ -1,7 +1,7 @@
 """Text features: long-form term tables (SQL-checkable) and Spark ML stages.
 
-Long form: ``(doc_id, term, tf)`` rows counted inside each document row (no
-shuffle); document frequency and IDF are one aggregation keyed by term, partial
+Long form: ``(doc_id, term, tf)`` rows counted over batches of documents (no
+shuffle, see ``operators.term_counts``); document frequency and IDF are one aggregation keyed by term, partial
 on the map side, so a very common term costs one row per task before the
 shuffle. The term statistics are written and then joined back to documents with a
 plain equi-join, which AQE turns into a broadcast when the table is measured small and
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tonestream.functions.clean import STOP_WORDS
 from tonestream.operators.evaluation import with_column_once
 from tonestream.operators.lookup import Lookup, bound, pack_lookup, with_lookup
+from tonestream.operators.term_counts import lists_of_batches, rows_of_batches, stats_of_batches
 from tonestream.session import shared_path
 from tonestream.sinks.files import materialize
 
@@ -80,12 +81,12 @@ def with_term_counts(df: DataFrame, terms: Column, out: str = "term_counts") ->
     return d.withColumn(out, counts).drop("_s", "_st")
 
 
-def doc_terms(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
-    """``(id, term, tf)``: one row per distinct term of each row (document),
-    counted inside the row, so building it needs no shuffle."""
-    d = with_term_counts(df.select(F.col(id_col), terms.alias("_terms")), F.col("_terms"))
-    return explode_terms(d, [F.col(id_col)], F.col("term_counts")).select(
-        id_col, F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
+def doc_terms(df: DataFrame, id_col: str, terms: Column, bigrams: bool = False) -> DataFrame:
+    """``(id, term, tf)``: one row per distinct term of each row (document), with ``bigrams`` also per
+    distinct pair of neighbours; counted batch by batch, so building it needs no shuffle."""
+    d = df.select(F.col(id_col), terms.alias("_terms"))
+    kind = d.schema[id_col].dataType.simpleString()
+    return d.mapInArrow(rows_of_batches(bigrams, id_col), f"`{id_col}` {kind}, term string, tf long")
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
@@ -93,16 +94,11 @@ def term_stats(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def term_stats_of(df: DataFrame, terms: Column) -> DataFrame:
-    """``(term, df, cf)`` straight from each row's term array: per-row counts
-    (no shuffle), then one aggregation by term, partial on the map side."""
-    d = with_term_counts(df.select(terms.alias("_terms")), F.col("_terms"))
-    return (
-        explode_terms(d, [], F.col("term_counts"))
-        .select(F.col("term.term").alias("term"), F.col("term.tf").alias("tf"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    )
+def term_stats_of(df: DataFrame, terms: Column, bigrams: bool = False) -> DataFrame:
+    """``(term, df, cf)`` straight from each row's term array, with ``bigrams`` also of its pairs of neighbours:
+    counted batch by batch (no shuffle), then one aggregation by term, partial on the map side."""
+    counted = df.select(terms.alias("_terms")).mapInArrow(stats_of_batches(bigrams), "term string, df long, cf long")
+    return counted.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def top_terms(stats: DataFrame, k: int = 20000, min_df: int = 2) -> DataFrame:
@@ -149,12 +145,12 @@ def fit_vocabulary(stats: DataFrame, n_docs: int, k: int = 20000, min_df: int =
     return pack_lookup(vocab, vocab.count(), path or shared_path(stats.sparkSession, "vocabulary-packed"))
 
 
-def with_tfidf_sklearn(df: DataFrame, terms: Column, vocab: Lookup, out: str = "weights") -> DataFrame:
+def with_tfidf_sklearn(df: DataFrame, counts: str, vocab: Lookup, out: str = "weights") -> DataFrame:
     """Add ``out``: ``array<struct<term, tf, w>>`` of a document's vocabulary terms, ``w = tf * idf1`` divided by the
-    L2 norm of all of them. Counted, weighed and normalised inside the row: no shuffle, nothing written."""
+    L2 norm of all of them, from the column ``counts`` of its distinct terms. Weighed and normalised inside the row: no shuffle, nothing written."""
     def weigh(counts: Column, find) -> Column:
-        raw = F.filter(F.transform(counts, lambda c: bound(find(c["term"]), lambda e: F.when(
-            e.isNotNull(), F.struct(c["term"].alias("term"), c["tf"].alias("tf"), (c["tf"] * e["idf1"]).alias("w"))))), lambda r: r.isNotNull())
+        raw = F.sort_array(F.filter(F.transform(counts, lambda c: bound(find(c["term"]), lambda e: F.when(
+            e.isNotNull(), F.struct(c["term"].alias("term"), c["tf"].alias("tf"), (c["tf"] * e["idf1"]).alias("w"))))), lambda r: r.isNotNull()))
 
         def normalised(raw: Column) -> Column:
             norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, r: s + r["w"] * r["w"]))
@@ -162,13 +158,16 @@ def with_tfidf_sklearn(df: DataFrame, terms: Column, vocab: Lookup, out: str = "
 
         return bound(raw, normalised)
 
-    counted = with_term_counts(df, terms, "_counts")
-    return with_lookup(counted, vocab, out, F.col("_counts"), weigh).drop("_counts")
+    return with_lookup(df, vocab, out, F.col(counts), weigh)
 
 
-def tfidf_sklearn(df: DataFrame, id_col: str, terms: Column, vocab: Lookup) -> DataFrame:
-    """``(id, term, tf, w)``: one row for each vocabulary term of each document, see ``with_tfidf_sklearn``."""
-    d = with_tfidf_sklearn(df.select(F.col(id_col), terms.alias("_terms")), F.col("_terms"), vocab)
+def tfidf_sklearn(df: DataFrame, id_col: str, terms: Column, vocab: Lookup, bigrams: bool = False) -> DataFrame:
+    """``(id, term, tf, w)``: one row for each vocabulary term of each document (with ``bigrams`` also of its pairs of
+    neighbours), see ``with_tfidf_sklearn``. Terms are counted batch by batch, without a shuffle."""
+    d = df.select(F.col(id_col), terms.alias("_terms"))
+    kind = d.schema[id_col].dataType.simpleString()
+    d = d.mapInArrow(lists_of_batches(bigrams, id_col), f"`{id_col}` {kind}, _counts array<struct<term: string, tf: bigint>>")
+    d = with_tfidf_sklearn(d, "_counts", vocab)
     return explode_terms(d, [F.col(id_col)], F.col("weights")).select(id_col, "term.term", "term.tf", "term.w")
 
 
@@ -242,7 +241,7 @@ def fit_sklearn_tfidf(train: DataFrame, input_col: str = "clean_text", vocab_siz
     """Vocabulary TF-IDF with the ``+1`` IDF and L2 norm (``features``).
 
     One aggregation fits everything: the 1-2-gram statistics of the training
-    texts (in-row counts, one shuffle by term) give the vocabulary - the
+    texts (counts by batch, one shuffle by term) give the vocabulary - the
     ``vocab_size`` most frequent terms with ``df >= min_df``, ties broken by
     term - and each term's document frequency. At most ``vocab_size`` rows
     reach the driver, to build a ``CountVectorizerModel`` and the fixed
@@ -255,7 +254,7 @@ def fit_sklearn_tfidf(train: DataFrame, input_col: str = "clean_text", vocab_siz
     count_stages = ngram_stages(input_col)
     grams = PipelineModel(stages=count_stages).transform(train)
     n_docs = train.count()
-    vocab = top_terms(term_stats_of(grams, F.col("grams")), vocab_size, min_df).collect()
+    vocab = top_terms(term_stats_of(grams, F.col("tokens"), bigrams=True), vocab_size, min_df).collect()
     terms = [r.term for r in vocab]
     weights = DenseVector([math.log((n_docs + 1.0) / (r.df + 1.0)) + 1.0 for r in vocab])
     return PipelineModel(stages=[

@@ -244,7 +244,7 @@ def q22_term_doc_frequency(spark, sf):
 def q23_tfidf_spark_weight(spark, sf):
     w = _words_v2(spark, sf)
     n_docs = w.agg(F.count(F.lit(1))).scalar()
-    # The term table is map-only (in-row counts): the IDF aggregation and the
+    # The term table is map-only (counts by batch): the IDF aggregation and the
     # weight join each read it from the scan, which costs less than writing it.
     terms = features.doc_terms(w, "doc_id", F.col("words"))
     out = features.tfidf_spark(terms, "doc_id", n_docs)
@@ -253,16 +253,15 @@ def q23_tfidf_spark_weight(spark, sf):
 
 def q24_tfidf_sklearn_weight(spark, sf):
     w = _words_v2(spark, sf)
-    grams = features.with_bigrams(F.col("words"))
     # fitted from the one-shuffle term statistics; the weights are then found inside each document's row
     n_docs = read_table(spark, sf, "documents", ["doc_id"]).count()
-    vocab = features.fit_vocabulary(features.term_stats_of(w, grams), n_docs, 20000, 2)
-    return features.tfidf_sklearn(w, "doc_id", grams, vocab).select("doc_id", "term", "tf", _round("w"))
+    vocab = features.fit_vocabulary(features.term_stats_of(w, F.col("words"), bigrams=True), n_docs, 20000, 2)
+    return features.tfidf_sklearn(w, "doc_id", F.col("words"), vocab, bigrams=True).select("doc_id", "term", "tf", _round("w"))
 
 
 def q25_top_terms(spark, sf):
     w = _words_v2(spark, sf)
-    return features.top_terms(features.term_stats_of(w, features.with_bigrams(F.col("words"))), 20000, 2)
+    return features.top_terms(features.term_stats_of(w, F.col("words"), bigrams=True), 20000, 2)
 
 
 def q26_hashed_tfidf(spark, sf):
