@@ -54,11 +54,11 @@ def nb_holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
     return model.transform(data.where(~F.col("is_train")), "words")
 
 
-def table_scores(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
-    """``df`` cleaned and scored by the relational Naive Bayes of the training side, with labels."""
+def table_scores(spark: SparkSession, sf: str, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``df`` cleaned and scored by the relational Naive Bayes of the training side, with labels; ``keep``: the columns callers read."""
     data = cleaned_labelled(spark, sf).withColumn("words", features.split_words("clean_text"))
     model = fit_naive_bayes_table(data.where("is_train"), "words")
-    return with_labels(model.transform(model_input(df, clean_first=True), features.split_words("clean_text")))
+    return with_labels(model.transform(model_input(df, clean_first=True), features.split_words("clean_text"), keep=keep))
 
 
 def _round(c: str, digits: int = P_DIGITS):
@@ -533,7 +533,7 @@ def q43_score_uploaded_csv(spark, sf):
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     upload = shared_path(spark, "upload-csv")
     write_table(docs, upload, "csv", header=True)
-    scored = table_scores(spark, sf, read_to_score(spark, upload))
+    scored = table_scores(spark, sf, read_to_score(spark, upload), keep=["doc_id", "text"])
     export = shared_path(spark, "scored-csv")
     write_table(scored.select("doc_id", "text", "pred", "sentiment"), export, "csv", header=True)
     return metrics.sentiment_distribution(read_to_score(spark, export))
@@ -567,7 +567,7 @@ def q48_checked_scores(spark, sf):
     """Table checks, then a fitted model's names for the labelled texts: the row set and what must hold of every row."""
     t = require_not_empty(labelled_texts(spark, sf).select("doc_id", "text"))
     require_columns(t, ["doc_id", "text"])
-    s = table_scores(spark, sf, t)
+    s = table_scores(spark, sf, t, keep=["doc_id"])
     named = F.when(F.col("pred") == 1, "Positive").otherwise("Negative")
     return s.select("doc_id", (F.col("sentiment") == named).alias("named"), F.col("p_pos").between(0, 1).alias("in_range"),
                     (F.abs(F.col("p_pos") + F.col("p_neg") - 1) < 1e-9).alias("sums_to_one"))
