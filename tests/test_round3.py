@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tonestream.functions import messages
-from tonestream.operators import metrics
+from tonestream.operators import metrics, newton
 from tonestream.operators.logistic import fit_logistic_table, penalised_gradient
 from tonestream.operators.newton import fit_newton
 from tonestream.operators.scoring import score_table
@@ -155,3 +155,46 @@ def test_newton_on_few_rows_that_are_far_longer(spark):
         x[i, j] = v
     gradient = lambda w: w + 0.01 * x.T @ (0.5 * (1 + np.tanh(x @ w / 2)) - y)
     assert np.linalg.norm(gradient(np.append(fit.weights, fit.intercept))) <= 1e-7 * np.linalg.norm(gradient(np.zeros(601)))
+
+
+def test_newton_where_the_long_rows_are_decided_first(spark):
+    """Lengths spread widely and labels follow the features, so the rows that matter change with the weights (over 100 passes with the longest rows alone)."""
+    r = np.random.default_rng(7)
+    truth, rows = r.normal(size=600), []
+    for _ in range(3000):
+        j = np.sort(r.choice(600, 40, replace=False))
+        x = r.exponential(1.0, 40) * np.exp(1.5 * r.normal())
+        rows.append((float(x @ truth[j] + 0.5 * np.linalg.norm(x) * r.normal() > 0), j.tolist(), x.tolist()))
+    fit = fit_newton(spark.createDataFrame(rows, ROWS).coalesce(2), 600, 1.0, sample_rows=1000, max_passes=80)
+    assert fit.passes < 80 and fit.gradient <= 1e-8 * fit.gradient_at_zero
+    assert np.abs(np.append(fit.weights, fit.intercept) - damped_optimum(rows, 600, 1.0)).max() < 1e-5
+
+
+def damped_optimum(rows, dim, c):
+    x, y = np.zeros((len(rows), dim + 1)), np.array([r[0] for r in rows])
+    x[:, -1] = 1
+    for k, (_, j, v) in enumerate(rows):
+        x[k, j] = v
+    loss = lambda w: w @ w / 2 + c * (np.logaddexp(0, x @ w) - y * (x @ w)).sum()
+    w = np.zeros(dim + 1)
+    for _ in range(60):
+        p = 0.5 * (1 + np.tanh(x @ w / 2))
+        g = w + c * x.T @ (p - y)
+        step, t = np.linalg.solve(np.eye(dim + 1) + c * (x * (p * (1 - p))[:, None]).T @ x, -g), 1.0
+        while loss(w + t * step) > loss(w) + 1e-4 * t * (g @ step) + 1e-10 * loss(w) and t > 1e-6:
+            t /= 2
+        w = w + t * step
+    return w
+
+
+def test_drawn_rows_keep_their_bounds_and_stand_for_all():
+    r = np.random.default_rng(1)
+    pull = np.concatenate([np.exp(3 * r.normal(size=5000)), np.zeros(10)])
+    at = np.clip(np.floor(2 * np.log2(np.maximum(pull, 2.0 ** -96))) + 192, 0, newton.BINS - 1).astype(int)
+    bins = np.concatenate([np.bincount(at, v, minlength=newton.BINS) for v in (pull, np.ones_like(pull), np.full(len(pull), 50))])
+    few = np.minimum(1, newton._chance(bins, 500, 1 << 40) * pull)
+    assert few.sum() == pytest.approx(500, rel=0.05) and few[np.argmax(pull)] == 1
+    assert np.minimum(1, newton._chance(bins, 500, 5000) * pull).sum() == pytest.approx(100, rel=0.05)
+    every = np.minimum(1, newton._chance(bins, 1 << 20, 1 << 40) * pull)
+    assert (every[pull > 0] == 1).all() and (every[pull == 0] == 0).all()
+    assert newton._chance(np.zeros(3 * newton.BINS), 500, 5000) == 0

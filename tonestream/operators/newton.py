@@ -12,8 +12,9 @@ a rerun gives the same bits. The driver holds vectors of the number of features,
 Newton's equations are solved by conjugate gradients, one pass a step. They are preconditioned with the Hessian
 of a bounded set of rows, which the driver solves by itself: it changes how many passes are needed, never the result.
 The set is a sample (``SAMPLE_ROWS``) where rows are of like length. Where some are far longer than the mean, as with raw
-counts, a sample misses them though they make most of the Hessian; then it is the longest rows (``LONG_ROWS``), and
-all others stand in it by the diagonal of their part.
+counts, a plain sample misses them though they make most of the Hessian, and which rows make most of it changes with the
+weights, as long rows are soon decided. Then each Newton step draws its own rows, by their part in the Hessian's trace at the
+step's weights, and one pass more brings them; what the drawn rows leave of the Hessian's diagonal stands in it as a diagonal.
 """
 
 from __future__ import annotations
@@ -27,14 +28,19 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tonestream.operators.partitioning import BYTES_PER_PARTITION
 from tonestream.sinks.files import materialize
 
 #: Rows that the driver's preconditioner is made of, at most.
 SAMPLE_ROWS = 8192
-#: Where a row's squared norm is above ``LONG`` times the mean, the preconditioner takes the longest rows, at most so many rows and entries.
-LONG, LONG_ROWS, LONG_ENTRIES = 16, 1024, 1 << 20
+#: Where a row's squared norm is above ``LONG`` times the mean, the rows are drawn by their part in the Hessian, about ``DRAWN_ENTRIES`` entries at most.
+LONG, DRAWN_ENTRIES = 16, 1 << 21
+#: Share of the curvature of rows that stand for others too which the preconditioner takes as a diagonal, as fewer rows than features leave directions out.
+DIAGONAL = 0.1
+#: Rows are counted by half powers of 2 of their part in the trace; the first bin is for 2 ** -96 and less.
+BINS, FIRST_BIN = 256, -192
 #: The fit ends when the gradient's norm is at most this share of that at zero.
 TOLERANCE = 1e-8
 MAX_PASSES = 200
@@ -136,32 +142,66 @@ def _conjugate(apply, right: np.ndarray, solve, tolerance: float, most: int) ->
     return x
 
 
-def loss_gradient_and_curve(rows: Rows, w: np.ndarray) -> np.ndarray:
-    """The rows' loss, then its gradient, then its Hessian's diagonal."""
+def pulls(rows: Rows, w: np.ndarray) -> np.ndarray:
+    """Each row's part in the trace of the Hessian."""
     p = _sigmoid(rows.times(w))
-    return np.append(loss_and_gradient(rows, w), rows.squares(p * (1 - p)))
+    return p * (1 - p) * (1 + np.bincount(rows.row, rows.x * rows.x, minlength=len(rows.y)))
 
 
-def _longest(rows: DataFrame, rows_most: int, entries_most: int) -> pa.Table | None:
-    """The longest rows, if any is far longer than the mean; only norms and sizes are sorted."""
-    measured = rows.withColumn("norm", F.aggregate("x", F.lit(1.0), lambda s, v: s + v * v))
-    mean, most = measured.agg(F.avg("norm"), F.max("norm")).first()
-    if most <= LONG * mean:
-        return None
-    top = measured.select("norm", F.size("j").alias("size")).orderBy(F.desc("norm")).limit(rows_most).collect()
-    fit = int(np.searchsorted(np.cumsum([r["size"] for r in top]), entries_most, side="right"))
-    if not fit:
-        return None
-    return measured.where(F.col("norm") >= top[fit - 1]["norm"]).limit(fit).select("y", "j", "x").toArrow()
+def loss_gradient_and_curve(rows: Rows, w: np.ndarray) -> np.ndarray:
+    """The rows' loss, then its gradient, its Hessian's diagonal, and for each bin of ``pulls`` their sum, the rows and the entries."""
+    p, pull = _sigmoid(rows.times(w)), pulls(rows, w)
+    at = np.clip(np.floor(2 * np.log2(np.maximum(pull, 2.0 ** (FIRST_BIN // 2)))) - FIRST_BIN, 0, BINS - 1).astype(np.int64)
+    lengths = np.bincount(rows.row, minlength=len(pull))
+    return np.concatenate([loss_and_gradient(rows, w), rows.squares(p * (1 - p)), *(np.bincount(at, v, minlength=BINS) for v in (pull, np.ones_like(pull), lengths))])
+
+
+def _uneven(rows: DataFrame) -> bool:
+    """Whether any row is far longer than the mean."""
+    mean, most = rows.select(F.aggregate("x", F.lit(1.0), lambda s, v: s + v * v).alias("norm")).agg(F.avg("norm"), F.max("norm")).first()
+    return most > LONG * mean
+
+
+def _chance(bins: np.ndarray, rows_most: int, entries_most: int) -> float:
+    """The factor that makes ``pulls`` into chances (1 at most) of about ``rows_most`` rows and ``entries_most`` entries, or fewer."""
+    pull, n, entries = bins.reshape(3, BINS)
+    met = pull > 0
+    pull, n, entries = pull[met] / n[met], n[met], entries[met]
+    if not len(pull):
+        return 0.0
+    low, high = -700.0, np.log(4 / pull.min())
+    for _ in range(60):
+        mid = (low + high) / 2
+        chance = np.minimum(1.0, np.exp(mid) * pull)
+        low, high = (mid, high) if n @ chance <= rows_most and entries @ chance <= entries_most else (low, mid)
+    return float(np.exp(low))
+
+
+def _drawn(rows: DataFrame, dim: int, w: np.ndarray, factor: float, step: int) -> pa.Table:
+    """Rows drawn with the chance ``factor * pulls``, and ``stands``, the number of rows that each stands for.
+
+    The draw hangs on the step, the task and the row's place in it alone.
+    """
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
+        dice = np.random.default_rng([step, TaskContext.get().partitionId()])
+        for batch in batches:
+            chance = np.minimum(1.0, factor * pulls(rows_of(batch, dim), w))
+            kept = np.flatnonzero(dice.random(len(chance)) < chance)
+            found = batch.take(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([*(found.column(n) for n in ("y", "j", "x")), pa.array(1 / chance[kept])], ["y", "j", "x", "stands"])
 
-def _long_solver(long: Rows, curve_of_all: np.ndarray, w: np.ndarray, c: float):
-    """Solves with the Hessian of the long rows and the diagonal of the others' (``curve_of_all``: the whole Hessian's diagonal)."""
-    p = _sigmoid(long.times(w))
-    curve = c * p * (1 - p)
-    others = np.maximum(curve_of_all - long.squares(curve), 1.0)
-    apply = lambda v: others * v + long.gathered(curve * long.times(v))
-    return lambda right: _conjugate(apply, right, lambda r: r / curve_of_all, 1e-1, 40)
+    return rows.mapInArrow(of_task, StructType([*rows.schema.fields, StructField("stands", DoubleType())])).toArrow()
+
+
+def _drawn_solver(drawn: Rows, stands: np.ndarray, curve_of_all: np.ndarray, w: np.ndarray, c: float):
+    """Solves with the Hessian of the drawn rows and the diagonal of what they leave (``curve_of_all``: the whole Hessian's diagonal)."""
+    p = _sigmoid(drawn.times(w))
+    curve = c * stands * p * (1 - p) * np.where(stands > 1, 1 - DIAGONAL, 1.0)
+    others = np.maximum(curve_of_all - drawn.squares(curve), 1.0)
+    apply = lambda v: others * v + drawn.gathered(curve * drawn.times(v))
+    return lambda right: _conjugate(apply, right, lambda r: r / curve_of_all, 3e-2, 300)
 
 
 def _sample_solver(sample: Rows, share: float, w: np.ndarray, c: float):
@@ -188,11 +228,10 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
     cores = rows.sparkSession.sparkContext.defaultParallelism
     parts = min(rows.rdd.getNumPartitions(), max(1, 12 * stats["entries"] // BYTES_PER_PARTITION, min(cores, 1 + n // 256)))
     rows = rows.coalesce(parts)
-    few = _longest(rows, LONG_ROWS, LONG_ENTRIES)
-    long = None if few is None else rows_of(few, dim)
+    uneven = _uneven(rows)
     # any bounded set of rows will do, it only preconditions: about as many as asked for, by a hash of their places in the written table
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
-    if long is None:
+    if not uneven:
         few = rows.where(dealt <= int(min(1.0, sample_rows / n) * (1 << 30))).limit(2 * sample_rows).toArrow()
         few = few if len(few) else rows.limit(1).toArrow()
         sample, share = rows_of(few, dim), n / len(few)
@@ -202,29 +241,37 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
     def at(w):
         nonlocal passes
         passes += 1
-        found = _summed(rows, dim, size + 1, lambda r: loss_and_gradient(r, w)) if long is None else _summed(
-            rows, dim, 2 * size + 1, lambda r: loss_gradient_and_curve(r, w))
-        return w @ w / 2 + c * found[0], w + c * found[1:size + 1], 1 + c * found[size + 1:]
+        found = _summed(rows, dim, size + 1, lambda r: loss_and_gradient(r, w)) if not uneven else _summed(
+            rows, dim, 2 * size + 1 + 3 * BINS, lambda r: loss_gradient_and_curve(r, w))
+        return w @ w / 2 + c * found[0], w + c * found[1:size + 1], 1 + c * found[size + 1:2 * size + 1], found[2 * size + 1:]
 
     def curved(v):
         nonlocal passes
         passes += 1
         return v + c * _summed(rows, dim, size, lambda r: hessian_times(r, w, v))
 
-    loss, g, curve = at(w)
+    def solver():
+        nonlocal passes
+        if not uneven:
+            return _sample_solver(sample, share, w, c)
+        passes += 1
+        drawn = _drawn(rows, dim, w, _chance(bins, sample_rows, DRAWN_ENTRIES), passes)
+        return _drawn_solver(rows_of(drawn, dim), drawn["stands"].to_numpy(), curve, w, c)
+
+    loss, g, curve, bins = at(w)
     zero = norm = float(np.linalg.norm(g))
     while norm > tolerance * zero:
         if passes >= max_passes:
             raise RuntimeError(f"not converged in {passes} passes: the gradient is {norm / zero:.1e} of that at zero")
-        solve = _sample_solver(sample, share, w, c) if long is None else _long_solver(long, curve, w, c)
-        step = _conjugate(curved, -g, solve, min(0.1, (norm / zero) ** 0.5), 50)
+        step = _conjugate(curved, -g, solver(), min(0.1, (norm / zero) ** 0.5), 50)
         t, slope = 1.0, g @ step
         while True:
             near = at(w + t * step)
-            # near the optimum the loss no longer tells steps apart, the gradient does
-            if near[0] <= loss + 1e-4 * t * slope + 1e-12 * abs(loss) or np.linalg.norm(near[1]) < 0.5 * norm or t < 1e-6:
+            # near the optimum the loss no longer tells steps apart, the gradient does; elsewhere a shorter gradient may be a way uphill
+            if near[0] <= loss + 1e-4 * t * slope + 1e-12 * abs(loss) or t < 1e-6 or (
+                    near[0] <= loss + 1e-9 * abs(loss) and np.linalg.norm(near[1]) < 0.5 * norm):
                 break
             t /= 2
-        w, (loss, g, curve) = w + t * step, near
+        w, (loss, g, curve, bins) = w + t * step, near
         norm = float(np.linalg.norm(g))
     return Fit(w[:-1], float(w[-1]), n, passes, float(loss), norm, zero)
