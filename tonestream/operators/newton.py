@@ -236,6 +236,8 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
         few = few if len(few) else rows.limit(1).toArrow()
         sample, share = rows_of(few, dim), n / len(few)
 
+    # a table within the bounds is fetched once
+    whole, drawn = n <= sample_rows and stats["entries"] <= DRAWN_ENTRIES, None
     passes, w = 0, np.zeros(size)
 
     def at(w):
@@ -251,11 +253,12 @@ def fit_newton(rows: DataFrame, dim: int, c: float = 1.0, tolerance: float = TOL
         return v + c * _summed(rows, dim, size, lambda r: hessian_times(r, w, v))
 
     def solver():
-        nonlocal passes
+        nonlocal passes, drawn
         if not uneven:
             return _sample_solver(sample, share, w, c)
-        passes += 1
-        drawn = _drawn(rows, dim, w, _chance(bins, sample_rows, DRAWN_ENTRIES), passes)
+        if drawn is None or not whole:
+            passes += 1
+            drawn = rows.withColumn("stands", F.lit(1.0)).toArrow() if whole else _drawn(rows, dim, w, _chance(bins, sample_rows, DRAWN_ENTRIES), passes)
         return _drawn_solver(rows_of(drawn, dim), drawn["stands"].to_numpy(), curve, w, c)
 
     loss, g, curve, bins = at(w)
